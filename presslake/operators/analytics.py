@@ -197,3 +197,13 @@ def describe(df: DataFrame) -> DataFrame:
     )
     rows = [(s, *(cell(s, name) for name in kinds)) for s in STATISTICS]
     return df.sparkSession.createDataFrame(rows, f"statistic string, {ddl}")
+
+
+# -- quality -----------------------------------------------------------------
+def quality_issues(articles: DataFrame) -> DataFrame:
+    """(issue, url) of articles with empty content or without an author."""
+    empty, no_author = F.col("content") == "", F.col("author").isNull()
+    issues = F.array_compact(
+        F.array(F.when(empty, "empty_content"), F.when(no_author, "no_author"))
+    )
+    return articles.filter(empty | no_author).select(F.explode(issues).alias("issue"), "url")

@@ -52,8 +52,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Reads back what ``write_csv`` wrote (quoted line breaks included)."""
+    """Reads back what ``write_csv`` wrote (quoted line breaks included).
+
+    An empty field is NULL and a quoted empty field the empty string; they only
+    differ to the reader if NULL has a mark of its own.
+    """
     reader = spark.read.schema(ddl).option("header", "true").option("escape", '"')
+    reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
     return reader.option("multiLine", "true").option("enforceSchema", "true").csv(path)
 
 
