@@ -103,12 +103,14 @@ class PagePicker:
     def __init__(self, rules: Sequence[Rule], container: str | None):
         self.slots = [rule.slot for rule in rules]
         self.container = _step(container) if container else None
-        # (rule, last step, steps above it from the inside out) per chain
+        # (rule number, rule, attribute it needs, last step, steps above it from
+        # the inside out) per chain
         self.chains = []
-        for rule in rules:
+        for number, rule in enumerate(rules):
+            needs = rule.pick[0] if isinstance(rule.pick, tuple) and len(rule.pick) == 1 else None
             for chain in rule.selectors:
-                steps = [_step(part.replace("*", "")) for part in chain.split(" ")]
-                self.chains.append((rule, steps[-1], steps[-2::-1] if len(steps) > 1 else []))
+                *above, last = [_step(part.replace("*", "")) for part in chain.split(" ")]
+                self.chains.append((number, rule, needs, last, above[::-1]))
         self.by_tag: dict[str, list] = {}
 
     def pick(self, html: str | None, url: str | None) -> dict[str, list] | None:
@@ -153,15 +155,18 @@ class PagePicker:
             element.inside = self.found = True
         candidates = self.by_tag.get(tag)
         if candidates is None:
-            candidates = [c for c in self.chains if c[1][0] in (None, tag)]
+            candidates = [c for c in self.chains if c[3][0] in (None, tag)]
             self.by_tag[tag] = candidates
-        picked = set()
-        for rule, last, above in candidates:
-            reachable = element.inside or rule.anywhere or not self.container
-            if reachable and rule not in picked and element.fits(last):
-                if not above or self._under(above, rule):
-                    picked.add(rule)
-                    self._take(rule, element, values)
+        taken = -1
+        everywhere = element.inside or not self.container
+        for number, rule, needs, last, above in candidates:
+            if number == taken or not (everywhere or rule.anywhere):
+                continue
+            if needs is not None and needs not in values:
+                continue
+            if element.fits(last) and (not above or self._under(above, rule)):
+                taken = number
+                self._take(rule, element, values)
         if tag not in VOID:
             self.stack.append(element)
 
@@ -187,8 +192,8 @@ class PagePicker:
         elif len(rule.pick) > 1:
             self.out[rule.slot].append(tuple(values.get(name) for name in rule.pick))
         else:
-            value = values.get(rule.pick[0])
-            if value is not None and rule.contains in value:
+            value = values[rule.pick[0]]
+            if rule.contains in value:
                 self.out[rule.slot].append(_absolute(self.base, value) if rule.resolve else value)
 
     def _close(self, tag: str) -> None:

@@ -10,13 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+import presslake
 from presslake.functions.html import PagePicker, Rule
 from presslake.functions.text import media_provider, ustrip
 from presslake.operators.dedup import media_first_wins
 from presslake.schema import MEDIA_DDL
 from presslake.session import configure
+from presslake.sources.spread import spread
+
+# Python workers get the page helper with the task; executors need no install.
+cloudpickle.register_pickle_by_value(presslake)
 
 # Where an article page keeps its fields.
 ARCHIVE_CONTAINER = "#divcont"
@@ -102,9 +108,8 @@ def pick_nodes(
         # Cheap test in the JVM: a page that never names the container cannot have
         # it, and need not travel to Python.
         source = source.filter(F.col("html").contains(container.lstrip("#.")))
-    return source.select(*names, F.col("url").alias("_url"), F.col("html").alias("_html")).mapInArrow(
-        run, out_ddl
-    )
+    wanted = source.select(*names, F.col("url").alias("_url"), F.col("html").alias("_html"))
+    return spread(wanted).mapInArrow(run, out_ddl)
 
 
 def _first(slot: str) -> Column:

@@ -1,0 +1,21 @@
+"""Use all cores for small inputs that a file layout packs into few tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out evenly over the cores; a large one does not move.
+
+    A Parquet file of one row group is one task, however many cores wait. The
+    planner's size estimate bounds what is shuffled to 16 MB per core; beyond
+    that the scan has tasks enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) > cores * SMALL_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores)

@@ -1,10 +1,11 @@
-"""Raw inputs derived from the driver tables, row by row and without a shuffle."""
+"""Raw inputs derived from the driver tables, row by row inside Spark."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.schema import MONTH_NUMBERS
+from presslake.sources.spread import spread
 
 DOCUMENT_DDL = "doc_id long, text string, lang string, source string, n_chars long"
 EVENT_DDL = (
@@ -66,9 +67,7 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers as ids, booleans, missing and wrongly typed fields, mixed media,
     repeated ids with another title, and broken lines between the good ones.
     """
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", "lang", "source", "n_chars", F.expr(DOC_TS).alias("ts")
-    )
+    docs = spread(table(spark, sf_dir, "documents")).withColumn("ts", F.expr(DOC_TS))
     copies = "if(doc_id % 10 in (1, 2), doc_id % 10, 0)"
     image = """concat('{"type":"image","url":"/static/', doc_id, '.jpg","alt":"', source, '"')"""
     members = docs.selectExpr(
@@ -146,7 +145,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as articles whose publish date is Arabic text."""
-    return table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    return spread(events).selectExpr(
         "event_id",
         "event_type as category",
         f"{arabic_date('ts', 'event_id % 3 <> 0')} as publish_date",

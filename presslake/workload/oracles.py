@@ -161,7 +161,7 @@ ORACLES: dict[str, str] = {
         SELECT section, page, '{HOST}/Section/' || section || '/1' || page AS url
         FROM s, unnest(range(1, hi + 1)) t(page)""",
     "batch_by_file": f"""WITH {FEED} SELECT category AS src_file, article_id, title, content FROM feed""",
-    "normalize_records": f"""WITH {FEED}
+    "normalize": f"""WITH {FEED}
         SELECT seq, article_id, url, category, title, publish_date, author, content, n_tags, n_media FROM feed""",
     "normalize_scalars": f"WITH {FEED} SELECT seq, title, author, publish_date FROM feed",
     "normalize_tags": f"WITH {FEED} SELECT seq, tags FROM feed",
@@ -181,7 +181,7 @@ ORACLES: dict[str, str] = {
                arg_min(content, run_ts) AS content FROM runs GROUP BY article_id""",
     "append_new": f"""WITH {RUNS} SELECT run_ts, line_no, article_id, title FROM runs
         WHERE run_ts = '20240102T000000' AND n_chars >= {FIRST_RUN_BELOW}""",
-    "reject_report_counts": f"""WITH {BASE}, lines AS (
+    "reject_report": f"""WITH {BASE}, lines AS (
           SELECT CASE WHEN ghost THEN 'ghost' ELSE 'ok' END AS reason, 1 AS n FROM base
           UNION ALL SELECT CASE WHEN ghost THEN 'ghost' ELSE 'duplicate' END, copies FROM base
           UNION ALL SELECT 'malformed', 1 FROM base, unnest([23, 43, 47, 53]) t(d) WHERE doc_id % d = 0
@@ -190,12 +190,12 @@ ORACLES: dict[str, str] = {
         SELECT reason, CAST(sum(n) AS BIGINT) AS n_lines FROM lines GROUP BY reason HAVING sum(n) > 0""",
     "articles_table": f"""WITH {FEED}
         SELECT article_id, url, category, title, author, content, date_parsed, tags, n_media FROM feed WHERE k = 0""",
-    "strip_text": f"SELECT doc_id, {_strip('text')} AS stripped FROM documents",
-    "url_keys": f"""SELECT doc_id, '{HOST}/' || left(text, 40) || '?a+b=%zz%4' AS url_key FROM documents""",
+    "ustrip": f"SELECT doc_id, {_strip('text')} AS stripped FROM documents",
+    "url_key": f"""SELECT doc_id, '{HOST}/' || left(text, 40) || '?a+b=%zz%4' AS url_key FROM documents""",
     "date_clean": "SELECT event_id, day(ts) || strftime(ts, ' %m %Y %I:%M %p') AS clean FROM events",
     "parse_date": "SELECT event_id, date_trunc('minute', ts) AS date_parsed FROM events",
     "page_id": "SELECT page_id, string_split(url, '/')[-1] AS file_id FROM pages",
-    "media_provider_of_urls": f"""SELECT page_id, pos, CASE
+    "media_provider": f"""SELECT page_id, pos, CASE
           WHEN pos = 3 THEN 'unknown' WHEN pos = 2 THEN 'internal' WHEN pos = 1 THEN 'external'
           WHEN strpos(url, '{SITE}') > 0 OR strpos(url, 'static') > 0 THEN 'internal' ELSE 'external' END AS provider
         FROM pages, unnest(range(0, 4)) t(pos)""",
@@ -211,7 +211,7 @@ ORACLES: dict[str, str] = {
     "sql_month_day": f"""SELECT DISTINCT '{HOST}/order/' || o_custkey AS url, o_orderstatus AS content FROM orders
         WHERE month(o_orderdate) = 3 AND day(o_orderdate) = 21""",
     "sql_like": f"WITH {ARTICLES} SELECT content FROM articles WHERE content LIKE '%tion the%'",
-    "before_year_filter": "SELECT o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) < 1996",
+    "before_year": "SELECT o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) < 1996",
     "quality_filters": f"""WITH {ARTICLES} SELECT 'empty_content' AS issue, url FROM articles WHERE content = ''
         UNION ALL SELECT 'no_author', url FROM articles WHERE author IS NULL""",
     "column_counts": f"""WITH {ARTICLES} SELECT count(article_id) AS article_id, count(url) AS url,

@@ -23,7 +23,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore only avoids a clash."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -90,7 +91,7 @@ def batch_by_file(spark, sf_dir):
 
 # -- record normalisation ---------------------------------------------------------
 @query
-def normalize_records(spark, sf_dir):
+def normalize_(spark, sf_dir):
     rows = normalize(fx.article_lines(spark, sf_dir))
     return rows.select(
         "seq",
@@ -141,7 +142,7 @@ def append_new(spark, sf_dir):
 
 
 @query
-def reject_report_counts(spark, sf_dir):
+def reject_report_(spark, sf_dir):
     lines = fx.article_lines(spark, sf_dir).select("value", F.lit("feed").alias("src"))
     return reject_report(lines, ["src"])
 
@@ -164,13 +165,13 @@ def articles_table(spark, sf_dir):
 
 # -- scalar functions -----------------------------------------------------------
 @query
-def strip_text(spark, sf_dir):
+def ustrip_(spark, sf_dir):
     padded = F.concat(F.lit("  　"), "text", F.lit(" \t\x1f"))
     return fx.table(spark, sf_dir, "documents").select("doc_id", ustrip(padded).alias("stripped"))
 
 
 @query
-def url_keys(spark, sf_dir):
+def url_key_(spark, sf_dir):
     return fx.encoded_urls(spark, sf_dir).select("doc_id", url_key("url").alias("url_key"))
 
 
@@ -191,7 +192,7 @@ def page_id(spark, sf_dir):
 
 
 @query
-def media_provider_of_urls(spark, sf_dir):
+def media_provider_(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages").select("page_id", "url")
     other = F.concat(F.lit("https://cdn.other.org/"), "page_id", F.lit(".jpg"))
     static = F.concat(F.lit("https://cdn.other.org/static/"), "page_id", F.lit(".jpg"))
@@ -248,7 +249,7 @@ def sql_like(spark, sf_dir):
 
 
 @query
-def before_year_filter(spark, sf_dir):
+def before_year_(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return orders.filter(before_year(F.col("o_orderdate"), 1996))
 
