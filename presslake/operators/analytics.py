@@ -104,8 +104,15 @@ def _from_micros(micros: int) -> dt.datetime:
     return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(micros))
 
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    """``v``: the non-null values; timestamps as microseconds since the epoch."""
+    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
+    source = _micros(column) if is_time else f"`{column}`"
+    return df.selectExpr(f"{source} as v").filter("v is not null")
+
+
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], margin: float = 0.001
+    df: DataFrame, column: str, probabilities: Sequence[float], margin: float = 0.0001
 ) -> list[object | None]:
     """Exact quantiles (nearest rank) of a numeric or timestamp column.
 
@@ -114,16 +121,13 @@ def exact_quantiles(
     Only the values of that range are then ranked, repeats counted once: no task
     sees more than a small share of the distinct values, the driver only counts.
     """
-    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
-    source = _micros(column) if is_time else f"`{column}`"
-    values = df.selectExpr(f"{source} as v").filter("v is not null")
-    n = values.count()
-    if n == 0:
-        return [None] * len(probabilities)
-    ranks = [math.floor((n - 1) * p + 0.5) for p in probabilities]
+    values = _values(df, column)
     while True:
         around = [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
-        bounds = values.select(F.percentile_approx("v", around, 10000)).first()[0]
+        n, bounds = values.agg(F.count("*"), F.percentile_approx("v", around, 50000)).first()
+        if n == 0:
+            return [None] * len(probabilities)
+        ranks = [math.floor((n - 1) * p + 0.5) for p in probabilities]
         ranges = list(zip(bounds[::2], bounds[1::2]))
         below = [F.count_if(F.col("v") < low) for low, _ in ranges]
         upto = [F.count_if(F.col("v") <= high) for _, high in ranges]
@@ -148,8 +152,8 @@ def exact_quantiles(
     running = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = histogram.withColumn("upto", F.sum("n").over(running))
     found = dict(ranked.filter("upto > rank and upto - n <= rank").select("i", "v").collect())
-    picked = [found[i] for i in range(len(ranks))]
-    return [_from_micros(v) for v in picked] if is_time else picked
+    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
+    return [_from_micros(found[i]) if is_time else found[i] for i in range(len(ranks))]
 
 
 QUARTILES = (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))

@@ -24,9 +24,14 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def drop_known(batch: DataFrame, archive: DataFrame, key: str = "article_id") -> DataFrame:
     """Rows of ``batch`` whose key the archive does not hold yet.
 
-    Only the key column of the archive is read.
+    Only the key column of the archive is read, and it is first reduced to the
+    keys of the batch. For a batch that is small beside the archive adaptive
+    execution broadcasts the batch keys, and the archive is scanned in place
+    instead of being shuffled for the anti join.
     """
-    return batch.join(archive.select(key).distinct(), key, "left_anti")
+    wanted = batch.select(key).distinct()
+    known = archive.select(key).join(wanted, key, "left_semi").distinct()
+    return batch.join(known, key, "left_anti")
 
 
 def dedup_runs(articles: DataFrame, order: list[str], key: str = "article_id") -> DataFrame:

@@ -17,21 +17,19 @@ anything malformed. Both paths end in the same columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from presslake.functions.text import WHITESPACE_SQL
 from presslake.functions.variants import is_object, python_text, variant_text
-from presslake.schema import MEDIA_DDL, MEDIA_FIELDS, SCALAR_FIELDS
+from presslake.schema import ARTICLE_COLUMNS, MEDIA_DDL, MEDIA_FIELDS, SCALAR_FIELDS
 from presslake.session import configure
 
 # JSON texts Python treats as false.
 FALSY_JSON = ("null", "[]", "{}", '""', "0", "0.0", "-0.0", "false")
 _FALSY = "(" + ", ".join(f"'{text}'" for text in FALSY_JSON) + ")"
 
-_TYPED_DDL = (
-    ", ".join(f"{name} string" for name in SCALAR_FIELDS)
-    + f", tags array<string>, media {MEDIA_DDL}, images {MEDIA_DDL}, _bad string"
-)
 _STRICT = """map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false',
                 'allowNonNumericNumbers', 'false')"""
 
@@ -43,24 +41,46 @@ def _ambiguous_text(text: str) -> str:
            and {text} rlike r'^-?\d(\.\d+)?E-?\d+$')"""
 
 
-def _is_odd(typed: str, body: str) -> str:
-    """Whether the typed reading ``typed`` of ``body`` needs a second look."""
-    scalars = " or ".join(f"coalesce({_ambiguous_text(f'{typed}.{f}')}, false)" for f in SCALAR_FIELDS)
-    no_provider = "m -> m is not null and m.provider is null"
-    return f"""({typed} is null or {typed}._bad is not null or {scalars}
-        or coalesce(exists({typed}.tags, t -> {_ambiguous_text('t')}), false)
-        or (coalesce(exists({typed}.media, {no_provider}), false)
-            or coalesce(exists({typed}.images, {no_provider}), false))
-           and contains({body}, '"provider"'))"""
+def _scalars(columns: Sequence[str]) -> list[str]:
+    """The text fields to read for ``columns``; id and URL decide about ghosts."""
+    return [name for name in SCALAR_FIELDS if name in columns or name in ("article_id", "url")]
+
+
+def _typed_ddl(columns: Sequence[str]) -> str:
+    fields = [f"{name} string" for name in _scalars(columns)]
+    if "tags" in columns:
+        fields.append("tags array<string>")
+    if "media" in columns:
+        fields += [f"media {MEDIA_DDL}", f"images {MEDIA_DDL}"]
+    return ", ".join([*fields, "_bad string"])
 
 
-def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def _is_odd(typed: str, body: str, columns: Sequence[str]) -> str:
+    """Whether the typed reading ``typed`` of ``body`` needs a second look."""
+    tests = [f"{typed} is null", f"{typed}._bad is not null"]
+    tests += [f"coalesce({_ambiguous_text(f'{typed}.{name}')}, false)" for name in _scalars(columns)]
+    if "tags" in columns:
+        tests.append(f"coalesce(exists({typed}.tags, t -> {_ambiguous_text('t')}), false)")
+    if "media" in columns:
+        no_provider = "m -> m is not null and m.provider is null"
+        tests.append(
+            f"""(coalesce(exists({typed}.media, {no_provider}), false)
+                 or coalesce(exists({typed}.images, {no_provider}), false))
+                and contains({body}, '"provider"')"""
+        )
+    return "(" + " or ".join(tests) + ")"
+
+
+def parse_lines(
+    lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
+) -> DataFrame:
     """Replace the text column by ``typed``, ``odd``, ``doc`` and ``state``.
 
     ``doc`` is the VARIANT of an odd record. ``state`` is NULL for a usable
     object, else the reject reason. The parse runs inside a generator because a
     filter on parsed fields would be pushed below a plain projection and parse
-    every line a second time.
+    every line a second time. Nor can Spark prune fields there: name the article
+    ``columns`` that are needed, and the reader skips all others.
     """
     configure(lines.sparkSession)
     others = [c for c in lines.columns if c != value]
@@ -77,9 +97,9 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
                 when not contains(_body, '"') then 'empty'
                 else 'object' end as _shape""",
     )
-    typed = f"array(from_json(_body, '{_TYPED_DDL}', {_STRICT}))"
+    typed = f"array(from_json(_body, '{_typed_ddl(columns)}', {_STRICT}))"
     judged = f"""transform({typed}, r ->
-        struct(r as typed, _shape <> 'object' or {_is_odd('r', '_body')} as odd))"""
+        struct(r as typed, _shape <> 'object' or {_is_odd('r', '_body', columns)} as odd))"""
     parsed = shaped.selectExpr(
         *others,
         "_shape",
@@ -136,33 +156,40 @@ def _media() -> str:
     return f"coalesce(if(odd, {odd_media}, {media}), cast(array() as {MEDIA_DDL})) as media"
 
 
-def _articles(parsed: DataFrame, keep: list[str]) -> DataFrame:
-    """Article columns out of the parsed record.
+def _articles(parsed: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Article ``columns`` (and always id and URL) out of the parsed record.
 
     Each projection only references columns of the one before, so that no value
     is looked up twice.
     """
-    texts = (f"if(odd, {variant_text('doc', '$.' + n)}, typed.{n}) as _{n}" for n in SCALAR_FIELDS)
-    looked_up = parsed.selectExpr(*keep, "odd", "doc", _tags(), _media(), *texts)
-    cleaned = looked_up.selectExpr(*keep, *map(_scalar, SCALAR_FIELDS), "tags", "media")
-    scalars = (f"nullif(_{name}, '') as {name}" for name in SCALAR_FIELDS)
-    return cleaned.selectExpr(*keep, *scalars, "tags", "media")
-
-
-def classify(lines: DataFrame, value: str = "value") -> DataFrame:
+    names = _scalars(columns)
+    nested = [name for name in ("tags", "media") if name in columns]
+    lists = {"tags": _tags, "media": _media}
+    texts = (f"if(odd, {variant_text('doc', '$.' + n)}, typed.{n}) as _{n}" for n in names)
+    looked_up = parsed.selectExpr(*keep, "odd", "doc", *(lists[n]() for n in nested), *texts)
+    cleaned = looked_up.selectExpr(*keep, *map(_scalar, names), *nested)
+    return cleaned.selectExpr(*keep, *(f"nullif(_{n}, '') as {n}" for n in names), *nested)
+
+
+def classify(
+    lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
+) -> DataFrame:
     """Every line with its ``reason``; article columns matter for ``ok`` and ``ghost`` only."""
-    parsed = parse_lines(lines, value)
+    parsed = parse_lines(lines, value, columns)
     keep = [c for c in parsed.columns if c not in ("typed", "odd", "doc")]
     ghost = F.col("article_id").isNull() | F.col("url").isNull()
     reason = F.coalesce("state", F.when(ghost, "ghost"), F.lit("ok"))
-    return _articles(parsed, keep).withColumn("reason", reason).drop("state")
+    return _articles(parsed, keep, columns).withColumn("reason", reason).drop("state")
 
 
-def normalize(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Usable articles only: other columns of ``lines`` plus the article schema."""
-    parsed = parse_lines(lines, value).filter("state is null")
+def normalize(
+    lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
+) -> DataFrame:
+    """Usable articles only: other columns of ``lines``, then the article ``columns``."""
+    parsed = parse_lines(lines, value, columns).filter("state is null")
     keep = [c for c in parsed.columns if c not in ("typed", "odd", "doc", "state")]
-    return _articles(parsed, keep).filter("article_id is not null and url is not null")
+    rows = _articles(parsed, keep, columns).filter("article_id is not null and url is not null")
+    return rows.select(*keep, *(name for name in ARTICLE_COLUMNS if name in columns))
 
 
 def reject_report(lines: DataFrame, position: list[str], value: str = "value") -> DataFrame:
@@ -172,7 +199,7 @@ def reject_report(lines: DataFrame, position: list[str], value: str = "value") -
     bodies never move: one partial aggregation, then a shuffle of short keys.
     ``position`` names the columns that identify the input file.
     """
-    outcome = classify(lines, value).select(
+    outcome = classify(lines, value, ["article_id", "url"]).select(
         *position, "reason", F.when(F.col("reason") == "ok", F.col("article_id")).alias("id")
     )
     per_id = outcome.groupBy(*position, "reason", "id").agg(F.count("*").alias("n"))

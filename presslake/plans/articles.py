@@ -20,13 +20,21 @@ from presslake.sources.files import POSITION, scan_lines, scan_url_list, with_so
 
 # -- raw lines to articles ---------------------------------------------------
 def articles_from_lines(
-    lines: DataFrame, order: Sequence[str], per: Sequence[str] = (), dedup: bool = True
+    lines: DataFrame,
+    order: Sequence[str],
+    per: Sequence[str] = (),
+    dedup: bool = True,
+    columns: Sequence[str] = ARTICLE_COLUMNS,
 ) -> DataFrame:
-    """Normalised articles; per input (``per`` columns) the first of each id stays."""
-    rows = normalize(lines)
-    if not dedup:
-        return rows.select(*per, *ARTICLE_COLUMNS)
-    return first_wins(rows, [*per, "article_id"], list(order)).select(*per, *ARTICLE_COLUMNS)
+    """Normalised articles; per input (``per`` columns) the first of each id stays.
+
+    Unwanted ``columns`` are neither read from the JSON nor shuffled.
+    """
+    needed = [name for name in ARTICLE_COLUMNS if name in columns or name == "article_id"]
+    rows = normalize(lines, columns=needed).select(*dict.fromkeys([*per, *order]), *needed)
+    if dedup:
+        rows = first_wins(rows, [*per, "article_id"], list(order))
+    return rows.select(*per, *columns)
 
 
 def convert(spark: SparkSession, source: str | Sequence[str], target: str, dedup: bool = True) -> None:

@@ -12,6 +12,12 @@ from presslake.schema import ROW_GROUP_ROWS
 BOM = "\ufeff"
 
 
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    if not partition_by:
+        return df
+    return df.hint("rebalance", *[F.col(name) for name in partition_by])
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -25,9 +31,7 @@ def write_parquet(
     partition gets few files, and adaptive execution splits one that holds a
     large share of the rows over several tasks.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = df.write.mode(mode).option("compression", "snappy")
+    writer = _balanced(df, partition_by).write.mode(mode).option("compression", "snappy")
     writer = writer.option("parquet.block.row.count.limit", str(row_group_rows))
     writer.partitionBy(*partition_by).parquet(path)
 
@@ -35,8 +39,8 @@ def write_parquet(
 def write_jsonl(
     df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()
 ) -> None:
-    """JSON lines, non-ASCII text as it is."""
-    df.write.mode(mode).partitionBy(*partition_by).json(path)
+    """JSON lines, non-ASCII text as it is; partitions are balanced like Parquet's."""
+    _balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).json(path)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:

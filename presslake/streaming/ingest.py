@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.operators.dedup import drop_known, first_wins
@@ -20,24 +21,35 @@ def read_archive(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(target)
 
 
-def ingest(spark: SparkSession, raw_root: str, target: str, checkpoint: str) -> None:
+def ingest(
+    spark: SparkSession,
+    raw_root: str,
+    target: str,
+    checkpoint: str,
+    max_files_per_batch: int = 1000,
+) -> None:
     """Convert the raw files that arrived since the last call, then return.
 
     Files are taken from ``raw_root/*``. Within a batch the first line of an id
     wins, and ids the archive already holds are dropped by an anti join on the
     stored key column, so the query keeps no state that grows with the archive.
     Each batch owns one partition folder and overwrites it when it is replayed
-    after a failure: every article ends up in the archive exactly once.
+    after a failure: every article ends up in the archive exactly once. A long
+    backlog is worked off in batches of ``max_files_per_batch`` files.
     """
     configure(spark)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         earlier = read_archive(session, target).filter(F.col("batch") < batch_id)
-        fresh = drop_known(first_wins(normalize(batch), ["article_id"], POSITION), earlier)
-        write_parquet(fresh.select(*ARTICLE_COLUMNS), f"{target}/batch={batch_id}", mode="overwrite")
+        # Used twice (its keys, its rows); a lost block is computed again.
+        rows = first_wins(normalize(batch), ["article_id"], POSITION).persist(StorageLevel.DISK_ONLY)
+        fresh = drop_known(rows, earlier).select(*ARTICLE_COLUMNS)
+        write_parquet(fresh, f"{target}/batch={batch_id}", mode="overwrite")
+        rows.unpersist()
 
-    lines = spark.readStream.format("text").load(f"{raw_root}/*").select(
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files_per_batch))
+    lines = reader.load(f"{raw_root}/*").select(
         "value",
         F.col("_metadata.file_path").alias("src_path"),
         F.col("_metadata.file_block_start").alias("src_block"),

@@ -288,4 +288,20 @@ ORACLES: dict[str, str] = {
         LEFT JOIN documents ON source = c GROUP BY c""",
     "ingest_incremental": f"""WITH {FEED} SELECT article_id, title, content,
           CAST(CASE WHEN n_chars < {FIRST_RUN_BELOW} THEN 0 ELSE 1 END AS BIGINT) AS batch FROM feed WHERE k = 0""",
+    "top_tags_feed": f"""WITH {FEED}, t AS (SELECT unnest(string_split(tags, '|')) AS tag FROM feed WHERE k = 0 AND n_tags > 0)
+        SELECT tag, count(*) AS frequency FROM t GROUP BY tag ORDER BY frequency DESC, tag LIMIT 20""",
+    "convert_runs": f"""WITH {FEED} SELECT article_id, title, content FROM feed, unnest([1, 2]) t(run)
+        WHERE k = 0 AND CASE WHEN run = 1 THEN n_chars < {FIRST_RUN_BELOW} ELSE n_chars >= {SECOND_RUN_FROM} END""",
+    "feed_jsonl": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url, {_strip('left(text, 60)')} AS title,
+          lang || '|' || source || '|' AS tags, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE source END AS category,
+          '20240101T000000' AS run_ts FROM documents WHERE doc_id % 23 <> 0""",
+    "link_list": f"WITH {NAV} SELECT link AS url FROM nav UNION ALL SELECT url FROM pages",
+    "day_slice_csv": f"""SELECT DISTINCT '{HOST}/order/' || o_custkey AS url, o_orderstatus AS content FROM orders
+        WHERE month(o_orderdate) = 3 AND day(o_orderdate) = 21""",
+    "missing_file": f"""SELECT '{{"url": "{HOST}{URL_PATH}' || d.doc_id || '?q=a%20b+c ", "rank": ' || d.doc_id || '}}'
+          AS value {MISSING} WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "category_run": f"""WITH c AS (SELECT unnest({_list(CATEGORY_LABELS.values())}) AS category,
+          unnest(range(0, {len(CATEGORY_LABELS)})) AS i)
+        SELECT category, count(doc_id) AS n_articles, CASE WHEN count(doc_id) > 0 THEN 'DONE' ELSE 'FAILED' END AS status
+        FROM c LEFT JOIN documents ON doc_id % {len(CATEGORY_LABELS) - 1} = i GROUP BY category""",
 }

@@ -163,6 +163,13 @@ def articles_table(spark, sf_dir):
     )
 
 
+@query
+def top_tags_feed(spark, sf_dir):
+    """The flagship: raw feed to top tags; only id, URL and tags are read from the JSON."""
+    lines = fx.article_lines(spark, sf_dir)
+    return analytics.top_tags(plans.articles_from_lines(lines, ["seq"], columns=["article_id", "tags"]))
+
+
 # -- scalar functions -----------------------------------------------------------
 @query
 def ustrip_(spark, sf_dir):
@@ -417,16 +424,75 @@ def category_batch(spark, sf_dir):
     return plans.category_report(fx.articles(spark, sf_dir), requested)
 
 
+def _runs(spark, sf_dir):
+    """Two overlapping crawl runs of the feed."""
+    lines = fx.article_lines(spark, sf_dir)
+    return [
+        ("20240101T000000", lines.filter(F.col("n_chars") < fx.FIRST_RUN_BELOW).select("value")),
+        ("20240102T000000", lines.filter(F.col("n_chars") >= fx.SECOND_RUN_FROM).select("value")),
+    ]
+
+
 @query
 def ingest_incremental(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
     raw, target, checkpoint = f"{root}/raw", f"{root}/articles", f"{root}/checkpoint"
-    lines = fx.article_lines(spark, sf_dir)
-    first = lines.filter(F.col("n_chars") < fx.FIRST_RUN_BELOW).select("value")
-    second = lines.filter(F.col("n_chars") >= fx.SECOND_RUN_FROM).select("value")
-    plans.land_run(first, raw, "urgent", "20240101T000000")
-    ingest(spark, raw, target, checkpoint)
-    plans.land_run(second, raw, "urgent", "20240102T000000")
-    ingest(spark, raw, target, checkpoint)
+    for run_ts, lines in _runs(spark, sf_dir):
+        plans.land_run(lines, raw, "urgent", run_ts)
+        ingest(spark, raw, target, checkpoint)
     ingest(spark, raw, target, checkpoint)  # nothing new has arrived
     return read_archive(spark, target).select("article_id", "title", "content", "batch")
+
+
+@query
+def convert_runs(spark, sf_dir):
+    root = scratch_dir(spark, "convert")
+    runs = _runs(spark, sf_dir)
+    files = [plans.land_run(lines, f"{root}/raw", "urgent", run_ts) for run_ts, lines in runs]
+    plans.convert(spark, files, f"{root}/articles")
+    return spark.read.parquet(f"{root}/articles").select("article_id", "title", "content")
+
+
+@query
+def feed_jsonl(spark, sf_dir):
+    path = scratch_dir(spark, "feed")
+    rows = extract.extract_articles(fx.article_pages(spark, sf_dir), fx.SITE)
+    run = rows.withColumn("run_ts", F.lit("20240101T000000"))
+    sinks.write_jsonl(run, path, partition_by=["category", "run_ts"])
+    ddl = "article_id string, url string, title string, tags array<string>, category string, run_ts string"
+    return spark.read.schema(ddl).json(path).withColumn("tags", _joined("tags"))
+
+
+@query
+def link_list(spark, sf_dir):
+    path = f"{scratch_dir(spark, 'links')}.txt"
+    sinks.write_lines(_nav_links(spark, sf_dir).select("link"), path)
+    sinks.write_lines(fx.table(spark, sf_dir, "pages").select("url"), path)  # appends
+    return sources.scan_url_text(spark, path)
+
+
+@query
+def day_slice_csv(spark, sf_dir):
+    path = scratch_dir(spark, "slice")
+    plans.day_slice_csv(fx.orders_as_articles(spark, sf_dir), 3, 21, path)
+    return sinks.read_csv(spark, path, "url string, content string")
+
+
+@query
+def missing_file(spark, sf_dir):
+    root = scratch_dir(spark, "missing")
+    wanted, have, out = f"{root}/wanted.jsonl", f"{root}/have.jsonl", f"{root}/missing.jsonl"
+    sinks.write_lines(fx.url_list_lines(spark, sf_dir), wanted)
+    sinks.write_lines(fx.scraped_lines(spark, sf_dir), have)
+    plans.write_missing(spark, wanted, have, out)
+    return sources.scan_url_list(spark, out).select("value")
+
+
+@query
+def category_run(spark, sf_dir):
+    keys = list(CATEGORY_LABELS)
+    labels = F.array(*(F.lit(CATEGORY_LABELS[key]) for key in keys[:-1]))
+    rows = fx.articles(spark, sf_dir)
+    number = (F.col("article_id").cast("long") % (len(keys) - 1)).cast("int")
+    labelled = rows.withColumn("category", F.get(labels, number))
+    return plans.run_categories(labelled, keys, scratch_dir(spark, "categories"))
