@@ -204,7 +204,9 @@ class PagePicker:
                 del self.stack[depth:]
                 return
             if open_tag in BLOCKS and tag not in BLOCKS:
-                return
+                break
+        if tag == "p":  # a stray </p> stands for an empty paragraph
+            self._end_text()
 
     def _text(self, text: str, raw: bool = False) -> None:
         if text and self.stack and (self.stack[-1].own or self.stack[-1].deep):

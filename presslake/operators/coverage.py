@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from presslake.functions.text import url_key
+from presslake.operators.skew import distinct_keys
 
 
 def scraped_keys(scraped: DataFrame, url: str = "url") -> DataFrame:
     """Distinct comparison keys of the non-empty scraped URLs."""
     keyed = scraped.filter(F.col(url) != "").select(url_key(url).alias("url_key"))
-    return keyed.distinct()
+    return distinct_keys(keyed, "url_key")
 
 
 def missing_urls(links: DataFrame, scraped: DataFrame, url: str = "url") -> DataFrame:
     """Rows of ``links`` whose URL is not among the scraped ones.
 
     Every row of ``links`` counts by itself: repeats and all other columns stay.
-    The right side is reduced to distinct keys before it moves; adaptive
-    execution splits a left partition that one hot URL makes too large.
+    The right side is reduced to distinct keys within each task before it moves;
+    adaptive execution splits a left partition that one hot URL makes too large.
     """
     keyed = links.filter(F.col(url) != "").withColumn("url_key", url_key(url))
     return keyed.join(scraped_keys(scraped), "url_key", "left_anti").select(*links.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from presslake.functions.text import url_key
+from presslake.operators.skew import distinct_keys
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -29,9 +30,8 @@ def drop_known(batch: DataFrame, archive: DataFrame, key: str = "article_id") ->
     execution broadcasts the batch keys, and the archive is scanned in place
     instead of being shuffled for the anti join.
     """
-    wanted = batch.select(key).distinct()
-    known = archive.select(key).join(wanted, key, "left_semi").distinct()
-    return batch.join(known, key, "left_anti")
+    known = archive.select(key).join(distinct_keys(batch, key), key, "left_semi")
+    return batch.join(distinct_keys(known, key), key, "left_anti")
 
 
 def dedup_runs(articles: DataFrame, order: list[str], key: str = "article_id") -> DataFrame:

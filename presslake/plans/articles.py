@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.functions.dates import parse_date
+from presslake.functions.text import last_segment
 from presslake.operators.analytics import on_month_day
 from presslake.operators.coverage import missing_urls
 from presslake.operators.dedup import dedup_runs, drop_known, first_wins
 from presslake.operators.extract import SECTION_LINKS, extract_articles, extract_links
 from presslake.operators.links import only_domain, require_category
 from presslake.operators.normalize import normalize
+from presslake.operators.skew import key_bucket
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS
 from presslake.sinks.files import rewrite_in_place, write_csv, write_lines, write_parquet
 from presslake.sources.files import POSITION, scan_lines, scan_url_list, with_source_name
@@ -77,6 +79,11 @@ def write_lake(articles: DataFrame, target: str, category: str = "category", ts:
     write_parquet(dated, target, partition_by=[category, "pub_date"])
 
 
+def archive_pages(pages: DataFrame, target: str) -> None:
+    """Raw pages as one Parquet dataset keyed by ``file_id``, the URL's last segment."""
+    write_parquet(pages.select(last_segment("url").alias("file_id"), "url", "html"), target)
+
+
 def land_run(lines: DataFrame, raw_root: str, category: str, run_ts: str) -> str:
     """Append one run's raw lines to ``raw/<category>_<run_ts>.jsonl/``."""
     path = f"{raw_root}/{category}_{run_ts}.jsonl"
@@ -100,9 +107,8 @@ def follow_links(section_pages: DataFrame, domain: str) -> DataFrame:
     links = extract_links(section_pages, SECTION_LINKS, ["url", "category"])
     own = only_domain(links.withColumnRenamed("url", "page_url"), domain, "link")
     first = F.min(F.struct("page_url", "pos", "category"))
-    return own.groupBy(F.col("link").alias("url")).agg(first.alias("f")).select(
-        "url", F.col("f.category").alias("category")
-    )
+    per_link = own.groupBy(F.col("link").alias("url"), key_bucket("link").alias("bucket"))
+    return per_link.agg(first.alias("f")).select("url", F.col("f.category").alias("category"))
 
 
 def crawl(section_pages: DataFrame, pages: DataFrame, domain: str) -> DataFrame:

@@ -14,6 +14,8 @@ def spread(df: DataFrame) -> DataFrame:
     planner's size estimate bounds what is shuffled to 16 MB per core; beyond
     that the scan has tasks enough.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(estimate)) > cores * SMALL_BYTES_PER_CORE:

@@ -304,4 +304,5 @@ ORACLES: dict[str, str] = {
           unnest(range(0, {len(CATEGORY_LABELS)})) AS i)
         SELECT category, count(doc_id) AS n_articles, CASE WHEN count(doc_id) > 0 THEN 'DONE' ELSE 'FAILED' END AS status
         FROM c LEFT JOIN documents ON doc_id % {len(CATEGORY_LABELS) - 1} = i GROUP BY category""",
+    "page_archive": "SELECT string_split(url, '/')[-1] AS file_id, url, html FROM pages",
 }

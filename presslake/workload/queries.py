@@ -496,3 +496,10 @@ def category_run(spark, sf_dir):
     number = (F.col("article_id").cast("long") % (len(keys) - 1)).cast("int")
     labelled = rows.withColumn("category", F.get(labels, number))
     return plans.run_categories(labelled, keys, scratch_dir(spark, "categories"))
+
+
+@query
+def page_archive(spark, sf_dir):
+    path = scratch_dir(spark, "pages")
+    plans.archive_pages(fx.table(spark, sf_dir, "pages"), path)
+    return spark.read.parquet(path)

@@ -1,0 +1,53 @@
+import json
+
+from presslake.streaming.ingest import ingest, read_archive
+
+
+def record(i, title):
+    return json.dumps({"article_id": i, "url": f"u{i}", "title": title})
+
+
+def land(path, *lines):
+    path.mkdir(parents=True)
+    (path / "part-0.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def archive(spark, target):
+    return sorted((r.article_id, r.title) for r in read_archive(spark, target).collect())
+
+
+def test_runs_replay_and_resume(spark, tmp_path):
+    raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "check")
+    assert archive(spark, target) == []
+    land(raw / "urgent_1.jsonl", record(1, "a"), "broken", record(1, "late"), record(2, "b"))
+    ingest(spark, str(raw), target, checkpoint)
+    assert archive(spark, target) == [("1", "a"), ("2", "b")]
+
+    land(raw / "urgent_2.jsonl", record(2, "changed"), record(3, "c"))
+    ingest(spark, str(raw), target, checkpoint)
+    expected = [("1", "a"), ("2", "b"), ("3", "c")]
+    assert archive(spark, target) == expected
+
+    ingest(spark, str(raw), target, checkpoint)  # nothing new
+    assert archive(spark, target) == expected
+
+    # The last batch was written but its commit got lost: it runs again.
+    (tmp_path / "check" / "commits" / "1").unlink()
+    crc = tmp_path / "check" / "commits" / ".1.crc"
+    if crc.exists():
+        crc.unlink()
+    ingest(spark, str(raw), target, checkpoint)
+    assert archive(spark, target) == expected
+
+
+def test_backlog_in_several_batches_equals_one(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for n in range(4):
+        land(raw / f"urgent_{n}.jsonl", *(record(i, f"run{n}") for i in range(n, n + 3)))
+    ingest(spark, str(raw), str(tmp_path / "one"), str(tmp_path / "check1"))
+    ingest(spark, str(raw), str(tmp_path / "many"), str(tmp_path / "check2"), max_files_per_batch=1)
+    ids = [str(i) for i in range(6)]
+    for name in ("one", "many"):
+        rows = archive(spark, str(tmp_path / name))
+        assert [i for i, _ in rows] == ids
+    assert read_archive(spark, str(tmp_path / "many")).select("batch").distinct().count() == 4
