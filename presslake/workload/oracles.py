@@ -92,8 +92,9 @@ BODY = f"trim({_strip('text')} || ' more bold ' || doc_id)"
 
 
 def _unescape(x: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+    """The entities of the pages; HTML reads them without the semicolon as well."""
+    for entity, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return x
 
 
