@@ -18,6 +18,7 @@ from presslake.operators.skew import key_bucket
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS
 from presslake.sinks.files import rewrite_in_place, write_csv, write_lines, write_parquet
 from presslake.sources.files import POSITION, scan_lines, scan_url_list, with_source_name
+from presslake.sources.spread import spread
 
 
 # -- raw lines to articles ---------------------------------------------------
@@ -118,7 +119,8 @@ def crawl(section_pages: DataFrame, pages: DataFrame, domain: str) -> DataFrame:
     extraction so that only linked pages are parsed; with few links adaptive
     execution broadcasts them and no page body moves.
     """
-    linked = pages.select("url", "html").join(follow_links(section_pages, domain), "url")
+    stored = spread(pages.select("url", "html"))
+    linked = stored.join(follow_links(section_pages, domain), "url")
     return extract_articles(linked, domain)
 
 

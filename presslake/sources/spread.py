@@ -17,7 +17,9 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) > cores * SMALL_BYTES_PER_CORE:
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Repartition" in plan.toString():  # dealt out already
+        return df
+    if int(str(plan.stats().sizeInBytes())) > cores * SMALL_BYTES_PER_CORE:
         return df
     return df.repartition(cores)
