@@ -1,4 +1,4 @@
-"""Reading VARIANT values with the text conventions of Python's ``str()``.
+"""Reading JSON lines, and VARIANT values with the text conventions of Python.
 
 The helpers return Spark SQL text: the expressions are long, and one parsed
 string builds faster than hundreds of Column calls.
@@ -6,6 +6,23 @@ string builds faster than hundreds of Column calls.
 
 from __future__ import annotations
 
+_STRICT = """map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false',
+                'allowNonNumericNumbers', 'false')"""
+
+
+def enclosed(line: str) -> str:
+    """The line as the value of key ``r``, followed by ``"end": 0``.
+
+    Spark's readers stop after one document and ignore the rest of a line. Only
+    a line that is one JSON document, and nothing else, lets them reach ``end``.
+    """
+    return f"""concat('{{"r":', {line}, ',"end":0}}')"""
+
+
+def read_enclosed(text: str, fields: str) -> str:
+    """Typed reading of an ``enclosed`` line: ``r`` (the record), ``end``, ``_bad``."""
+    return f"from_json({text}, 'r struct<{fields}>, end int, _bad string', {_STRICT})"
+
 
 def variant_text(value: str, path: str = "$") -> str:
     """Text of the value; NULL for JSON null and for a missing member."""

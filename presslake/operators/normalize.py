@@ -22,7 +22,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from presslake.functions.text import WHITESPACE_SQL
-from presslake.functions.variants import is_object, python_text, variant_text
+from presslake.functions.variants import (
+    enclosed,
+    is_object,
+    python_text,
+    read_enclosed,
+    variant_text,
+)
 from presslake.schema import ARTICLE_COLUMNS, MEDIA_DDL, MEDIA_FIELDS, SCALAR_FIELDS
 from presslake.session import configure
 
@@ -30,9 +36,6 @@ from presslake.session import configure
 FALSY_JSON = ("null", "[]", "{}", '""', "0", "0.0", "-0.0", "false")
 _FALSY = "(" + ", ".join(f"'{text}'" for text in FALSY_JSON) + ")"
 
-_STRICT = """map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false',
-                'allowNonNumericNumbers', 'false')"""
-
 
 def _ambiguous_text(text: str) -> str:
     """Text that a boolean or a double would also have produced."""
@@ -46,27 +49,28 @@ def _scalars(columns: Sequence[str]) -> list[str]:
     return [name for name in SCALAR_FIELDS if name in columns or name in ("article_id", "url")]
 
 
-def _typed_ddl(columns: Sequence[str]) -> str:
-    fields = [f"{name} string" for name in _scalars(columns)]
+def _fields(columns: Sequence[str]) -> str:
+    fields = [f"{name}: string" for name in _scalars(columns)]
     if "tags" in columns:
-        fields.append("tags array<string>")
+        fields.append("tags: array<string>")
     if "media" in columns:
-        fields += [f"media {MEDIA_DDL}", f"images {MEDIA_DDL}"]
-    return ", ".join([*fields, "_bad string"])
+        fields += [f"media: {MEDIA_DDL}", f"images: {MEDIA_DDL}"]
+    return ", ".join(fields)
 
 
-def _is_odd(typed: str, body: str, columns: Sequence[str]) -> str:
-    """Whether the typed reading ``typed`` of ``body`` needs a second look."""
-    tests = [f"{typed} is null", f"{typed}._bad is not null"]
-    tests += [f"coalesce({_ambiguous_text(f'{typed}.{name}')}, false)" for name in _scalars(columns)]
+def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
+    """Whether the typed reading ``read`` of ``line`` needs a second look."""
+    record = f"{read}.r"
+    tests = [f"{record} is null", f"{read}._bad is not null", f"{read}.end is null"]
+    tests += [f"coalesce({_ambiguous_text(f'{record}.{name}')}, false)" for name in _scalars(columns)]
     if "tags" in columns:
-        tests.append(f"coalesce(exists({typed}.tags, t -> {_ambiguous_text('t')}), false)")
+        tests.append(f"coalesce(exists({record}.tags, t -> {_ambiguous_text('t')}), false)")
     if "media" in columns:
         no_provider = "m -> m is not null and m.provider is null"
         tests.append(
-            f"""(coalesce(exists({typed}.media, {no_provider}), false)
-                 or coalesce(exists({typed}.images, {no_provider}), false))
-                and contains({body}, '"provider"')"""
+            f"""(coalesce(exists({record}.media, {no_provider}), false)
+                 or coalesce(exists({record}.images, {no_provider}), false))
+                and contains({line}, '"provider"')"""
         )
     return "(" + " or ".join(tests) + ")"
 
@@ -84,27 +88,27 @@ def parse_lines(
     """
     configure(lines.sparkSession)
     others = [c for c in lines.columns if c != value]
-    # JSON white space around the document; trimming copies, so only if needed.
-    body = rf"""if(startswith({value}, '{{') and endswith({value}, '}}'),
-                   {value}, btrim({value}, ' \t\r\n'))"""
-    # Spark's readers stop after one document and ignore the rest of the line; an
-    # object line must therefore also end like one. An object without any quote
-    # is empty.
-    shaped = lines.selectExpr(*others, f"{body} as _body").selectExpr(
+    # An object without any quote is empty. Trimming copies, so it only happens
+    # where it matters.
+    shaped = lines.selectExpr(
         *others,
-        "if(startswith(_body, '{') and not endswith(_body, '}'), null, _body) as _body",
-        """case when not startswith(_body, '{') then 'other'
-                when not contains(_body, '"') then 'empty'
+        f"{enclosed(value)} as _line",
+        f"""case when not startswith(
+                    if(startswith({value}, '{{'), {value}, ltrim(' \\t\\r\\n', {value})), '{{') then 'other'
+                when not contains({value}, '"') then 'empty'
                 else 'object' end as _shape""",
     )
-    typed = f"array(from_json(_body, '{_typed_ddl(columns)}', {_STRICT}))"
-    judged = f"""transform({typed}, r ->
-        struct(r as typed, _shape <> 'object' or {_is_odd('r', '_body', columns)} as odd))"""
+    judged = f"""transform(array({read_enclosed('_line', _fields(columns))}), x ->
+        struct(x.r as typed, _shape <> 'object' or {_is_odd('x', '_line', columns)} as odd))"""
     parsed = shaped.selectExpr(
         *others,
         "_shape",
-        f"""inline(transform({judged}, r -> struct(
-                r.typed as typed, r.odd as odd, if(r.odd, try_parse_json(_body), null) as doc)))""",
+        f"""inline(transform({judged}, x -> struct(
+                x.typed as typed, x.odd as odd, if(x.odd, try_parse_json(_line), null) as _json)))""",
+    ).withColumn(
+        "doc",
+        F.expr("""if(try_variant_get(_json, '$.end', 'int') = 0,
+                     try_variant_get(_json, '$.r', 'variant'), null)"""),
     )
     state = f"""
         case when not odd then null

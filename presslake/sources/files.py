@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from presslake.functions.text import WHITESPACE_SQL, ustrip
+from presslake.functions.text import ustrip
+from presslake.functions.variants import enclosed, read_enclosed
 
 # Where a line stands: file, split of the file, row within the split. Sorting by
 # these restores the line order of every file; the numbers are no line numbers.
@@ -50,21 +51,23 @@ def with_source_name(lines: DataFrame, suffix: str = "jsonl") -> DataFrame:
     return lines.withColumn("src_file", name)
 
 
-def scan_jsonl(spark: SparkSession, paths: str | Sequence[str], ddl: str) -> DataFrame:
+def records(lines: DataFrame, fields: str, value: str = "value") -> DataFrame:
+    """Lines that are one JSON object: other columns of ``lines``, then ``r``.
+
+    ``fields`` is a struct DDL such as ``url: string``; a field of another type
+    is NULL. A generator keeps filters on ``r`` from parsing the line twice.
+    """
+    read = f"explode(array({read_enclosed(enclosed(value), fields)})) as x"
+    parsed = lines.selectExpr("*", read).filter("x.end = 0 and x.r is not null")
+    return parsed.select(*lines.columns, "x.r")
+
+
+def scan_jsonl(spark: SparkSession, paths: str | Sequence[str], fields: str) -> DataFrame:
     """Records (JSON objects) read with the given fields, plus their position.
 
     Blank, malformed and other lines are skipped.
     """
-    lines = scan_lines(spark, paths)
-    body = f"btrim(value, '{WHITESPACE_SQL}')"
-    parsed = lines.selectExpr(
-        *POSITION,
-        f"""explode(array(from_json(
-              if(startswith({body}, '{{') and endswith({body}, '}}'), {body}, null),
-              '{ddl}, _bad string',
-              map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false')))) as r""",
-    )
-    return parsed.filter("r is not null and r._bad is null").select("r.*", *POSITION).drop("_bad")
+    return records(scan_lines(spark, paths), fields).select("r.*", *POSITION)
 
 
 def scan_url_list(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -75,9 +78,7 @@ def scan_url_list(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def urls_of_lines(lines: DataFrame) -> DataFrame:
     """Lines that carry a non-empty ``url``, stripped, with that URL."""
     stripped = lines.withColumn("value", ustrip("value"))
-    # A generator keeps the filter from parsing the line twice.
-    url = "explode(array(get_json_object(value, '$.url'))) as url"
-    return stripped.selectExpr("*", url).filter("url <> ''")
+    return records(stripped, "url: string").filter("r.url <> ''").select(*lines.columns, "r.url")
 
 
 def scan_url_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -47,7 +47,8 @@ def _exploded_media(rows: DataFrame, *keep: str) -> DataFrame:
 @query
 def scan_jsonl(spark, sf_dir):
     path = _landed(spark, fx.article_lines(spark, sf_dir), "scan-jsonl")
-    rows = sources.scan_jsonl(spark, path, "article_id string, url string, category string, content string")
+    fields = "article_id: string, url: string, category: string, content: string"
+    rows = sources.scan_jsonl(spark, path, fields)
     return rows.drop(*sources.POSITION)
 
 

@@ -36,8 +36,8 @@ def test_missing_input_is_empty(spark, tmp_path):
 
 
 def test_bom_blank_and_malformed_lines(spark, tmp_path):
-    path = write(tmp_path / "a.jsonl", record(1), "", "{", "5", "[1]", record(2) + " x", record(3), encoding="utf-8-sig")
-    rows = sources.scan_jsonl(spark, path, "article_id string, url string").collect()
+    path = write(tmp_path / "a.jsonl", record(1), "", "{", "5", "[1]", record(2) + " x", record(2) * 2, record(3), encoding="utf-8-sig")
+    rows = sources.scan_jsonl(spark, path, "article_id: string, url: string").collect()
     assert [(r.article_id, r.url) for r in rows] == [("1", "u1"), ("3", "u3")]
 
 

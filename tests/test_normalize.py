@@ -16,6 +16,11 @@ REASONS = {
     "   ": "malformed",
     '{"article_id": 1, "url"': "malformed",
     '{"article_id": 1, "url": "u"} trailing': "malformed",
+    '{"article_id": 1, "url": "u"} }': "malformed",
+    '{"article_id": 1, "url": "u"}{"article_id": 2, "url": "u"}': "malformed",
+    '{"article_id": 1, "url": "u"},{"article_id": 2, "url": "u"}': "malformed",
+    '{"article_id": 1, "url": "u"}}': "malformed",
+    "null x": "malformed",
     "{'article_id': 1, 'url': 'u'}": "malformed",
     '{"article_id": NaN, "url": "u"}': "malformed",
     '{"article_id": "1", "url": "a\tb"}': "malformed",
