@@ -75,76 +75,33 @@ def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
     return "(" + " or ".join(tests) + ")"
 
 
-def parse_lines(
-    lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
-) -> DataFrame:
-    """Replace the text column by ``typed``, ``odd``, ``doc`` and ``state``.
-
-    ``doc`` is the VARIANT of an odd record. ``state`` is NULL for a usable
-    object, else the reject reason. The parse runs inside a generator because a
-    filter on parsed fields would be pushed below a plain projection and parse
-    every line a second time. Nor can Spark prune fields there: name the article
-    ``columns`` that are needed, and the reader skips all others.
-    """
-    configure(lines.sparkSession)
-    others = [c for c in lines.columns if c != value]
-    # An object without any quote is empty. Trimming copies, so it only happens
-    # where it matters.
-    shaped = lines.selectExpr(
-        *others,
-        f"{enclosed(value)} as _line",
-        f"""case when not startswith(
-                    if(startswith({value}, '{{'), {value}, ltrim(' \\t\\r\\n', {value})), '{{') then 'other'
-                when not contains({value}, '"') then 'empty'
-                else 'object' end as _shape""",
-    )
-    judged = f"""transform(array({read_enclosed('_line', _fields(columns))}), x ->
-        struct(x.r as typed, _shape <> 'object' or {_is_odd('x', '_line', columns)} as odd))"""
-    parsed = shaped.selectExpr(
-        *others,
-        "_shape",
-        f"""inline(transform({judged}, x -> struct(
-                x.typed as typed, x.odd as odd, if(x.odd, try_parse_json(_line), null) as _json)))""",
-    ).withColumn(
-        "doc",
-        F.expr("""if(try_variant_get(_json, '$.end', 'int') = 0,
-                     try_variant_get(_json, '$.r', 'variant'), null)"""),
-    )
-    state = f"""
-        case when not odd then null
-             when doc is null then 'malformed'
-             when _shape = 'object' then null
-             when _shape = 'empty' or to_json(doc) in {_FALSY} then 'falsy'
-             else 'not_object' end as state"""
-    return parsed.selectExpr(*others, "typed", "odd", "doc", state)
-
-
 def _scalar(name: str) -> str:
     odd_text = python_text(f"_{name}", f"try_variant_get(doc, '$.{name}', 'variant')")
     return f"btrim(if(odd, {odd_text}, _{name}), '{WHITESPACE_SQL}') as _{name}"
 
 
-def _tags() -> str:
+def _tags(record: str) -> str:
     """A list: nulls dropped, items stripped, blanks kept. Else an empty list."""
     strip = f"btrim({{}}, '{WHITESPACE_SQL}')"
     odd_tags = f"""transform(
-        transform(filter(try_variant_get(doc, '$.tags', 'array<variant>'),
+        transform(filter(try_variant_get({record}.doc, '$.tags', 'array<variant>'),
                          tag -> not is_variant_null(tag)),
                   tag -> struct({variant_text('tag')} as text, tag as raw)),
         tag -> {strip.format(python_text('tag.text', 'tag.raw'))})"""
-    tags = f"transform(filter(typed.tags, tag -> tag is not null), tag -> {strip.format('tag')})"
-    return f"coalesce(if(odd, {odd_tags}, {tags}), cast(array() as array<string>)) as tags"
+    tags = f"""transform(filter({record}.typed.tags, tag -> tag is not null),
+                         tag -> {strip.format('tag')})"""
+    return f"coalesce(if({record}.odd, {odd_tags}, {tags}), cast(array() as array<string>))"
 
 
-def _media() -> str:
+def _media(record: str) -> str:
     """``media``, or ``images`` where media is falsy; objects only, five fixed fields.
 
     A truthy non-list blocks the fallback. A missing provider gets the default,
     an explicit null stays null.
     """
-    as_list = "try_variant_get(doc, '$.{}', 'array<variant>')".format
+    as_list = f"try_variant_get({record}.doc, '$.{{}}', 'array<variant>')".format
     falsy = f"""coalesce(size({as_list('media')}) = 0,
-        to_json(try_variant_get(doc, '$.media', 'variant')) in {_FALSY}, true)"""
+        to_json(try_variant_get({record}.doc, '$.media', 'variant')) in {_FALSY}, true)"""
     fields = {name: variant_text("item", f"$.{name}") for name in MEDIA_FIELDS}
     fields["provider"] = f"""if(try_variant_get(item, '$.provider', 'variant') is null,
         'internal', {fields['provider']})"""
@@ -152,26 +109,67 @@ def _media() -> str:
     odd_media = f"""transform(
         filter(if({falsy}, {as_list('images')}, {as_list('media')}), item -> {is_object('item')}),
         item -> struct({item}))"""
+    typed = f"{record}.typed"
     plain = ", ".join(f"item.{name} as {name}" for name in MEDIA_FIELDS if name != "provider")
     media = f"""transform(
-        filter(if(coalesce(size(typed.media), 0) = 0, typed.images, typed.media),
+        filter(if(coalesce(size({typed}.media), 0) = 0, {typed}.images, {typed}.media),
                item -> item is not null),
         item -> struct({plain}, coalesce(item.provider, 'internal') as provider))"""
-    return f"coalesce(if(odd, {odd_media}, {media}), cast(array() as {MEDIA_DDL})) as media"
+    return f"coalesce(if({record}.odd, {odd_media}, {media}), cast(array() as {MEDIA_DDL}))"
 
 
-def _articles(parsed: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Article ``columns`` (and always id and URL) out of the parsed record.
+def parse_lines(
+    lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
+) -> DataFrame:
+    """Replace the text column by the raw article fields, ``odd``, ``doc`` and ``state``.
 
-    Each projection only references columns of the one before, so that no value
-    is looked up twice.
+    Text fields come as ``_name``, not cleaned yet. ``doc`` is the VARIANT of an
+    odd record. ``state`` is NULL for a usable object, else the reject reason.
+
+    All reading happens in one generator, each step naming the result of the one
+    before: a filter on parsed fields would be pushed below a plain projection
+    and parse every line a second time. Nor can Spark prune fields there: name
+    the article ``columns`` that are needed, and the reader skips all others.
     """
+    configure(lines.sparkSession)
+    others = [c for c in lines.columns if c != value]
+    # An object without any quote is empty. Trimming copies, so it only happens
+    # where it matters.
+    shaped = lines.selectExpr(
+        *others,
+        f"{enclosed(value)} as _line",
+        f"""case when not startswith(
+                    if(startswith({value}, '{{'), {value}, ltrim(' \\t\\r\\n', {value})), '{{') then 'other'
+                when not contains({value}, '"') then 'empty'
+                else 'object' end as _shape""",
+    )
+    steps = [
+        f"struct(x.r as typed, _shape <> 'object' or {_is_odd('x', '_line', columns)} as odd)",
+        "struct(x.typed as typed, x.odd as odd, if(x.odd, try_parse_json(_line), null) as json)",
+        """struct(x.typed as typed, x.odd as odd,
+                  if(try_variant_get(x.json, '$.end', 'int') = 0,
+                     try_variant_get(x.json, '$.r', 'variant'), null) as doc)""",
+    ]
+    texts = [f"if(x.odd, {variant_text('x.doc', '$.' + n)}, x.typed.{n}) as _{n}" for n in _scalars(columns)]
+    lists = [f"{make('x')} as {n}" for n, make in (("tags", _tags), ("media", _media)) if n in columns]
+    steps.append("struct(" + ", ".join(["x.odd as odd", "x.doc as doc", *texts, *lists]) + ")")
+    rows = f"array({read_enclosed('_line', _fields(columns))})"
+    for step in steps:
+        rows = f"transform({rows}, x -> {step})"
+    state = f"""
+        case when not odd then null
+             when doc is null then 'malformed'
+             when _shape = 'object' then null
+             when _shape = 'empty' or to_json(doc) in {_FALSY} then 'falsy'
+             else 'not_object' end"""
+    return shaped.selectExpr(*others, "_shape", f"inline({rows})").withColumn("state", F.expr(state))
+
+
+def _articles(parsed: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Article ``columns`` (and always id and URL) out of the parsed record."""
     names = _scalars(columns)
     nested = [name for name in ("tags", "media") if name in columns]
-    lists = {"tags": _tags, "media": _media}
-    texts = (f"if(odd, {variant_text('doc', '$.' + n)}, typed.{n}) as _{n}" for n in names)
-    looked_up = parsed.selectExpr(*keep, "odd", "doc", *(lists[n]() for n in nested), *texts)
-    cleaned = looked_up.selectExpr(*keep, *map(_scalar, names), *nested)
+    cleaned = parsed.selectExpr(*keep, *map(_scalar, names), *nested)
     return cleaned.selectExpr(*keep, *(f"nullif(_{n}, '') as {n}" for n in names), *nested)
 
 
@@ -180,7 +178,7 @@ def classify(
 ) -> DataFrame:
     """Every line with its ``reason``; article columns matter for ``ok`` and ``ghost`` only."""
     parsed = parse_lines(lines, value, columns)
-    keep = [c for c in parsed.columns if c not in ("typed", "odd", "doc")]
+    keep = [c for c in lines.columns if c != value] + ["state"]
     ghost = F.col("article_id").isNull() | F.col("url").isNull()
     reason = F.coalesce("state", F.when(ghost, "ghost"), F.lit("ok"))
     return _articles(parsed, keep, columns).withColumn("reason", reason).drop("state")
@@ -191,7 +189,7 @@ def normalize(
 ) -> DataFrame:
     """Usable articles only: other columns of ``lines``, then the article ``columns``."""
     parsed = parse_lines(lines, value, columns).filter("state is null")
-    keep = [c for c in parsed.columns if c not in ("typed", "odd", "doc", "state")]
+    keep = [c for c in lines.columns if c != value]
     rows = _articles(parsed, keep, columns).filter("article_id is not null and url is not null")
     return rows.select(*keep, *(name for name in ARTICLE_COLUMNS if name in columns))
 

@@ -44,9 +44,11 @@ def ingest(
         earlier = read_archive(session, target).filter(F.col("batch") < batch_id)
         # Used twice (its keys, its rows); a lost block is computed again.
         rows = first_wins(normalize(batch), ["article_id"], POSITION).persist(StorageLevel.DISK_ONLY)
-        fresh = drop_known(rows, earlier).select(*ARTICLE_COLUMNS)
-        write_parquet(fresh, f"{target}/batch={batch_id}", mode="overwrite")
-        rows.unpersist()
+        try:
+            fresh = drop_known(rows, earlier).select(*ARTICLE_COLUMNS)
+            write_parquet(fresh, f"{target}/batch={batch_id}", mode="overwrite")
+        finally:
+            rows.unpersist()
 
     reader = spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files_per_batch))
     lines = reader.load(f"{raw_root}/*").select(
