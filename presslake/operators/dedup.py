@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from presslake.functions.text import url_key
 from presslake.operators.skew import distinct_keys
@@ -11,15 +12,12 @@ from presslake.operators.skew import distinct_keys
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep, per key, the row that comes first in ``order``.
 
-    An aggregate rather than a window: every map task first reduces its own
-    copies, so a key that holds a third of all rows reaches the reducer as one
-    row per map task.
+    The filter on the first rank lets Spark plan a group limit before the
+    shuffle: every map task keeps one row per key, so a key that holds a third of
+    all rows reaches its reducer as one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest)
-    position = F.struct(*order)
-    best = df.groupBy(*keys).agg(F.min_by(row, position).alias("_row"))
-    return best.select(*keys, "_row.*").select(*df.columns)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def drop_known(batch: DataFrame, archive: DataFrame, key: str = "article_id") -> DataFrame:

@@ -22,8 +22,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
-# The only windows: over the top-k report, and over the few values near a quantile.
-WINDOWS = {"top_tags_share"}
+# The only windows: the first row per key, limited before the shuffle, and the
+# share within the top-k report.
+FIRST_ROWS = {"dedup_first", "dedup_cross_run", "append_new", "articles_table", "top_tags_feed"}
+WINDOWS = {"top_tags_share", *FIRST_ROWS}
 # One-row results.
 TOTALS = {"column_counts", "n_unique_rows", "coverage_report", "frontier_duplicates"}
 
@@ -38,6 +40,7 @@ def test_plan_shape(spark, name):
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
     assert ("Window " in plan) == (name in WINDOWS)
+    assert ("row_number(), 1, Partial" in plan) == (name in FIRST_ROWS)
     assert ("SinglePartition" in plan) == (name in TOTALS)
 
 
