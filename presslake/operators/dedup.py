@@ -40,7 +40,8 @@ def dedup_runs(articles: DataFrame, order: list[str], key: str = "article_id") -
 def media_first_wins(media: Column) -> Column:
     """Drop media items whose URL occurred earlier in the list, whatever their type."""
     urls = F.transform(media, lambda m: m["url"])
-    return F.filter(media, lambda m, i: F.array_position(urls, m["url"]) == i + 1)
+    unseen = lambda m, i: m["url"].isNull() | (F.array_position(urls, m["url"]) == i + 1)
+    return F.filter(media, unseen)
 
 
 def frontier_dedup(urls: DataFrame, order: list[str], url: str = "url") -> DataFrame:

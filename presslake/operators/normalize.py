@@ -21,7 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from presslake.functions.text import WHITESPACE_SQL
+from presslake.functions.text import WHITESPACE_SQL, ustrip
 from presslake.functions.variants import (
     enclosed,
     is_object,
@@ -61,10 +61,15 @@ def _fields(columns: Sequence[str]) -> str:
 def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
     """Whether the typed reading ``read`` of ``line`` needs a second look."""
     record = f"{read}.r"
-    tests = [f"{record} is null", f"{read}._bad is not null", f"{read}.end is null"]
-    tests += [f"coalesce({_ambiguous_text(f'{record}.{name}')}, false)" for name in _scalars(columns)]
+    texts = "array(" + ", ".join(f"{record}.{name}" for name in _scalars(columns)) + ")"
     if "tags" in columns:
-        tests.append(f"coalesce(exists({record}.tags, t -> {_ambiguous_text('t')}), false)")
+        texts = f"concat({texts}, coalesce({record}.tags, array()))"
+    tests = [
+        f"{record} is null",
+        f"{read}._bad is not null",
+        f"{read}.end is null",
+        f"exists({texts}, t -> coalesce({_ambiguous_text('t')}, false))",
+    ]
     if "media" in columns:
         no_provider = "m -> m is not null and m.provider is null"
         tests.append(
@@ -75,9 +80,13 @@ def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
     return "(" + " or ".join(tests) + ")"
 
 
-def _scalar(name: str) -> str:
-    odd_text = python_text(f"_{name}", f"try_variant_get(doc, '$.{name}', 'variant')")
-    return f"btrim(if(odd, {odd_text}, _{name}), '{WHITESPACE_SQL}') as _{name}"
+def _odd_texts(doc: str, columns: Sequence[str]) -> str:
+    """The text fields of an odd record, in the order of ``_scalars``."""
+    pairs = (
+        f"struct({variant_text(doc, '$.' + n)} as text, try_variant_get({doc}, '$.{n}', 'variant') as raw)"
+        for n in _scalars(columns)
+    )
+    return f"transform(array({', '.join(pairs)}), v -> {python_text('v.text', 'v.raw')})"
 
 
 def _tags(record: str) -> str:
@@ -121,10 +130,10 @@ def _media(record: str) -> str:
 def parse_lines(
     lines: DataFrame, value: str = "value", columns: Sequence[str] = ARTICLE_COLUMNS
 ) -> DataFrame:
-    """Replace the text column by the raw article fields, ``odd``, ``doc`` and ``state``.
+    """Replace the text column by the raw article fields and the line's ``state``.
 
-    Text fields come as ``_name``, not cleaned yet. ``doc`` is the VARIANT of an
-    odd record. ``state`` is NULL for a usable object, else the reject reason.
+    Text fields come as ``_name``, not stripped yet. ``state`` is NULL for a
+    usable object, else the reject reason.
 
     All reading happens in one generator, each step naming the result of the one
     before: a filter on parsed fields would be pushed below a plain projection
@@ -150,27 +159,31 @@ def parse_lines(
                   if(try_variant_get(x.json, '$.end', 'int') = 0,
                      try_variant_get(x.json, '$.r', 'variant'), null) as doc)""",
     ]
-    texts = [f"if(x.odd, {variant_text('x.doc', '$.' + n)}, x.typed.{n}) as _{n}" for n in _scalars(columns)]
-    lists = [f"{make('x')} as {n}" for n, make in (("tags", _tags), ("media", _media)) if n in columns]
-    steps.append("struct(" + ", ".join(["x.odd as odd", "x.doc as doc", *texts, *lists]) + ")")
+    steps.append(
+        f"""struct(x.typed as typed, x.odd as odd, x.doc as doc,
+                   if(x.odd, {_odd_texts('x.doc', columns)}, null) as texts)"""
+    )
+    state = f"""
+        case when not x.odd then null
+             when x.doc is null then 'malformed'
+             when _shape = 'object' then null
+             when _shape = 'empty' or to_json(x.doc) in {_FALSY} then 'falsy'
+             else 'not_object' end as state"""
+    fields = [f"if(x.odd, x.texts[{i}], x.typed.{n}) as _{n}" for i, n in enumerate(_scalars(columns))]
+    fields += [f"{make('x')} as {n}" for n, make in (("tags", _tags), ("media", _media)) if n in columns]
+    steps.append("struct(" + ", ".join([state, *fields]) + ")")
     rows = f"array({read_enclosed('_line', _fields(columns))})"
     for step in steps:
         rows = f"transform({rows}, x -> {step})"
-    state = f"""
-        case when not odd then null
-             when doc is null then 'malformed'
-             when _shape = 'object' then null
-             when _shape = 'empty' or to_json(doc) in {_FALSY} then 'falsy'
-             else 'not_object' end"""
-    return shaped.selectExpr(*others, "_shape", f"inline({rows})").withColumn("state", F.expr(state))
+    return shaped.selectExpr(*others, f"inline({rows})")
 
 
 def _articles(parsed: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Article ``columns`` (and always id and URL) out of the parsed record."""
+    """Article ``columns`` (and always id and URL): texts stripped, blank is NULL."""
     names = _scalars(columns)
     nested = [name for name in ("tags", "media") if name in columns]
-    cleaned = parsed.selectExpr(*keep, *map(_scalar, names), *nested)
-    return cleaned.selectExpr(*keep, *(f"nullif(_{n}, '') as {n}" for n in names), *nested)
+    stripped = parsed.select(*keep, *(ustrip(f"_{n}").alias(f"_{n}") for n in names), *nested)
+    return stripped.selectExpr(*keep, *(f"nullif(_{n}, '') as {n}" for n in names), *nested)
 
 
 def classify(
