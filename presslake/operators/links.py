@@ -19,12 +19,13 @@ def frontier(sections: DataFrame, host: str) -> DataFrame:
     """One URL per section page: ``host + path + page`` for every page lo..hi.
 
     Pages are laid out in chunks that are spread over the cluster first, so a
-    section with a huge page range is no single task's work.
+    section with a huge page range is no single task's work. The number of tasks
+    is given, because by their size alone the chunks would be packed into one.
     """
+    n_tasks = int(sections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.explode(F.expr(f"sequence(lo, hi, {_CHUNK})")).alias("start")
-    spread = sections.filter("lo <= hi").select("section", "path", "hi", chunk).repartition(
-        "section", "start"
-    )
+    chunks = sections.filter("lo <= hi").select("section", "path", "hi", chunk)
+    spread = chunks.repartition(n_tasks, "section", "start")
     last = F.least(F.col("hi"), F.col("start") + (_CHUNK - 1))
     pages = spread.select("section", "path", F.explode(F.sequence("start", last)).alias("page"))
     url = F.concat(F.lit(host), F.col("path"), F.col("page").cast("string"))

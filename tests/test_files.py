@@ -154,6 +154,8 @@ def test_frontier_seed_and_categories(spark):
     assert sum(per.values()) == 61416
     assert pages.filter("url = 'https://www.example.com/Section/فن/48/11'").count() == 1
     assert pages.select("url").distinct().count() == 61416
+    tasks = pages.groupBy(F.spark_partition_id().alias("task")).count()
+    assert tasks.count() > 4 and tasks.agg(F.max("count")).first()[0] < 61416 / 2
     (seed,) = links.seed_urls(sections, "https://h", "urgent").collect()
     assert seed.url == "https://h/Section/أخبار-عاجلة/65/1"
     for key in ("art", "nope", None):
