@@ -112,16 +112,24 @@ def follow_links(section_pages: DataFrame, domain: str) -> DataFrame:
     return per_link.agg(first.alias("f")).select("url", F.col("f.category").alias("category"))
 
 
-def crawl(section_pages: DataFrame, pages: DataFrame, domain: str) -> DataFrame:
+def crawl(
+    section_pages: DataFrame, pages: DataFrame, domain: str, backfill: bool = False
+) -> DataFrame:
     """Discover, follow, extract: article rows of the pages the sections link to.
 
-    The join with stored pages stands for the download. It runs before the
-    extraction so that only linked pages are parsed; with few links adaptive
-    execution broadcasts them and no page body moves.
+    The join with stored pages stands for the download. For a run that follows
+    few links it comes first: only linked pages are parsed, and adaptive execution
+    broadcasts the links, so no page body moves. For a ``backfill``, which follows
+    most of them, all pages are parsed in place and only their article rows join.
     """
+    links = follow_links(section_pages, domain)
     stored = spread(pages.select("url", "html"))
-    linked = stored.join(follow_links(section_pages, domain), "url")
-    return extract_articles(linked, domain)
+    if not backfill:
+        return extract_articles(stored.join(links, "url"), domain)
+    rows = extract_articles(stored, domain)
+    label = F.coalesce(F.col("label"), F.lit("unknown"))
+    joined = rows.join(links.withColumnRenamed("category", "label"), "url")
+    return joined.withColumn("category", label).select(rows.columns)
 
 
 def category_report(

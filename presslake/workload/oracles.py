@@ -307,3 +307,4 @@ ORACLES: dict[str, str] = {
         FROM c LEFT JOIN documents ON doc_id % {len(CATEGORY_LABELS) - 1} = i GROUP BY category""",
     "page_archive": "SELECT string_split(url, '/')[-1] AS file_id, url, html FROM pages",
 }
+ORACLES["crawl_backfill"] = ORACLES["crawl_join_extract"]

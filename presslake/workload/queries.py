@@ -83,7 +83,7 @@ def batch_by_file(spark, sf_dir):
     category = F.coalesce(F.get_json_object("value", "$.category"), F.lit("none"))
     raw = scratch_dir(spark, "batch-raw")
     named = lines.select("value", F.concat(category, F.lit(".jsonl")).alias("src_file"))
-    named.write.partitionBy("src_file").text(raw)
+    named.hint("rebalance", "src_file").write.partitionBy("src_file").text(raw)
     out = scratch_dir(spark, "batch-out")
     plans.convert_files(spark, [f"{raw}/src_file=*"], out)
     stored = spark.read.parquet(out)
@@ -373,12 +373,20 @@ def media_dedup(spark, sf_dir):
     return _exploded_media(rows.withColumn("media", dedup.media_first_wins(F.col("media"))), "doc_id")
 
 
+def _crawled(spark, sf_dir, backfill):
+    pages = fx.article_pages(spark, sf_dir).drop("category")
+    rows = plans.crawl(fx.listing_pages(spark, sf_dir), pages, fx.SITE, backfill)
+    return rows.select("article_id", "url", "category", "title", "content")
+
+
 @query
 def crawl_join_extract(spark, sf_dir):
-    rows = plans.crawl(
-        fx.listing_pages(spark, sf_dir), fx.article_pages(spark, sf_dir).drop("category"), fx.SITE
-    )
-    return rows.select("article_id", "url", "category", "title", "content")
+    return _crawled(spark, sf_dir, backfill=False)
+
+
+@query
+def crawl_backfill(spark, sf_dir):
+    return _crawled(spark, sf_dir, backfill=True)
 
 
 # -- sinks and layout ------------------------------------------------------------------
