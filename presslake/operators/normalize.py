@@ -109,8 +109,9 @@ def _media(record: str) -> str:
     an explicit null stays null.
     """
     as_list = f"try_variant_get({record}.doc, '$.{{}}', 'array<variant>')".format
-    falsy = f"""coalesce(size({as_list('media')}) = 0,
-        to_json(try_variant_get({record}.doc, '$.media', 'variant')) in {_FALSY}, true)"""
+    falsy = f"""case when {as_list('media')} is not null then size({as_list('media')}) = 0
+        else coalesce(to_json(try_variant_get({record}.doc, '$.media', 'variant')) in {_FALSY}, true)
+        end"""
     fields = {name: variant_text("item", f"$.{name}") for name in MEDIA_FIELDS}
     fields["provider"] = f"""if(try_variant_get(item, '$.provider', 'variant') is null,
         'internal', {fields['provider']})"""
@@ -121,7 +122,7 @@ def _media(record: str) -> str:
     typed = f"{record}.typed"
     plain = ", ".join(f"item.{name} as {name}" for name in MEDIA_FIELDS if name != "provider")
     media = f"""transform(
-        filter(if(coalesce(size({typed}.media), 0) = 0, {typed}.images, {typed}.media),
+        filter(if(coalesce(size({typed}.media) > 0, false), {typed}.media, {typed}.images),
                item -> item is not null),
         item -> struct({plain}, coalesce(item.provider, 'internal') as provider))"""
     return f"coalesce(if({record}.odd, {odd_media}, {media}), cast(array() as {MEDIA_DDL}))"

@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 from presslake.operators.normalize import classify
 from presslake.schema import MEDIA_FIELDS, SCALAR_FIELDS
 
@@ -75,7 +77,16 @@ def same(got, want):
     return got == want
 
 
-def test_random_records(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_random_records(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_random_records(spark)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def check_random_records(spark):
     rng = random.Random(11)
     inputs = [record(rng) for _ in range(3000)] + NESTED + SCALARS + TEXTS
     lines = [json.dumps(value, ensure_ascii=rng.random() < 0.5) for value in inputs]
