@@ -52,7 +52,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV part files, each with a header line that starts with a byte-order mark."""
     first, *rest = df.columns
     marked = df.withColumnRenamed(first, BOM + first)
-    marked.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+    writer = marked.write.mode(mode).option("header", "true").option("escape", '"')
+    # Spark would trim values on the way out.
+    writer = writer.option("ignoreLeadingWhiteSpace", "false")
+    writer.option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:

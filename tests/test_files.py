@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 import glob
 import json
@@ -114,6 +115,23 @@ def test_csv_has_bom_header_and_quotes(spark, tmp_path):
     assert [tuple(r) for r in back] == rows
 
 
+def test_csv_keeps_every_character(spark, tmp_path):
+    values = ["  x ", "\ta", "#c", '"', '""', "a\\", "\\\"b", "x\r\ny", "\n", "،ق", ",", "'", " ", "\u00a0"]
+    df = spark.createDataFrame([(f"u{i}", v) for i, v in enumerate(values)], "url string, content string")
+    path = str(tmp_path / "c")
+    sinks.write_csv(df, path)
+    back = {r.url: r.content for r in sinks.read_csv(spark, path, "url string, content string").collect()}
+    assert back == {f"u{i}": v for i, v in enumerate(values)}
+    # any other reader of quoted CSV sees the same
+    other = {}
+    for part in glob.glob(f"{path}/part-*.csv"):
+        with open(part, encoding="utf-8-sig", newline="") as handle:
+            header, *rows = csv.reader(handle)
+            assert header == ["url", "content"]
+            other.update(rows)
+    assert other == back
+
+
 def test_enrich_in_place(spark, tmp_path):
     path = str(tmp_path / "d")
     df = spark.createDataFrame([("1", "1 يناير 2015 12:05 ص"), ("2", None)], "article_id string, publish_date string")
