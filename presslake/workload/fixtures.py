@@ -57,6 +57,8 @@ DOC_TS = (
     f"timestamp_ntz'{EPOCH}' + "
     f"make_dt_interval(0, 0, cast(pmod(doc_id * 7919, {SPAN_MINUTES}) as int))"
 )
+# The first line of a text is its headline.
+HEADLINE = "substring_index(text, '\\n', 1)"
 BAND = "if(n_chars > 2000, 'long', 'short')"
 
 
@@ -82,8 +84,8 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""to_json(named_struct('category', source,
               'publish_date', if(doc_id % 59 = 0, 'غير معروف', {arabic_date('ts', 'doc_id % 3 <> 0')}),
               'content', text)) as body""",
-        """to_json(named_struct('title', if(doc_id % 13 = 0, '\\u00a0 ',
-              concat('\\u00a0', substring(text, 1, 60), ' ')))) as title""",
+        f"""to_json(named_struct('title', if(doc_id % 13 = 0, '\\u00a0 ',
+              concat('\\u00a0', {HEADLINE}, ' ')))) as title""",
         """case when doc_id % 7 = 0 then ''
                 when doc_id % 5 = 0 then '"author":"   ",'
                 when doc_id % 31 = 0 then '"author":true,'
@@ -132,7 +134,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(doc_id as string) as article_id",
         f"concat('{HOST}/story/', doc_id) as url",
         "source as category",
-        "if(doc_id % 13 = 0, null, substring(text, 1, 60)) as title",
+        f"if(doc_id % 13 = 0, null, {HEADLINE}) as title",
         "if(doc_id % 7 = 0, null, concat('Author ', doc_id % 50)) as author",
         "if(doc_id % 16 = 0, '', text) as content",
         """if(doc_id % 17 = 0, array(),
@@ -189,7 +191,7 @@ def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""concat('<!DOCTYPE html><html><head><title>t</title><script>var a="<h1>no</h1>";</script></head>',
             '<body><nav><h3><a href="/x">x</a></h3></nav><div id="',
             if(doc_id % 23 = 0, 'other', 'divcont'), '" data-id="', doc_id, '">',
-            '<h1> ', {_escaped('substring(text, 1, 60)')}, '\\n</h1>',
+            '<h1> ', {_escaped(HEADLINE)}, '\\n</h1>',
             '<span class="small newsStoryDate">', {arabic_date('ts')}, '</span>',
             '<span class=writeBy> Author ', doc_id % 50, ' <b>x</b></span>',
             '<div class="img-cont"><img src="/static/', doc_id, '.jpg" alt="', source,
@@ -260,8 +262,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, url``: URLs with escapes, plus signs, broken escapes and outer blanks."""
-    path = "replace(url_encode(substring(text, 1, 40)), '+', '%20')"
+    """``doc_id, url``: URLs made of whole texts, with escapes, plus signs, broken escapes and outer blanks."""
+    path = "replace(url_encode(text), '+', '%20')"
     return table(spark, sf_dir, "documents").selectExpr(
         "doc_id", f"concat('\\u00a0{HOST}/', {path}, '?a+b=%zz%4', if(doc_id % 2 = 0, '  ', '')) as url"
     )

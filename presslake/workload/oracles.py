@@ -44,7 +44,7 @@ FEED = f"""{BASE}, feed AS (
     '{HOST}/story/' || lang || '/' || doc_id || '?q=a%20b+c' AS url,
     source AS category, source,
     CASE WHEN k > 0 THEN 'copy ' || k WHEN doc_id % 13 = 0 THEN NULL
-         ELSE nullif({_strip('left(text, 60)')}, '') END AS title,
+         ELSE nullif({_strip('split_part(text, chr(10), 1)')}, '') END AS title,
     CASE WHEN doc_id % 59 = 0 THEN 'غير معروف' ELSE {_arabic('ts', 'doc_id % 3 <> 0')} END AS publish_date,
     CASE WHEN doc_id % 59 = 0 THEN NULL ELSE ts END AS date_parsed,
     CASE WHEN doc_id % 7 = 0 OR doc_id % 5 = 0 THEN NULL WHEN doc_id % 31 = 0 THEN 'True'
@@ -59,7 +59,7 @@ FEED = f"""{BASE}, feed AS (
 # The clean article view.
 ARTICLES = f"""{BASE}, articles AS (
   SELECT doc_id, CAST(doc_id AS VARCHAR) AS article_id, '{HOST}/story/' || doc_id AS url, source AS category,
-    CASE WHEN doc_id % 13 = 0 THEN NULL ELSE left(text, 60) END AS title,
+    CASE WHEN doc_id % 13 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS title,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'Author ' || (doc_id % 50) END AS author,
     CASE WHEN doc_id % 16 = 0 THEN '' ELSE text END AS content,
     CASE WHEN doc_id % 17 = 0 THEN []
@@ -192,7 +192,7 @@ ORACLES: dict[str, str] = {
     "articles_table": f"""WITH {FEED}
         SELECT article_id, url, category, title, author, content, date_parsed, tags, n_media FROM feed WHERE k = 0""",
     "ustrip": f"SELECT doc_id, {_strip('text')} AS stripped FROM documents",
-    "url_key": f"""SELECT doc_id, '{HOST}/' || left(text, 40) || '?a+b=%zz%4' AS url_key FROM documents""",
+    "url_key": f"""SELECT doc_id, '{HOST}/' || text || '?a+b=%zz%4' AS url_key FROM documents""",
     "date_clean": "SELECT event_id, day(ts) || strftime(ts, ' %m %Y %I:%M %p') AS clean FROM events",
     "parse_date": "SELECT event_id, date_trunc('minute', ts) AS date_parsed FROM events",
     "page_id": "SELECT page_id, string_split(url, '/')[-1] AS file_id FROM pages",
@@ -238,7 +238,7 @@ ORACLES: dict[str, str] = {
           '<a href="([^"]*)"', 1)) AS n_links FROM pages""",
     "extract_articles": f"""WITH {BASE} SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url,
           CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE source END AS category,
-          {_strip('left(text, 60)')} AS title, {_arabic('ts')} AS publish_date,
+          {_strip('split_part(text, chr(10), 1)')} AS title, {_arabic('ts')} AS publish_date,
           'Author ' || (doc_id % 50) AS author, {BODY} AS content, lang || '|' || source || '|' AS tags,
           CAST(6 AS BIGINT) AS media FROM base WHERE doc_id % 23 <> 0""",
     "extract_content": f"""SELECT page_id,
@@ -261,7 +261,7 @@ ORACLES: dict[str, str] = {
     "extract_legacy": f"""WITH {BASE} SELECT doc_id, {PAGE_URL} AS url,
           CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS category,
           CASE WHEN found THEN CAST(doc_id AS VARCHAR) END AS article_id,
-          CASE WHEN found THEN {_strip('left(text, 60)')} END AS title,
+          CASE WHEN found THEN {_strip('split_part(text, chr(10), 1)')} END AS title,
           CASE WHEN found THEN {_arabic('ts')} END AS publish_date,
           CASE WHEN found THEN 'Author ' || (doc_id % 50) END AS author,
           CASE WHEN found THEN {_strip("text || ' more '")} ELSE '' END AS content,
@@ -275,7 +275,7 @@ ORACLES: dict[str, str] = {
         f AS (SELECT *, min(p) OVER (PARTITION BY doc_id, url) AS first FROM m)
         SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS pos, type, url FROM f WHERE p = first""",
     "crawl_join_extract": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url,
-          'section' || (doc_id // {LINKS_PER_LISTING} % 7) AS category, {_strip('left(text, 60)')} AS title,
+          'section' || (doc_id // {LINKS_PER_LISTING} % 7) AS category, {_strip('split_part(text, chr(10), 1)')} AS title,
           {BODY} AS content FROM documents WHERE doc_id % 23 <> 0""",
     "parquet_roundtrip": f"""WITH {FEED} SELECT article_id, url, category, title, publish_date, author, content,
           tags, true AS media FROM feed""",
@@ -293,7 +293,7 @@ ORACLES: dict[str, str] = {
         SELECT tag, count(*) AS frequency FROM t GROUP BY tag ORDER BY frequency DESC, tag LIMIT 20""",
     "convert_runs": f"""WITH {FEED} SELECT article_id, title, content FROM feed, unnest([1, 2]) t(run)
         WHERE k = 0 AND CASE WHEN run = 1 THEN n_chars < {FIRST_RUN_BELOW} ELSE n_chars >= {SECOND_RUN_FROM} END""",
-    "feed_jsonl": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url, {_strip('left(text, 60)')} AS title,
+    "feed_jsonl": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url, {_strip('split_part(text, chr(10), 1)')} AS title,
           lang || '|' || source || '|' AS tags, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE source END AS category,
           '20240101T000000' AS run_ts FROM documents WHERE doc_id % 23 <> 0""",
     "link_list": f"WITH {NAV} SELECT link AS url FROM nav UNION ALL SELECT url FROM pages",
