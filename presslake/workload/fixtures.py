@@ -264,7 +264,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, url``: URLs made of whole texts, with escapes, plus signs, broken escapes and outer blanks."""
     path = "replace(url_encode(text), '+', '%20')"
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).selectExpr(
         "doc_id", f"concat('\\u00a0{HOST}/', {path}, '?a+b=%zz%4', if(doc_id % 2 = 0, '  ', '')) as url"
     )
 
