@@ -8,13 +8,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.schema import ROW_GROUP_ROWS
+from presslake.sources.spread import is_small
 
 BOM = "\ufeff"
 
 
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one output partition together, large ones split over several tasks.
+
+    A small result would be packed into one task, which then writes one file after
+    the other; it is dealt out over the cores instead.
+    """
     if not partition_by:
         return df
+    if is_small(df):
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_by)
     return df.hint("rebalance", *[F.col(name) for name in partition_by])
 
 

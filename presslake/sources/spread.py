@@ -7,19 +7,21 @@ from pyspark.sql import DataFrame
 SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the planner expects at most 16 MB per core (it errs on the large side)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= cores * SMALL_BYTES_PER_CORE
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out evenly over the cores; a large one does not move.
 
-    A Parquet file of one row group is one task, however many cores wait. The
-    planner's size estimate bounds what is shuffled to 16 MB per core; beyond
-    that the scan has tasks enough.
+    A Parquet file of one row group is one task, however many cores wait. Only a
+    small input is shuffled for that; beyond it the scan has tasks enough.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Repartition" in plan.toString():  # dealt out already
-        return df
-    if int(str(plan.stats().sizeInBytes())) > cores * SMALL_BYTES_PER_CORE:
+    if df.isStreaming or not is_small(df):
         return df
-    return df.repartition(cores)
+    if "Repartition" in df._jdf.queryExecution().optimizedPlan().toString():
+        return df  # dealt out already
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -13,6 +13,7 @@ from presslake.operators.dedup import first_wins
 from presslake.operators.extract import extract_articles
 from presslake.operators.normalize import normalize
 from presslake.plans import articles as plans
+from presslake.sinks.files import _balanced
 from presslake.sources.files import urls_of_lines
 from presslake.sources.spread import SMALL_BYTES_PER_CORE, spread
 from presslake.streaming.ingest import ingest, read_archive
@@ -65,6 +66,14 @@ def test_spread_only_moves_small_inputs(spark, monkeypatch):
     assert SMALL_BYTES_PER_CORE == 16 * 1024 * 1024
 
 
+def test_large_partitioned_writes_are_rebalanced(spark, monkeypatch):
+    df = spark.range(10).withColumn("category", F.col("id") % 3)
+    assert "REPARTITION_BY_NUM" in physical(_balanced(df, ["category"]))
+    monkeypatch.setattr("presslake.sources.spread.SMALL_BYTES_PER_CORE", 0)
+    assert "REBALANCE_PARTITIONS_BY_COL" in physical(_balanced(df, ["category"]))
+    assert _balanced(df, []) is df
+
+
 def test_dedup_output_is_unique_and_part_of_the_input(spark):
     rows = normalize(fx.article_lines(spark, SF_DIR)).select("seq", "article_id", "title")
     kept = first_wins(rows, ["article_id"], ["seq"])
