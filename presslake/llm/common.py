@@ -137,17 +137,17 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def bounded_sample(rows: DataFrame, key: str, text: str, per_key: int) -> DataFrame:
-    """For each value of ``key`` the ``per_key`` distinct texts of smallest hash.
+def sample_condition(hashed: DataFrame, key: str, per_key: int) -> Column:
+    """Picks for each value of ``key`` the rows with the ``per_key`` smallest distinct ``_h``.
 
-    Only hashes are ranked, and Spark limits the ranks per task before the
-    shuffle; the texts of the sample are then picked by each key's largest hash.
+    Only the narrow columns ``key`` and ``_h`` are ranked, and Spark limits the
+    ranks per task before the shuffle. The number of key values (languages,
+    classes) must be small: each is one term of the condition.
     """
-    hashed = rows.where(F.col(key).isNotNull() & F.col(text).isNotNull()).withColumn("_h", F.xxhash64(text))
-    distinct = hashed.select(key, "_h").distinct()
+    distinct = hashed.select(key, "_h").where(F.col(key).isNotNull()).distinct()
     ranked = distinct.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("_h")))
     limits = ranked.where(F.col("_n") <= per_key).groupBy(key).agg(F.max("_h").alias("_limit")).collect()
     chosen = F.lit(False)
-    for row in limits:  # one row a class or language
+    for row in limits:
         chosen = chosen | ((F.col(key) == F.lit(row[0])) & (F.col("_h") <= F.lit(row["_limit"])))
-    return hashed.where(chosen).dropDuplicates([key, "_h"]).drop("_h")
+    return chosen

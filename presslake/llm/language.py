@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from presslake.llm.common import CHUNK_BYTES, bounded_sample, flat_text, text_slices
+from presslake.llm.common import CHUNK_BYTES, flat_text, sample_condition, text_slices
 
 ORDER = 3
 SAMPLE_PER_LANGUAGE = 2000
@@ -130,8 +130,9 @@ def fit_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
     hash in each language, each of them whole. Rows without text or language
     teach nothing.
     """
-    sample = bounded_sample(rows.select("lang", "text"), "lang", "text", per_language)
-    counted = sample.mapInArrow(_counts, "lang string, win long, n long")
+    hashed = rows.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("_h"))
+    sample = hashed.where(sample_condition(hashed, "lang", per_language)).dropDuplicates(["lang", "_h"])
+    counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, win long, n long")
     table = counted.groupBy("lang", "win").agg(F.sum("n").alias("n")).toArrow()
     langs = np.array(table["lang"].to_pylist(), dtype=object)
     languages = sorted(set(langs.tolist()))

@@ -1,0 +1,93 @@
+import random
+
+import numpy as np
+import pytest
+
+from cases import EDGES, documents
+from presslake.llm import suffix_dedup
+from presslake.llm.suffix_dedup import SPAN, SuffixSort, remove_repeats
+
+
+def brute(rows):
+    """Remove what a smaller document holds too; ``rows`` are (id, text) with distinct ids."""
+    owner = {}
+    texts = sorted((i, (t or "").encode()) for i, t in rows)
+    for doc, data in texts:
+        for at in range(len(data) - SPAN + 1):
+            owner.setdefault(data[at : at + SPAN], doc)
+    out = {}
+    for doc, data in texts:
+        gone = bytearray(len(data))
+        for at in range(len(data) - SPAN + 1):
+            if owner[data[at : at + SPAN]] < doc:
+                gone[at : at + SPAN] = b"\1" * SPAN
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[doc] = (len(data), sum(gone), spans, bytes(c for c, g in zip(data, gone) if not g))
+    return out
+
+
+def found(spark, rows):
+    out = remove_repeats(documents(spark, rows)).collect()
+    return {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in out}
+
+
+def passages(seed, letters, docs=40):
+    rng = random.Random(seed)
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    shared = [text(rng.randint(40, 160)) for _ in range(6)]
+    rows = []
+    for i in range(docs):
+        parts = [rng.choice(shared)[rng.randint(0, 9) :] if rng.random() < 0.6 else text(rng.randint(0, 90)) for _ in range(5)]
+        rows.append((i * 3, "".join(parts)))
+    rows.append((1000, rows[3][1]))
+    return rows
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "éßaб日 "])
+def test_matches_brute_force(spark, letters):
+    rows = passages(len(letters), letters)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_runs_of_one_letter_and_periods(spark):
+    rows = [(5, "a" * 200), (2, "b" + "a" * 70 + "b"), (9, "a" * 49), (4, "ab" * 80), (7, "x" + "ba" * 40), (8, "a" * 500)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_pieces_chunks_and_hot_anchors(spark, monkeypatch):
+    rows = passages(7, "abcd ", 60)
+    for name, value in (("PIECE", 256), ("CHUNK_CONTEXTS", 16), ("HOT_CONTEXTS", 3)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_edge_rows(spark):
+    out = remove_repeats(documents(spark, EDGES)).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in EDGES)
+    for r in out:
+        if r.doc_id in (None, 1, 2, 3, 4, 5, 6):
+            assert r.spans == []
+    assert all(r.kept == b"" for r in out if r.doc_id == 7)
+    assert sum(len(r.kept) > 0 for r in out if r.doc_id == 8) >= 1
+    assert {r.doc_id: len(r.kept) for r in out}[9] == len(EDGES[12][1].encode())
+
+
+def test_empty_table(spark):
+    assert remove_repeats(documents(spark, [])).count() == 0
+
+
+def test_suffix_sort_is_a_stable_sort():
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 99, 4000).astype(np.uint8)
+    data[1000:1400] = data[2000:2400]
+    places = rng.permutation(3900)[:1500]
+    group = np.sort(rng.integers(0, 20, 1500))
+    order = SuffixSort(data).sort(places, group)
+    expected = sorted(range(1500), key=lambda i: (group[i], data[places[i] : places[i] + SPAN].tobytes(), i))
+    assert order.tolist() == expected
+
+
+def test_equal_hashes_are_verified(monkeypatch):
+    suffixes = SuffixSort(np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8))
+    monkeypatch.setattr(suffixes, "extension", lambda x, y: np.full(len(x), SPAN))  # every hash collides
+    assert suffixes.equal_to_previous(np.array([0, 1, 60, 61])).tolist() == [False, True, False, True]
