@@ -8,7 +8,7 @@ and the id position of every ``STRIDE``-th symbol, so a range of ids is decoded
 from the few symbols that cover it.
 
 Shards are rows of a Parquet table (``SHARD_DDL``): task and number give their
-order, ``docs`` and ``sizes`` name the documents, the rest is little-endian binary.
+order, ``before`` is the number of ids the task wrote earlier, ``docs`` and ``sizes`` name the documents, the rest is little-endian binary.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ STRIDE = 1024
 CACHED_CHUNKS = 700_000
 
 SHARD_DDL = (
-    "task int, number long, n_ids long, docs array<{kind}>, sizes array<long>, "
+    "task int, number long, before long, n_ids long, docs array<{kind}>, sizes array<long>, "
     "first_symbol int, rules binary, lengths binary, symbols binary, places binary"
 )
 
@@ -142,31 +142,77 @@ class ChunkTokenizer:
     """The tokenizers library behind a cache of blank-separated chunks.
 
     The vocabulary drops white space and never merges across it, so the ids of a
-    text are those of its chunks. Chunks not seen before go to the library in one
-    batch. ASCII text is lower-cased first, as the tokenizer does itself.
+    text are those of its chunks; ASCII text is lower-cased first, as the tokenizer
+    does itself. It also parts letters from punctuation, so a word with a tail of
+    marks is encoded as the two. New words go to the library many at a time: a
+    word is one run of letters, and only its last id is one with the end mark.
     """
 
+    TAIL = ".,;:!?%$#&*)(\"-"
+    JOINED = 256
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first_free = self.tokenizer.get_vocab_size()
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocabulary = self.tokenizer.get_vocab()
+        self.first_free = max(vocabulary.values()) + 1
+        self.ends = np.zeros(self.first_free, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
+    def _each(self, chunks: list[str]) -> None:
+        """Encode chunks one by one."""
+        for begin in range(0, len(chunks), 20_000):
+            part = chunks[begin : begin + 20_000]
+            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+
+    def _words(self, words: list[str]) -> None:
+        """Encode runs of letters, many in one string, and part the ids at the end marks."""
+        for begin in range(0, len(words), 100 * self.JOINED):
+            groups = [
+                words[at : at + self.JOINED]
+                for at in range(begin, min(begin + 100 * self.JOINED, len(words)), self.JOINED)
+            ]
+            joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+            for group, found in zip(groups, joined):
+                ids = np.array(found.ids, "<u4")
+                stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                if len(stops) != len(group):  # a letter that the library does not take for one
+                    self._each(group)
+                    continue
+                data = ids.tobytes()
+                for word, a, b in zip(group, [0, *stops], stops):
+                    self.known[word] = data[a:b]
+
+    def _learn(self, new: set[str]) -> None:
+        words, others, tailed = set(), [], []
+        for chunk in new:
+            word = chunk.rstrip(self.TAIL)
+            if word and not word.isalpha():
+                others.append(chunk)
+            elif word == chunk:
+                words.add(word)
+            else:
+                tailed.append((chunk, word, chunk[len(word) :]))
+        known = self.known
+        words.update(word for _, word, _ in tailed if word and word not in known)
+        self._words(list(words))
+        self._each(others + list({tail for _, _, tail in tailed if tail not in known}))
+        for chunk, word, tail in tailed:
+            known[chunk] = known[word] + known[tail]
+
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """For each text its ids and ``end``, as little-endian unsigned 32-bit integers."""
         split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.known))
+        new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_CHUNKS:
             self.known = {"": b""}
-            new = list(set().union(*split).difference(self.known))
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            for chunk, found in zip(part, self.batch(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+            new = set().union(*split).difference(self.known)
+        self._learn(new)
         last, known = np.array([end], "<u4").tobytes(), self.known
         return [b"".join([*map(known.__getitem__, chunks), last]) for chunks in split]
 
@@ -189,9 +235,7 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_cache(f"chunks-{tokenizer}", lambda: ChunkTokenizer(tokenizer))
-        task, number, held, names = TaskContext.get().partitionId(), 0, [], []
-        id_kind = None
-        size = 0
+        task, number, before, held, names, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
         for batch in text_slices(batches, "text"):
             id_kind = batch.column("doc_id").type
             for name, data in zip(batch.column("doc_id").to_pylist(), codec.encode(batch.column("text").to_pylist(), end)):
@@ -199,20 +243,23 @@ def write_shards(
                 names.append(name)
                 size += len(data) // 4
                 if size >= shard_ids:
-                    yield _shard(task, number, names, held, codec.first_free, id_kind)
-                    number, held, names, size = number + 1, [], [], 0
+                    yield _shard(task, number, before, names, held, codec.first_free, id_kind)
+                    number, before, held, names, size = number + 1, before + size, [], [], 0
         if held:
-            yield _shard(task, number, names, held, codec.first_free, id_kind)
+            yield _shard(task, number, before, names, held, codec.first_free, id_kind)
 
     ordered.drop("check").mapInArrow(run, SHARD_DDL.format(kind=kind)).write.parquet(path)
 
 
-def _shard(task: int, number: int, names: list, held: list[bytes], first: int, kind: pa.DataType) -> pa.RecordBatch:
+def _shard(
+    task: int, number: int, before: int, names: list, held: list[bytes], first: int, kind: pa.DataType
+) -> pa.RecordBatch:
     ids = np.frombuffer(b"".join(held), "<u4").astype(np.int32)
     grammar = repair(ids, first)
     columns = {
         "task": pa.array([task], pa.int32()),
         "number": pa.array([number], pa.int64()),
+        "before": pa.array([before], pa.int64()),
         "n_ids": pa.array([len(ids)], pa.int64()),
         "docs": pa.array([names], pa.list_(kind)),
         "sizes": pa.array([[len(d) // 4 for d in held]], pa.list_(pa.int64())),
@@ -239,17 +286,15 @@ def grammar_of(row: dict) -> Grammar:
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards with ``start``, the number of ids in all shards before.
 
-    Only one total a writing task is summed in one place; shards add up within
-    their task.
+    A shard knows how many ids its task had written before it, so only one total
+    a writing task is summed in one place, and the shards themselves stay put.
     """
     shards = spark.read.parquet(path)
     totals = shards.groupBy("task").agg(F.sum("n_ids").alias("total"))
-    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("task", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    starts = shards.select("task", "number", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("within"))
-    placed = starts.join(bases, "task").select("task", "number", (F.col("base") + F.col("within")).alias("start"))
-    return shards.join(placed, ["task", "number"])
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("task", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
+    placed = shards.join(F.broadcast(bases), "task")  # as many rows as tasks wrote the shards
+    return placed.withColumn("start", F.col("base") + F.col("before"))
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
