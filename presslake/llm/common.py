@@ -21,7 +21,7 @@ import presslake
 # Python workers get the helpers with the task; executors need no install.
 cloudpickle.register_pickle_by_value(presslake)
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1

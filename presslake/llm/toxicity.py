@@ -98,15 +98,13 @@ def _initial(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> Te
     """Small random parameters; the first embedding dimension starts at shrunk log odds of the buckets."""
     rng = np.random.default_rng(7)
     table = rng.normal(0, 0.02, (2, BUCKETS, WIDTH)).astype(np.float32)
-    owner = np.repeat(np.arange(len(labels)), np.diff(offsets))
     positive, negative = max(labels.sum(), 1), max((1 - labels).sum(), 1)
+    rare = 8 / min(positive, negative)
     for i in range(2):
-        pairs = np.unique(owner.astype(np.int64) * BUCKETS + buckets[i])
-        in_text, bucket = pairs // BUCKETS, pairs % BUCKETS
-        with_label = np.bincount(bucket, weights=labels[in_text], minlength=BUCKETS) / positive
-        without = np.bincount(bucket, weights=1 - labels[in_text], minlength=BUCKETS) / negative
-        rare = 8 / min(positive, negative)
-        table[i, :, 0] = np.log((with_label + rare) / (without + rare))
+        texts = np.zeros((2, BUCKETS))  # texts of each label that hold a bucket
+        for row in range(len(labels)):
+            texts[int(labels[row]), np.unique(buckets[i, offsets[row] : offsets[row + 1]])] += 1
+        table[i, :, 0] = np.log((texts[1] / positive + rare) / (texts[0] / negative + rare))
     kernel = {
         s: (rng.normal(0, 0.2, (s, WIDTH, FILTERS)) + np.eye(WIDTH, FILTERS)[0][:, None] * 0.1).astype(np.float32)
         for s in SIZES
@@ -249,10 +247,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     sample = sample.select("label", "text")
     table = sample.mapInArrow(_bucketed, "label int, buckets binary").toArrow()
     cells = table["buckets"].to_pylist()
-    offsets = np.concatenate([[0], np.cumsum([len(c) // 8 for c in cells])]).astype(np.int64)
-    buckets = np.frombuffer(b"".join(cells), np.int32).reshape(-1, 2).T
     labels = np.array(table["label"].to_pylist(), dtype=np.float64)
-    return train_cnn(np.ascontiguousarray(buckets), offsets, labels, 0.5 if prior is None else float(prior))
+    del table
+    offsets = np.concatenate([[0], np.cumsum([len(c) // 8 for c in cells])]).astype(np.int64)
+    buckets = np.empty((2, int(offsets[-1])), np.int32)
+    for row, cell in enumerate(cells):
+        buckets[:, offsets[row] : offsets[row + 1]] = np.frombuffer(cell, np.int32).reshape(-1, 2).T
+    del cells
+    return train_cnn(buckets, offsets, labels, 0.5 if prior is None else float(prior))
 
 
 def score_toxicity(
