@@ -6,8 +6,9 @@ string builds faster than hundreds of Column calls.
 
 from __future__ import annotations
 
+# No limit on the length of strings and numbers but that of a Java array.
 _STRICT = """map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false',
-                'allowNonNumericNumbers', 'false')"""
+                'allowNonNumericNumbers', 'false', 'maxStringLen', '2147483647', 'maxNumLen', '2147483647')"""
 
 
 def enclosed(line: str) -> str:
@@ -24,32 +25,40 @@ def read_enclosed(text: str, fields: str) -> str:
     return f"from_json({text}, 'r struct<{fields}>, end int, _bad string', {_STRICT})"
 
 
+def read_variant(text: str) -> str:
+    """An ``enclosed`` line with ``r`` as a VARIANT (NULL for JSON null) and ``end``."""
+    return f"from_json({text}, 'r variant, end int, _bad string', {_STRICT})"
+
+
 def variant_text(value: str, path: str = "$") -> str:
     """Text of the value; NULL for JSON null and for a missing member."""
     return f"try_variant_get({value}, '{path}', 'string')"
 
 
-def python_text(text: str, value: str) -> str:
+def python_text(text: str, value: str, typed: str) -> str:
     """``str()`` of the JSON value ``value`` whose ``variant_text`` is ``text``.
 
-    Booleans are capitalised, ``1.0`` keeps its point, and the JVM's ``1.0E16``
-    becomes ``1e+16``; objects and arrays stay compact JSON text. The JSON type
-    is looked up only for short texts that may be a boolean or a number. Name
-    columns here, not expressions: both are referenced several times.
+    ``typed`` is the same value read as a string: whole numbers keep all their
+    digits there, and any other number is the text of a double. Booleans are
+    capitalised, ``1.0E16`` becomes ``1e+16``, a number beyond all doubles ``inf``;
+    objects and arrays stay compact JSON text. The JSON type is looked up only for
+    texts that begin like a boolean or a number. Name columns here, not
+    expressions: all are referenced several times.
     """
-    exponent = f"try_cast(substring_index({text}, 'E', -1) as int)"
-    plain = rf"regexp_replace(cast(try_cast({text} as decimal(38,20)) as string), r'(\.\d+?)0+$', '$1')"
-    mantissa = rf"regexp_replace(substring_index({text}, 'E', 1), r'\.0$', '')"
+    number = rf"""coalesce({typed},
+        if(schema_of_variant({value}) rlike r'^DECIMAL\(\d+,0\)$', concat({text}, '.0'), {text}))"""
+    exponent = f"try_cast(substring_index({number}, 'E', -1) as int)"
+    plain = rf"regexp_replace(cast(try_cast({number} as decimal(38,20)) as string), r'(\.\d+?)0+$', '$1')"
+    mantissa = rf"regexp_replace(substring_index({number}, 'E', 1), r'\.0$', '')"
     scientific = (
-        f"concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), 2, '0'))"
+        f"concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), greatest(2, length(abs({exponent}))), '0'))"
     )
     return rf"""
-    case when octet_length({text}) > 48
-           or not {text} rlike r'^(true|false|-?[0-9][0-9.E\-]*)$' then {text}
+    case when not (left({text}, 1) between '-' and '9' or left({text}, 1) in ('t', 'f', 'I')) then {text}
          when schema_of_variant({value}) = 'BOOLEAN' then initcap({text})
-         when schema_of_variant({value}) rlike r'^DECIMAL\((\d|1[0-8]),0\)$'
-           then concat({text}, '.0')
-         when schema_of_variant({value}) <> 'DOUBLE' or not contains({text}, 'E') then {text}
+         when not schema_of_variant({value}) rlike '^(DECIMAL|DOUBLE|FLOAT)' then {text}
+         when contains({number}, 'Infinity') then if(contains({number}, '-'), '-inf', 'inf')
+         when not contains({number}, 'E') then {number}
          when {exponent} between -4 and 15 then {plain}
          else {scientific}
     end"""

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.window import Window
 
 from presslake.functions.dates import iso_weekday
@@ -25,15 +26,21 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def _row_digest(df: DataFrame) -> Column:
-    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    return F.sha2(row, 256)
+def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in ``order``; every task keeps only its own first rows."""
+    return df.orderBy(*order).limit(n)
+
+
+def in_batches(df: DataFrame, rows: int) -> Iterator[list[Row]]:
+    """Consume a result in lists of ``rows`` rows; the driver holds one partition at a time."""
+    waiting = df.toLocalIterator()
+    while batch := list(islice(waiting, rows)):
+        yield batch
 
 
 def n_unique_rows(df: DataFrame) -> DataFrame:
-    """Number of distinct rows, NULLs equal; only row digests are shuffled."""
-    digests = df.select(_row_digest(df).alias("digest")).distinct()
-    return digests.agg(F.count("*").alias("n_unique"))
+    """Number of distinct rows; NULLs are equal, and so are ``0.0`` and ``-0.0``."""
+    return df.distinct().agg(F.count("*").alias("n_unique"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -86,9 +93,9 @@ def on_month_day(articles: DataFrame, month: int, day: int) -> DataFrame:
 
 
 def content_like(articles: DataFrame, word: str) -> DataFrame:
-    """Content of the articles that contain ``word``."""
+    """Content of the articles that contain ``word``, character by character."""
     return articles.sparkSession.sql(
-        "select content from {articles} where content like concat('%', {word}, '%')",
+        "select content from {articles} where contains(content, {word})",
         articles=articles.select("content"),
         word=word,
     )
@@ -104,56 +111,99 @@ def _from_micros(micros: int) -> dt.datetime:
     return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(micros))
 
 
-def _values(df: DataFrame, column: str) -> DataFrame:
-    """``v``: the non-null values; timestamps as microseconds since the epoch."""
-    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
-    source = _micros(column) if is_time else f"`{column}`"
-    return df.selectExpr(f"{source} as v").filter("v is not null")
+def _is_time(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName().startswith("timestamp")
+
+
+# A driver may rank this many distinct values itself.
+RANKED_VALUES = 100_000
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], margin: float = 0.0001
-) -> list[object | None]:
-    """Exact quantiles (nearest rank) of a numeric or timestamp column.
-
-    An approximate percentile on either side of each rank gives a narrow range
-    of values that holds it, which exact counts confirm (else the range grows).
-    Only the values of that range are then ranked, repeats counted once: no task
-    sees more than a small share of the distinct values, the driver only counts.
+    df: DataFrame, wanted: dict[str, Sequence[float]], margin: float = 0.0001, stats: Sequence[Column] = ()
+) -> tuple[dict[str, list[object | None]], dict[str, object]]:
+    """Exact quantiles (nearest rank) of numeric and timestamp columns, and ``stats`` over ``df``.
+
+    Three passes serve all columns. The first computes ``stats``, counts, and
+    approximate percentiles on either side of each rank; the second counts the
+    values below and up to each such range exactly; the third counts the values
+    inside. A range that missed its rank is widened, one that still holds more
+    than ``RANKED_VALUES`` distinct values is narrowed by percentiles of its own,
+    each for another round. The driver ranks the few values that are left.
     """
-    values = _values(df, column)
-    while True:
+    shown = {name: _micros(name) if _is_time(df, name) else f"`{name}`" for name in wanted}
+    values = df.selectExpr("*", *(f"{sql} as `_v {name}`" for name, sql in shown.items()))
+    first = list(stats)
+    for name, probabilities in wanted.items():
         around = [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
-        n, bounds = values.agg(F.count("*"), F.percentile_approx("v", around, 50000)).first()
-        if n == 0:
-            return [None] * len(probabilities)
-        ranks = [math.floor((n - 1) * p + 0.5) for p in probabilities]
-        ranges = list(zip(bounds[::2], bounds[1::2]))
-        below = [F.count_if(F.col("v") < low) for low, _ in ranges]
-        upto = [F.count_if(F.col("v") <= high) for _, high in ranges]
-        counts = list(values.agg(*below, *upto).first())
-        starts, ends = counts[: len(ranges)], counts[len(ranges) :]
-        if all(start <= rank < end for start, rank, end in zip(starts, ranks, ends)):
-            break
-        margin *= 10
-    wanted = F.array(
+        first.append(F.count(f"_v {name}").alias(f"_n {name}"))
+        first.append(F.percentile_approx(f"_v {name}", around, 50000).alias(f"_around {name}"))
+    result = values.agg(*first).first().asDict()
+    found: dict[tuple[str, int], object] = {}
+    ranges: dict[tuple[str, int], list] = {}  # low, high, rank
+    for name, probabilities in wanted.items():
+        n, bounds = result.pop(f"_n {name}"), result.pop(f"_around {name}")
+        for i, p in enumerate(probabilities):
+            if n == 0:
+                found[name, i] = None
+            else:
+                ranges[name, i] = [bounds[2 * i], bounds[2 * i + 1], math.floor((n - 1) * p + 0.5)]
+    while ranges:
+        _narrow(values, ranges, found)
+    quantiles = {}
+    for name, probabilities in wanted.items():
+        got = [found[name, i] for i in range(len(probabilities))]
+        quantiles[name] = [_from_micros(v) if v is not None and _is_time(df, name) else v for v in got]
+    return quantiles, result
+
+
+def _narrow(values: DataFrame, ranges: dict[tuple[str, int], list], found: dict[tuple[str, int], object]) -> None:
+    """One round over all open ranges: settle them, or make them wider or narrower."""
+    counts = []
+    for (name, i), (low, high, _) in ranges.items():
+        v = F.col(f"_v {name}")
+        counts += [F.count_if(v < low).alias(f"below {i} {name}"), F.count_if(v <= high).alias(f"upto {i} {name}")]
+    counts = values.agg(*counts).first().asDict()
+    inside = []
+    for key, (low, high, rank) in list(ranges.items()):
+        name, i = key
+        below, upto = counts[f"below {i} {name}"], counts[f"upto {i} {name}"]
+        if not below <= rank < upto:  # rare: the approximation was off; take the whole range
+            ranges[key][:2] = values.agg(F.min(f"_v {name}"), F.max(f"_v {name}")).first()
+        elif low == high:
+            found[key] = low
+            del ranges[key]
+        else:
+            v = F.col(f"_v {name}")
+            inside.append((key, below, (v >= low) & (v <= high)))
+    if not inside:
+        return
+    held = F.array(
         *(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(low).alias("low"),
-                F.lit(high).alias("high"),
-                F.lit(rank - start).alias("rank"),
-            )
-            for i, ((low, high), rank, start) in enumerate(zip(ranges, ranks, starts))
+            F.when(test, F.struct(F.lit(j).alias("j"), F.col(f"_v {key[0]}").cast("string").alias("v")))
+            for j, (key, _, test) in enumerate(inside)
         )
     )
-    hits = values.select("v", F.explode(wanted).alias("w")).filter("v between w.low and w.high")
-    histogram = hits.groupBy("w.i", "w.rank", "v").agg(F.count("*").alias("n"))
-    running = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = histogram.withColumn("upto", F.sum("n").over(running))
-    found = dict(ranked.filter("upto > rank and upto - n <= rank").select("i", "v").collect())
-    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
-    return [_from_micros(found[i]) if is_time else found[i] for i in range(len(ranks))]
+    hits = values.select(F.explode(F.array_compact(held)).alias("hit")).select("hit.*")
+    histogram = hits.groupBy("j", "v").agg(F.count("*").alias("n")).limit(RANKED_VALUES * len(inside) + 1).collect()
+    if len(histogram) > RANKED_VALUES * len(inside):
+        for key, below, test in inside:
+            low, high, rank = ranges[key]
+            _, upto = below, counts[f"upto {key[1]} {key[0]}"]
+            at = (rank - below) / max(upto - below - 1, 1)
+            part = values.where(test).agg(
+                F.percentile_approx(f"_v {key[0]}", [max(at - 0.001, 0.0), min(at + 0.001, 1.0)], 50000)
+            )
+            ranges[key][:2] = part.first()[0]
+        return
+    for j, (key, below, _) in enumerate(inside):
+        parse = type(ranges[key][0])
+        rank = ranges.pop(key)[2] - below
+        for v, n in sorted((parse(row["v"]), row["n"]) for row in histogram if row["j"] == j):
+            if rank < n:
+                found[key] = v
+                break
+            rank -= n
 
 
 QUARTILES = (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))
@@ -180,11 +230,11 @@ def describe(df: DataFrame) -> DataFrame:
         if kinds[name] == "time":
             mean = F.avg(F.expr(_micros(name)).cast("decimal(20,0)"))
             wanted.append(F.floor(mean).cast("long").alias(f"mean {name}"))
-    stats = df.agg(*wanted).first().asDict()
+    ranked = {name: [p for _, p in QUARTILES] for name, kind in kinds.items() if kind in ("number", "time")}
+    quartiles, stats = exact_quantiles(df, ranked, stats=wanted)
     for name, kind in kinds.items():
-        if kind in ("number", "time"):
-            quartiles = exact_quantiles(df, name, [p for _, p in QUARTILES])
-            stats.update({f"{q} {name}": v for (q, _), v in zip(QUARTILES, quartiles)})
+        if name in quartiles:
+            stats.update({f"{q} {name}": v for (q, _), v in zip(QUARTILES, quartiles[name])})
         if kind == "time" and stats[f"mean {name}"] is not None:
             stats[f"mean {name}"] = _from_micros(stats[f"mean {name}"])
 

@@ -32,11 +32,6 @@ def drop_known(batch: DataFrame, archive: DataFrame, key: str = "article_id") ->
     return batch.join(distinct_keys(known, key), key, "left_anti")
 
 
-def dedup_runs(articles: DataFrame, order: list[str], key: str = "article_id") -> DataFrame:
-    """First-wins over overlapping crawl runs (``order`` starts with the run)."""
-    return first_wins(articles, [key], order)
-
-
 def media_first_wins(media: Column) -> Column:
     """Drop media items whose URL occurred earlier in the list, whatever their type."""
     urls = F.transform(media, lambda m: m["url"])

@@ -14,12 +14,11 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 import presslake
+from presslake.functions.bloom import Bloom
 from presslake.functions.html import PagePicker, Rule
 from presslake.functions.text import media_provider, ustrip
 from presslake.operators.dedup import media_first_wins
 from presslake.schema import MEDIA_DDL
-from presslake.session import configure
-from presslake.sources.spread import spread
 
 # Python workers get the page helper with the task; executors need no install.
 cloudpickle.register_pickle_by_value(presslake)
@@ -71,12 +70,13 @@ def pick_nodes(
     container: str | None = None,
     keep: Sequence[str] = ("url",),
     always: bool = False,
+    only: Bloom | None = None,
 ) -> DataFrame:
     """One row per page with the container: ``keep`` columns and an array per slot.
 
-    ``always`` emits pages without the container as well, with empty arrays.
+    ``always`` emits pages without the container as well, with empty arrays. Pages
+    whose URL is surely not in ``only`` are skipped before they are parsed.
     """
-    configure(pages.sparkSession)
     slots = {rule.slot: isinstance(rule.pick, tuple) and len(rule.pick) > 1 for rule in rules}
     fields = {f.name: f.dataType.simpleString() for f in pages.schema if f.name in keep}
     out_ddl = ", ".join(
@@ -88,6 +88,8 @@ def pick_nodes(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picker = PagePicker(rules, container)
         for batch in batches:
+            if only is not None:
+                batch = batch.filter(pa.array(only.may_hold(batch.column("_hash").to_numpy())))
             html = batch.column("_html").to_pylist()
             urls = batch.column("_url").to_pylist()
             picked = [picker.pick(*page) for page in zip(html, urls)]
@@ -103,13 +105,8 @@ def pick_nodes(
                 columns.append(pa.array(values, _ARROW_TRIPLE if triple else _ARROW_TEXTS))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *slots])
 
-    source = pages
-    if container and not always:
-        # Cheap test in the JVM: a page that never names the container cannot have
-        # it, and need not travel to Python.
-        source = source.filter(F.col("html").contains(container.lstrip("#.")))
-    wanted = source.select(*names, F.col("url").alias("_url"), F.col("html").alias("_html"))
-    return spread(wanted).mapInArrow(run, out_ddl)
+    wanted = pages.select(*names, F.col("url").alias("_url"), F.col("html").alias("_html"), F.xxhash64("url").alias("_hash"))
+    return wanted.mapInArrow(run, out_ddl)
 
 
 def _first(slot: str) -> Column:
@@ -162,11 +159,11 @@ def _with_category(pages: DataFrame) -> DataFrame:
 
 
 def extract_articles(
-    pages: DataFrame, site_domain: str, keep: Sequence[str] = ()
+    pages: DataFrame, site_domain: str, keep: Sequence[str] = (), only: Bloom | None = None
 ) -> DataFrame:
     """Article rows of ``pages(url, html[, category])``; other pages give none."""
     nodes = pick_nodes(
-        _with_category(pages), ARCHIVE_RULES, ARCHIVE_CONTAINER, (*keep, "url", "category")
+        _with_category(pages), ARCHIVE_RULES, ARCHIVE_CONTAINER, (*keep, "url", "category"), only=only
     )
     return nodes.select(
         *keep,

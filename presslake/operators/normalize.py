@@ -27,10 +27,10 @@ from presslake.functions.variants import (
     is_object,
     python_text,
     read_enclosed,
+    read_variant,
     variant_text,
 )
 from presslake.schema import ARTICLE_COLUMNS, MEDIA_DDL, MEDIA_FIELDS, SCALAR_FIELDS
-from presslake.session import configure
 
 # JSON texts Python treats as false.
 FALSY_JSON = ("null", "[]", "{}", '""', "0", "0.0", "-0.0", "false")
@@ -39,9 +39,8 @@ _FALSY = "(" + ", ".join(f"'{text}'" for text in FALSY_JSON) + ")"
 
 def _ambiguous_text(text: str) -> str:
     """Text that a boolean or a double would also have produced."""
-    return rf"""({text} in ('true', 'false')
-        or contains({text}, 'E') and octet_length({text}) <= 26
-           and {text} rlike r'^-?\d(\.\d+)?E-?\d+$')"""
+    return rf"""({text} in ('true', 'false', '"Infinity"', '"-Infinity"')
+        or contains({text}, 'E') and {text} rlike r'^-?\d(\.\d+)?E-?\d+$')"""
 
 
 def _scalars(columns: Sequence[str]) -> list[str]:
@@ -80,23 +79,26 @@ def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
     return "(" + " or ".join(tests) + ")"
 
 
-def _odd_texts(doc: str, columns: Sequence[str]) -> str:
+def _odd_texts(record: str, columns: Sequence[str]) -> str:
     """The text fields of an odd record, in the order of ``_scalars``."""
-    pairs = (
-        f"struct({variant_text(doc, '$.' + n)} as text, try_variant_get({doc}, '$.{n}', 'variant') as raw)"
+    doc = f"{record}.doc"
+    values = (
+        f"""struct({variant_text(doc, '$.' + n)} as text, try_variant_get({doc}, '$.{n}', 'variant') as raw,
+                   {record}.typed.{n} as typed)"""
         for n in _scalars(columns)
     )
-    return f"transform(array({', '.join(pairs)}), v -> {python_text('v.text', 'v.raw')})"
+    return f"transform(array({', '.join(values)}), v -> {python_text('v.text', 'v.raw', 'v.typed')})"
 
 
 def _tags(record: str) -> str:
     """A list: nulls dropped, items stripped, blanks kept. Else an empty list."""
     strip = f"btrim({{}}, '{WHITESPACE_SQL}')"
     odd_tags = f"""transform(
-        transform(filter(try_variant_get({record}.doc, '$.tags', 'array<variant>'),
-                         tag -> not is_variant_null(tag)),
-                  tag -> struct({variant_text('tag')} as text, tag as raw)),
-        tag -> {strip.format(python_text('tag.text', 'tag.raw'))})"""
+        filter(transform(try_variant_get({record}.doc, '$.tags', 'array<variant>'),
+                         (tag, i) -> struct({variant_text('tag')} as text, tag as raw,
+                                            get({record}.typed.tags, i) as typed)),
+               tag -> not is_variant_null(tag.raw)),
+        tag -> {strip.format(python_text('tag.text', 'tag.raw', 'tag.typed'))})"""
     tags = f"""transform(filter({record}.typed.tags, tag -> tag is not null),
                          tag -> {strip.format('tag')})"""
     return f"coalesce(if({record}.odd, {odd_tags}, {tags}), cast(array() as array<string>))"
@@ -137,11 +139,10 @@ def parse_lines(
     usable object, else the reject reason.
 
     All reading happens in one generator, each step naming the result of the one
-    before: a filter on parsed fields would be pushed below a plain projection
+    before (``session.configure`` lets repeated keys pass, the last wins): a filter on parsed fields would be pushed below a plain projection
     and parse every line a second time. Nor can Spark prune fields there: name
     the article ``columns`` that are needed, and the reader skips all others.
     """
-    configure(lines.sparkSession)
     others = [c for c in lines.columns if c != value]
     # An object without any quote is empty. Trimming copies, so it only happens
     # where it matters.
@@ -155,20 +156,19 @@ def parse_lines(
     )
     steps = [
         f"struct(x.r as typed, _shape <> 'object' or {_is_odd('x', '_line', columns)} as odd)",
-        "struct(x.typed as typed, x.odd as odd, if(x.odd, try_parse_json(_line), null) as json)",
-        """struct(x.typed as typed, x.odd as odd,
-                  if(try_variant_get(x.json, '$.end', 'int') = 0,
-                     try_variant_get(x.json, '$.r', 'variant'), null) as doc)""",
+        f"struct(x.typed as typed, x.odd as odd, if(x.odd, {read_variant('_line')}, null) as json)",
+        """struct(x.typed as typed, x.odd as odd, coalesce(x.json.end = 0 and x.json._bad is null, false) as valid,
+                  if(x.json.end = 0 and x.json._bad is null, x.json.r, null) as doc)""",
     ]
     steps.append(
-        f"""struct(x.typed as typed, x.odd as odd, x.doc as doc,
-                   if(x.odd, {_odd_texts('x.doc', columns)}, null) as texts)"""
+        f"""struct(x.typed as typed, x.odd as odd, x.valid as valid, x.doc as doc,
+                   if(x.odd, {_odd_texts('x', columns)}, null) as texts)"""
     )
     state = f"""
         case when not x.odd then null
-             when x.doc is null then 'malformed'
+             when not x.valid then 'malformed'
              when _shape = 'object' then null
-             when _shape = 'empty' or to_json(x.doc) in {_FALSY} then 'falsy'
+             when _shape = 'empty' or x.doc is null or to_json(x.doc) in {_FALSY} then 'falsy'
              else 'not_object' end as state"""
     fields = [f"if(x.odd, x.texts[{i}], x.typed.{n}) as _{n}" for i, n in enumerate(_scalars(columns))]
     fields += [f"{make('x')} as {n}" for n, make in (("tags", _tags), ("media", _media)) if n in columns]

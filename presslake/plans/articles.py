@@ -6,19 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from presslake.functions.bloom import bloom_of
 from presslake.functions.dates import parse_date
 from presslake.functions.text import last_segment
 from presslake.operators.analytics import on_month_day
 from presslake.operators.coverage import missing_urls
-from presslake.operators.dedup import dedup_runs, drop_known, first_wins
+from presslake.operators.dedup import drop_known, first_wins
 from presslake.operators.extract import SECTION_LINKS, extract_articles, extract_links
 from presslake.operators.links import only_domain, require_category
 from presslake.operators.normalize import normalize
 from presslake.operators.skew import key_bucket
-from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS
-from presslake.sinks.files import rewrite_in_place, write_csv, write_lines, write_parquet
+from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, ROW_GROUP_ROWS
+from presslake.sinks.files import read_partitioned, rewrite_in_place, write_csv, write_lines, write_parquet
 from presslake.sources.files import POSITION, scan_lines, scan_url_list, with_source_name
-from presslake.sources.spread import spread
 
 
 # -- raw lines to articles ---------------------------------------------------
@@ -44,14 +44,14 @@ def convert(spark: SparkSession, source: str | Sequence[str], target: str, dedup
     """Raw JSON lines to one Parquet dataset, first-wins within each input file."""
     lines = scan_lines(spark, source)
     rows = articles_from_lines(lines, POSITION, ["src_path"], dedup)
-    write_parquet(rows.drop("src_path"), target)
+    write_parquet(rows.drop("src_path"), target, row_group_rows=ROW_GROUP_ROWS)
 
 
 def convert_files(spark: SparkSession, sources: Sequence[str], target: str) -> None:
     """A list of raw files in one job, no de-duplication, one partition per input name."""
     lines = with_source_name(scan_lines(spark, sources))
     rows = normalize(lines).select("src_file", *ARTICLE_COLUMNS)
-    write_parquet(rows, target, partition_by=["src_file"])
+    write_parquet(rows, target, partition_by=["src_file"], row_group_rows=ROW_GROUP_ROWS)
 
 
 # -- dates ------------------------------------------------------------------------
@@ -61,16 +61,26 @@ def with_dates(articles: DataFrame) -> DataFrame:
 
 
 def enrich_in_place(spark: SparkSession, path: str) -> bool:
-    """Add ``date_parsed`` to a stored dataset; False if it was there already."""
-    if "date_parsed" in spark.read.parquet(path).columns:
-        return False
+    """Add ``date_parsed`` to a stored dataset; False if all its rows have been through it.
+
+    A dataset that got new files since is enriched again.
+    """
+    stored = read_partitioned(spark, path)
+    if "date_parsed" in stored.columns:
+        dated = stored.select("date_parsed", parse_date("publish_date").alias("expected"))
+        if not dated.where("date_parsed is null and expected is not null").limit(1).count():
+            return False
     rewrite_in_place(spark, path, with_dates)
     return True
 
 
 def day_slice_csv(articles: DataFrame, month: int, day: int, target: str) -> None:
-    """Distinct (url, content) of one calendar day of every year, as CSV."""
-    write_csv(on_month_day(articles, month, day), target)
+    """Distinct (url, content) of one calendar day of every year, as CSV.
+
+    Articles without ``date_parsed`` have their publish date read first.
+    """
+    dated = articles if "date_parsed" in articles.columns else with_dates(articles)
+    write_csv(on_month_day(dated, month, day), target)
 
 
 # -- layout ----------------------------------------------------------------------
@@ -112,21 +122,15 @@ def follow_links(section_pages: DataFrame, domain: str) -> DataFrame:
     return per_link.agg(first.alias("f")).select("url", F.col("f.category").alias("category"))
 
 
-def crawl(
-    section_pages: DataFrame, pages: DataFrame, domain: str, backfill: bool = False
-) -> DataFrame:
+def crawl(section_pages: DataFrame, pages: DataFrame, domain: str) -> DataFrame:
     """Discover, follow, extract: article rows of the pages the sections link to.
 
-    The join with stored pages stands for the download. For a run that follows
-    few links it comes first: only linked pages are parsed, and adaptive execution
-    broadcasts the links, so no page body moves. For a ``backfill``, which follows
-    most of them, all pages are parsed in place and only their article rows join.
+    The join with stored pages stands for the download. Pages are parsed where
+    they lie, behind a Bloom filter of the links that has the same size for few
+    and for many of them; only article rows take part in the join.
     """
     links = follow_links(section_pages, domain)
-    stored = spread(pages.select("url", "html"))
-    if not backfill:
-        return extract_articles(stored.join(links, "url"), domain)
-    rows = extract_articles(stored, domain)
+    rows = extract_articles(pages.select("url", "html"), domain, only=bloom_of(links, "url"))
     label = F.coalesce(F.col("label"), F.lit("unknown"))
     joined = rows.join(links.withColumnRenamed("category", "label"), "url")
     return joined.withColumn("category", label).select(rows.columns)
@@ -164,7 +168,7 @@ def run_categories(articles: DataFrame, keys: Sequence[str], target: str) -> Dat
 # -- runs ------------------------------------------------------------------------
 def merge_runs(articles: DataFrame, order: Sequence[str]) -> DataFrame:
     """Overlapping crawl runs to one row per article, the earliest run first."""
-    return dedup_runs(articles, list(order))
+    return first_wins(articles, ["article_id"], list(order))
 
 
 def new_articles(batch: DataFrame, archive: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -20,6 +21,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_scratch: str | None = None
+_run_folders: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,5 +49,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the scratch root (not created yet)."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder name below the scratch root (not created yet).
+
+    All folders of this process lie in one folder, which is removed when the
+    process ends: what a query staged may be read as long as the session lives.
+    """
+    root = scratch_root(spark)
+    if root not in _run_folders:
+        _run_folders[root] = f"{root}/presslake-run-{uuid.uuid4().hex[:12]}"
+        atexit.register(_remove, spark, _run_folders[root])
+    return f"{_run_folders[root]}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder, unless the JVM has ended already."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # at exit nothing can be done about it
+        pass

@@ -5,24 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from presslake.schema import ROW_GROUP_ROWS
-from presslake.sources.spread import is_small
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BOM = "\ufeff"
 
 
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of one output partition together, large ones split over several tasks.
-
-    A small result would be packed into one task, which then writes one file after
-    the other; it is dealt out over the cores instead.
-    """
+    """Rows of one output partition together, large ones split over several tasks."""
     if not partition_by:
         return df
-    if is_small(df):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_by)
     return df.hint("rebalance", *[F.col(name) for name in partition_by])
 
 
@@ -31,16 +22,17 @@ def write_parquet(
     path: str,
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
-    row_group_rows: int = ROW_GROUP_ROWS,
+    row_group_rows: int | None = None,
 ) -> None:
-    """Snappy Parquet with at most ``row_group_rows`` rows per row group.
+    """Snappy Parquet; row groups by size, or of ``row_group_rows`` rows at most.
 
     With ``partition_by`` the rows are first rebalanced by those columns: a
     partition gets few files, and adaptive execution splits one that holds a
     large share of the rows over several tasks.
     """
     writer = _balanced(df, partition_by).write.mode(mode).option("compression", "snappy")
-    writer = writer.option("parquet.block.row.count.limit", str(row_group_rows))
+    if row_group_rows:
+        writer = writer.option("parquet.block.row.count.limit", str(row_group_rows))
     writer.partitionBy(*partition_by).parquet(path)
 
 
@@ -77,21 +69,54 @@ def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return reader.option("multiLine", "true").option("enforceSchema", "true").csv(path)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``name=value`` folder levels of a stored dataset, outermost first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = []
+    while True:
+        folders = [s.getPath() for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not folders:
+            return names
+        at = folders[0]
+        names.append(at.getName().partition("=")[0])
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A stored dataset with all columns of all its files; folder values stay text, as written."""
+    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    folders = set(partition_columns(spark, path))
+    fields = [T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in merged]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _restore(fs, target, hadoop) -> None:
+    """Put back a dataset that a stopped rewrite had set aside."""
+    if not fs.exists(target):
+        aside = fs.globStatus(hadoop.Path(f"{target.toString()}.old-*"))
+        if aside and len(aside) == 1:
+            fs.rename(aside[0].getPath(), target)
+
+
 def rewrite_in_place(
     spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Replace a Parquet dataset by ``transform`` of itself.
+    """Replace a Parquet dataset by ``transform`` of itself; its partition folders stay.
 
     The result is written next to the dataset and swapped in once complete. On
-    failure the dataset stays as it was and the partial result is removed.
+    failure the dataset stays as it was and the partial result is removed. If the
+    process ends between the two renames, the next rewrite puts the dataset back.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    _restore(fs, target, hadoop)
     stamp = uuid.uuid4().hex[:12]
     staged, previous = hadoop.Path(f"{path}.tmp-{stamp}"), hadoop.Path(f"{path}.old-{stamp}")
     try:
-        write_parquet(transform(spark.read.parquet(path)), staged.toString())
+        folders = partition_columns(spark, path)
+        write_parquet(transform(read_partitioned(spark, path)), staged.toString(), partition_by=folders)
     except Exception:
         fs.delete(staged, True)
         raise

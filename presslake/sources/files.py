@@ -27,6 +27,26 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return found
 
 
+def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """All data files below the given paths (globs allowed), in order of their path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    todo = [
+        (path.getFileSystem(conf), status)
+        for path in map(hadoop.Path, existing(spark, paths))
+        for status in path.getFileSystem(conf).globStatus(path)
+    ]
+    found = []
+    while todo:
+        fs, status = todo.pop()
+        if status.isFile():
+            found.append(status.getPath().toString())
+            continue
+        children = fs.listStatus(status.getPath())
+        todo += [(fs, child) for child in children if child.getPath().getName()[0] not in "_."]
+    return sorted(found)
+
+
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines with their position; a missing input counts as empty."""
     wanted = [paths] if isinstance(paths, str) else list(paths)
@@ -90,6 +110,13 @@ def scan_url_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def scan_limit(spark: SparkSession, paths: str | Sequence[str], n_lines: int) -> DataFrame:
     """The first ``n_lines`` input lines in file order, blank lines included.
 
-    Every task keeps only its own first lines, so no full sort takes place.
+    Files are taken in order, twice as many in each step, until they hold enough
+    lines; later files are never opened. Every task keeps only its own first lines.
     """
-    return scan_lines(spark, paths).orderBy(*POSITION).limit(n_lines)
+    files = list_files(spark, [paths] if isinstance(paths, str) else list(paths))
+    chosen, missing, step = scan_lines(spark, files[:1]).limit(0), n_lines, 1
+    while files and missing > 0:
+        part = scan_lines(spark, files[:step]).orderBy(*POSITION).limit(missing)
+        chosen, missing = chosen.unionByName(part), missing - part.count()
+        files, step = files[step:], 2 * step
+    return chosen

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.schema import MONTH_NUMBERS
-from presslake.sources.spread import spread
 
 DOCUMENT_DDL = "doc_id long, text string, lang string, source string, n_chars long"
 EVENT_DDL = (
@@ -40,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DDL[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by ``key``: a driver table is one file of one row group, so one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _words(values) -> str:
     return "array(" + ", ".join(f"'{value}'" for value in values) + ")"
 
@@ -69,7 +73,7 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers as ids, booleans, missing and wrongly typed fields, mixed media,
     repeated ids with another title, and broken lines between the good ones.
     """
-    docs = spread(table(spark, sf_dir, "documents")).withColumn("ts", F.expr(DOC_TS))
+    docs = dealt(table(spark, sf_dir, "documents"), "doc_id").withColumn("ts", F.expr(DOC_TS))
     copies = "if(doc_id % 10 in (1, 2), doc_id % 10, 0)"
     image = """concat('{"type":"image","url":"/static/', doc_id, '.jpg","alt":"', source, '"')"""
     members = docs.selectExpr(
@@ -146,12 +150,18 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as articles whose publish date is Arabic text."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return spread(events).selectExpr(
+    """Events as articles whose publish date is Arabic text.
+
+    The events lie in one month; shifted by their number, they fall into all twelve.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
+    shifted = "ts + make_ym_interval(0, cast(event_id % 12 as int))"
+    return dealt(events, "event_id").withColumn("ts", F.expr(shifted)).selectExpr(
         "event_id",
         "event_type as category",
         f"{arabic_date('ts', 'event_id % 3 <> 0')} as publish_date",
+        f"concat('{HOST}/event/', user_id) as url",
+        "event_type as content",
     )
 
 
@@ -184,7 +194,7 @@ def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 23rd page lacks the container. The audio link sits outside of it.
     """
-    docs = spread(table(spark, sf_dir, "documents")).withColumn("ts", F.expr(DOC_TS))
+    docs = dealt(table(spark, sf_dir, "documents"), "doc_id").withColumn("ts", F.expr(DOC_TS))
     return docs.selectExpr(
         "doc_id",
         f"concat('{HOST}/story/', doc_id) as url",
@@ -264,7 +274,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, url``: URLs made of whole texts, with escapes, plus signs, broken escapes and outer blanks."""
     path = "replace(url_encode(text), '+', '%20')"
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).selectExpr(
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").selectExpr(
         "doc_id", f"concat('\\u00a0{HOST}/', {path}, '?a+b=%zz%4', if(doc_id % 2 = 0, '  ', '')) as url"
     )
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from presslake.functions.text import WHITESPACE
-from presslake.schema import CATEGORY_LABELS, MONTH_NUMBERS
 from presslake.workload.fixtures import (
     EPOCH,
     FIRST_RUN_BELOW,
@@ -16,6 +14,25 @@ from presslake.workload.fixtures import (
     WEEKDAYS,
 )
 
+# Fixed values, stated here once more: a wrong constant of the library must not
+# pass because its oracle shares it.
+WHITESPACE = "".join(
+    map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
+MONTHS = "يناير فبراير مارس أبريل مايو يونيو يوليو أغسطس سبتمبر أكتوبر نوفمبر ديسمبر".split()
+CATEGORY_LABELS = {
+    "arab": "عرب",
+    "art": "فن",
+    "caricature": "كاريكاتير",
+    "economy": "اقتصاد و بورصة",
+    "investigations": "تحقيقات",
+    "television": "تلفزيون",
+    "urgent": "عاجل",
+    "your_horoscope_today": "حظك اليوم",
+}
+# Event times, shifted into all twelve months.
+EVENT_TS = "(ts + to_months(CAST(event_id % 12 AS INTEGER)))"
+
 
 def _list(values) -> str:
     return "[" + ", ".join(f"'{value}'" for value in values) + "]"
@@ -27,7 +44,7 @@ def _strip(x: str) -> str:
 
 def _arabic(ts: str, with_weekday: str = "true") -> str:
     return f"""(CASE WHEN {with_weekday} THEN ({_list(WEEKDAYS)})[isodow({ts})] || '، ' ELSE '' END
-        || day({ts}) || ' ' || ({_list(MONTH_NUMBERS)})[month({ts})] || ' ' || year({ts}) || ' '
+        || day({ts}) || ' ' || ({_list(MONTHS)})[month({ts})] || ' ' || year({ts}) || ' '
         || strftime({ts}, '%I:%M') || CASE WHEN hour({ts}) < 12 THEN ' ص' ELSE ' م' END)"""
 
 
@@ -193,8 +210,9 @@ ORACLES: dict[str, str] = {
         SELECT article_id, url, category, title, author, content, date_parsed, tags, n_media FROM feed WHERE k = 0""",
     "ustrip": f"SELECT doc_id, {_strip('text')} AS stripped FROM documents",
     "url_key": f"""SELECT doc_id, '{HOST}/' || text || '?a+b=%zz%4' AS url_key FROM documents""",
-    "date_clean": "SELECT event_id, day(ts) || strftime(ts, ' %m %Y %I:%M %p') AS clean FROM events",
-    "parse_date": "SELECT event_id, date_trunc('minute', ts) AS date_parsed FROM events",
+    "date_clean": f"""SELECT event_id, day({EVENT_TS}) || strftime({EVENT_TS}, ' %m %Y %I:%M %p') AS clean
+        FROM events""",
+    "parse_date": f"SELECT event_id, date_trunc('minute', {EVENT_TS}) AS date_parsed FROM events",
     "page_id": "SELECT page_id, string_split(url, '/')[-1] AS file_id FROM pages",
     "media_provider": f"""SELECT page_id, pos, CASE
           WHEN pos = 3 THEN 'unknown' WHEN pos = 2 THEN 'internal' WHEN pos = 1 THEN 'external'
@@ -275,12 +293,32 @@ ORACLES: dict[str, str] = {
         f AS (SELECT *, min(p) OVER (PARTITION BY doc_id, url) AS first FROM m)
         SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS pos, type, url FROM f WHERE p = first""",
     "crawl_join_extract": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url,
+          'section' || (doc_id // {LINKS_PER_LISTING} % 7) AS category, {_strip('split_part(text, chr(10), 1)')} AS title,
+          {BODY} AS content FROM documents WHERE doc_id % 23 <> 0 AND doc_id // {LINKS_PER_LISTING} % 7 = 0""",
+    "crawl_backfill": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {PAGE_URL} AS url,
           'section' || (doc_id // {LINKS_PER_LISTING} % 7) AS category, {_strip('split_part(text, chr(10), 1)')} AS title,
           {BODY} AS content FROM documents WHERE doc_id % 23 <> 0""",
     "parquet_roundtrip": f"""WITH {FEED} SELECT article_id, url, category, title, publish_date, author, content,
           tags, true AS media FROM feed""",
     "csv_export": f"WITH {ARTICLES} SELECT url, content FROM articles",
-    "enrich_in_place": "SELECT event_id, date_trunc('minute', ts) AS date_parsed FROM events",
+    "enrich_in_place": f"SELECT event_id, date_trunc('minute', {EVENT_TS}) AS date_parsed FROM events",
+    "shape": "SELECT count(*) AS n_rows, 5 AS n_columns FROM documents",
+    "seed": f"""SELECT DISTINCT 'urgent' AS section, '{HOST}/Section/src0/11' AS url FROM documents WHERE source = 'src0'""",
+    "listing_links": f"""SELECT '{HOST}/Section/news/' || (doc_id // {LINKS_PER_LISTING}) AS url,
+          row_number() OVER (PARTITION BY doc_id // {LINKS_PER_LISTING} ORDER BY doc_id) - 1 AS pos,
+          {PAGE_URL} AS link FROM documents""",
+    "link_category": f"""SELECT {PAGE_URL} AS link, 'economy' AS category FROM documents
+        UNION ALL SELECT '{HOST}/story/' || min(doc_id), 'economy' FROM documents GROUP BY doc_id // {LINKS_PER_LISTING}
+        UNION ALL SELECT 'https://foreign.example.org/story/' || min(doc_id), 'economy' FROM documents
+          GROUP BY doc_id // {LINKS_PER_LISTING}""",
+    "head_n": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+        ORDER BY o_orderkey LIMIT 10""",
+    "n_unique_events": "SELECT count(*) AS n_unique FROM (SELECT DISTINCT ts, event_type, value FROM events)",
+    "ingest_enriched": f"""WITH {FEED} SELECT article_id, title, date_trunc('minute', date_parsed) AS date_parsed,
+          CAST(CASE WHEN n_chars < {FIRST_RUN_BELOW} THEN 0 ELSE 1 END AS BIGINT) AS batch FROM feed WHERE k = 0""",
+    "ingest_backlog": f"WITH {FEED} SELECT article_id, title FROM feed WHERE k = 0",
+    "day_slice_events": f"""SELECT DISTINCT '{HOST}/event/' || user_id AS url, event_type AS content FROM events
+        WHERE month({EVENT_TS}) = 3 AND day({EVENT_TS}) = 21""",
     "partitioned_layout": """SELECT event_id, ts AS date_parsed, event_type AS category,
           strftime(ts, '%Y-%m-%d') AS pub_date FROM events""",
     "category_batch": """SELECT c AS category, count(doc_id) AS n_articles,
@@ -307,4 +345,3 @@ ORACLES: dict[str, str] = {
         FROM c LEFT JOIN documents ON doc_id % {len(CATEGORY_LABELS) - 1} = i GROUP BY category""",
     "page_archive": "SELECT string_split(url, '/')[-1] AS file_id, url, html FROM pages",
 }
-ORACLES["crawl_backfill"] = ORACLES["crawl_join_extract"]

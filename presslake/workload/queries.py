@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from presslake.operators import analytics, coverage, dedup, extract, links
 from presslake.operators.normalize import normalize, reject_report
 from presslake.plans import articles as plans
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, SCALAR_FIELDS
-from presslake.session import scratch_dir
+from presslake.session import configure, scratch_dir
 from presslake.sinks import files as sinks
 from presslake.sources import files as sources
 from presslake.streaming.ingest import ingest, read_archive
@@ -23,9 +24,18 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    """Register under the function's name; a trailing underscore only avoids a clash."""
-    QUERIES[fn.__name__.rstrip("_")] = fn
-    return fn
+    """Register under the function's name; a trailing underscore only avoids a clash.
+
+    The session gets its settings here, before the query is built; the operators
+    never change them.
+    """
+
+    @wraps(fn)
+    def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(configure(spark), sf_dir)
+
+    QUERIES[fn.__name__.rstrip("_")] = configured
+    return configured
 
 
 def _joined(column: str) -> Column:
@@ -72,6 +82,20 @@ def scan_limit(spark, sf_dir):
     return sources.scan_limit(spark, path, 150).select("value")
 
 
+@query
+def shape(spark, sf_dir):
+    counts = analytics.shape(fx.table(spark, sf_dir, "documents"))
+    return spark.createDataFrame([counts], "n_rows long, n_columns long")
+
+
+@query
+def seed(spark, sf_dir):
+    """The seed page of one section; the sections are the sources, one of them under a known key."""
+    named = F.when(F.col("section") == "src0", "urgent").otherwise(F.col("section"))
+    sections = fx.source_sections(spark, sf_dir).withColumn("section", named)
+    return links.seed_urls(sections, fx.HOST, "urgent")
+
+
 @query
 def frontier(spark, sf_dir):
     return links.frontier(fx.source_sections(spark, sf_dir), fx.HOST)
@@ -262,6 +286,12 @@ def before_year_(spark, sf_dir):
     return orders.filter(before_year(F.col("o_orderdate"), 1996))
 
 
+@query
+def head_n(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return analytics.head(orders.filter(before_year(F.col("o_orderdate"), 1996)), 10, ["o_orderkey"])
+
+
 @query
 def quality_filters(spark, sf_dir):
     return analytics.quality_issues(fx.articles(spark, sf_dir))
@@ -277,6 +307,14 @@ def n_unique_rows(spark, sf_dir):
     return analytics.n_unique_rows(fx.table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@query
+def n_unique_events(spark, sf_dir):
+    """Times to the microsecond and doubles, with both zeros."""
+    events = fx.table(spark, sf_dir, "events")
+    zero = F.when(F.col("event_id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0))
+    return analytics.n_unique_rows(events.select("ts", "event_type", "value", (zero * F.col("user_id")).alias("zero")))
+
+
 @query
 def distinct_content(spark, sf_dir):
     return analytics.distinct_values(fx.articles(spark, sf_dir), "content")
@@ -325,6 +363,18 @@ def frontier_duplicates(spark, sf_dir):
     return dedup.duplicate_stats(frontier_dedup(spark, sf_dir))
 
 
+@query
+def listing_links(spark, sf_dir):
+    rows = extract.extract_links(fx.listing_pages(spark, sf_dir), keep=["url"])
+    return rows.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query
+def link_category(spark, sf_dir):
+    rows = extract.extract_links(fx.listing_pages(spark, sf_dir), extract.SECTION_LINKS)
+    return links.with_category(rows.select("link"), "economy")
+
+
 @query
 def domain_filter(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages").select("page_id", "url")
@@ -373,20 +423,23 @@ def media_dedup(spark, sf_dir):
     return _exploded_media(rows.withColumn("media", dedup.media_first_wins(F.col("media"))), "doc_id")
 
 
-def _crawled(spark, sf_dir, backfill):
+def _crawled(spark, sf_dir, sections):
     pages = fx.article_pages(spark, sf_dir).drop("category")
-    rows = plans.crawl(fx.listing_pages(spark, sf_dir), pages, fx.SITE, backfill)
+    rows = plans.crawl(sections, pages, fx.SITE)
     return rows.select("article_id", "url", "category", "title", "content")
 
 
 @query
 def crawl_join_extract(spark, sf_dir):
-    return _crawled(spark, sf_dir, backfill=False)
+    """A run over the sections of one category."""
+    sections = fx.listing_pages(spark, sf_dir)
+    return _crawled(spark, sf_dir, sections.where("category = 'section0'"))
 
 
 @query
 def crawl_backfill(spark, sf_dir):
-    return _crawled(spark, sf_dir, backfill=True)
+    """A run that follows every link."""
+    return _crawled(spark, sf_dir, fx.listing_pages(spark, sf_dir))
 
 
 # -- sinks and layout ------------------------------------------------------------------
@@ -453,6 +506,31 @@ def ingest_incremental(spark, sf_dir):
     return read_archive(spark, target).select("article_id", "title", "content", "batch")
 
 
+@query
+def ingest_enriched(spark, sf_dir):
+    """Ingest, enrich, ingest: the archive keeps its batches, its first lines and its dates."""
+    root = scratch_dir(spark, "ingest-enriched")
+    raw, target, checkpoint = f"{root}/raw", f"{root}/articles", f"{root}/checkpoint"
+    for run_ts, lines in _runs(spark, sf_dir):
+        plans.land_run(lines, raw, "urgent", run_ts)
+        ingest(spark, raw, target, checkpoint)
+        plans.enrich_in_place(spark, target)
+    return read_archive(spark, target).select("article_id", "title", "date_parsed", "batch")
+
+
+@query
+def ingest_backlog(spark, sf_dir):
+    """Two waiting runs with the same ids, worked off file by file: the run that landed first wins."""
+    root = scratch_dir(spark, "ingest-backlog")
+    raw, target, checkpoint = f"{root}/raw", f"{root}/articles", f"{root}/checkpoint"
+    lines = fx.article_lines(spark, sf_dir).select("value")
+    retitled = lines.withColumn("value", F.replace("value", F.lit('"title":"'), F.lit('"title":"later ')))
+    plans.land_run(lines.coalesce(1), raw, "urgent", "20240101T000000")
+    plans.land_run(retitled.coalesce(1), raw, "arab", "20240102T000000")
+    ingest(spark, raw, target, checkpoint, max_files_per_batch=1)
+    return read_archive(spark, target).select("article_id", "title")
+
+
 @query
 def convert_runs(spark, sf_dir):
     root = scratch_dir(spark, "convert")
@@ -487,6 +565,14 @@ def day_slice_csv(spark, sf_dir):
     return sinks.read_csv(spark, path, "url string, content string")
 
 
+@query
+def day_slice_events(spark, sf_dir):
+    """From the Arabic publish date to the CSV of one calendar day."""
+    path = scratch_dir(spark, "slice-events")
+    plans.day_slice_csv(fx.dated_events(spark, sf_dir), 3, 21, path)
+    return sinks.read_csv(spark, path, "url string, content string")
+
+
 @query
 def missing_file(spark, sf_dir):
     root = scratch_dir(spark, "missing")

@@ -35,6 +35,21 @@ def test_unique_rows_and_distinct(spark):
     assert analytics.shape(df) == (6, 3)
 
 
+def test_unique_rows_see_microseconds_and_zeros(spark):
+    rows = [("2024-01-01 00:00:00.000001", 0.0), ("2024-01-01 00:00:00.000002", 0.0), ("2024-01-01 00:00:00.000001", -0.0)]
+    df = spark.createDataFrame(rows, "t string, x double")
+    for kind in ("timestamp", "timestamp_ntz"):
+        assert analytics.n_unique_rows(df.withColumn("t", F.col("t").cast(kind))).first().n_unique == 2
+
+
+def test_head_and_batches(spark):
+    df = spark.range(1000).withColumn("k", 1000 - F.col("id")).repartition(7)
+    assert [r.k for r in analytics.head(df, 3, ["k"]).collect()] == [1, 2, 3]
+    batches = list(analytics.in_batches(df, 300))
+    assert [len(b) for b in batches] == [300, 300, 300, 100]
+    assert {r.id for b in batches for r in b} == set(range(1000))
+
+
 def nearest(values, p):
     ordered = sorted(values)
     return ordered[math.floor((len(ordered) - 1) * p + 0.5)]
@@ -53,10 +68,23 @@ def test_exact_quantiles(spark):
     for values in samples.values():
         df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long").repartition(5)
         want = [nearest(values, p) for p in probabilities]
-        assert analytics.exact_quantiles(df, "v", probabilities) == want
+        assert analytics.exact_quantiles(df, {"v": probabilities})[0] == {"v": want}
         # a margin too small to hold the ranks is widened until it does
-        assert analytics.exact_quantiles(df, "v", probabilities, margin=1e-9) == want
-    assert analytics.exact_quantiles(df.filter("v > 3"), "v", [0.5]) == [None]
+        assert analytics.exact_quantiles(df, {"v": probabilities}, margin=1e-9)[0] == {"v": want}
+    assert analytics.exact_quantiles(df.filter("v > 3"), {"v": [0.5]})[0] == {"v": [None]}
+
+
+def test_quantiles_of_several_columns_in_three_passes(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.random(), rng.randint(0, 99), dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=rng.randrange(10**12)))
+            for _ in range(5000)]
+    df = spark.createDataFrame(rows, "x double, n int, t timestamp_ntz").repartition(4)
+    wanted = {"x": [0.1, 0.5], "n": [0.5], "t": [0.0, 0.9]}
+    want = {c: [nearest([r[i] for r in rows], p) for p in wanted[c]] for i, c in enumerate(wanted)}
+    found, stats = analytics.exact_quantiles(df, wanted, stats=[F.count("*").alias("rows")])
+    assert (found, stats) == (want, {"rows": 5000})
+    monkeypatch.setattr(analytics, "RANKED_VALUES", 20)  # ranges must be narrowed first
+    assert analytics.exact_quantiles(df, wanted, margin=0.2)[0] == want
 
 
 def test_describe(spark):
@@ -82,6 +110,8 @@ def test_quality_and_sql(spark):
     got = sorted((r.issue, r.url) for r in analytics.quality_issues(df).collect())
     assert got == [("empty_content", "u1"), ("no_author", "u1"), ("no_author", "u3")]
     assert [r.content for r in analytics.content_like(df, "الحمل").collect()] == ["xالحملy"]
+    literal = spark.createDataFrame([("100% sure",), ("1000 sure",)], "content string")
+    assert [r.content for r in analytics.content_like(literal, "100% s").collect()] == ["100% sure"]
 
 
 def test_filters_reach_the_scan(spark, tmp_path):

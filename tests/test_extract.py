@@ -74,7 +74,15 @@ def test_links(spark):
     assert counts == {BASE: 2, "https://e.org/": 0}
 
 
-def test_pages_without_the_container_name_stay_in_the_jvm(spark):
-    plan = pick_nodes(pages(spark, (BASE, "", "c")), ARCHIVE_RULES, ARCHIVE_CONTAINER)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.index("MapInArrow") < text.index("Contains(html")
+def test_container_selectors_of_any_form(spark):
+    """Upper-case tags and compound selectors: no page with the container is lost."""
+    rule = ARCHIVE_RULES[1]
+    html = {
+        "article": "<ARTICLE><H1>t</H1></ARTICLE>",
+        "div.main": '<div class="x main"><h1>t</h1></div>',
+        "div#m": "<DIV ID=m><h1>t</h1></DIV>",
+        ".main": "<p class='main'><h1>t</h1></p>",
+    }
+    for container, page in html.items():
+        assert pick_nodes(pages(spark, ("u", page, "c")), (rule,), container).count() == 1, container
+    assert pick_nodes(pages(spark, ("u", "<p>x</p>", "c")), (rule,), "div.main").count() == 0

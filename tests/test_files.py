@@ -54,6 +54,16 @@ def test_scan_limit_counts_blank_lines(spark, tmp_path):
     assert [r.value for r in sources.scan_limit(spark, path, 3).collect()] == ["a", "", "b"]
 
 
+def test_scan_limit_opens_no_later_files(spark, tmp_path):
+    for i in range(9):
+        write(tmp_path / f"{i}.txt", f"{i}a", f"{i}b")
+    rows = sources.scan_limit(spark, str(tmp_path), 3)
+    assert [r.value for r in rows.collect()] == ["0a", "0b", "1a"]
+    assert not any(f.endswith("4.txt") for f in rows.inputFiles())
+    assert sources.scan_limit(spark, str(tmp_path), 100).count() == 18
+    assert sources.scan_limit(spark, str(tmp_path / "nowhere"), 3).count() == 0
+
+
 def test_first_line_wins_across_splits_of_one_file(spark, tmp_path):
     lines = [record(i % 50, title=f"t{i}", content="x" * 200) for i in range(5000)]
     path = write(tmp_path / "big.jsonl", *lines)
@@ -95,7 +105,7 @@ def test_source_names(spark, tmp_path):
 
 def test_row_groups_and_compression(spark, tmp_path):
     path = str(tmp_path / "p")
-    sinks.write_parquet(spark.range(12000).coalesce(1), path)
+    sinks.write_parquet(spark.range(12000).coalesce(1), path, row_group_rows=5000)
     (part,) = glob.glob(f"{path}/*.parquet")
     meta = pq.ParquetFile(part).metadata
     assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [5000, 5000, 2000]
@@ -143,6 +153,26 @@ def test_enrich_in_place(spark, tmp_path):
     assert [os.path.basename(p) for p in glob.glob(f"{path}*")] == ["d"]
 
 
+def test_rewrite_keeps_partition_folders(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = [("1", "x", "001"), ("2", "y", "a b"), ("3", "z", None)]
+    sinks.write_parquet(spark.createDataFrame(rows, "id string, v string, part string"), path, partition_by=["part"])
+    folders = sorted(os.path.basename(f) for f in glob.glob(f"{path}/part=*"))
+    sinks.rewrite_in_place(spark, path, lambda df: df.withColumn("w", F.upper("v")))
+    assert sorted(os.path.basename(f) for f in glob.glob(f"{path}/part=*")) == folders
+    assert "part=001" in folders
+    assert sorted((r.id, r.w) for r in spark.read.parquet(path).collect()) == [("1", "X"), ("2", "Y"), ("3", "Z")]
+
+
+def test_a_stopped_rewrite_is_put_back(spark, tmp_path):
+    path = tmp_path / "d"
+    sinks.write_parquet(spark.range(5), str(path))
+    path.rename(tmp_path / "d.old-0123456789ab")  # the process ended between the two renames
+    sinks.rewrite_in_place(spark, str(path), lambda df: df.withColumn("x", F.lit(1)))
+    assert spark.read.parquet(str(path)).where("x = 1").count() == 5
+    assert [os.path.basename(p) for p in glob.glob(f"{path}*")] == ["d"]
+
+
 def test_failed_rewrite_leaves_the_dataset(spark, tmp_path):
     path = str(tmp_path / "d")
     sinks.write_parquet(spark.range(5), path)
@@ -187,5 +217,5 @@ def test_frontier_seed_and_categories(spark):
 def test_scratch_follows_the_session_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_root(spark) == shared
-    assert scratch_dir(spark, "a").startswith(shared + "/a-")
+    assert scratch_dir(spark, "a").startswith(shared + "/presslake-run-")
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")

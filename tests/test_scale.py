@@ -1,13 +1,15 @@
 """What the plans must look like for large inputs, and properties over the workload."""
 
+import glob
 import os
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
+from presslake.functions.bloom import bloom_of
 from presslake.operators.coverage import coverage_report, missing_urls
 from presslake.operators.dedup import first_wins
 from presslake.operators.extract import extract_articles
@@ -15,9 +17,9 @@ from presslake.operators.normalize import normalize
 from presslake.plans import articles as plans
 from presslake.sinks.files import _balanced
 from presslake.sources.files import urls_of_lines
-from presslake.sources.spread import SMALL_BYTES_PER_CORE, spread
 from presslake.streaming.ingest import ingest, read_archive
 from presslake.workload import fixtures as fx
+from presslake.workload.queries import QUERIES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -28,16 +30,16 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 FIRST_ROWS = {"dedup_first", "dedup_cross_run", "append_new", "articles_table", "top_tags_feed"}
 WINDOWS = {"top_tags_share", *FIRST_ROWS}
 # One-row results.
-TOTALS = {"column_counts", "n_unique_rows", "coverage_report", "frontier_duplicates"}
+TOTALS = {"column_counts", "n_unique_rows", "n_unique_events", "coverage_report", "frontier_duplicates"}
 
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    plan = physical(entry_module.queries()[name](spark, SF_DIR))
+    plan = physical(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
     assert ("Window " in plan) == (name in WINDOWS)
@@ -52,24 +54,37 @@ def test_page_bodies_do_not_pass_the_python_stage(spark):
 
 
 def test_feed_reads_only_the_named_fields(spark):
-    plan = physical(entry_module.queries()["top_tags_feed"](spark, SF_DIR))
+    plan = physical(QUERIES["top_tags_feed"](spark, SF_DIR))
     start = plan.index("from_json(")
     parsed = plan[start : plan.index("StructField(_bad", start)]
     assert "StructField(tags" in parsed and "StructField(content" not in parsed
 
 
-def test_spread_only_moves_small_inputs(spark, monkeypatch):
-    small = spark.range(10)
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr("presslake.sources.spread.SMALL_BYTES_PER_CORE", 1)
-    assert spread(small) is small
-    assert SMALL_BYTES_PER_CORE == 16 * 1024 * 1024
+def test_crawl_never_moves_html(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = fx.table(spark, SF_DIR, "pages").select("url", "html")
+        plan = physical(plans.crawl(fx.listing_pages(spark, SF_DIR), pages, fx.SITE))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    side = plan[plan.index("SortMergeJoin") :]
+    for part in side.split("Exchange ")[1:]:
+        rows = part.split("MapInArrow")[0]
+        assert "html" not in rows.replace("_html", "html") or "MapInArrow" not in part
 
 
-def test_large_partitioned_writes_are_rebalanced(spark, monkeypatch):
+def test_bloom_filter_holds_every_value(spark):
+    links = spark.range(5000).select(F.concat(F.lit("http://x/"), "id").alias("url"))
+    bloom = bloom_of(links, "url")
+    hashes = [r[0] for r in spark.range(10000).select(F.xxhash64(F.concat(F.lit("http://x/"), "id"))).collect()]
+    held = bloom.may_hold(np.array(hashes, np.int64))
+    assert held[:5000].all() and held[5000:].mean() < 0.01
+    assert not bloom_of(links.limit(0), "url").may_hold(np.array(hashes, np.int64)).any()
+
+
+def test_partitioned_writes_are_rebalanced(spark):
     df = spark.range(10).withColumn("category", F.col("id") % 3)
-    assert "REPARTITION_BY_NUM" in physical(_balanced(df, ["category"]))
-    monkeypatch.setattr("presslake.sources.spread.SMALL_BYTES_PER_CORE", 0)
     assert "REBALANCE_PARTITIONS_BY_COL" in physical(_balanced(df, ["category"]))
     assert _balanced(df, []) is df
 
@@ -106,9 +121,25 @@ def test_lake_prunes_partitions(spark, tmp_path):
     path = f"{tmp_path}/lake"
     events = fx.table(spark, SF_DIR, "events").selectExpr("event_id", "event_type as category", "ts as date_parsed")
     plans.write_lake(events, path)
-    day = spark.read.parquet(path).filter("category = 'click' and pub_date = date'2024-01-05'")
-    assert "PartitionFilters: [isnotnull(category" in physical(day)
-    assert len(day.select("event_id").inputFiles()) < len(spark.read.parquet(path).inputFiles()) or day.count() > 0
+    stored = spark.read.parquet(path)
+    category, pub_date = stored.select("category", F.col("pub_date").cast("string")).first()
+    day = spark.read.schema(stored.schema).parquet(path).filter(
+        f"category = '{category}' and pub_date = date'{pub_date}'"
+    )
+    expected = day.count()
+    kept = f"category={category}/pub_date={pub_date}"
+    spoilt = 0
+    for file in glob.glob(f"{path}/*/*/*.parquet"):
+        if kept not in file:
+            with open(file, "wb") as broken:
+                broken.write(b"no parquet")
+            crc = os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc")
+            if os.path.exists(crc):
+                os.unlink(crc)
+            spoilt += 1
+    assert spoilt > 10 and expected > 0
+    spark.catalog.refreshByPath(path)
+    assert day.count() == expected  # a single other file would have failed the scan
 
 
 def test_workers_need_no_installed_package(tmp_path):

@@ -1,5 +1,9 @@
 import json
+import os
 
+import pytest
+
+from presslake.plans.articles import enrich_in_place
 from presslake.streaming.ingest import ingest, read_archive
 
 
@@ -41,13 +45,44 @@ def test_runs_replay_and_resume(spark, tmp_path):
 
 
 def test_backlog_in_several_batches_equals_one(spark, tmp_path):
+    """The run that landed first wins, whatever the names and the cut into batches."""
     raw = tmp_path / "raw"
-    for n in range(4):
-        land(raw / f"urgent_{n}.jsonl", *(record(i, f"run{n}") for i in range(n, n + 3)))
-    ingest(spark, str(raw), str(tmp_path / "one"), str(tmp_path / "check1"))
+    names = ["urgent_20260101", "arab_20260102", "urgent_20260103", "art_20260104"]
+    for n, name in enumerate(names):
+        folder = raw / f"{name}.jsonl"
+        land(folder, *(record(i, f"run{n}") for i in range(n, n + 3)))
+        os.utime(folder / "part-0.txt", (1_700_000_000 + n, 1_700_000_000 + n))
+    ingest(spark, str(raw), str(tmp_path / "one"), str(tmp_path / "check1"), max_files_per_batch=1000)
     ingest(spark, str(raw), str(tmp_path / "many"), str(tmp_path / "check2"), max_files_per_batch=1)
-    ids = [str(i) for i in range(6)]
+    expected = [(str(i), f"run{max(0, i - 2)}") for i in range(6)]
     for name in ("one", "many"):
-        rows = archive(spark, str(tmp_path / name))
-        assert [i for i, _ in rows] == ids
+        assert archive(spark, str(tmp_path / name)) == expected
     assert read_archive(spark, str(tmp_path / "many")).select("batch").distinct().count() == 4
+
+
+def test_files_of_one_instant_go_by_run(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for name, title in (("urgent_20260101", "first"), ("arab_20260102", "second")):
+        land(raw / f"{name}.jsonl", record(1, title))
+        os.utime(raw / f"{name}.jsonl" / "part-0.txt", (1_700_000_000, 1_700_000_000))
+    ingest(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "check"))
+    assert archive(spark, str(tmp_path / "out")) == [("1", "first")]
+
+
+def test_ingest_and_enrich_compose(spark, tmp_path):
+    raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "check")
+    dated = json.dumps({"article_id": 1, "url": "u", "title": "a", "publish_date": "1 يناير 2015 12:05 ص"})
+    land(raw / "urgent_1.jsonl", dated)
+    ingest(spark, str(raw), target, checkpoint)
+    assert enrich_in_place(spark, target) is True
+    land(raw / "urgent_2.jsonl", record(1, "late"), dated.replace(": 1,", ": 2,"))
+    ingest(spark, str(raw), target, checkpoint)
+    rows = {r.article_id: (r.title, r.date_parsed is not None, r.batch) for r in read_archive(spark, target).collect()}
+    assert rows == {"1": ("a", True, 0), "2": ("a", True, 1)}
+    assert enrich_in_place(spark, target) is False
+
+
+def test_other_data_is_no_archive(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        read_archive(spark, str(tmp_path / "out"))
