@@ -8,7 +8,8 @@ and the id position of every ``STRIDE``-th symbol, so a range of ids is decoded
 from the few symbols that cover it.
 
 Shards are rows of a Parquet table (``SHARD_DDL``): task and number give their
-order, ``before`` is the number of ids the task wrote earlier, ``docs`` and ``sizes`` name the documents, the rest is little-endian binary.
+order, ``before`` is the number of ids the task wrote earlier, ``docs`` and
+``sizes`` name the documents, the rest is little-endian binary.
 """
 
 from __future__ import annotations
