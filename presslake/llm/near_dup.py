@@ -3,13 +3,16 @@
 A document is its set of ``NGRAM``-word shingles. Documents with the same set form
 a copy class that is handled once, by its representative. A forest of ``TREES``
 tries indexes the representatives: the path of a document in a tree is a list of
-``DEPTH`` MinHash values, and documents that share a path prefix are neighbours.
-Starting at full depth the prefix is shortened level by level until two sets at
-the similarity threshold meet in some tree with probability ``recall`` at least.
+``DEPTH`` MinHash values. A trie is stored as its sorted paths: the values that
+neighbours share are the depth of the branch between them, so one sort serves all
+prefix lengths. Matched prefixes are shortened from full depth, level by level,
+until a pair at the similarity threshold, the hardest there is, meets in some tree
+with probability ``recall`` at least; the level follows from the threshold, the
+number of trees and the recall asked for, never from a count of candidates.
 
-A prefix group of any size links its members to one of them only, so groups cost
-as many rows as members. Connected candidates are then compared exactly: each
-candidate component is dealt out as pairs of blocks of bounded size, and every
+A branch of any size links each member to its first one only, so branches cost as
+many rows as members, and a large one is sorted by many tasks. Connected candidates
+are then compared exactly: each candidate component is dealt out as pairs of blocks of bounded size, and every
 pair of sets in two blocks is intersected there, by a matrix product over the
 shingles that occur twice. Pairs are counted, never emitted.
 """
@@ -33,6 +36,7 @@ DEPTH = 8
 RECALL = 0.9999
 BLOCK = 256
 SHINGLE_COLUMNS = 8192
+PATH_BYTES = 1 + 2 * DEPTH  # the tree, then two bytes of each MinHash value
 BROADCAST_ROWS = 1_000_000
 
 _ODD = np.array([2 * int(x) + 1 for x in np.random.default_rng(5).integers(0, 1 << 62, NGRAM + 1)], np.uint64)
@@ -40,7 +44,7 @@ _FACTORS = np.random.default_rng(17).integers(0, 1 << 31, (2, TREES * DEPTH)).as
 
 
 def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair of similarity ``threshold`` shares one in some tree with probability ``recall``."""
+    """Shorten prefixes from full depth until a pair of similarity ``threshold`` shares one in some tree with probability ``recall``."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -75,34 +79,110 @@ def _sums(values: np.ndarray, offsets: np.ndarray, fold, empty: int) -> np.ndarr
     return out
 
 
-def _signatures(depth: int):
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches, "text"):
+        shingles, offsets = shingle_sets(*flat_text(batch.column("text")))
+        low = shingles.astype(np.uint32)
+        paths = np.zeros((len(offsets) - 1, TREES, PATH_BYTES), np.uint8)
+        for tree in range(TREES):
+            paths[:, tree, 0] = tree
+            for level in range(DEPTH):
+                factor, add = _FACTORS[:, tree * DEPTH + level]
+                least = mix(_sums(low * (factor | np.uint32(1)) + add, offsets, np.minimum, 0))
+                paths[:, tree, 1 + 2 * level] = (least >> np.uint64(8)) & np.uint64(255)
+                paths[:, tree, 2 + 2 * level] = least & np.uint64(255)
+        count = len(paths) * TREES
+        ends = np.arange(count + 1, dtype=np.int32)
+        cells = pa.BinaryArray.from_buffers(
+            pa.binary(), count, [None, pa.py_buffer(ends * np.int32(PATH_BYTES)), pa.py_buffer(paths)]
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(np.diff(offsets)),
+                pa.array(_sums(mix(shingles), offsets, np.add, 0).view(np.int64)),
+                pa.array(_sums(mix(~shingles), offsets, np.add, 0).view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends[::TREES]), cells),
+            ],
+            names=["doc_id", "n", "set_a", "set_b", "paths"],
+        )
+
+
+def shared_depths(paths: np.ndarray) -> np.ndarray:
+    """How many MinHash values each sorted path shares with the one before it; -1 for the first."""
+    differ = paths[1:] != paths[:-1]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), PATH_BYTES)
+    return np.concatenate([[-1], np.maximum(first - 1, 0) // 2])[: len(paths)]
+
+
+def _branches(least_depth: int, ends: bool):
+    """Link each path of a sorted partition to the first path of the deepest branch it continues.
+
+    All members of a branch at any depth are then connected by links of that depth
+    or more. With ``ends``, the first and last path of the partition come out too.
+    """
+
+    def edge(paths: np.ndarray, nodes: pa.Array, row: int) -> pa.RecordBatch:
+        node = nodes.slice(row, 1)
+        path = pa.array([paths[row].tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([node, node, pa.array([0], pa.int32()), path], names=["a", "b", "depth", "path"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            shingles, offsets = shingle_sets(*flat_text(batch.column("text")))
-            low = shingles.astype(np.uint32)
-            keys = np.zeros((len(offsets) - 1, TREES), np.uint64)
-            for tree in range(TREES):
-                key = np.full(len(offsets) - 1, tree + 1, np.uint64)
-                for level in range(depth):
-                    factor, add = _FACTORS[:, tree * DEPTH + level]
-                    least = _sums(low * (factor | np.uint32(1)) + add, offsets, np.minimum, 0)
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least.astype(np.uint64))
-                keys[:, tree] = key
-            ends = pa.array((np.arange(len(keys) + 1) * TREES).astype(np.int32))
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column, nodes = batch.column("path").cast(pa.large_binary()), batch.column("node")
+            begin = column.offset * PATH_BYTES
+            flat = np.frombuffer(column.buffers()[2], np.uint8)[begin : begin + len(column) * PATH_BYTES]
+            paths = flat.reshape(-1, PATH_BYTES)
+            if last is None:
+                depths = shared_depths(paths)
+                firsts = pa.concat_arrays([nodes.slice(0, 1)] * (DEPTH + 1))
+                if ends:
+                    yield edge(paths, nodes, 0)
+            else:
+                depths = shared_depths(np.concatenate([last, paths]))[1:]
+            # The first path of the open branch at each depth, then the rows of the batch.
+            known = pa.concat_arrays([firsts, nodes])
+            rows = np.arange(len(paths)) + DEPTH + 1
+            opened = np.stack(
+                [np.maximum.accumulate(np.where(depths < d, rows, d)) for d in range(DEPTH + 1)]
+            )
+            hit = np.flatnonzero(depths >= least_depth)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(offsets)),
-                    pa.array(_sums(mix(shingles), offsets, np.add, 0).view(np.int64)),
-                    pa.array(_sums(mix(~shingles), offsets, np.add, 0).view(np.int64)),
-                    pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64))),
+                    nodes.take(pa.array(hit)),
+                    known.take(pa.array(opened[depths[hit], hit])),
+                    pa.array(depths[hit], pa.int32()),
+                    pa.nulls(len(hit), pa.binary()),
                 ],
-                names=["doc_id", "n", "set_a", "set_b", "paths"],
+                names=["a", "b", "depth", "path"],
             )
+            firsts, last = known.take(pa.array(opened[:, -1])), paths[-1:].copy()
+        if ends and last is not None:
+            yield edge(paths, nodes, -1 + len(paths))
 
     return run
 
 
+def forest_links(members: DataFrame, least_depth: int) -> DataFrame:
+    """Links ``a, b, depth`` between the ``node`` of paths that share ``depth >= least_depth`` values.
+
+    Two nodes share a prefix of some length in a tree exactly if links of that depth
+    or more connect them there. ``members (node, path)`` are sorted over all tasks,
+    by path and node, so that a branch of any size is split; the first and last path
+    of each sorted partition (two rows a task) join what a cut separates.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+    schema = f"a {kind}, b {kind}, depth int, path binary"
+    in_order = members.repartitionByRange("path", "node").sortWithinPartitions("path", "node")
+    found = _written(in_order.mapInArrow(_branches(least_depth, True), schema), "forest")
+    cuts = found.where("path is not null").select(F.col("a").alias("node"), "path")
+    seams = cuts.repartition(1).sortWithinPartitions("path", "node").mapInArrow(_branches(least_depth, False), schema)
+    return found.where("path is null").unionByName(seams).select("a", "b", "depth").where("a <> b")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches, "text"):
         shingles, offsets = shingle_sets(*flat_text(batch.column("text")))
@@ -192,7 +272,7 @@ def ngram_join(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = _written(
-        rows.mapInArrow(_signatures(depth), f"doc_id {kind}, n long, set_a long, set_b long, paths array<bigint>"),
+        rows.mapInArrow(_signatures, f"doc_id {kind}, n long, set_a long, set_b long, paths array<binary>"),
         "signatures",
     )
     same = ["n", "set_a", "set_b"]
@@ -202,10 +282,7 @@ def ngram_join(
     )
     classes = _written(classes, "classes")
 
-    # Prefix groups: each member is linked with the group's least node.
-    members = classes.select("node", F.explode("paths").alias("path"))
-    groups = members.groupBy("path").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    near = members.join(groups, "path").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    near = forest_links(classes.select("node", F.explode("paths").alias("path")), depth).select("a", "b")
     candidates = _written(components(near), "candidates")
 
     # Blocks: as many as keep each at about ``block`` sets; every pair of blocks meets once.

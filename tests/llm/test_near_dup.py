@@ -7,7 +7,7 @@ import pytest
 
 from cases import EDGES, documents
 from presslake.llm.components import components
-from presslake.llm.near_dup import ngram_join, prefix_depth
+from presslake.llm.near_dup import DEPTH, forest_links, ngram_join, prefix_depth
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -80,6 +80,38 @@ def test_prefix_is_shortened_until_the_recall_is_reached():
     assert prefix_depth(0.99) == 8
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_branches_are_whole_over_any_cut(spark, tasks):
+    """Links of depth ``d`` or more connect exactly the paths that share ``d`` values."""
+    rng = random.Random(3)
+    paths = [bytes([rng.randrange(2)]) + b"".join(bytes([0, rng.random() < 0.2]) for _ in range(DEPTH)) for _ in range(400)]
+    paths += [paths[0]] * 300  # one branch is longer than a task's share
+    rows = [(i, bytearray(p)) for i, p in enumerate(paths)]
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        members = spark.createDataFrame(rows, "node long, path binary")
+        links = [tuple(r) for r in forest_links(members, 1).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert len(links) < len(paths) + 2 * tasks
+    for depth in range(1, DEPTH + 1):
+        root = list(range(len(paths)))
+
+        def top(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b, at in links:
+            if at >= depth:
+                root[max(top(a), top(b))] = min(top(a), top(b))
+        first = {}
+        for i, p in enumerate(paths):
+            assert top(i) == first.setdefault(p[: 1 + 2 * depth], i)
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1080)]
