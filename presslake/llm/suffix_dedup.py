@@ -7,7 +7,9 @@ is an anchor.
 
 1. All contexts meet by anchor, sorted and streamed. A context that also stands in
    a document with a smaller id is repeated as a whole; contexts whose anchor has
-   no other context are unique. Both are settled by two 64-bit hashes.
+   no other context are unique. Both are settled by two 64-bit hashes. Copies of a
+   context that one task reads are combined before they move: only those of the
+   smallest document go to the anchor, the others are known to be repeated.
 2. What is left stands at the edges of repeated passages. The strings (suffixes)
    of these contexts are sorted: a merge sort whose comparisons find the common
    extension of two suffixes by binary search over prefix polynomial hashes, so a
@@ -35,6 +37,8 @@ GRAMS = SPAN - GRAM + 1
 PIECE = 1 << 20
 CHUNK_CONTEXTS = 20_000
 HOT_CONTEXTS = 100_000
+SEEN_CONTEXTS = 1 << 16
+SETTLED = np.int64(1) << np.int64(62)  # flag of a place: the context is repeated
 ANCHOR_BASE = 0xD6E8FEB86659FD93
 CONTEXT_BASE = 0xA0761D6478BD642F
 _LETTERS = np.random.default_rng(23).integers(1, 1 << 63, 256).astype(np.uint64)
@@ -84,15 +88,68 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int
         yield part, np.array([0, len(part)]), begin
 
 
+class SeenContexts:
+    """Contexts that a task met in several documents, with the smallest of these; of bounded size.
+
+    A context that has left the task for a smaller document is repeated, whatever
+    other tasks hold. So a passage that a third of all documents share reaches its
+    anchor as few rows a task, not as one a document. Forgotten contexts only cost rows.
+    """
+
+    def __init__(self):
+        self.context, self.anchor = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.doc = np.zeros(0, np.int64)
+
+    def repeated(self, anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Which rows repeat a context of a smaller document, seen here before or in the same rows."""
+        gone = np.zeros(len(context), bool)
+        known = np.zeros(len(context), bool)
+        if len(self.context) and len(context):
+            at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+            known = (self.context[at] == context) & (self.anchor[at] == anchor)
+            gone = known & (doc > self.doc[at])
+            np.minimum.at(self.doc, at[known], doc[known])
+        order = np.argsort(context)
+        same = context[order[1:]] == context[order[:-1]]
+        several = np.zeros(len(context), bool)
+        several[1:] = same
+        several[:-1] |= same
+        rows = order[several]
+        if not len(rows):
+            return gone
+        rows = rows[np.lexsort((doc[rows], anchor[rows], context[rows]))]
+        head = np.concatenate([[True], (context[rows[1:]] != context[rows[:-1]]) | (anchor[rows[1:]] != anchor[rows[:-1]])])
+        first = rows[head]
+        gone[rows] |= doc[rows] > doc[first][np.cumsum(head) - 1]
+        last = rows[np.append(np.flatnonzero(head)[1:], len(rows)) - 1]
+        self._remember(first[(doc[last] > doc[first]) & ~known[first]], anchor, context, doc)
+        return gone
+
+    def _remember(self, rows: np.ndarray, anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> None:
+        rows = rows[:SEEN_CONTEXTS]
+        old = slice(0, len(self.context) if len(self.context) + len(rows) <= SEEN_CONTEXTS else 0)
+        merged = np.concatenate([self.context[old], context[rows]])
+        order = np.argsort(merged, kind="stable")
+        self.context = merged[order]
+        self.anchor = np.concatenate([self.anchor[old], anchor[rows]])[order]
+        self.doc = np.concatenate([self.doc[old], doc[rows]])[order]
+
+
 def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = SeenContexts()
     for batch in text_slices(batches, "text", PIECE):
         ids = batch.column("doc_id").to_numpy()
         for data, offsets, base in _pieces(batch):
             anchor, context, start, end = contexts(data, offsets)
             row = np.searchsorted(offsets, start, side="right") - 1
             place = (start - offsets[row] + base) << 8 | (end - start)
+            doc = ids[row]
+            settled = seen.repeated(anchor, context, doc)
+            # Settled rows need not meet others: they are spread over all tasks.
+            anchor[settled] = mix(mix(doc[settled].astype(np.uint64)) + place[settled].astype(np.uint64))
+            place[settled] |= SETTLED
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(ids[row]), pa.array(place)],
+                [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(doc), pa.array(place)],
                 names=["anchor", "context", "doc_id", "place"],
             )
 
@@ -107,10 +164,19 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = np.zeros((4, 0), np.int64)
     told = np.zeros(0, bool)  # of the held rows: already given out
     for batch in batches:
-        if not batch.num_rows:
+        fresh = np.stack([batch.column(i).to_numpy() for i in range(4)])
+        settled = (fresh[3] & SETTLED) != 0
+        if settled.any():
+            done = fresh[:, settled]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(done[2]), pa.array(done[3] ^ SETTLED), pa.array(np.ones(done.shape[1], bool))],
+                names=["doc_id", "place", "repeated"],
+            )
+            fresh = fresh[:, ~settled]
+        if not fresh.shape[1]:
             continue
-        rows = np.concatenate([held, np.stack([batch.column(i).to_numpy() for i in range(4)])], axis=1)
-        told = np.concatenate([told, np.zeros(batch.num_rows, bool)])
+        rows = np.concatenate([held, fresh], axis=1)
+        told = np.concatenate([told, np.zeros(fresh.shape[1], bool)])
         anchor, context, doc, place = rows
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])

@@ -5,7 +5,7 @@ import pytest
 
 from cases import EDGES, documents
 from presslake.llm import suffix_dedup
-from presslake.llm.suffix_dedup import SPAN, SuffixSort, remove_repeats
+from presslake.llm.suffix_dedup import SPAN, SeenContexts, SuffixSort, remove_repeats
 
 
 def brute(rows):
@@ -54,13 +54,33 @@ def test_runs_of_one_letter_and_periods(spark):
     assert found(spark, rows) == brute(rows)
 
 
-def test_pieces_chunks_and_hot_anchors(spark, monkeypatch):
+@pytest.mark.parametrize("seen", [3, 1 << 16])
+def test_pieces_chunks_and_hot_anchors(spark, monkeypatch, seen):
     rows = passages(7, "abcd ", 60)
-    for name, value in (("PIECE", 256), ("CHUNK_CONTEXTS", 16), ("HOT_CONTEXTS", 3)):
+    random.Random(4).shuffle(rows)
+    for name, value in (("PIECE", 256), ("CHUNK_CONTEXTS", 16), ("HOT_CONTEXTS", 3), ("SEEN_CONTEXTS", seen)):
         monkeypatch.setattr(suffix_dedup, name, value)
     assert found(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("limit", [5, 1 << 16])
+def test_combining_keeps_each_smallest_document(monkeypatch, limit):
+    monkeypatch.setattr(suffix_dedup, "SEEN_CONTEXTS", limit)
+    rng = np.random.default_rng(6)
+    seen = SeenContexts()
+    least, left = {}, 0
+    for _ in range(50):
+        context, doc = rng.integers(0, 40, 200).astype(np.uint64), rng.integers(0, 10_000, 200)
+        anchor = context % np.uint64(7)
+        gone = seen.repeated(anchor, context, doc)
+        for c, d in zip(context.tolist(), doc.tolist()):
+            least[c] = min(d, least.get(c, d))
+        assert all(d > least[c] for c, d in zip(context[gone].tolist(), doc[gone].tolist()))
+        left += int((~gone).sum())
+        assert len(seen.context) <= limit
+    assert left < 50 * 200 / (2 if limit < 40 else 20)
+
+
 def test_edge_rows(spark):
     out = remove_repeats(documents(spark, EDGES)).collect()
     assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in EDGES)
