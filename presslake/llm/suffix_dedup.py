@@ -242,13 +242,19 @@ class SuffixSort:
 
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Length of the common extension of the strings at ``x`` and ``y``, at most ``SPAN``."""
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), SPAN)
+        out = np.full(len(x), SPAN)
         from_x, from_y, back_x, back_y = self.prefix[x], self.prefix[y], self.back[x], self.back[y]
-        for _ in range(SPAN.bit_length()):
+        whole = (self.prefix[x + SPAN] - from_x) * back_x == (self.prefix[y + SPAN] - from_y) * back_y
+        differ = np.flatnonzero(~whole)
+        x, y = x[differ], y[differ]
+        from_x, from_y, back_x, back_y = from_x[differ], from_y[differ], back_x[differ], back_y[differ]
+        low, high = np.zeros(len(x), np.int64), np.full(len(x), SPAN - 1)
+        for _ in range((SPAN - 1).bit_length()):
             middle = (low + high + 1) >> 1
             same = (self.prefix[x + middle] - from_x) * back_x == (self.prefix[y + middle] - from_y) * back_y
             low, high = np.where(same, middle, low), np.where(same, high, np.maximum(middle - 1, low))
-        return low
+        out[differ] = low
+        return out
 
     def compare(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """-1, 0 or 1 for each pair of strings."""
@@ -275,6 +281,12 @@ class SuffixSort:
             left = run % 2 == 0
             pair = begin[spot] + (run - run % 2) * width
             end = begin[spot] + size[spot]
+            if width == 1:  # two runs of one string need one comparison
+                one = spot[left & (spot + 1 < end)]
+                swap = one[self.compare(places[order[one]], places[order[one + 1]]) > 0]
+                order[swap], order[swap + 1] = order[swap + 1], order[swap]
+                width = 2
+                continue
             low = np.minimum(np.where(left, pair + width, pair), end)
             high = np.minimum(low + width, end)
             other = low.copy()
@@ -294,11 +306,15 @@ class SuffixSort:
             width *= 2
         return order
 
-    def equal_to_previous(self, places: np.ndarray) -> np.ndarray:
-        """Whether each string equals the one before it; equal hashes are checked byte by byte."""
+    def equal_to_previous(self, places: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+        """Whether each string equals the one before it; equal hashes are checked byte by byte.
+
+        With ``pairs``, only the strings after these rows are compared.
+        """
         same = np.zeros(len(places), bool)
         if len(places) > 1:
-            claim = np.flatnonzero(self.extension(places[:-1], places[1:]) >= SPAN)
+            pairs = np.arange(len(places) - 1) if pairs is None else pairs
+            claim = pairs[self.extension(places[pairs], places[pairs + 1]) >= SPAN]
             for begin in range(0, len(claim), 1 << 16):
                 part = claim[begin : begin + (1 << 16)]
                 steps = np.arange(SPAN)
@@ -320,16 +336,16 @@ def _repeated_in(table: pa.Table) -> pa.RecordBatch:
     count = np.diff(offsets) - SPAN + 1
     context = np.repeat(np.arange(len(count)), count)
     shift = np.arange(len(context)) - np.repeat(np.cumsum(count) - count, count)
-    order = np.lexsort((doc[context], lead[context] - shift, group[context]))
-    context, shift = context[order], shift[order]
-    # Equal strings have their anchor at the same place.
+    # Equal strings have their anchor at the same place; a string alone in its slot has no equal.
     slot = group[context] * (4 * SPAN) + (lead[context] - shift + 2 * SPAN)
+    several = np.flatnonzero(np.bincount(slot)[slot] > 1)
+    order = several[np.lexsort((doc[context[several]], slot[several]))]
+    context, shift, slot = context[order], shift[order], slot[order]
     places = offsets[context] + shift
     suffixes = SuffixSort(data)
     order = suffixes.sort(places, slot)
     places, context, shift, slot = places[order], context[order], shift[order], slot[order]
-    same = suffixes.equal_to_previous(places)
-    same[1:] &= slot[1:] == slot[:-1]
+    same = suffixes.equal_to_previous(places, np.flatnonzero(slot[1:] == slot[:-1]))
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
     gone = doc[context] > doc[context[head]]
     context, shift = context[gone], shift[gone]
