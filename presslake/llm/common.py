@@ -36,7 +36,7 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` has about ``limit`` bytes each; a longer text comes alone."""
+    """Cut batches so that ``column`` has about ``limit`` bytes each; a longer text comes with the rows up to the next mark."""
     for batch in batches:
         if batch.num_rows == 0:
             continue

@@ -77,15 +77,20 @@ def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[place], mix(whole + mix((place - start).astype(np.uint64))), start, end
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Bytes, row offsets and first place; one long text comes in overlapping pieces."""
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Bytes, row offsets, first row and first place; a long text comes alone, in overlapping pieces."""
     data, offsets = flat_text(batch.column("text"))
-    if len(data) <= 2 * PIECE - SPAN:
-        yield data, offsets, 0
-        return
-    for begin in range(0, len(data), PIECE):  # text_slices gives long texts alone
-        part = data[begin : begin + PIECE + SPAN - 1]
-        yield part, np.array([0, len(part)]), begin
+    most, first = 2 * PIECE - SPAN, 0
+    while first < batch.num_rows:
+        stop = max(int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1, first + 1)
+        part = data[offsets[first] : offsets[stop]]
+        if len(part) <= most:
+            yield part, offsets[first : stop + 1] - offsets[first], first, 0
+        else:
+            for begin in range(0, len(part), PIECE):
+                piece = part[begin : begin + PIECE + SPAN - 1]
+                yield piece, np.array([0, len(piece)]), first, begin
+        first = stop
 
 
 class SeenContexts:
@@ -139,11 +144,11 @@ def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     seen = SeenContexts()
     for batch in text_slices(batches, "text", PIECE):
         ids = batch.column("doc_id").to_numpy()
-        for data, offsets, base in _pieces(batch):
+        for data, offsets, head, base in _pieces(batch):
             anchor, context, start, end = contexts(data, offsets)
             row = np.searchsorted(offsets, start, side="right") - 1
             place = (start - offsets[row] + base) << 8 | (end - start)
-            doc = ids[row]
+            doc = ids[head + row]
             settled = seen.repeated(anchor, context, doc)
             # Settled rows need not meet others: they are spread over all tasks.
             anchor[settled] = mix(mix(doc[settled].astype(np.uint64)) + place[settled].astype(np.uint64))

@@ -63,6 +63,16 @@ def test_pieces_chunks_and_hot_anchors(spark, monkeypatch, seen):
     assert found(spark, rows) == brute(rows)
 
 
+def test_short_documents_after_a_long_text(spark):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [text(120) for _ in range(4)]
+    rows = [(9, text(100)), (1, text(2_300_000) + shared[3])]
+    rows += [(i, text(30) + shared[i % 3] + text(30) + shared[3][:70]) for i in range(20, 32)]
+    out = remove_repeats(documents(spark, rows).coalesce(1)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in out} == brute(rows)
+
+
 @pytest.mark.parametrize("limit", [5, 1 << 16])
 def test_combining_keeps_each_smallest_document(monkeypatch, limit):
     monkeypatch.setattr(suffix_dedup, "SEEN_CONTEXTS", limit)
