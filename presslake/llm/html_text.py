@@ -46,6 +46,13 @@ IMPLIED = {
     "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "option": ({"option"}, {"select", "datalist", "optgroup"}),
 }
+# A part of a table ends what stands open inside the element that takes it.
+TABLE_PARTS = {
+    "td": {"tr", "tbody", "thead", "tfoot", "table"},
+    "th": {"tr", "tbody", "thead", "tfoot", "table"},
+    "tr": {"tbody", "thead", "tfoot", "table"},
+    **dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup"), {"table"}),
+}
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL
@@ -147,12 +154,16 @@ class TreeBuilder:
             self._close({"p"}, {"table", "td", "th", "li", "div", "body"})
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
+        if tag in TABLE_PARTS:
+            self._back_to(TABLE_PARTS[tag])
         if tag in ("td", "th") and self.open[-1].tag in ("table", "tbody", "thead", "tfoot"):
             self._push(Node("tr"))
         if tag == "tr" and self.open[-1].tag == "table":
             self._push(Node("tbody"))
         node = Node(tag, attributes)
-        if tag in VOID or (slash and tag in ("svg", "math")):
+        # A form between the parts of a table holds nothing.
+        between = tag == "form" and self.open[-1].tag in TABLE_PARTS["td"]
+        if tag in VOID or between or (slash and tag in ("svg", "math")):
             self.open[-1].children.append(node)
         else:
             self._push(node)
@@ -168,6 +179,13 @@ class TreeBuilder:
         if last is not None:
             del self.open[last:]
 
+    def _back_to(self, tags: set[str]) -> None:
+        """End what is open inside the nearest of ``tags``; text around a table stays where it is."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in tags:
+                del self.open[i + 1 :]
+                return
+
     def _end(self, tag: str) -> None:
         if tag == "head" and self.in_head:
             self._leave_head()
@@ -183,7 +201,7 @@ class TreeBuilder:
             if self.open[i].tag == tag:
                 del self.open[i:]
                 return
-            if self.open[i].tag in ("td", "th", "body") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
+            if self.open[i].tag in ("td", "th", "table", "body") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                 return
 
     def _leave_head(self) -> None:
@@ -331,17 +349,12 @@ class Renderer:
     def _table(self, node: Node) -> None:
         rows: list[list[list[str]]] = []
         for part in node.children:
-            if isinstance(part, str):
-                self._text(part, False)
-            elif visible(part, self.rules):
-                if part.tag == "tr":
-                    rows.append(self._cells(part))
-                elif part.tag in ("thead", "tbody", "tfoot"):
-                    rows += [
-                        self._cells(r) for r in part.children if isinstance(r, Node) and r.tag == "tr" and visible(r, self.rules)
-                    ]
-                else:
-                    self._element(part)
+            if isinstance(part, Node) and part.tag in ("thead", "tbody", "tfoot"):
+                if visible(part, self.rules):
+                    for child in part.children:
+                        self._part(child, rows)
+            else:
+                self._part(part, rows)
         self._break()
         rows = [r for r in rows if any(any(c) for c in r)]
         widths = [
@@ -353,11 +366,27 @@ class Renderer:
                 cells = [(cell[i] if i < len(cell) else "").ljust(w) for cell, w in zip(row, widths)]
                 self._put(" | ".join(cells).rstrip())
 
+    def _part(self, part: Node | str, rows: list[list[list[str]]]) -> None:
+        """A row of a table; what is none stands before the table."""
+        if isinstance(part, Node) and part.tag == "tr":
+            if visible(part, self.rules):
+                rows.append(self._cells(part))
+        else:
+            self._stray(part)
+
+    def _stray(self, part: Node | str) -> None:
+        if isinstance(part, str):
+            self._text(part, False)
+        elif visible(part, self.rules):
+            self._element(part)
+
     def _cells(self, row: Node) -> list[list[str]]:
         """The lines of each cell; a cell over several columns is followed by empty ones."""
         cells: list[list[str]] = []
         for cell in row.children:
-            if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell, self.rules):
+            if isinstance(cell, str) or cell.tag not in ("td", "th"):
+                self._stray(cell)
+            elif visible(cell, self.rules):
                 inner = Renderer(self.rules)
                 inner._children(cell)
                 inner._break()

@@ -44,6 +44,22 @@ def test_layout(name):
     assert visible_text(html) == text
 
 
+MALFORMED_TABLES = {
+    "form between rows": ("<table><tr><td>a</td></tr><form><tr><td>y</td></tr></form></table>", "a\ny"),
+    "form in a row": ("<table><tr><form><td>A</td></form><td>B</td></tr></table>", "A | B"),
+    "outer form": ("<form><table><tr><td>a</td></tr></form><tr><td>y</td></tr></table></form>", "a\ny"),
+    "text and block after a row": ("<table><tr><td>a</td></tr>x<div>y</div><tr><td>b</td></tr></table>", "x\ny\n\na\nb"),
+    "text in a row": ("<table><tr>x<td>a</td> z</tr></table>", "x z\n\na"),
+    "open block in a row": ("<table><tr><div>x<td>a</td><td>b</td></tr></table>", "x\n\na | b"),
+}
+
+
+@pytest.mark.parametrize("name", MALFORMED_TABLES)
+def test_malformed_tables_keep_their_text(name):
+    html, text = MALFORMED_TABLES[name]
+    assert [line for line in visible_text(html).split("\n") if line] == [line for line in text.split("\n") if line]
+
+
 def test_rows(spark):
     deep = "<div>" * 3000 + "bottom"
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "u", ""), (3, "u", deep), (4, "u", "<p>w " * 50_000)]
