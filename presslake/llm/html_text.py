@@ -3,7 +3,8 @@
 A tolerant tree builder supplies the tags that HTML lets authors leave out (head
 and body, ends of paragraphs, items, rows and cells). Visibility rules drop what a
 browser does not draw: the head, scripts, templates, ``hidden`` elements, and
-elements that a ``style`` attribute or a simple rule of a style sheet hides. The
+elements that a ``style`` attribute or a rule of a style sheet hides on every screen
+and that no rule could show again. The
 renderer then writes blocks on lines of their own, a blank line around paragraphs
 and headings, markers and indentation for lists, preformatted text as it is, and
 the cells of a table padded to aligned columns.
@@ -25,7 +26,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 HEAD_ONLY = frozenset("base link meta script style title".split())
 UNSEEN = frozenset(
     "head script style title template noscript noembed noframes iframe object audio video canvas "
-    "datalist select textarea svg math".split()
+    "datalist desc metadata defs symbol clippath annotation annotation-xml".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure hr fieldset".split())
 BLOCKS = SPACED | frozenset(
@@ -58,9 +59,14 @@ _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
-_HIDES = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+_CSS_MARK = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.DOTALL)
+_AT_RULE = re.compile(r"@([\w-]+)\s*(.*)", re.DOTALL)
+_NAME = r"(?:[\w-]|\\.)+"
+_SIMPLE = re.compile(rf"(?:\*|[a-zA-Z]{_NAME}|[a-zA-Z])?(?:[.#]{_NAME})*")
+_MARK = re.compile(rf"(?:\A|[.#]){_NAME}")
+# Rules for pseudo-elements, and for states that a page does not have as it is loaded.
+_OTHER = re.compile(r"::|:(?:before|after|first-line|first-letter|hover|focus|active|target)\b", re.IGNORECASE)
+_ASIDE = re.compile(r"\[[^\]]*\]|:[\w-]+(?:\([^)]*\))?|&")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -103,12 +109,14 @@ class TreeBuilder:
             if closing:
                 self._end(tag)
                 continue
-            self._start(tag, _attributes(rest) if rest.strip(" /\n\t") else {}, rest.endswith("/"))
+            attributes = _attributes(rest) if rest.strip(" /\n\t") else {}
+            self._start(tag, attributes, rest.endswith("/"))
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.IGNORECASE).search(html, at)
                 raw = html[at : stop.start()] if stop else html[at:]
                 if tag == "style":
-                    self.sheets.append(raw)
+                    media = attributes.get("media", "")
+                    self.sheets.append(f"@media {media} {{{raw}}}" if media else raw)
                 elif raw and self.open[-1].tag == tag:
                     self.open[-1].children.append(raw if tag in ("script", "xmp") else unescape(raw))
                 at = stop.start() if stop else len(html)
@@ -163,7 +171,7 @@ class TreeBuilder:
         node = Node(tag, attributes)
         # A form between the parts of a table holds nothing.
         between = tag == "form" and self.open[-1].tag in TABLE_PARTS["td"]
-        if tag in VOID or between or (slash and tag in ("svg", "math")):
+        if tag in VOID or between or (slash and (tag in ("svg", "math") or self._in_drawing())):
             self.open[-1].children.append(node)
         else:
             self._push(node)
@@ -179,6 +187,10 @@ class TreeBuilder:
         if last is not None:
             del self.open[last:]
 
+    def _in_drawing(self) -> bool:
+        nearest = (n.tag for n in reversed(self.open) if n.tag in ("svg", "math", "foreignobject"))
+        return next(nearest, "") in ("svg", "math")
+
     def _back_to(self, tags: set[str]) -> None:
         """End what is open inside the nearest of ``tags``; text around a table stays where it is."""
         for i in range(len(self.open) - 1, 0, -1):
@@ -210,39 +222,133 @@ class TreeBuilder:
         self.in_head = False
 
 
-def hiding_rules(sheets: list[str]) -> frozenset[tuple[str, str]]:
-    """Pairs of a tag (or empty) and a ``.class`` or ``#id`` (or empty) that a style sheet hides."""
-    rules = set()
-    for sheet in sheets:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.DOTALL)):
-            if _HIDES.search(body):
-                for selector in selectors.split(","):
-                    simple = _SIMPLE.match(selector.strip())
-                    if simple and simple[0]:
-                        rules.add(((simple[1] or "").lower(), simple[2] or ""))
-    return frozenset(rules)
+def _holds(rule: str) -> int:
+    """Whether an at-rule's block holds on a screen: 2 always, 1 maybe, 0 never."""
+    found = _AT_RULE.match(rule)
+    name, condition = (found[1].lower(), found[2].lower().strip()) if found else ("", "")
+    if name == "layer":
+        return 2
+    if name != "media":
+        return 1 if name in ("supports", "container", "scope", "starting-style", "-moz-document") else 0
+    best = 0 if condition else 2
+    for query in condition.split(","):
+        words = query.replace("(", " (").split()
+        negated = words[:1] == ["not"]
+        words = [w for w in words if w not in ("not", "only")]
+        screen = not words or words[0].startswith("(") or words[0] in ("all", "screen")
+        features = "(" in query
+        if negated:
+            best = max(best, (1 if features else 0) if screen else 2)
+        elif screen and words:
+            best = max(best, 1 if features else 2)
+    return best
+
+
+def _blocks(sheet: str) -> Iterator[tuple[str, str, int, bool]]:
+    """Selectors, declarations, whether they hold (see ``_holds``), and whether in a layer."""
+    sheet = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", sheet, flags=re.DOTALL)
+    open_blocks: list[tuple[str, int, bool, list[str]]] = []
+    begin = 0
+    for at, end, mark in [*((m.start(), m.end(), m[0]) for m in _CSS_MARK.finditer(sheet)), (len(sheet), len(sheet), "")]:
+        if mark[:1] in ("'", '"') and mark:
+            continue
+        text, begin = sheet[begin:at], end
+        if mark == "{":
+            rule = text.strip()
+            selectors, holds, layered, _ = open_blocks[-1] if open_blocks else ("", 2, False, [])
+            if rule.startswith("@"):
+                layered = layered or rule[:6].lower() == "@layer"
+                open_blocks.append((selectors, min(holds, _holds(rule)), layered, []))
+            else:  # a rule inside a rule depends on the outer one
+                open_blocks.append((rule, min(holds, 1) if selectors else holds, layered, []))
+        elif open_blocks:
+            open_blocks[-1][3].append(text)
+            for _ in range({"}": 1, "": len(open_blocks)}.get(mark, 0)):
+                selectors, holds, layered, body = open_blocks.pop()
+                if selectors and holds:
+                    yield selectors, ";".join(body), holds, layered
+
+
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """For ``display`` and ``visibility``, as far as they are set: whether hidden, and whether important."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for part in body.split(";"):
+        name, _, value = part.partition(":")
+        name = name.strip().lower()
+        if name in ("display", "visibility"):
+            word, _, flag = value.lower().partition("!")
+            important = flag.strip() == "important"
+            if important or not out.get(name, (False, False))[1]:
+                out[name] = (word.strip() in (("none",) if name == "display" else ("hidden", "collapse")), important)
+    return out
+
+
+class Styles:
+    """What style sheets say about ``display`` and ``visibility``.
+
+    An element is hidden if a rule hides it that surely matches (a selector of tag,
+    classes and id alone, on every screen) and no rule of higher rank could show it
+    (the last part of its selector matches, its block may hold on a screen).
+    """
+
+    def __init__(self, sheets: list[str]):
+        self.rules: dict[str, list[tuple[frozenset[str], str, bool, tuple]]] = {}
+        self.hides = False
+        order = 0
+        for sheet in sheets:
+            for selectors, body, holds, layered in _blocks(sheet):
+                declared = _declared(body)
+                for selector in re.split(r",(?![^(]*\))", selectors) if declared else ():
+                    order += 1
+                    self._add(selector.strip(), declared, holds, layered, order)
+
+    def _add(self, selector: str, declared: dict[str, tuple[bool, bool]], holds: int, layered: bool, order: int) -> None:
+        if not selector or _OTHER.search(selector):
+            return
+        simple = _SIMPLE.fullmatch(selector) is not None
+        parts = re.split(r"[\s>+~]+", _ASIDE.sub("", selector).strip() if not simple else selector)
+        marks = {m.replace("\\", "") for m in _MARK.findall(parts[-1])}
+        marks = frozenset(m if m[0] in ".#" else m.lower() for m in marks)
+        rank = (
+            len(re.findall(rf"#{_NAME}", selector)),
+            len(re.findall(rf"\.{_NAME}|\[|:\w", selector)),
+            sum(p[:1].isalpha() for p in parts),
+        )
+        for name, (hides, important) in declared.items():
+            if hides and not (simple and holds == 2):
+                continue
+            self.hides |= hides
+            key = max(marks, key=lambda m: ".#".find(m[0]), default="")
+            self.rules.setdefault(key, []).append((marks, name, hides, (important, important == layered, 0, *rank, order)))
+
+    def hidden(self, node: Node) -> bool:
+        attributes = node.attributes
+        own = _declared(attributes["style"]) if "style" in attributes else {}
+        if not self.hides and not any(hides for hides, _ in own.values()):
+            return False
+        marks = {node.tag, *(f".{c}" for c in attributes.get("class", "").split()), f"#{attributes.get('id', '')}"}
+        best = {name: ((important, True, 1), hides) for name, (hides, important) in own.items()}
+        for key in ("", *marks):
+            for needed, name, hides, rank in self.rules.get(key, ()):
+                if needed <= marks and (name not in best or rank > best[name][0]):
+                    best[name] = (rank, hides)
+        return any(hides for _, hides in best.values())
 
 
-def visible(node: Node, rules: frozenset[tuple[str, str]]) -> bool:
+def visible(node: Node, styles: Styles) -> bool:
     tag, attributes = node.tag, node.attributes
     if tag in UNSEEN or "hidden" in attributes or (tag == "dialog" and "open" not in attributes):
         return False
     if tag == "input" and attributes.get("type", "").lower() == "hidden":
         return False
-    if _HIDES.search(attributes.get("style", "")):
-        return False
-    if rules:
-        marks = ["", *(f".{c}" for c in attributes.get("class", "").split()), f"#{attributes.get('id', '')}"]
-        if any((t, m) in rules for t in ("", tag) for m in marks if t or m):
-            return False
-    return True
+    return not styles.hidden(node)
 
 
 class Renderer:
     """Writes the visible text of a tree as lines."""
 
-    def __init__(self, rules: frozenset[tuple[str, str]] = frozenset()):
-        self.rules = rules
+    def __init__(self, styles: Styles):
+        self.styles = styles
         self.lines: list[str] = []
         self.line = ""
         self.indent = ""
@@ -275,7 +381,7 @@ class Renderer:
         for child in node.children:
             if isinstance(child, str):
                 self._text(child, pre)
-            elif visible(child, self.rules):
+            elif visible(child, self.styles):
                 self._element(child, pre)
 
     def _text(self, text: str, pre: bool) -> None:
@@ -311,6 +417,11 @@ class Renderer:
             self._break(True)
         elif tag in ("ul", "ol", "menu", "dir"):
             self._list(node)
+        elif tag == "textarea":
+            node.children = [c.removeprefix("\n") if isinstance(c, str) else c for c in node.children]
+            self._children(node, True)
+        elif tag == "svg":
+            self._drawing(node)
         elif tag in BLOCKS:
             spaced = tag in SPACED and not (tag == "p" and self.marker)
             self._break(spaced)
@@ -323,6 +434,17 @@ class Renderer:
         else:
             self._children(node, pre)
 
+    def _drawing(self, node: Node) -> None:
+        """Only the text elements of a drawing, and HTML in it, are drawn."""
+        for child in node.children:
+            if isinstance(child, Node) and visible(child, self.styles):
+                if child.tag in ("text", "foreignobject"):
+                    self._break()
+                    self._children(child)
+                    self._break()
+                else:
+                    self._drawing(child)
+
     def _list(self, node: Node) -> None:
         nested = bool(self.indent)
         self._break(not nested)
@@ -330,12 +452,12 @@ class Renderer:
         number = int(n) if (n := node.attributes.get("start", "1")).lstrip("-").isdigit() else 1
         for child in node.children:
             if isinstance(child, str) or child.tag != "li":
-                if isinstance(child, Node) and visible(child, self.rules):
+                if isinstance(child, Node) and visible(child, self.styles):
                     self._element(child)
                 elif isinstance(child, str):
                     self._text(child, False)
                 continue
-            if not visible(child, self.rules):
+            if not visible(child, self.styles):
                 continue
             self._break()
             self.marker = f"{number}. " if node.tag == "ol" else "- "
@@ -350,7 +472,7 @@ class Renderer:
         rows: list[list[list[str]]] = []
         for part in node.children:
             if isinstance(part, Node) and part.tag in ("thead", "tbody", "tfoot"):
-                if visible(part, self.rules):
+                if visible(part, self.styles):
                     for child in part.children:
                         self._part(child, rows)
             else:
@@ -369,7 +491,7 @@ class Renderer:
     def _part(self, part: Node | str, rows: list[list[list[str]]]) -> None:
         """A row of a table; what is none stands before the table."""
         if isinstance(part, Node) and part.tag == "tr":
-            if visible(part, self.rules):
+            if visible(part, self.styles):
                 rows.append(self._cells(part))
         else:
             self._stray(part)
@@ -377,7 +499,7 @@ class Renderer:
     def _stray(self, part: Node | str) -> None:
         if isinstance(part, str):
             self._text(part, False)
-        elif visible(part, self.rules):
+        elif visible(part, self.styles):
             self._element(part)
 
     def _cells(self, row: Node) -> list[list[str]]:
@@ -386,8 +508,8 @@ class Renderer:
         for cell in row.children:
             if isinstance(cell, str) or cell.tag not in ("td", "th"):
                 self._stray(cell)
-            elif visible(cell, self.rules):
-                inner = Renderer(self.rules)
+            elif visible(cell, self.styles):
+                inner = Renderer(self.styles)
                 inner._children(cell)
                 inner._break()
                 cells.append([line for line in inner.lines if line])
@@ -400,7 +522,7 @@ def visible_text(html: str) -> str:
     """The laid-out visible text of one page."""
     builder = TreeBuilder()
     root = builder.parse(html)
-    return Renderer(hiding_rules(builder.sheets)).render(root)
+    return Renderer(Styles(builder.sheets)).render(root)
 
 
 def extract_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

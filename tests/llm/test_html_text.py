@@ -60,6 +60,34 @@ def test_malformed_tables_keep_their_text(name):
     assert [line for line in visible_text(html).split("\n") if line] == [line for line in text.split("\n") if line]
 
 
+STYLES = {
+    "print only": ("<style>@media print { .nav { display: none } }</style><p class=nav>a", "a"),
+    "print sheet": ("<style media=print>.nav{display:none}</style><p class=nav>a", "a"),
+    "small screens": ("<style>@media (max-width:600px){.w{display:none}} .n{display:none}</style><p class=w>a<p class=n>b", "a"),
+    "every screen": ("<style>@media screen { .nav { display: none } }</style><p class=nav>a<p>b", "b"),
+    "not print": ("<style>@media not print{.a{display:none}} @media not screen{.b{display:none}}</style><p class=a>a<p class=b>b", "b"),
+    "shown again": ("<style>.tab{display:none} .tab{display:block}</style><p class=tab>a", "a"),
+    "hidden later": ("<style>.tab{display:block} .tab{display:none}</style><p class=tab>a<p>b", "b"),
+    "shown by a second class": ("<style>.tab{display:none}.tab.active{display:block}</style><p class='tab active'>a<p class=tab>b", "a"),
+    "shown by rank": ("<style>#x{display:block} p{display:none}</style><p id=x>a<p>b", "a"),
+    "important": ("<style>.t{display:none!important}.t.u{display:block}</style><p class='t u' style='display:block'>a<p>b", "b"),
+    "shown by its attribute": ("<style>.t{display:none}</style><p class=t style='display:block'>a", "a"),
+    "pseudo-element": ("<style>.t{display:none}.t:after{display:block}.t:hover{display:block}</style><p class=t>a<p>b", "b"),
+    "braces in strings": ("<style>.q:before{content:'}{'} .t{display:none}</style><p class=t>a<p>b", "b"),
+    "not closed": ("<style>@media screen{.t{display:none</style><p class=t>a<p>b", "b"),
+    "options": ("<select><option>one<option>two</select>", "one\ntwo"),
+    "textarea": ("<textarea>\na  b\nc</textarea>", "a  b\nc"),
+    "drawing": ("<p>x<svg><title>no</title><path d='M0'/>no<g><text>A <tspan>b</tspan></text></g><defs><text>no</text></defs></svg>", "x\nA b"),
+    "formula": ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "so x=2"),
+}
+
+
+@pytest.mark.parametrize("name", STYLES)
+def test_only_what_no_screen_draws_is_hidden(name):
+    html, text = STYLES[name]
+    assert visible_text(html) == text
+
+
 def test_rows(spark):
     deep = "<div>" * 3000 + "bottom"
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "u", ""), (3, "u", deep), (4, "u", "<p>w " * 50_000)]
