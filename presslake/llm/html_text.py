@@ -13,7 +13,7 @@ the cells of a table padded to aligned columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -344,8 +344,15 @@ def visible(node: Node, styles: Styles) -> bool:
     return not styles.hidden(node)
 
 
+Walk = Generator["Walk", None, None]
+
+
 class Renderer:
-    """Writes the visible text of a tree as lines."""
+    """Writes the visible text of a tree as lines.
+
+    The methods that go down the tree yield the steps to take next; ``render`` keeps
+    them in a list, so a tree may be of any depth.
+    """
 
     def __init__(self, styles: Styles):
         self.styles = styles
@@ -356,7 +363,13 @@ class Renderer:
         self.blank = False  # a blank line is due before the next text
 
     def render(self, node: Node) -> str:
-        self._element(node)
+        waiting = [self._element(node)]
+        while waiting:
+            step = next(waiting[-1], None)
+            if step is None:
+                waiting.pop()
+            else:
+                waiting.append(step)
         self._break()
         return "\n".join(self.lines)
 
@@ -377,12 +390,12 @@ class Renderer:
             self.marker = ""
         self.lines.append((lead + text).rstrip() if text else "")
 
-    def _children(self, node: Node, pre: bool = False) -> None:
+    def _children(self, node: Node, pre: bool = False) -> Walk:
         for child in node.children:
             if isinstance(child, str):
                 self._text(child, pre)
             elif visible(child, self.styles):
-                self._element(child, pre)
+                yield self._element(child, pre)
 
     def _text(self, text: str, pre: bool) -> None:
         if pre:
@@ -395,7 +408,7 @@ class Renderer:
         text = _BLANKS.sub(" ", text)
         self.line += text[1:] if text.startswith(" ") and (not self.line or self.line.endswith(" ")) else text
 
-    def _element(self, node: Node, pre: bool = False) -> None:
+    def _element(self, node: Node, pre: bool = False) -> Walk:
         tag = node.tag
         if tag == "br":
             if self.line.strip(" "):
@@ -413,39 +426,39 @@ class Renderer:
             self._text(node.attributes.get("value", ""), pre)
         elif tag == "table":
             self._break(True)
-            self._table(node)
+            yield self._table(node)
             self._break(True)
         elif tag in ("ul", "ol", "menu", "dir"):
-            self._list(node)
+            yield self._list(node)
         elif tag == "textarea":
             node.children = [c.removeprefix("\n") if isinstance(c, str) else c for c in node.children]
-            self._children(node, True)
+            yield self._children(node, True)
         elif tag == "svg":
-            self._drawing(node)
+            yield self._drawing(node)
         elif tag in BLOCKS:
             spaced = tag in SPACED and not (tag == "p" and self.marker)
             self._break(spaced)
             outer = self.indent
             if tag in ("dd", "blockquote"):
                 self.indent += "    "
-            self._children(node, pre or tag == "pre")
+            yield self._children(node, pre or tag == "pre")
             self._break(spaced)
             self.indent = outer
         else:
-            self._children(node, pre)
+            yield self._children(node, pre)
 
-    def _drawing(self, node: Node) -> None:
+    def _drawing(self, node: Node) -> Walk:
         """Only the text elements of a drawing, and HTML in it, are drawn."""
         for child in node.children:
             if isinstance(child, Node) and visible(child, self.styles):
                 if child.tag in ("text", "foreignobject"):
                     self._break()
-                    self._children(child)
+                    yield self._children(child)
                     self._break()
                 else:
-                    self._drawing(child)
+                    yield self._drawing(child)
 
-    def _list(self, node: Node) -> None:
+    def _list(self, node: Node) -> Walk:
         nested = bool(self.indent)
         self._break(not nested)
         outer = self.indent
@@ -453,7 +466,7 @@ class Renderer:
         for child in node.children:
             if isinstance(child, str) or child.tag != "li":
                 if isinstance(child, Node) and visible(child, self.styles):
-                    self._element(child)
+                    yield self._element(child)
                 elif isinstance(child, str):
                     self._text(child, False)
                 continue
@@ -463,20 +476,20 @@ class Renderer:
             self.marker = f"{number}. " if node.tag == "ol" else "- "
             number += 1
             self.indent = outer + " " * len(self.marker)
-            self._children(child)
+            yield self._children(child)
             self._break()
             self.marker, self.indent = "", outer
         self._break(not nested)
 
-    def _table(self, node: Node) -> None:
+    def _table(self, node: Node) -> Walk:
         rows: list[list[list[str]]] = []
         for part in node.children:
             if isinstance(part, Node) and part.tag in ("thead", "tbody", "tfoot"):
                 if visible(part, self.styles):
                     for child in part.children:
-                        self._part(child, rows)
+                        yield self._part(child, rows)
             else:
-                self._part(part, rows)
+                yield self._part(part, rows)
         self._break()
         rows = [r for r in rows if any(any(c) for c in r)]
         widths = [
@@ -488,34 +501,33 @@ class Renderer:
                 cells = [(cell[i] if i < len(cell) else "").ljust(w) for cell, w in zip(row, widths)]
                 self._put(" | ".join(cells).rstrip())
 
-    def _part(self, part: Node | str, rows: list[list[list[str]]]) -> None:
+    def _part(self, part: Node | str, rows: list[list[list[str]]]) -> Walk:
         """A row of a table; what is none stands before the table."""
         if isinstance(part, Node) and part.tag == "tr":
             if visible(part, self.styles):
-                rows.append(self._cells(part))
+                rows.append([])
+                yield self._cells(part, rows[-1])
         else:
-            self._stray(part)
+            yield self._stray(part)
 
-    def _stray(self, part: Node | str) -> None:
+    def _stray(self, part: Node | str) -> Walk:
         if isinstance(part, str):
             self._text(part, False)
         elif visible(part, self.styles):
-            self._element(part)
+            yield self._element(part)
 
-    def _cells(self, row: Node) -> list[list[str]]:
+    def _cells(self, row: Node, cells: list[list[str]]) -> Walk:
         """The lines of each cell; a cell over several columns is followed by empty ones."""
-        cells: list[list[str]] = []
         for cell in row.children:
             if isinstance(cell, str) or cell.tag not in ("td", "th"):
-                self._stray(cell)
+                yield self._stray(cell)
             elif visible(cell, self.styles):
                 inner = Renderer(self.styles)
-                inner._children(cell)
+                yield inner._children(cell)
                 inner._break()
                 cells.append([line for line in inner.lines if line])
                 span = cell.attributes.get("colspan", "1")
                 cells += [[] for _ in range(min(int(span), 1000) - 1 if span.isdigit() else 0)]
-        return cells
 
 
 def visible_text(html: str) -> str:
@@ -529,9 +541,8 @@ def extract_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = (
     """The columns ``keep`` and ``text``, the visible text of the whole page.
 
     A null page has a null text, an empty one an empty text; broken markup is read
-    as far as it makes sense and never fails. Elements nested deeper than Python's
-    stack allows are cut to their plain text. Repeated rows give repeated results,
-    an empty table none.
+    as far as it makes sense and never fails, however deep its elements are nested.
+    Repeated rows give repeated results, an empty table none.
     """
     rows = pages.select(*keep, F.col(html).alias("_html"))
 
@@ -539,16 +550,9 @@ def extract_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = (
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                texts = [None if h is None else _safe_text(h) for h in part.column("_html").to_pylist()]
+                texts = [None if h is None else visible_text(h) for h in part.column("_html").to_pylist()]
                 columns = [*part.columns[:-1], pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_html"]
     return rows.mapInArrow(run, ", ".join([*fields, "text string"]))
-
-
-def _safe_text(html: str) -> str:
-    try:
-        return visible_text(html)
-    except RecursionError:
-        return _BLANKS.sub(" ", unescape(_MARKUP.sub(" ", html))).strip()

@@ -88,6 +88,22 @@ def test_only_what_no_screen_draws_is_hidden(name):
     assert visible_text(html) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "font", "blockquote"])
+def test_deep_pages_are_laid_out(tag):
+    inner = (
+        "<script>var a = 1</script><p>x<p style='display:none'>gone</p><ul><li>i</ul>"
+        "<table><tr><td>long name<td>1<tr><td>b<td>22</table>"
+    )
+    shallow = visible_text(f"<head><title>no</title></head>{inner}")
+    deep = visible_text(f"<head><title>no</title></head>{f'<{tag}>' * 3000}{inner}")
+    assert [line.strip() for line in deep.split("\n")] == shallow.split("\n")
+
+
+def test_deep_tables_are_laid_out():
+    html = "<table><tr><td>" * 600 + "a<script>no</script>" + "</table>" * 600
+    assert visible_text(html) == "a"
+
+
 def test_rows(spark):
     deep = "<div>" * 3000 + "bottom"
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "u", ""), (3, "u", deep), (4, "u", "<p>w " * 50_000)]
