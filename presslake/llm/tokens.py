@@ -1,9 +1,10 @@
 """Token ids in binary shards, compressed by Re-Pair.
 
 A shard holds the ids of consecutive documents. Compression repeatedly replaces
-frequent neighbouring pairs of symbols by new symbols; each round counts the pairs
-of the shard and replaces the most frequent ones at once, from left to right
-without overlap. The shard stores the rules, how many ids each rule expands to,
+frequent neighbouring pairs of symbols by new symbols, until no pair occurs twice;
+each round counts the pairs of the shard and replaces at once, from left to right
+without overlap, all that are at least half as frequent as the most frequent one.
+The shard stores the rules, how many ids each rule expands to,
 and the id position of every ``STRIDE``-th symbol, so a range of ids is decoded
 from the few symbols that cover it.
 
@@ -27,9 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from presslake.llm.common import text_slices, worker_cache
 
 SHARD_IDS = 1 << 20
-ROUNDS = 4
-RULES_PER_ROUND = 1024
-LEAST_COUNT = 48
+LEAST_COUNT = 2
 STRIDE = 1024
 CACHED_CHUNKS = 700_000
 
@@ -86,12 +85,10 @@ def repair(ids: np.ndarray, first: int) -> Grammar:
     """Compress ids, all below ``first``."""
     symbols, rules, lengths = ids.astype(np.int32), [], np.zeros(0, np.int64)
     grammar = Grammar(first, np.zeros((0, 2), np.int32), lengths, symbols, np.zeros(0, np.int64))
-    for _ in range(ROUNDS):
+    while True:
         picked, places, which = _frequent_pairs(symbols)
         if not len(picked):
             break
-        keep = _without_overlap(places)
-        places, which = places[keep], which[keep]
         grammar.symbols = picked.ravel()
         grammar.lengths = np.concatenate([lengths, grammar.size_of(grammar.symbols).reshape(-1, 2).sum(axis=1)])
         symbols = symbols.copy()
@@ -108,33 +105,45 @@ def repair(ids: np.ndarray, first: int) -> Grammar:
 
 
 def _frequent_pairs(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs to replace, the positions that hold one, and which it is.
+    """The pairs to replace, the positions to replace without overlap, and which pair each holds.
 
     A table of hashed counts first drops the positions of rare pairs; what is
-    left is counted exactly.
+    left is counted exactly. Pairs whose places mostly overlap those of others wait.
     """
     none = np.zeros((0, 2), np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(symbols) < LEAST_COUNT + 1:
+    if len(symbols) < 2:
         return none
     left, right = symbols[:-1].astype(np.uint32), symbols[1:].astype(np.uint32)
     bucket = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(12)
-    places = np.flatnonzero(np.bincount(bucket, minlength=1 << 20)[bucket] >= LEAST_COUNT)
-    code = (left[places].astype(np.uint64) << np.uint64(32)) | right[places]
-    kinds, counts = np.unique(code, return_counts=True)
-    often = np.flatnonzero(counts >= LEAST_COUNT)
-    often = np.sort(often[np.argsort(-counts[often], kind="stable")[:RULES_PER_ROUND]])
-    if not len(often):
-        return none
-    kinds = kinds[often]
-    which = np.minimum(np.searchsorted(kinds, code), len(kinds) - 1)
-    held = kinds[which] == code
-    pairs = np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int32)
-    return pairs, places[held], which[held]
+    hashed = np.bincount(bucket, minlength=1 << 20)[bucket]
+    least = max(int(hashed.max()) // 2, LEAST_COUNT)
+    while True:
+        places = np.flatnonzero(hashed >= least)
+        code = (left[places].astype(np.uint64) << np.uint64(32)) | right[places]
+        kinds, counts = np.unique(code, return_counts=True)
+        kinds = kinds[counts >= least]
+        if len(kinds):
+            which = np.minimum(np.searchsorted(kinds, code), len(kinds) - 1)
+            held = kinds[which] == code
+            places, which = places[held], which[held]
+            pairs = np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int32)
+            apart = int((pairs[:, 0] != pairs[:, 1]).argmax())  # one that cannot overlap itself, if all are in others' way
+            for tried in (np.ones(len(places), bool), which == apart):
+                keep = _without_overlap(places[tried])
+                at, what = places[tried][keep], which[tried][keep]
+                enough = np.bincount(what, minlength=len(kinds)) >= max(least // 2, LEAST_COUNT)
+                if enough.any():
+                    stay = enough[what]
+                    return pairs[enough], at[stay], (np.cumsum(enough) - 1)[what[stay]]
+        if least == LEAST_COUNT:
+            return none
+        least = max(least // 2, LEAST_COUNT)
 
 
 def _without_overlap(places: np.ndarray) -> np.ndarray:
     """Of neighbouring positions, every other one from the left."""
-    breaks = np.concatenate([[True], np.diff(places) != 1])
+    breaks = np.ones(len(places), bool)
+    breaks[1:] = np.diff(places) != 1
     begin = np.maximum.accumulate(np.where(breaks, np.arange(len(places)), 0))
     return (np.arange(len(places)) - begin) % 2 == 0
 

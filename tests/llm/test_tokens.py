@@ -34,6 +34,22 @@ def test_repair_round_trip_and_random_access(monkeypatch):
     assert [len(grammar.expand(np.array([9 + r], np.int32))) for r in range(len(grammar.rules))] == grammar.lengths.tolist()
 
 
+def test_repair_goes_on_until_no_pair_occurs_twice():
+    rng = np.random.default_rng(3)
+    words = [rng.integers(0, 300, rng.integers(2, 9)) for _ in range(400)]
+    texts = [np.concatenate([words[i] for i in rng.integers(0, 400, n)]) for n in (3, 12, 3000)]
+    for ids in (*texts, np.array([1, 2, 1, 2]), np.tile([1, 2, 3], 9), np.array([1, 1, 1]), np.repeat([4, 5, 4], 7)):
+        grammar = repair(ids.astype(np.int32), 300)
+        assert grammar.expand(grammar.symbols).tolist() == ids.tolist()
+        last, seen = {}, set()
+        for at, pair in enumerate(zip(grammar.symbols[:-1].tolist(), grammar.symbols[1:].tolist())):
+            assert pair not in seen or at == last[pair] + 1  # a second place may only overlap the first
+            if pair not in seen:
+                last[pair] = at
+            seen.add(pair)
+        assert len(np.unique(grammar.rules, axis=0)) == len(grammar.rules)
+
+
 def test_shards_hold_what_the_library_encodes(spark, tmp_path):
     rows = [(r[0], r[1]) for r in EDGES if r[0] is not None] + [(20, "Don't <|endoftext|> it'll\u00a0be\t5 Ünḯcodé\x1cx")]
     path = str(tmp_path / "shards")
