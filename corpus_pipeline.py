@@ -66,9 +66,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of least id of each group of near duplicates."""
-    classes = ngram_join(docs)
-    gone = classes.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs).withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.col("_key")))
+    classes = ngram_join(keyed, "_key")
+    return _without(docs, classes.where(F.col("class_id") != F.col("doc_id")))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,5 +79,15 @@ def test_every_stage_on_edge_rows(spark, tables):
     assert sum(r.doc_id is None for r in kept) == 1  # the null text without id is an empty text, like rows 1 and 2
 
 
+def test_near_stage_tells_rows_of_one_id_apart(spark, tables):
+    rows = corpus()
+    texts = [rows[i][1] for i in range(3)]
+    sf_dir = tables([(1, texts[0]), (5, texts[0] + " addition"), (5, texts[1]), (None, texts[0] + " more"), (7, texts[2])])
+    kept = corpus_pipeline.near(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(
+        [("1", texts[0]), ("5", texts[1]), ("None", texts[0] + " more"), ("7", texts[2])]
+    )
+
+
 def test_empty_tables(spark, tables):
     assert corpus_pipeline.run(spark, tables([])).count() == 0
