@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from presslake.llm.alignment import alignment_digests
 from presslake.llm.bpe import bpe_decode, bpe_encode
 from presslake.llm.chat import format_chats, read_chats
 from presslake.llm.common import is_held_out
@@ -20,7 +21,8 @@ from presslake.llm.oracles import ORACLES
 from presslake.llm.suffix_dedup import remove_repeats
 from presslake.llm.tokens import read_documents, read_shards, write_shards
 from presslake.llm.toxicity import fit_toxicity, language_thresholds, score_toxicity
-from presslake.session import scratch_dir
+from presslake.llm.whitening import whiten
+from presslake.session import configure, scratch_dir
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -125,3 +127,17 @@ def op10_language_id(spark, sf_dir):
     return scored.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte"
     )
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = alignment_digests(table(configure(spark), sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    found = whiten(table(configure(spark), sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
