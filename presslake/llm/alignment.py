@@ -15,9 +15,10 @@ texts; texts for which that may not hold are encoded whole.
 
 from __future__ import annotations
 
-import json
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,16 @@ from presslake.llm.common import text_slices, worker_cache
 from presslake.llm.components import _written
 
 PIECE = 4096  # ends that one piece merges
-KEPT_BYTES = 16 << 20  # runs of text whose tokens a worker keeps
+KEPT_BYTES = 48 << 20  # what the runs a worker keeps may take
+RUN_BYTES = 200  # of one run, besides its text: entries of the tables and ids
 ID_BITS = 32
 SLICE_TOKENS = 1 << 18
+SLICE_BYTES = 1 << 18
+JOINED = 200  # new runs that are encoded as one text
 
+# Runs end where a blank follows something else; a blank after white space goes on.
 _BORDER = re.compile(r"(?<=\S)(?= )")
+_LONG_BLANK = re.compile(r"\s ")
 
 
 def merge_path(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
@@ -93,13 +99,18 @@ class Vocabulary:
 
     def __init__(self, tokens: dict[int, bytes]):
         self.size = max(tokens, default=-1) + 1
-        self.bytes = [tokens.get(i) for i in range(self.size)]
-        self.lengths = np.array([len(t) if t is not None else 0 for t in self.bytes], np.int64)
+        self.bytes = [tokens.get(i, b"") for i in range(self.size)]
+        self.lengths = np.array([len(t) for t in self.bytes], np.int64)
 
-    def joined(self, ids: list[int]) -> bytes | None:
-        """The bytes of ``ids``; None if an id stands for no bytes."""
-        parts = [self.bytes[i] for i in ids]
-        return None if any(not p for p in parts) else b"".join(parts)
+    def gives(self, ids: np.ndarray, data: bytes) -> bool:
+        """Whether ``ids`` are made of whole tokens and give the bytes ``data``."""
+        return bool(self.lengths[ids].all()) and b"".join(map(self.bytes.__getitem__, ids.tolist())) == data
+
+    def coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, laid end to end, and their number for each."""
+        ids = self.encode(texts)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -113,20 +124,14 @@ class ByteLevel(Vocabulary):
     """A byte-level BPE of the ``tokenizers`` library; special tokens in a text are plain text."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        stands = byte_alphabet()
-        with open(path, encoding="utf-8") as file:
-            special = {t["content"] for t in json.load(file)["added_tokens"]}
-        super().__init__(
-            {
-                i: bytes(map(stands.__getitem__, token))
-                for token, i in self.tokenizer.get_vocab().items()
-                if token not in special
-            }
-        )
+        stands, special = byte_alphabet(), self.tokenizer.get_added_tokens_decoder()
+        names = ((i, self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size()))
+        super().__init__({i: bytes(map(stands.__getitem__, name)) for i, name in names if i not in special})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -154,6 +159,17 @@ class Pieces(Vocabulary):
         return self.model.encode([t.removeprefix(" ") for t in texts], num_threads=1)
 
 
+def _size(runs) -> int:
+    return sum(map(len, runs)) + RUN_BYTES * len(runs)
+
+
+def text_runs(text: str) -> list[str]:
+    """Runs of ``" " + text``, each without the blank it begins with."""
+    if _LONG_BLANK.search(text) or text[0] == " ":
+        return [run[1:] for run in _BORDER.split(" " + text)]
+    return text.split(" ")
+
+
 class Aligner:
     """Both vocabularies and the runs a worker has encoded, within ``KEPT_BYTES``."""
 
@@ -169,32 +185,60 @@ class Aligner:
         self.sound = np.zeros(0, bool)
 
     def _learn(self, runs: list[str]) -> None:
-        size = sum(map(len, runs))
-        if self.held + size > KEPT_BYTES:
-            self.forget()
-        self.held += size
-        coded = [self.a.encode(runs), self.b.encode(runs)]
-        data = [r.encode("utf-8") for r in runs]
-        sound = [self.a.joined(x) == d == self.b.joined(y) for x, y, d in zip(*coded, data)]
+        """Encode new runs, many in one text; those that may not be followed by another one alone."""
+        runs.sort(key=lambda run: run[-1:].isspace() or not run)
+        alone = next((i for i, run in enumerate(runs) if run[-1:].isspace() or not run), len(runs))
+        flats, counts, sound = ([], []), ([], []), []
+        for begin in [*range(0, alone, JOINED), *range(alone, len(runs))]:
+            part = runs[begin : min(begin + JOINED, alone)] if begin < alone else [runs[begin]]
+            coded = [self._joined(side, part) for side in (self.a, self.b)]
+            if any(c is None for c in coded):
+                data = [f" {run}" for run in part]
+                coded = [side.coded(data) for side in (self.a, self.b)]
+                ends = [np.concatenate([[0], np.cumsum(n)]).tolist() for _, n in coded]
+                sound += [
+                    all(s.gives(ids[e[i] : e[i + 1]], run.encode("utf-8")) for s, (ids, _), e in zip((self.a, self.b), coded, ends))
+                    for i, run in enumerate(data)
+                ]
+            else:
+                sound += [True] * len(part)
+            for side, (ids, n) in enumerate(coded):
+                flats[side].append(ids)
+                counts[side].append(n)
+        self.held += _size(runs)
         self.known.update(zip(runs, range(len(self.known), len(self.known) + len(runs))))
         self.sound = np.concatenate([self.sound, np.array(sound, bool)])
-        for side, ids in enumerate(coded):
-            self.flat[side] = np.concatenate([self.flat[side], *[np.array(x, np.int32) for x in ids]])
-            lengths = np.cumsum([len(x) for x in ids], dtype=np.int64) + self.ends[side][-1]
-            self.ends[side] = np.concatenate([self.ends[side], lengths])
+        for side in (0, 1):
+            self.flat[side] = np.concatenate([self.flat[side], *flats[side]])
+            new = np.cumsum(np.concatenate(counts[side])) + self.ends[side][-1]
+            self.ends[side] = np.concatenate([self.ends[side], new])
+
+    @staticmethod
+    def _joined(side: Vocabulary, runs: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Runs encoded as one text; None unless its tokens give it back and end where the runs do."""
+        text = " " + " ".join(runs)
+        ids, _ = side.coded([text])
+        if not side.gives(ids, text.encode("utf-8")):
+            return None
+        ends = np.cumsum(side.lengths[ids])
+        borders = np.cumsum([1 + (len(run) if run.isascii() else len(run.encode("utf-8"))) for run in runs])
+        last = np.searchsorted(ends, borders)
+        if not (ends[last] == borders).all():
+            return None
+        return ids, np.diff(last, prepend=-1)
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids and, of each text, their number, for both sides; texts that do not come out as they were have none."""
-        runs = [_BORDER.split(" " + t) if t else [] for t in texts]
-        if not self.b.runs:
-            runs = [[" " + t] if t else [] for t in texts]
-        new = set().union(*runs).difference(self.known)
-        if self.held + sum(map(len, new)) > KEPT_BYTES:
+        cut = text_runs if self.b.runs else lambda text: [text]
+        runs = [cut(t) if t else [] for t in texts]
+        every = list(chain.from_iterable(runs))
+        new = set(every).difference(self.known)
+        if self.held + _size(new) > KEPT_BYTES:
             self.forget()
-            new = set().union(*runs)
+            new = set(every)
         if new:
             self._learn(list(new))
-        at = np.array([self.known[r] for own in runs for r in own], np.int64)
+        at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
         owner = np.repeat(np.arange(len(texts)), [len(own) for own in runs])
         unsound = np.unique(owner[~self.sound[at]])
         keep = ~np.isin(owner, unsound)
@@ -206,12 +250,13 @@ class Aligner:
             ids.append(self.flat[side][place])
             counts.append(np.bincount(owner, size, len(texts)).astype(np.int64))
         for row in unsound.tolist():  # settled on the whole text, as the definition has it
-            whole, data = [s.encode([" " + texts[row]])[0] for s in (self.a, self.b)], (" " + texts[row]).encode("utf-8")
-            if self.a.joined(whole[0]) == data == self.b.joined(whole[1]):
-                for side in (0, 1):
+            text = " " + texts[row]
+            whole = [side.coded([text])[0] for side in (self.a, self.b)]
+            if all(side.gives(flat, text.encode("utf-8")) for side, flat in zip((self.a, self.b), whole)):
+                for side, flat in enumerate(whole):
                     here = int(counts[side][:row].sum())
-                    ids[side] = np.concatenate([ids[side][:here], np.array(whole[side], np.int32), ids[side][here:]])
-                    counts[side][row] = len(whole[side])
+                    ids[side] = np.concatenate([ids[side][:here], flat, ids[side][here:]])
+                    counts[side][row] = len(flat)
         return ids, counts
 
     def align(self, texts: list[str | None], piece: int = PIECE):
@@ -249,7 +294,7 @@ def align_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(path_a, path_b)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE_BYTES):
             ids, counts, sizes, groups = aligner.align(batch.column("text").to_pylist(), piece)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -313,7 +358,7 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 
 def pair_bound(path_a: str, path_b: str) -> int:
     """How many id pairs can ever be linked, from the vocabularies alone."""
-    a, b = ([t for t in v.bytes if t] for v in (ByteLevel(path_a), Pieces(path_b)))
+    a, b = ([t for t in v.bytes if t] for v in (ByteLevel(path_a), Pieces(path_b)))  # special tokens have no bytes
 
     def matches(ends: list[bytes], of: list[bytes], proper: bool) -> int:
         held: dict[bytes, int] = {}
@@ -367,24 +412,15 @@ def link_statistics(aligned: DataFrame, counts: DataFrame) -> DataFrame:
 
 def _spelled(a, b, n_a, n_b, in_a, in_b) -> list[str]:
     """The groups of each row as text: ids in group order, each followed by its separator."""
-    size = int(max(a.max(initial=-1), b.max(initial=-1))) + 1
-    words = worker_cache("align-words", dict)
-    signs = ",|;"
+    size = 1 << int(max(a.max(initial=0), b.max(initial=0))).bit_length()
+    words = worker_cache(f"align-words-{size}", lambda: np.array([f"{i}{sign}" for sign in ",|;" for i in range(size)], object))
     order_a = np.arange(len(a)) + np.repeat(np.cumsum(in_b) - in_b, in_a)
     order_b = np.arange(len(b)) + np.repeat(np.cumsum(in_a), in_b)
     codes = np.zeros(len(a) + len(b), np.int64)
     codes[order_a], codes[order_b] = a, b
     codes[order_a[np.cumsum(in_a) - 1]] += size
     codes[order_b[np.cumsum(in_b) - 1]] += 2 * size
-    used, at = np.unique(codes, return_inverse=True)
-    spelled = []
-    for c in used.tolist():
-        kind, i = divmod(c, size)
-        word = words.get((i, kind))
-        if word is None:
-            word = words[i, kind] = f"{i}{signs[kind]}"
-        spelled.append(word)
-    parts = np.array(spelled, object)[at].tolist()
+    parts = words[codes].tolist()
     ends = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
     return ["".join(parts[x:y])[:-1] for x, y in zip(ends, ends[1:])]
 
