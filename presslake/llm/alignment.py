@@ -31,6 +31,7 @@ PIECE = 4096  # ends that one piece merges
 KEPT_BYTES = 48 << 20  # what the runs a worker keeps may take
 RUN_BYTES = 200  # of one run, besides its text: entries of the tables and ids
 ID_BITS = 32
+LISTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 SLICE_TOKENS = 1 << 18
 SLICE_BYTES = 1 << 18
 JOINED = 200  # new runs that are encoded as one text
@@ -175,6 +176,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.width = 2 if max(self.a.size, self.b.size) <= 1 << 16 else 4
         self.forget()
 
     def forget(self) -> None:
@@ -273,11 +275,37 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return worker_cache(f"align-{path_a}-{path_b}", lambda: Aligner(path_a, path_b))
 
 
-def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+def _lists(flat: np.ndarray, counts: np.ndarray, width: int = 4) -> pa.ListArray:
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
 
 
+def _packed(flat: np.ndarray, counts: np.ndarray, width: int = 4) -> pa.Array:
+    """The numbers of each row as little-endian unsigned integers of ``width`` bytes."""
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * width
+    cells = [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(f"<u{width}"))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), cells).cast(pa.binary())
+
+
+def _aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, piece: int, packed: bool) -> DataFrame:
+    """``align_tokens``; packed, numbers are bytes, which Spark moves and stores without touching each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _aligner(path_a, path_b)
+        build, width = (_packed, aligner.width) if packed else (_lists, 4)
+        for batch in text_slices(batches, "text", SLICE_BYTES):
+            ids, counts, sizes, groups = aligner.align(batch.column("text").to_pylist(), piece)
+            cells = [build(x, n, width) for x, n in zip(ids, counts)] + [build(x, groups) for x in sizes]
+            if packed:
+                cells.append(pa.array(np.full(batch.num_rows, width), pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cells], names=["doc_id", *LISTS, "width"][: len(cells) + 1])
+
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    lists = ", ".join(f"{c} {'binary' if packed else 'array<int>'}" for c in LISTS)
+    return rows.mapInArrow(run, f"doc_id {kind}, {lists}{', width int' * packed}")
+
+
 def align_tokens(
     docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE
 ) -> DataFrame:
@@ -292,45 +320,35 @@ def align_tokens(
     ignored.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(path_a, path_b)
-        for batch in text_slices(batches, "text", SLICE_BYTES):
-            ids, counts, sizes, groups = aligner.align(batch.column("text").to_pylist(), piece)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    _lists(ids[0], counts[0]),
-                    _lists(ids[1], counts[1]),
-                    _lists(sizes[0], groups),
-                    _lists(sizes[1], groups),
-                ],
-                names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"],
-            )
-
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    lists = ", ".join(f"{c} array<int>" for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-    return rows.mapInArrow(run, f"doc_id {kind}, {lists}")
+    return _aligned(docs, path_a, path_b, doc_id, text, piece, packed=False)
 
 
 def _token_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut batches so that their rows have about ``SLICE_TOKENS`` tokens each, or one row more."""
     for batch in batches:
         if batch.num_rows:
-            tokens = sum(np.asarray(batch.column(c).value_lengths()).astype(np.int64) for c in ("a_ids", "b_ids"))
+            tokens = sum(_flat(batch, c)[1] for c in ("a_ids", "b_ids"))
             cuts = np.flatnonzero(np.diff(np.cumsum(tokens) // SLICE_TOKENS)) + 1
             for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 yield batch.slice(begin, end - begin)
 
 
-def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(), np.asarray(column.value_lengths()).astype(np.int64)
+def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column, laid end to end, and how many each row has."""
+    column = batch.column(name)
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(), np.asarray(column.value_lengths()).astype(np.int64)
+    width = batch.column("width")[0].as_py() if name.endswith("ids") else 4
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, f"<u{width}", (ends[-1] - ends[0]) // width, ends[0]) if data is not None and ends[-1] > ends[0] else []
+    return np.asarray(flat, np.int64), np.diff(ends) // width
 
 
 def _links(batch: pa.RecordBatch) -> np.ndarray:
     """A and B id of each link, in one number: the last tokens of each group."""
-    (a, _), (b, _) = _flat(batch.column("a_ids")), _flat(batch.column("b_ids"))
-    (in_a, _), (in_b, _) = _flat(batch.column("a_sizes")), _flat(batch.column("b_sizes"))
+    (a, _), (b, _), (in_a, _), (in_b, _) = (_flat(batch, c) for c in LISTS)
     return (a[np.cumsum(in_a) - 1].astype(np.int64) << ID_BITS) | b[np.cumsum(in_b) - 1]
 
 
@@ -388,8 +406,7 @@ def link_statistics(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = shared.value
         for batch in _token_slices(batches):
-            (a, n_a), (b, n_b) = _flat(batch.column("a_ids")), _flat(batch.column("b_ids"))
-            (in_a, groups), (in_b, _) = _flat(batch.column("a_sizes")), _flat(batch.column("b_sizes"))
+            (a, n_a), (b, n_b), (in_a, groups), (in_b, _) = (_flat(batch, c) for c in LISTS)
             at = np.searchsorted(pairs, _links(batch))
             owner = np.repeat(np.arange(batch.num_rows), groups)
             total = np.zeros(batch.num_rows, np.int64)
@@ -427,5 +444,5 @@ def _spelled(a, b, n_a, n_b, in_a, in_b) -> list[str]:
 
 def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``link_statistics`` over all of ``docs``; the alignment is written once and read twice."""
-    aligned = _written(align_tokens(docs, path_a, path_b), "aligned")
+    aligned = _written(_aligned(docs, path_a, path_b, "doc_id", "text", PIECE, packed=True), "aligned")
     return link_statistics(aligned, link_counts(aligned))
