@@ -18,6 +18,7 @@ from presslake.llm.html_text import extract_text
 from presslake.llm.language import fit_language_model, score_languages
 from presslake.llm.near_dup import ngram_join
 from presslake.llm.oracles import ORACLES
+from presslake.llm.setsketch import near_duplicates
 from presslake.llm.suffix_dedup import remove_repeats
 from presslake.llm.tokens import read_documents, read_shards, write_shards
 from presslake.llm.toxicity import fit_toxicity, language_thresholds, score_toxicity
@@ -129,6 +130,11 @@ def op10_language_id(spark, sf_dir):
     )
 
 
+@query
+def op11_setsketch(spark, sf_dir):
+    return near_duplicates(table(configure(spark), sf_dir, "documents"))
+
+
 @query
 def op12_token_alignment(spark, sf_dir):
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
