@@ -28,8 +28,8 @@ ORACLES = {
                 from d, (select distinct k from p) where len(ws) >= k)),
         m as (select w.doc_id, w.k, w.s, p.item_id from w join p on w.k = p.k and w.phrase = p.phrase),
         h as (
-            select doc_id, count(distinct at) as n_hit
-            from (select doc_id, unnest(range(s, s + k)) as at from m) group by doc_id),
+            select doc_id, count(distinct place) as n_hit
+            from (select doc_id, unnest(range(s, s + k)) as place from m) group by doc_id),
         i as (
             select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items
             from (select distinct doc_id, item_id::varchar as item from m) group by doc_id)
