@@ -9,13 +9,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. The last duplicate JSON key wins, as in Python; skewed
-# join partitions are split even when that costs another exchange; a batch of
-# pages sent to Python stays small however large the pages are.
+# join partitions are split even when that costs another exchange; streaming state
+# lies on disk, and a batch saves what it changed; a batch of pages sent to Python
+# stays small however large the pages are.
 RUNTIME_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
 }

@@ -299,3 +299,33 @@ def source_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"(n + {LINKS_PER_LISTING - 1}) div {LINKS_PER_LISTING} as hi",
     )
 
+
+
+def found_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run, value``: what three crawl runs find, as link records.
+
+    Runs overlap by text length, and each spells the same addresses differently.
+    """
+    spellings = [
+        (1, f"n_chars < {FIRST_RUN_BELOW}", f"concat('{HOST}{URL_PATH}', doc_id, '?q=a%20b+c&p ')"),
+        (2, f"n_chars >= {SECOND_RUN_FROM}", f"concat('HTTPS://WWW.Example.com:443/x/..{URL_PATH_DECODED}', doc_id, '?p=&q=a+b+c#top')"),
+        (3, "true", f"concat('{HOST}/.{URL_PATH.lower()}', doc_id, '?&p&q=%61+b%20c')"),
+    ]
+    runs = ", ".join(
+        f"""if({when}, named_struct('run', {run}, 'value', concat('{{"url": "', {url}, '"}}')), null)"""
+        for run, when, url in spellings
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return dealt(docs, "doc_id").selectExpr(f"inline(filter(array({runs}), x -> x is not null))")
+
+
+def spelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, url``: three spellings of one address per document; the whole text is a path segment."""
+    text = "replace(url_encode(text), '+', '%20')"
+    query = "'?b=', lang, '&a=', source"
+    urls = f"""array(
+        concat('{HOST}/story/', doc_id, '/', {text}, {query}, '&a'),
+        concat('\u00a0HTTPS://www.EXAMPLE.com:443/x/../story/./', doc_id, '/', {text}, {query}, '&a=#', doc_id),
+        concat('{HOST}:/%73tory/%2e/', doc_id, '/', {text}, '?&a&a=', source, '&b=', lang, '&'))"""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return dealt(docs, "doc_id").selectExpr("doc_id", f"explode({urls}) as url")

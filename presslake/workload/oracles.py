@@ -344,4 +344,9 @@ ORACLES: dict[str, str] = {
         SELECT category, count(doc_id) AS n_articles, CASE WHEN count(doc_id) > 0 THEN 'DONE' ELSE 'FAILED' END AS status
         FROM c LEFT JOIN documents ON doc_id % {len(CATEGORY_LABELS) - 1} = i GROUP BY category""",
     "page_archive": "SELECT string_split(url, '/')[-1] AS file_id, url, html FROM pages",
+    "url_fingerprint": f"""SELECT doc_id, url, sha256(url) AS fingerprint, CAST(3 AS BIGINT) AS n_spellings FROM (
+          SELECT doc_id, '{HOST}/story/' || doc_id || '/' || replace(url_encode(text), '%2A', '*')
+                   || '?a=&a=' || source || '&b=' || lang AS url
+          FROM documents)""",
+    "frontier_resume": f"SELECT '{HOST}{URL_PATH}' || doc_id || '?p=&q=a+b+c' AS url FROM documents",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from presslake.functions.dates import before_year, clean_date, parse_clean_date
 from presslake.functions.text import last_segment, media_provider, url_key, ustrip
+from presslake.functions.urls import canonical_url, url_fingerprint as fingerprint_of
 from presslake.operators import analytics, coverage, dedup, extract, links
 from presslake.operators.normalize import normalize, reject_report
 from presslake.plans import articles as plans
@@ -16,6 +17,7 @@ from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, SCALAR_FIELDS
 from presslake.session import configure, scratch_dir
 from presslake.sinks import files as sinks
 from presslake.sources import files as sources
+from presslake.streaming.frontier import next_requests, read_requests, start_requests
 from presslake.streaming.ingest import ingest, read_archive
 from presslake.workload import fixtures as fx
 
@@ -598,3 +600,30 @@ def page_archive(spark, sf_dir):
     path = scratch_dir(spark, "pages")
     plans.archive_pages(fx.table(spark, sf_dir, "pages"), path)
     return spark.read.parquet(path)
+
+
+# -- addresses and requests ---------------------------------------------------------------
+@query
+def url_fingerprint(spark, sf_dir):
+    """Spellings per address, by fingerprint."""
+    rows = fx.spelled_urls(spark, sf_dir)
+    keyed = rows.select("doc_id", canonical_url("url").alias("url"), fingerprint_of("url").alias("fingerprint"))
+    per_address = keyed.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("doc_id"), F.min("url").alias("url"), F.count("*").alias("n_spellings")
+    )
+    return per_address.withColumn("fingerprint", F.lower(F.hex("fingerprint")))
+
+
+@query
+def frontier_resume(spark, sf_dir):
+    """Three runs over other spellings of the same links; the second is stopped while it works."""
+    root = scratch_dir(spark, "frontier-resume")
+    found, target, checkpoint = f"{root}/found", f"{root}/requests", f"{root}/checkpoint"
+    lines = fx.found_links(spark, sf_dir)
+    for run in (1, 2, 3):
+        sinks.write_lines(lines.where(F.col("run") == run).select("value"), f"{found}/run_{run}.jsonl")
+        if run == 2:
+            start_requests(spark, found, target, checkpoint).stop()
+        else:
+            next_requests(spark, found, target, checkpoint)
+    return read_requests(spark, target).select("url")
