@@ -23,16 +23,20 @@ def write_parquet(
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
     row_group_rows: int | None = None,
+    dynamic: bool = False,
 ) -> None:
     """Snappy Parquet; row groups by size, or of ``row_group_rows`` rows at most.
 
     With ``partition_by`` the rows are first rebalanced by those columns: a
     partition gets few files, and adaptive execution splits one that holds a
-    large share of the rows over several tasks.
+    large share of the rows over several tasks. With ``dynamic`` an overwrite
+    replaces only the partitions that ``df`` has rows for.
     """
     writer = _balanced(df, partition_by).write.mode(mode).option("compression", "snappy")
     if row_group_rows:
         writer = writer.option("parquet.block.row.count.limit", str(row_group_rows))
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
 
@@ -83,12 +87,17 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
         names.append(at.getName().partition("=")[0])
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A stored dataset with all columns of all its files; folder values stay text, as written."""
-    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+def read_partitioned(spark: SparkSession, path: str, only: Sequence[str] = ()) -> DataFrame:
+    """A stored dataset with all columns of all its files; folder values stay text, as written.
+
+    ``only`` names the partition folders to read, relative to ``path``.
+    """
+    parts = [f"{path}/{folder}" for folder in only] or [path]
+    reader = spark.read.option("basePath", path)
+    merged = reader.option("mergeSchema", "true").parquet(*parts).schema
     folders = set(partition_columns(spark, path))
     fields = [T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in merged]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(*parts)
 
 
 def _restore(fs, target, hadoop) -> None:

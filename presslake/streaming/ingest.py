@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presslake.operators.dedup import first_wins
@@ -32,6 +34,33 @@ def read_archive(spark: SparkSession, target: str) -> DataFrame:
     return stored.select(*ARTICLE_COLUMNS, *extra, F.col("batch").cast("long").alias("batch"))
 
 
+def arriving_lines(spark: SparkSession, raw_root: str, max_files_per_batch: int) -> DataFrame:
+    """A stream of the lines of ``raw_root/*``, files in the order in which they landed."""
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files_per_batch))
+    return reader.load(f"{raw_root}/*").select(
+        "value",
+        F.col("_metadata.file_path").alias("src_path"),
+        F.col("_metadata.file_block_start").alias("src_block"),
+        F.col("_metadata.file_modification_time").alias("landed"),
+    )
+
+
+def for_each_batch(lines: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand ``land`` each batch of ``lines``, with the columns ``LANDED``, until nothing is left."""
+    run_ts = F.regexp_extract("src_path", r"_([^_/]+)\.[^./_]+(?:/[^/]*)?$", 1)
+    query = (
+        lines.writeStream.foreachBatch(
+            lambda batch, batch_id: land(
+                batch.withColumn("src_row", F.monotonically_increasing_id()).withColumn("run_ts", run_ts), batch_id
+            )
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def ingest(
     spark: SparkSession,
     raw_root: str,
@@ -63,22 +92,4 @@ def ingest(
             fresh = with_dates(fresh)
         write_parquet(fresh, f"{target}/batch={batch_id}", mode="overwrite")
 
-    reader = spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files_per_batch))
-    lines = reader.load(f"{raw_root}/*").select(
-        "value",
-        F.col("_metadata.file_path").alias("src_path"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.col("_metadata.file_modification_time").alias("landed"),
-    )
-    run_ts = F.regexp_extract("src_path", r"_([^_/]+)\.[^./_]+(?:/[^/]*)?$", 1)
-    query = (
-        lines.writeStream.foreachBatch(
-            lambda batch, batch_id: land(
-                batch.withColumn("src_row", F.monotonically_increasing_id()).withColumn("run_ts", run_ts), batch_id
-            )
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for_each_batch(arriving_lines(spark, raw_root, max_files_per_batch), land, checkpoint)

@@ -302,6 +302,8 @@ ORACLES: dict[str, str] = {
           tags, true AS media FROM feed""",
     "csv_export": f"WITH {ARTICLES} SELECT url, content FROM articles",
     "enrich_in_place": f"SELECT event_id, date_trunc('minute', {EVENT_TS}) AS date_parsed FROM events",
+    "enrich_increment": f"""SELECT event_id, date_trunc('minute', {EVENT_TS}) AS date_parsed,
+          ({_list(MONTHS)})[month({EVENT_TS})] AS month FROM events""",
     "shape": "SELECT count(*) AS n_rows, 5 AS n_columns FROM documents",
     "seed": f"""SELECT DISTINCT 'urgent' AS section, '{HOST}/Section/src0/11' AS url FROM documents WHERE source = 'src0'""",
     "listing_links": f"""SELECT '{HOST}/Section/news/' || (doc_id // {LINKS_PER_LISTING}) AS url,
@@ -316,6 +318,8 @@ ORACLES: dict[str, str] = {
     "n_unique_events": "SELECT count(*) AS n_unique FROM (SELECT DISTINCT ts, event_type, value FROM events)",
     "ingest_enriched": f"""WITH {FEED} SELECT article_id, title, date_trunc('minute', date_parsed) AS date_parsed,
           CAST(CASE WHEN n_chars < {FIRST_RUN_BELOW} THEN 0 ELSE 1 END AS BIGINT) AS batch FROM feed WHERE k = 0""",
+    "ingest_bucketed": f"""WITH {FEED} SELECT article_id, title, date_trunc('minute', date_parsed) AS date_parsed,
+          CAST(CASE WHEN n_chars < {FIRST_RUN_BELOW} THEN 0 ELSE 1 END AS BIGINT) AS batch FROM feed WHERE k = 0""",
     "ingest_backlog": f"WITH {FEED} SELECT article_id, title FROM feed WHERE k = 0",
     "day_slice_events": f"""SELECT DISTINCT '{HOST}/event/' || user_id AS url, event_type AS content FROM events
         WHERE month({EVENT_TS}) = 3 AND day({EVENT_TS}) = 21""",

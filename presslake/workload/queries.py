@@ -13,10 +13,12 @@ from presslake.functions.urls import canonical_url, url_fingerprint as fingerpri
 from presslake.operators import analytics, coverage, dedup, extract, links
 from presslake.operators.normalize import normalize, reject_report
 from presslake.plans import articles as plans
+from presslake.plans.enrichment import enrich_increment as enrich_new
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, SCALAR_FIELDS
 from presslake.session import configure, scratch_dir
 from presslake.sinks import files as sinks
 from presslake.sources import files as sources
+from presslake.streaming.bucketed import ingest_bucketed as ingest_into, open_archive, read_bucketed
 from presslake.streaming.frontier import next_requests, read_requests, start_requests
 from presslake.streaming.ingest import ingest, read_archive
 from presslake.workload import fixtures as fx
@@ -471,6 +473,20 @@ def enrich_in_place(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "date_parsed")
 
 
+@query
+def enrich_increment(spark, sf_dir):
+    """Two batches of events, enriched as they arrive; each batch brings partitions of its own."""
+    path = scratch_dir(spark, "enrich-increment")
+    events = fx.dated_events(spark, sf_dir)
+    month = F.regexp_extract("publish_date", r"^(?:[^،]*، )?\d+ (\S+)", 1)
+    rows = events.withColumn("month", month).withColumn("run", (F.col("event_id") % 3).cast("string"))
+    for run in ("0", "1", "2"):
+        sinks.write_parquet(rows.where(F.col("run") == run), path, mode="append", partition_by=["run", "month"])
+        enrich_new(spark, path)
+    enrich_new(spark, path)  # nothing new has arrived
+    return sinks.read_partitioned(spark, path).select("event_id", "date_parsed", "month")
+
+
 @query
 def partitioned_layout(spark, sf_dir):
     path = scratch_dir(spark, "lake")
@@ -533,6 +549,19 @@ def ingest_backlog(spark, sf_dir):
     return read_archive(spark, target).select("article_id", "title")
 
 
+@query
+def ingest_bucketed(spark, sf_dir):
+    """Runs into an archive laid out by id; each batch reads the shelves of its ids."""
+    root = scratch_dir(spark, "ingest-bucketed")
+    raw, checkpoint = f"{root}/raw", f"{root}/checkpoint"
+    archive = open_archive(spark, f"{root}/articles")
+    for run_ts, lines in _runs(spark, sf_dir):
+        plans.land_run(lines, raw, "urgent", run_ts)
+        ingest_into(spark, raw, archive, checkpoint)
+    ingest_into(spark, raw, archive, checkpoint)  # nothing new has arrived
+    return read_bucketed(spark, archive).select("article_id", "title", "date_parsed", "batch")
+
+
 @query
 def convert_runs(spark, sf_dir):
     root = scratch_dir(spark, "convert")

@@ -1,0 +1,84 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from presslake.plans.enrichment import enrich_increment, enriched_files
+from presslake.sinks.files import read_partitioned, write_parquet
+
+DATE = "1 يناير 2015 12:05 ص"
+
+
+def rows(spark, *ids, category="a"):
+    return spark.createDataFrame([(i, DATE, category) for i in ids], "id long, publish_date string, category string")
+
+
+def append(spark, path, *ids, category):
+    write_parquet(rows(spark, *ids, category=category), path, mode="append", partition_by=["category"])
+
+
+def stat(path, category):
+    folder = os.path.join(path, f"category={category}")
+    return {n: os.stat(os.path.join(folder, n)).st_mtime_ns for n in os.listdir(folder) if n.endswith(".parquet")}
+
+
+def dated(spark, path):
+    stored = read_partitioned(spark, path).select("id", "category", F.year("date_parsed").alias("y"))
+    return sorted(tuple(r) for r in stored.collect())
+
+
+def test_only_partitions_with_new_files_are_written(spark, tmp_path):
+    path = str(tmp_path / "data")
+    append(spark, path, 1, 2, category="a")
+    append(spark, path, 3, category="b:/x")  # needs an escape in the folder's name
+    append(spark, path, 4, category="07")  # stays text
+    assert len(enrich_increment(spark, path)) == 3
+    assert dated(spark, path) == [(1, "a", 2015), (2, "a", 2015), (3, "b:/x", 2015), (4, "07", 2015)]
+    before = {c: stat(path, c) for c in ("a", "b%3A%2Fx", "07")}
+    assert enrich_increment(spark, path) == []
+
+    append(spark, path, 5, category="07")
+    append(spark, path, 6, category="new")
+    assert enrich_increment(spark, path) == ["category=07", "category=new"]
+    assert stat(path, "a") == before["a"] and stat(path, "b%3A%2Fx") == before["b%3A%2Fx"]
+    assert not set(stat(path, "07")) & set(before["07"])
+    assert dated(spark, path)[3:] == [(4, "07", 2015), (5, "07", 2015), (6, "new", 2015)]
+
+
+def test_untouched_partitions_are_not_even_read(spark, tmp_path):
+    path = str(tmp_path / "data")
+    append(spark, path, 1, category="a")
+    append(spark, path, 2, category="b")
+    enrich_increment(spark, path)
+    (name,) = stat(path, "a")
+    spoilt = tmp_path / "data" / "category=a" / name
+    spoilt.write_bytes(b"no parquet")
+    (spoilt.parent / f".{name}.crc").unlink(missing_ok=True)
+    append(spark, path, 3, category="b")
+    assert enrich_increment(spark, path) == ["category=b"]
+
+
+def test_a_run_without_its_note_is_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "data")
+    append(spark, path, 1, category="a")
+    enrich_increment(spark, path)
+    append(spark, path, 2, category="a")
+    append(spark, path, 3, category="b")
+    with monkeypatch.context() as patch:
+
+        def stop(*_):
+            raise KeyboardInterrupt
+
+        patch.setattr(type(spark.catalog), "refreshByPath", stop)
+        with pytest.raises(KeyboardInterrupt):
+            enrich_increment(spark, path)
+    assert enrich_increment(spark, path) == ["category=a", "category=b"]
+    assert enrich_increment(spark, path) == []
+    assert dated(spark, path) == [(1, "a", 2015), (2, "a", 2015), (3, "b", 2015)]
+    assert len(enriched_files(spark, path)) == 3  # the ledger remembers a file that is gone
+
+
+def test_needs_partitions(spark, tmp_path):
+    rows(spark, 1).write.parquet(str(tmp_path / "flat"))
+    with pytest.raises(ValueError):
+        enrich_increment(spark, str(tmp_path / "flat"))
