@@ -7,7 +7,7 @@ import math
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from presslake.functions.dates import iso_weekday
@@ -210,28 +210,43 @@ QUARTILES = (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))
 STATISTICS = ("count", "null_count", "mean", "std", "min", *(q for q, _ in QUARTILES), "max")
 
 
+def column_kinds(df: DataFrame) -> dict[str, str]:
+    """``number``, ``time`` or the type's name, for each column."""
+    kinds = {}
+    for field in df.schema:
+        kind = field.dataType.typeName()
+        numeric = isinstance(field.dataType, T.NumericType)
+        kinds[field.name] = "number" if numeric else "time" if kind.startswith("timestamp") else kind
+    return kinds
+
+
 def describe(df: DataFrame) -> DataFrame:
     """Nine statistics per column, one row each.
 
     Numeric columns give DOUBLE values, all others text. Lists have counts
     only, strings no mean and quartiles, timestamps no standard deviation.
     """
-    kinds, wanted = {}, []
-    for field in df.schema:
-        name, col = field.name, F.col(f"`{field.name}`")
-        kind = field.dataType.typeName()
-        numeric = isinstance(field.dataType, T.NumericType)
-        kinds[name] = "number" if numeric else "time" if kind.startswith("timestamp") else kind
+    kinds, wanted = column_kinds(df), []
+    for name, kind in kinds.items():
+        col = F.col(f"`{name}`")
         wanted += [F.count(col).alias(f"count {name}"), F.count_if(col.isNull()).alias(f"null_count {name}")]
-        if kinds[name] in ("number", "time", "string"):
+        if kind in ("number", "time", "string"):
             wanted += [F.min(col).alias(f"min {name}"), F.max(col).alias(f"max {name}")]
-        if kinds[name] == "number":
+        if kind == "number":
             wanted += [F.avg(col).alias(f"mean {name}"), F.stddev_samp(col).alias(f"std {name}")]
-        if kinds[name] == "time":
+        if kind == "time":
             mean = F.avg(F.expr(_micros(name)).cast("decimal(20,0)"))
             wanted.append(F.floor(mean).cast("long").alias(f"mean {name}"))
     ranked = {name: [p for _, p in QUARTILES] for name, kind in kinds.items() if kind in ("number", "time")}
     quartiles, stats = exact_quantiles(df, ranked, stats=wanted)
+    return described(df.sparkSession, kinds, stats, quartiles)
+
+
+def described(
+    spark: SparkSession, kinds: dict[str, str], stats: dict[str, object], quartiles: dict[str, list[object | None]]
+) -> DataFrame:
+    """The rows of ``describe`` from statistics by ``"<statistic> <column>"`` and quartiles by column."""
+    stats = dict(stats)
     for name, kind in kinds.items():
         if name in quartiles:
             stats.update({f"{q} {name}": v for (q, _), v in zip(QUARTILES, quartiles[name])})
@@ -250,7 +265,7 @@ def describe(df: DataFrame) -> DataFrame:
         f"`{name}` {'double' if kind == 'number' else 'string'}" for name, kind in kinds.items()
     )
     rows = [(s, *(cell(s, name) for name in kinds)) for s in STATISTICS]
-    return df.sparkSession.createDataFrame(rows, f"statistic string, {ddl}")
+    return spark.createDataFrame(rows, f"statistic string, {ddl}")
 
 
 # -- quality -----------------------------------------------------------------

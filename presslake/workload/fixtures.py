@@ -329,3 +329,14 @@ def spelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         concat('{HOST}:/%73tory/%2e/', doc_id, '/', {text}, '?&a&a=', source, '&b=', lang, '&'))"""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return dealt(docs, "doc_id").selectExpr("doc_id", f"explode({urls}) as url")
+
+
+NUMBERED_FILES = 7
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: JSON lines that say where they stand, in files by document number, of unequal lengths."""
+    docs = table(spark, sf_dir, "documents").withColumn("part", F.expr(f"doc_id % {NUMBERED_FILES}"))
+    placed = docs.selectExpr("part", f"doc_id div {NUMBERED_FILES} as n", "doc_id", "left(text, 20 * cast(part as int)) as t")
+    spread = placed.repartitionByRange(NUMBERED_FILES, "part").sortWithinPartitions("part", "n")
+    return spread.selectExpr("to_json(struct(part, n, doc_id, t)) as value")

@@ -224,6 +224,14 @@ ORACLES: dict[str, str] = {
     "top_tags_share": f"""WITH {TAG_COUNTS} SELECT tag, frequency,
           round(frequency / sum(frequency) OVER (), 6) AS share FROM ({TOP_TAGS})""",
     "tag_lookup": f"WITH {TAG_COUNTS} SELECT tag, frequency FROM tag_counts WHERE tag = 'news'",
+    "top_tags_sketch": f"WITH {TAG_COUNTS} {TOP_TAGS}",
+    "top_tags_incremental": f"WITH {TAG_COUNTS} {TOP_TAGS}",
+    "heatmap_incremental": f"""WITH {ARTICLES} SELECT isodow(date_parsed) AS weekday, hour(date_parsed) AS hour,
+          count(*) AS article_count FROM articles GROUP BY 1, 2""",
+    "coverage_estimate": """SELECT count(d.doc_id) AS listed, count(l.doc_id) AS scraped,
+          count_if(l.doc_id IS NULL) AS missing, count_if(d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL) AS done,
+          true AS listed_within_margin, true AS scraped_within_margin, true AS missing_within_margin, true AS done_within_margin
+        FROM documents d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id""",
     "heatmap": f"""WITH {ARTICLES} SELECT isodow(date_parsed) AS weekday, hour(date_parsed) AS hour,
           count(*) AS article_count FROM articles GROUP BY 1, 2""",
     "heatmap_pivot": f"SELECT isodow(ts) AS weekday, {HOURS} FROM events GROUP BY 1",
@@ -239,6 +247,7 @@ ORACLES: dict[str, str] = {
     "n_unique_rows": "SELECT count(*) AS n_unique FROM (SELECT DISTINCT text, lang FROM documents)",
     "distinct_content": f"WITH {ARTICLES} SELECT DISTINCT content FROM articles",
     "describe": _describe(),
+    "describe_merged": _describe(),
     "missing_urls": f"""SELECT '{{"url": "{HOST}{URL_PATH}' || d.doc_id || '?q=a%20b+c ", "rank": ' || d.doc_id || '}}'
           AS value {MISSING} WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)""",
     "missing_urls_txt": f"""SELECT '{HOST}{URL_PATH}' || d.doc_id || '?q=a%20b+c' AS url {MISSING}
@@ -353,4 +362,10 @@ ORACLES: dict[str, str] = {
                    || '?a=&a=' || source || '&b=' || lang AS url
           FROM documents)""",
     "frontier_resume": f"SELECT '{HOST}{URL_PATH}' || doc_id || '?p=&q=a+b+c' AS url FROM documents",
+    # Longer keys stand for control characters while single letters are exchanged.
+    "replace_many": """SELECT doc_id, replace(replace(replace(replace(translate(
+          replace(replace(replace(replace(text, 'and ', chr(1)), 'an', chr(2)), 'er', chr(3)), '.', chr(4)),
+          'abe', 'bca'), chr(1), '& '), chr(2), '<AN>'), chr(3), ''), chr(4), '(.)') AS text FROM documents""",
+    "line_numbers": """SELECT n AS line_no, part, n, doc_id FROM (
+          SELECT doc_id, doc_id % 7 AS part, doc_id // 7 AS n FROM documents) WHERE n BETWEEN 40 AND 159""",
 }

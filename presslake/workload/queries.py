@@ -8,16 +8,17 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from presslake.functions.dates import before_year, clean_date, parse_clean_date
+from presslake.functions.replace import replace_many as replaced
 from presslake.functions.text import last_segment, media_provider, url_key, ustrip
 from presslake.functions.urls import canonical_url, url_fingerprint as fingerprint_of
-from presslake.operators import analytics, coverage, dedup, extract, links
+from presslake.operators import analytics, coverage, dedup, extract, heavy_hitters, links, profile
 from presslake.operators.normalize import normalize, reject_report
-from presslake.plans import articles as plans
+from presslake.plans import articles as plans, partials
 from presslake.plans.enrichment import enrich_increment as enrich_new
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, SCALAR_FIELDS
 from presslake.session import configure, scratch_dir
 from presslake.sinks import files as sinks
-from presslake.sources import files as sources
+from presslake.sources import files as sources, numbered
 from presslake.streaming.bucketed import ingest_bucketed as ingest_into, open_archive, read_bucketed
 from presslake.streaming.frontier import next_requests, read_requests, start_requests
 from presslake.streaming.ingest import ingest, read_archive
@@ -86,6 +87,22 @@ def scan_limit(spark, sf_dir):
     return sources.scan_limit(spark, path, 150).select("value")
 
 
+@query
+def line_numbers(spark, sf_dir):
+    """Lines 40 to 159 of every file of a feed that is split into small blocks."""
+    path = _landed(spark, fx.numbered_lines(spark, sf_dir), "line-numbers")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        kept = scratch_dir(spark, "line-slice")
+        sinks.write_parquet(numbered.line_slice(spark, path, 40, 160), kept)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # Every line says where it stands: file, number and document.
+    rows = spark.read.parquet(kept).selectExpr("line_no", "from_json(value, 'part int, n long, doc_id long') as r")
+    return rows.select("line_no", F.col("r.part").cast("long").alias("part"), "r.n", "r.doc_id")
+
+
 @query
 def shape(spark, sf_dir):
     counts = analytics.shape(fx.table(spark, sf_dir, "documents"))
@@ -222,6 +239,14 @@ def parse_date(spark, sf_dir):
     return clean.select("event_id", parse_clean_date(F.col("clean")).alias("date_parsed"))
 
 
+@query
+def replace_many(spark, sf_dir):
+    """Keys that contain each other, and one whose replacement is another key."""
+    docs = fx.dealt(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    keys = {"a": "b", "b": "c", "an": "<AN>", "and ": "& ", "er": "", "e": "a", ".": "(.)"}
+    return docs.select("doc_id", replaced("text", keys).alias("text"))
+
+
 @query
 def page_id(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id", last_segment("url").alias("file_id"))
@@ -252,6 +277,36 @@ def top_tags(spark, sf_dir):
     return analytics.top_tags(fx.articles(spark, sf_dir))
 
 
+@query
+def top_tags_sketch(spark, sf_dir):
+    """Summaries of 64 tags a task for a thousand tags: the rare ones are never counted."""
+    return heavy_hitters.top_tags_sketch(fx.articles(spark, sf_dir), capacity=64)
+
+
+def _batches(spark, sf_dir):
+    """Articles in three batches, the second of which runs twice."""
+    rows = fx.articles(spark, sf_dir).withColumn("batch", F.col("article_id").cast("long") % 3)
+    return [(n, rows.where(F.col("batch") == n)) for n in (0, 1, 1, 2)]
+
+
+@query
+def heatmap_incremental(spark, sf_dir):
+    path = scratch_dir(spark, "heatmap-parts")
+    for n, batch in _batches(spark, sf_dir):
+        partials.put_heatmap(batch, path, n)
+    partials.fold_parts(spark, path, partials.HEATMAP_DDL)
+    rows = partials.merged_heatmap(spark, path)
+    return rows.select(*(F.col(c).cast("long").alias(c) for c in rows.columns))
+
+
+@query
+def top_tags_incremental(spark, sf_dir):
+    path = scratch_dir(spark, "tag-parts")
+    for n, batch in _batches(spark, sf_dir):
+        partials.put_tag_counts(batch, path, n)
+    return partials.merged_top_tags(spark, path, analytics.TOP_TAGS)
+
+
 @query
 def top_tags_share(spark, sf_dir):
     return analytics.top_tags_share(fx.articles(spark, sf_dir))
@@ -331,6 +386,17 @@ def describe(spark, sf_dir):
     )
 
 
+@query
+def describe_merged(spark, sf_dir):
+    """The profile of two stored batches of parts, merged, and one refining pass."""
+    path = scratch_dir(spark, "profiles")
+    rows = fx.articles(spark, sf_dir)
+    columns = ["title", "author", "tags", "date_parsed", "n_chars"]
+    for batch in (F.col("n_chars") < 1000, F.col("n_chars") >= 1000):
+        sinks.write_parquet(profile.profile_parts(rows.where(batch).select("category", *columns), ["category"]), path, mode="append")
+    return profile.describe_merged(rows.select(*columns), spark.read.parquet(path))
+
+
 # -- coverage and frontier ---------------------------------------------------------
 @query
 def missing_urls(spark, sf_dir):
@@ -353,6 +419,31 @@ def coverage_report(spark, sf_dir):
     return coverage.coverage_report(wanted, have)
 
 
+@query
+def coverage_estimate(spark, sf_dir):
+    """Coverage from the stored sketches of runs, and whether the exact numbers lie within its margin."""
+    path = scratch_dir(spark, "sketches")
+    sides = {}
+    for name, lines in (("listed", fx.url_list_lines), ("scraped", fx.scraped_lines)):
+        urls = sources.urls_of_lines(lines(spark, sf_dir))
+        runs = urls.withColumn("run", F.pmod(F.xxhash64("value"), F.lit(3)))
+        sinks.write_parquet(coverage.url_sketches(runs, "run"), f"{path}/{name}")
+        sides[name] = urls.where("url <> ''").select(url_key("url").alias("k")).distinct()
+    stored = [spark.read.parquet(f"{path}/{name}") for name in sides]
+    exact = sides["listed"].withColumn("listed", F.lit(1)).join(sides["scraped"].withColumn("scraped", F.lit(1)), "k", "full")
+    exact = exact.agg(
+        F.count("listed").alias("listed"),
+        F.count("scraped").alias("scraped"),
+        F.count_if(F.col("scraped").isNull()).alias("missing"),
+        F.count_if(F.col("listed").isNotNull() & F.col("scraped").isNotNull()).alias("done"),
+    )
+    found = coverage.coverage_estimate(*stored)
+    columns = []
+    for name, number in exact.first().asDict().items():
+        columns += [F.lit(number).alias(name), (F.abs(F.col(f"n_{name}") - number) <= F.col("margin")).alias(f"{name}_within_margin")]
+    return found.select(*columns)
+
+
 def _nav_links(spark, sf_dir):
     return extract.extract_links(fx.table(spark, sf_dir, "pages"), extract.NAV_LINKS, ["page_id"])
 

@@ -30,7 +30,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 FIRST_ROWS = {"dedup_first", "dedup_cross_run", "append_new", "articles_table", "top_tags_feed"}
 WINDOWS = {"top_tags_share", *FIRST_ROWS}
 # One-row results.
-TOTALS = {"column_counts", "n_unique_rows", "n_unique_events", "coverage_report", "frontier_duplicates"}
+TOTALS = {"column_counts", "n_unique_rows", "n_unique_events", "coverage_report", "coverage_estimate", "frontier_duplicates"}
 
 
 def physical(df):
