@@ -367,5 +367,5 @@ ORACLES: dict[str, str] = {
           replace(replace(replace(replace(text, 'and ', chr(1)), 'an', chr(2)), 'er', chr(3)), '.', chr(4)),
           'abe', 'bca'), chr(1), '& '), chr(2), '<AN>'), chr(3), ''), chr(4), '(.)') AS text FROM documents""",
     "line_numbers": """SELECT n AS line_no, part, n, doc_id FROM (
-          SELECT doc_id, doc_id % 7 AS part, doc_id // 7 AS n FROM documents) WHERE n BETWEEN 40 AND 159""",
+          SELECT doc_id, doc_id % 7 AS part, doc_id // 7 AS n FROM documents) WHERE n BETWEEN 5 AND 104""",
 }

@@ -89,13 +89,13 @@ def scan_limit(spark, sf_dir):
 
 @query
 def line_numbers(spark, sf_dir):
-    """Lines 40 to 159 of every file of a feed that is split into small blocks."""
+    """Lines 5 to 104 of every file of a feed that is split into small blocks."""
     path = _landed(spark, fx.numbered_lines(spark, sf_dir), "line-numbers")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         kept = scratch_dir(spark, "line-slice")
-        sinks.write_parquet(numbered.line_slice(spark, path, 40, 160), kept)
+        sinks.write_parquet(numbered.line_slice(spark, path, 5, 105), kept)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     # Every line says where it stands: file, number and document.
