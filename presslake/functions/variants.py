@@ -6,6 +6,8 @@ string builds faster than hundreds of Column calls.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 # No limit on the length of strings and numbers but that of a Java array.
 _STRICT = """map('columnNameOfCorruptRecord', '_bad', 'allowSingleQuotes', 'false',
                 'allowNonNumericNumbers', 'false', 'maxStringLen', '2147483647', 'maxNumLen', '2147483647')"""
@@ -26,8 +28,17 @@ def read_enclosed(text: str, fields: str) -> str:
 
 
 def read_variant(text: str) -> str:
-    """An ``enclosed`` line with ``r`` as a VARIANT (NULL for JSON null) and ``end``."""
-    return f"from_json({text}, 'r variant, end int, _bad string', {_STRICT})"
+    """An ``enclosed`` line as one VARIANT with members ``r`` and ``end``; NULL if it is no JSON."""
+    return f"try_parse_json({text})"
+
+
+def read_members(text: str, names: Sequence[str]) -> str:
+    """An ``enclosed`` line whose record is an object: ``r`` holds the named members as VARIANT.
+
+    Other members are skipped, so only a named one can exceed what a VARIANT holds (128 MiB).
+    """
+    fields = ", ".join(f"{name} variant" for name in names)
+    return f"from_json({text}, 'r struct<{fields}>, end int, _bad string', {_STRICT})"
 
 
 def variant_text(value: str, path: str = "$") -> str:

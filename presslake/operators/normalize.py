@@ -27,6 +27,7 @@ from presslake.functions.variants import (
     is_object,
     python_text,
     read_enclosed,
+    read_members,
     read_variant,
     variant_text,
 )
@@ -57,6 +58,12 @@ def _fields(columns: Sequence[str]) -> str:
     return ", ".join(fields)
 
 
+def _members(columns: Sequence[str]) -> list[str]:
+    """The members of a record that ``columns`` need."""
+    lists = [name for name in ("tags", "media") if name in columns]
+    return [*_scalars(columns), *lists, *(["images"] if "media" in columns else [])]
+
+
 def _is_odd(read: str, line: str, columns: Sequence[str]) -> str:
     """Whether the typed reading ``read`` of ``line`` needs a second look."""
     record = f"{read}.r"
@@ -83,8 +90,7 @@ def _odd_texts(record: str, columns: Sequence[str]) -> str:
     """The text fields of an odd record, in the order of ``_scalars``."""
     doc = f"{record}.doc"
     values = (
-        f"""struct({variant_text(doc, '$.' + n)} as text, try_variant_get({doc}, '$.{n}', 'variant') as raw,
-                   {record}.typed.{n} as typed)"""
+        f"""struct({variant_text(f'{doc}.{n}')} as text, {doc}.{n} as raw, {record}.typed.{n} as typed)"""
         for n in _scalars(columns)
     )
     return f"transform(array({', '.join(values)}), v -> {python_text('v.text', 'v.raw', 'v.typed')})"
@@ -94,7 +100,7 @@ def _tags(record: str) -> str:
     """A list: nulls dropped, items stripped, blanks kept. Else an empty list."""
     strip = f"btrim({{}}, '{WHITESPACE_SQL}')"
     odd_tags = f"""transform(
-        filter(transform(try_variant_get({record}.doc, '$.tags', 'array<variant>'),
+        filter(transform(try_variant_get({record}.doc.tags, '$', 'array<variant>'),
                          (tag, i) -> struct({variant_text('tag')} as text, tag as raw,
                                             get({record}.typed.tags, i) as typed)),
                tag -> not is_variant_null(tag.raw)),
@@ -110,9 +116,9 @@ def _media(record: str) -> str:
     A truthy non-list blocks the fallback. A missing provider gets the default,
     an explicit null stays null.
     """
-    as_list = f"try_variant_get({record}.doc, '$.{{}}', 'array<variant>')".format
+    as_list = f"try_variant_get({record}.doc.{{}}, '$', 'array<variant>')".format
     falsy = f"""case when {as_list('media')} is not null then size({as_list('media')}) = 0
-        else coalesce(to_json(try_variant_get({record}.doc, '$.media', 'variant')) in {_FALSY}, true)
+        else coalesce(to_json({record}.doc.media) in {_FALSY}, true)
         end"""
     fields = {name: variant_text("item", f"$.{name}") for name in MEDIA_FIELDS}
     fields["provider"] = f"""if(try_variant_get(item, '$.provider', 'variant') is null,
@@ -156,19 +162,24 @@ def parse_lines(
     )
     steps = [
         f"struct(x.r as typed, _shape <> 'object' or {_is_odd('x', '_line', columns)} as odd)",
-        f"struct(x.typed as typed, x.odd as odd, if(x.odd, {read_variant('_line')}, null) as json)",
-        """struct(x.typed as typed, x.odd as odd, coalesce(x.json.end = 0 and x.json._bad is null, false) as valid,
-                  if(x.json.end = 0 and x.json._bad is null, x.json.r, null) as doc)""",
+        f"""struct(x.typed as typed, x.odd as odd,
+                   if(x.odd and _shape = 'object', {read_members('_line', _members(columns))}, null) as json,
+                   if(x.odd and _shape <> 'object', {read_variant('_line')}, null) as other)""",
+        """struct(x.typed as typed, x.odd as odd,
+                  coalesce(if(_shape = 'object', x.json.end = 0 and x.json._bad is null and x.json.r is not null,
+                              try_variant_get(x.other, '$.end', 'int') = 0), false) as valid,
+                  if(x.json.end = 0 and x.json._bad is null, x.json.r, null) as doc,
+                  try_variant_get(x.other, '$.r', 'variant') as whole)""",
     ]
     steps.append(
-        f"""struct(x.typed as typed, x.odd as odd, x.valid as valid, x.doc as doc,
+        f"""struct(x.typed as typed, x.odd as odd, x.valid as valid, x.doc as doc, x.whole as whole,
                    if(x.odd, {_odd_texts('x', columns)}, null) as texts)"""
     )
     state = f"""
         case when not x.odd then null
              when not x.valid then 'malformed'
              when _shape = 'object' then null
-             when _shape = 'empty' or x.doc is null or to_json(x.doc) in {_FALSY} then 'falsy'
+             when _shape = 'empty' or x.whole is null or to_json(x.whole) in {_FALSY} then 'falsy'
              else 'not_object' end as state"""
     fields = [f"if(x.odd, x.texts[{i}], x.typed.{n}) as _{n}" for i, n in enumerate(_scalars(columns))]
     fields += [f"{make('x')} as {n}" for n, make in (("tags", _tags), ("media", _media)) if n in columns]
