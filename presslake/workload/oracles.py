@@ -368,4 +368,12 @@ ORACLES: dict[str, str] = {
           'abe', 'bca'), chr(1), '& '), chr(2), '<AN>'), chr(3), ''), chr(4), '(.)') AS text FROM documents""",
     "line_numbers": """SELECT n AS line_no, part, n, doc_id FROM (
           SELECT doc_id, doc_id % 7 AS part, doc_id // 7 AS n FROM documents) WHERE n BETWEEN 5 AND 104""",
+    "content_search": f"WITH {ARTICLES} SELECT content FROM articles WHERE content LIKE '%tion the%'",
+    "clustered_layout": f"""WITH {ARTICLES} SELECT article_id, category, date_parsed FROM articles
+        WHERE category IN ('src0', 'src1') AND year(date_parsed) = 2014""",
+    "column_counts_batches": f"WITH {ARTICLES} SELECT category, count(title) AS n_titles FROM articles GROUP BY category",
+    "missing_input": f"""SELECT '{{"url": "{HOST}{URL_PATH}' || doc_id || '?q=a%20b+c ", "rank": ' || doc_id || '}}' AS value
+        FROM documents, range(CASE WHEN doc_id % 10 = 0 THEN 2 ELSE 1 END)""",
+    "ingest_resume": f"""WITH {FEED} SELECT article_id, title, content,
+          CAST(CASE WHEN n_chars < {FIRST_RUN_BELOW} THEN 0 ELSE 1 END AS BIGINT) AS batch FROM feed WHERE k = 0""",
 }

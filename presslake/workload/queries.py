@@ -11,9 +11,10 @@ from presslake.functions.dates import before_year, clean_date, parse_clean_date
 from presslake.functions.replace import replace_many as replaced
 from presslake.functions.text import last_segment, media_provider, url_key, ustrip
 from presslake.functions.urls import canonical_url, url_fingerprint as fingerprint_of
-from presslake.operators import analytics, coverage, dedup, extract, heavy_hitters, links, profile
+from presslake.operators import analytics, coverage, dedup, extract, heavy_hitters, links, profile, search
 from presslake.operators.normalize import normalize, reject_report
 from presslake.plans import articles as plans, partials
+from presslake.plans.clustering import write_clustered
 from presslake.plans.enrichment import enrich_increment as enrich_new
 from presslake.schema import ARTICLE_COLUMNS, CATEGORY_LABELS, SCALAR_FIELDS
 from presslake.session import configure, scratch_dir
@@ -339,6 +340,15 @@ def sql_like(spark, sf_dir):
     return analytics.content_like(fx.articles(spark, sf_dir), "tion the")
 
 
+@query
+def content_search(spark, sf_dir):
+    """The same as ``sql_like``, by an index that says which files to open."""
+    path = scratch_dir(spark, "searched")
+    sinks.write_parquet(fx.dealt(fx.articles(spark, sf_dir).select("article_id", "content"), "article_id"), f"{path}/articles")
+    search.write_content_index(spark, f"{path}/articles", f"{path}/index")
+    return search.content_search(spark, f"{path}/articles", spark.read.parquet(f"{path}/index"), "tion the").select("content")
+
+
 @query
 def before_year_(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -361,6 +371,14 @@ def column_counts(spark, sf_dir):
     return analytics.column_counts(fx.articles(spark, sf_dir))
 
 
+@query
+def column_counts_batches(spark, sf_dir):
+    """Counts per source, consumed in lists of three rows and put together again."""
+    counts = fx.articles(spark, sf_dir).groupBy("category").agg(F.count("title").alias("n_titles"))
+    rows = [tuple(row) for batch in analytics.in_batches(counts, 3) for row in batch]
+    return spark.createDataFrame(rows, counts.schema)
+
+
 @query
 def n_unique_rows(spark, sf_dir):
     return analytics.n_unique_rows(fx.table(spark, sf_dir, "documents").select("text", "lang"))
@@ -589,6 +607,15 @@ def partitioned_layout(spark, sf_dir):
     return spark.read.schema(ddl).parquet(path).withColumn("pub_date", F.col("pub_date").cast("string"))
 
 
+@query
+def clustered_layout(spark, sf_dir):
+    """Articles clustered by time, category and id; one category of one year is read back."""
+    path = scratch_dir(spark, "clustered")
+    write_clustered(fx.articles(spark, sf_dir), path, n_files=8, row_group_rows=200)
+    year = "date_parsed >= timestamp_ntz'2014-01-01 00:00:00' and date_parsed < timestamp_ntz'2015-01-01 00:00:00'"
+    return spark.read.parquet(path).where(f"category in ('src0', 'src1') and {year}").select("article_id", "category", "date_parsed")
+
+
 @query
 def category_batch(spark, sf_dir):
     requested = [f"src{i}" for i in range(20)] + ["nowhere"]
@@ -640,6 +667,21 @@ def ingest_backlog(spark, sf_dir):
     return read_archive(spark, target).select("article_id", "title")
 
 
+@query
+def ingest_resume(spark, sf_dir):
+    """The second run ends after its batch was written and before it was noted: it runs again."""
+    root = scratch_dir(spark, "ingest-resume")
+    raw, target, checkpoint = f"{root}/raw", f"{root}/articles", f"{root}/checkpoint"
+    for run_ts, lines in _runs(spark, sf_dir):
+        plans.land_run(lines, raw, "urgent", run_ts)
+        ingest(spark, raw, target, checkpoint)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    note = hadoop.Path(f"{checkpoint}/commits/1")
+    note.getFileSystem(spark._jsc.hadoopConfiguration()).delete(note, False)
+    ingest(spark, raw, target, checkpoint)
+    return read_archive(spark, target).select("article_id", "title", "content", "batch")
+
+
 @query
 def ingest_bucketed(spark, sf_dir):
     """Runs into an archive laid out by id; each batch reads the shelves of its ids."""
@@ -705,6 +747,17 @@ def missing_file(spark, sf_dir):
     return sources.scan_url_list(spark, out).select("value")
 
 
+@query
+def missing_input(spark, sf_dir):
+    """Inputs that are not there count as empty: every listed URL is missing."""
+    root = scratch_dir(spark, "missing-input")
+    wanted, out = f"{root}/wanted.jsonl", f"{root}/missing.jsonl"
+    sinks.write_lines(fx.url_list_lines(spark, sf_dir), wanted)
+    plans.write_missing(spark, wanted, f"{root}/nowhere.jsonl", out)
+    absent = sources.scan_url_text(spark, f"{root}/nowhere.txt").select(F.col("url").alias("value"))
+    return sources.scan_url_list(spark, [out, f"{root}/nowhere.jsonl"]).select("value").unionByName(absent)
+
+
 @query
 def category_run(spark, sf_dir):
     keys = list(CATEGORY_LABELS)
