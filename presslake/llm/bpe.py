@@ -44,12 +44,20 @@ class TreeBPE:
         self.names = {rank: str(rank) for rank in self.tokens}
         self.split = regex.compile(pattern).findall
         # The same split for ASCII text, where the classes are ranges.
-        ascii_pattern = pattern.replace(r"\s\p{L}\p{N}", r"\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]")
+        blank = "\t\n\x0b\x0c\r "  # what is white space to re is more
+        ascii_pattern = pattern.replace(r"\s\p{L}\p{N}", f"{blank}A-Za-z0-9").replace(r"\p{L}", "[A-Za-z]")
+        ascii_pattern = ascii_pattern.replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]")
         self.split_ascii = re.compile(ascii_pattern.replace(r"\p{N}", "[0-9]")).findall
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
         self.seams: dict[tuple[int, int], tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """Drop what was learnt from texts."""
+        self.pieces.clear()
+        self.parts.clear()
+        self.seams.clear()
+
     def encode(self, text: str) -> list[int]:
         """Ids of ``text``; each match of the pattern is encoded for itself."""
         pieces = self.split_ascii(text) if text.isascii() else self.split(text)
@@ -157,12 +165,16 @@ def _codec(path: str, pattern: str) -> TreeBPE:
     return worker_cache(f"bpe-{path}", lambda: TreeBPE(read_ranks(path), pattern))
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def bpe_encode(
+    docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", keep: bool = True
+) -> DataFrame:
     """``doc_id, ids`` of each row: the ids of its whole text.
 
     ``path`` names a rank file that every worker can read (part of its image, like
     Python itself). Null and empty texts have no ids. Repeated rows give repeated
-    results; an empty table gives none; other columns are ignored.
+    results; an empty table gives none; other columns are ignored. Workers keep the
+    pieces they have met for their next task; without ``keep`` they drop them, which
+    leaves the memory to the stages that follow.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,6 +186,8 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "ids"]
             )
+        if not keep:
+            codec.forget()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")

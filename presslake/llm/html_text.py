@@ -68,6 +68,7 @@ _MARK = re.compile(rf"(?:\A|[.#]){_NAME}")
 _OTHER = re.compile(r"::|:(?:before|after|first-line|first-letter|hover|focus|active|target)\b", re.IGNORECASE)
 _ASIDE = re.compile(r"\[[^\]]*\]|:[\w-]+(?:\([^)]*\))?|&")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
+_WHOLE = re.compile(r"-?[0-9]{1,6}")
 
 
 @dataclass
@@ -77,6 +78,11 @@ class Node:
     children: list[Node | str] = field(default_factory=list)
 
 
+def _whole(text: str | None, default: int) -> int:
+    """A number in an attribute; ``default`` if it is none, or too long to be meant."""
+    return int(text) if text and _WHOLE.fullmatch(text) else default
+
+
 def _attributes(source: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, *values in _ATTRIBUTE.findall(source):
@@ -462,7 +468,7 @@ class Renderer:
         nested = bool(self.indent)
         self._break(not nested)
         outer = self.indent
-        number = int(n) if (n := node.attributes.get("start", "1")).lstrip("-").isdigit() else 1
+        number = _whole(node.attributes.get("start"), 1)
         for child in node.children:
             if isinstance(child, str) or child.tag != "li":
                 if isinstance(child, Node) and visible(child, self.styles):
@@ -526,8 +532,7 @@ class Renderer:
                 yield inner._children(cell)
                 inner._break()
                 cells.append([line for line in inner.lines if line])
-                span = cell.attributes.get("colspan", "1")
-                cells += [[] for _ in range(min(int(span), 1000) - 1 if span.isdigit() else 0)]
+                cells += [[] for _ in range(min(_whole(cell.attributes.get("colspan"), 1), 1000) - 1)]
 
 
 def visible_text(html: str) -> str:

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from presslake.llm.common import CHUNK_BYTES, flat_text, sample_condition, text_slices
@@ -192,10 +193,10 @@ def score_languages(docs: DataFrame, model: PPM, doc_id: str = "doc_id", text: s
     with the code lengths scaled to at most 64 bytes, so that it stays graded for
     long texts. Repeated rows give repeated results; an empty table gives none.
     """
-    broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    broadcast = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # with its class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = broadcast.value
+        held = cloudpickle.loads(broadcast.value)
         for batch in text_slices(batches, "text", CHUNK_BYTES):
             data, offsets = flat_text(batch.column("text"))
             bits = code_lengths(held, data, offsets)

@@ -166,7 +166,6 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.first_free = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.first_free, bool)
@@ -202,7 +201,8 @@ class ChunkTokenizer:
         words, others, tailed = set(), [], []
         for chunk in new:
             word = chunk.rstrip(self.TAIL)
-            if word and not word.isalpha():
+            # Lower case may end in a mark that is no letter; the library joins it with what follows.
+            if word and not (word.isalpha() and word.lower().isalpha()):
                 others.append(chunk)
             elif word == chunk:
                 words.add(word)
@@ -217,7 +217,8 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """For each text its ids and ``end``, as little-endian unsigned 32-bit integers."""
-        split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
+        # Special tokens are told by their exact spelling, so texts that may hold one keep theirs.
+        split = [(t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_CHUNKS:
             self.known = {"": b""}

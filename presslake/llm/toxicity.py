@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from presslake.llm.common import flat_text, hashed_words, sample_condition, text_slices
@@ -265,11 +266,11 @@ def score_toxicity(
     The whole text is scored, whatever its length, and nothing but the text.
     Repeated rows give repeated results; an empty table gives none.
     """
-    broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    broadcast = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # with its class
     names = ["doc_id", *keep, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = broadcast.value
+        held = cloudpickle.loads(broadcast.value)
         for batch in text_slices(batches, "_text"):
             words, offsets = hashed_words(*flat_text(batch.column("_text")))
             score = pa.array(held.scores(bucket_pair(words), offsets))

@@ -20,7 +20,7 @@ def both():
 def test_random_texts(both):
     tree, known = both
     rng = random.Random(3)
-    alphabets = ["ab", "the andio ", "aAzZ09 .,'\n\t", "éüß ñ日本🙂 x", " \n\t\u00a0\u2003", "'sre t'll", "=-_/#*"]
+    alphabets = ["ab", "the andio ", "aAzZ09 .,'\n\t", "éüß ñ日本🙂 x", " \n\t\u00a0\u2003", "'sre t'll", "=-_/#*", "a\x1c\x1d\x1e\x1f\x85\x0b\x0c 's"]
     for _ in range(1500):
         text = "".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(0, 90)))
         ids = tree.encode(text)

@@ -112,3 +112,10 @@ def test_rows(spark):
     assert texts[:4] == ["a", "a", None, ""]
     assert "bottom" in texts[4] and texts[5].count("w") == 50_000
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_numbers_that_are_none():
+    for start in ("--5", "\u00b2", "9" * 5000, "", "x", "1.5"):
+        assert visible_text(f'<ol start="{start}"><li>a</ol>').split() == ["1.", "a"]
+        visible_text(f'<table><tr><td colspan="{start}">a<td>b</table>')
+    assert visible_text('<ol start="-3"><li>a</ol>').split() == ["-3.", "a"]

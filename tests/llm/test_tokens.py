@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def reference(rows):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows]
 
 
@@ -77,3 +76,13 @@ def test_null_ids_and_empty_table(spark, tmp_path):
     assert [(r[0], r[1], r[2]) for r in found] == [(None, 0, 2), (1, 2, 1), (2, 3, 2)]
     write_shards(documents(spark, []), str(tmp_path / "b"), PATH, end=1)
     assert read_documents(read_shards(spark, str(tmp_path / "b"))).count() == 0
+
+
+def test_words_whose_lower_case_is_longer_and_special_tokens():
+    """Letters that lower-case to more than one code point, before every tail, and literals of special tokens."""
+    odd = [chr(c) for c in range(0x110000) if chr(c).isalpha() and len(chr(c).lower()) > 1]
+    words = [f"{w}{c}" for c in odd for w in ("", "MERKEZ", "a")] + ["MERKEZ\u0130ab", "<|endoftext|>", "x<|startoftext|>y", "<|ENDOFTEXT|>"]
+    texts = [f"{w}{tail} z" for w in words for tail in ("", ".", ",", "!?", ")", " .")]
+    tokenizer, codec = Tokenizer.from_file(PATH), tokens.ChunkTokenizer(PATH)
+    for text, data in zip(texts, codec.encode(texts, 1)):
+        assert np.frombuffer(data, "<u4")[:-1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
