@@ -80,7 +80,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of each document."""
-    encoded = bpe_encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    encoded = bpe_encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=False)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
