@@ -116,8 +116,13 @@ IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word of the rows, in order, and the words' row offsets."""
+def hashed_words(data: np.ndarray, offsets: np.ndarray, parts: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of the rows, in order, and the words' row offsets.
+
+    With ``parts`` the hashes are a matrix: below those of the words are those of
+    their first ``n`` bytes, or last ``-n`` where ``n`` is negative; of a shorter
+    word, those of the whole word.
+    """
     low = LOWER[data]
     word = IS_WORD[low]
     first, last = word.copy(), word.copy()
@@ -129,7 +134,11 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         last[edge - 1] = word[edge - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     prefix = prefix_hashes(low.astype(np.uint64) + np.uint64(1))
-    return mix(span_hashes(prefix, start, end)), np.searchsorted(start, offsets)
+    found = [mix(span_hashes(prefix, start, end))]
+    for n in parts:
+        a, b = (start, np.minimum(start + n, end)) if n > 0 else (np.maximum(end + n, start), end)
+        found.append(mix(span_hashes(prefix, a, b)))
+    return np.stack(found) if parts else found[0], np.searchsorted(start, offsets)
 
 
 def is_held_out(doc_id: Column) -> Column:

@@ -1,7 +1,9 @@
 """Toxicity: a convolutional text classifier trained in numpy.
 
-A word is the sum of two hashed embeddings (two bucket tables, so that a frequent
-word rarely shares both buckets with another). Filters of several widths slide
+A word is the sum of hashed embeddings: two of the whole word (two bucket tables, so
+that a frequent word rarely shares both buckets with another) and one for each of
+its beginnings and endings of a few lengths in bytes, so that the forms of a word
+and words of one family share what they learn. Filters of several widths slide
 over the words of a text, each filter keeps its largest response, and a logistic
 layer turns the responses into a score. Only the positions that won the pooling
 carry gradients, so a training step costs little more than a forward pass.
@@ -20,11 +22,14 @@ from pyspark.sql import DataFrame, functions as F
 from presslake.llm.common import flat_text, hashed_words, sample_condition, text_slices
 
 BUCKETS = 1 << 17
+PARTS = (3, 5, 7, -4, -6)
+SLOTS = 2 + len(PARTS)
 WIDTH = 8
 FILTERS = 8
 SIZES = (1, 2, 3)
 SAMPLE_PER_CLASS = 4000
 EPOCHS = 4
+MOST_TURNS = 8  # of a text in an epoch
 BATCH = 64
 PIECE = 1 << 16
 
@@ -33,7 +38,7 @@ PIECE = 1 << 16
 class TextCNN:
     """Parameters; ``kernel[s]`` has one ``WIDTH x FILTERS`` matrix for each word of size ``s``."""
 
-    table: np.ndarray  # 2 x BUCKETS x WIDTH
+    table: np.ndarray  # SLOTS x BUCKETS x WIDTH
     kernel: dict[int, np.ndarray]
     bias: np.ndarray  # of all filters
     weight: np.ndarray
@@ -42,7 +47,10 @@ class TextCNN:
     shift: float = 0.0
 
     def embed(self, buckets: np.ndarray) -> np.ndarray:
-        return self.table[0][buckets[0]] + self.table[1][buckets[1]]
+        out = self.table[0][buckets[0]]
+        for slot in range(1, SLOTS):
+            out += self.table[slot][buckets[slot]]
+        return out
 
     def responses(self, words: np.ndarray, ends: np.ndarray, starts: int) -> np.ndarray:
         """Filter responses at the first ``starts`` words; ``ends`` is each word's distance to its text's end."""
@@ -89,23 +97,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def bucket_pair(words: np.ndarray) -> np.ndarray:
-    """Two independent buckets of each hashed word."""
+def word_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each word in each of the ``SLOTS`` tables, and the words' row offsets."""
+    hashes, offsets = hashed_words(data, offsets, PARTS)
     mask = np.uint64(BUCKETS - 1)
-    return np.stack([words & mask, (words >> np.uint64(32)) & mask]).astype(np.int32)
+    return np.concatenate([hashes & mask, (hashes[:1] >> np.uint64(32)) & mask]).astype(np.int32), offsets
 
 
 def _initial(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> TextCNN:
     """Small random parameters; the first embedding dimension starts at shrunk log odds of the buckets."""
     rng = np.random.default_rng(7)
-    table = rng.normal(0, 0.02, (2, BUCKETS, WIDTH)).astype(np.float32)
+    table = rng.normal(0, 0.02, (SLOTS, BUCKETS, WIDTH)).astype(np.float32)
     positive, negative = max(labels.sum(), 1), max((1 - labels).sum(), 1)
     rare = 8 / min(positive, negative)
-    for i in range(2):
+    for i in range(SLOTS):
         texts = np.zeros((2, BUCKETS))  # texts of each label that hold a bucket
         for row in range(len(labels)):
             texts[int(labels[row]), np.unique(buckets[i, offsets[row] : offsets[row + 1]])] += 1
-        table[i, :, 0] = np.log((texts[1] / positive + rare) / (texts[0] / negative + rare))
+        table[i, :, 0] = np.log((texts[1] / positive + rare) / (texts[0] / negative + rare)) * 2 / SLOTS
     kernel = {
         s: (rng.normal(0, 0.2, (s, WIDTH, FILTERS)) + np.eye(WIDTH, FILTERS)[0][:, None] * 0.1).astype(np.float32)
         for s in SIZES
@@ -117,7 +126,7 @@ def _initial(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> Te
 
 
 def train_cnn(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray, prior: float) -> TextCNN:
-    """Fit on texts given as bucket pairs; every fifth text calibrates the score.
+    """Fit on texts given as buckets; every fifth text calibrates the score.
 
     ``prior`` is the share of label 1 among all labelled rows, of which the given
     texts are a class-balanced sample.
@@ -137,6 +146,9 @@ def train_cnn(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray, prio
         "offset": 0.1,
     }
     rng = np.random.default_rng(13)
+    few = float(labels[learn].mean() <= 0.5)
+    times = max(int(round((labels[learn] != few).sum() / max((labels[learn] == few).sum(), 1))), 1)
+    learn = np.concatenate([learn, np.repeat(learn[labels[learn] == few], min(times, MOST_TURNS) - 1)])
     for epoch in range(EPOCHS):
         turn = rng.permutation(learn)
         for at in range(0, len(turn), BATCH):
@@ -182,7 +194,7 @@ def _step(model, squares, buckets, offsets, labels, rate) -> None:
         grads[f"k{size}"] = grad
     if moved and sum(map(len, moved)):
         at, push = np.concatenate(moved), np.concatenate(pushes)
-        for i in range(2):
+        for i in range(SLOTS):
             rows, where = np.unique(buckets[i][at], return_inverse=True)
             total = np.zeros((len(rows), WIDTH))
             np.add.at(total, where, push)
@@ -220,10 +232,10 @@ def _calibrate(model: TextCNN, logits: np.ndarray, labels: np.ndarray, prior: fl
 
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches, "text"):
-        words, offsets = hashed_words(*flat_text(batch.column("text")))
-        pair = np.ascontiguousarray(bucket_pair(words).T)
+        buckets, offsets = word_buckets(*flat_text(batch.column("text")))
+        places = pa.py_buffer(offsets.astype(np.int64) * 4 * SLOTS)
         cells = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), batch.num_rows, [None, pa.py_buffer(offsets.astype(np.int64) * 8), pa.py_buffer(pair)]
+            pa.large_binary(), batch.num_rows, [None, places, pa.py_buffer(np.ascontiguousarray(buckets.T))]
         )
         yield pa.RecordBatch.from_arrays([batch.column("label"), cells.cast(pa.binary())], names=["label", "buckets"])
 
@@ -250,10 +262,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     cells = table["buckets"].to_pylist()
     labels = np.array(table["label"].to_pylist(), dtype=np.float64)
     del table
-    offsets = np.concatenate([[0], np.cumsum([len(c) // 8 for c in cells])]).astype(np.int64)
-    buckets = np.empty((2, int(offsets[-1])), np.int32)
+    offsets = np.concatenate([[0], np.cumsum([len(c) // (4 * SLOTS) for c in cells])]).astype(np.int64)
+    buckets = np.empty((SLOTS, int(offsets[-1])), np.int32)
     for row, cell in enumerate(cells):
-        buckets[:, offsets[row] : offsets[row + 1]] = np.frombuffer(cell, np.int32).reshape(-1, 2).T
+        buckets[:, offsets[row] : offsets[row + 1]] = np.frombuffer(cell, np.int32).reshape(-1, SLOTS).T
     del cells
     return train_cnn(buckets, offsets, labels, 0.5 if prior is None else float(prior))
 
@@ -272,8 +284,7 @@ def score_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = cloudpickle.loads(broadcast.value)
         for batch in text_slices(batches, "_text"):
-            words, offsets = hashed_words(*flat_text(batch.column("_text")))
-            score = pa.array(held.scores(bucket_pair(words), offsets))
+            score = pa.array(held.scores(*word_buckets(*flat_text(batch.column("_text")))))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), score], names=names)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text"))

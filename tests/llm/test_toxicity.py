@@ -5,8 +5,8 @@ import pyarrow as pa
 
 from cases import EDGES, documents
 from presslake.llm import toxicity
-from presslake.llm.common import flat_text, hashed_words
-from presslake.llm.toxicity import bucket_pair, fit_toxicity, language_thresholds, score_toxicity
+from presslake.llm.common import flat_text
+from presslake.llm.toxicity import SIZES, FILTERS, fit_toxicity, language_thresholds, score_toxicity, word_buckets
 
 BAD = ["grob", "fies", "übel", "mies"]
 
@@ -38,10 +38,60 @@ def test_held_out_texts(spark):
 
 def test_scores_of_pieces_are_those_of_whole_texts(spark, monkeypatch):
     model = fitted(spark, *corpus(1, 120))
-    words, offsets = hashed_words(*flat_text(pa.array([r[1] for r in corpus(3, 60)[0]] + ["", "x", "a b"])))
-    whole = model.scores(bucket_pair(words), offsets)
+    words, offsets = word_buckets(*flat_text(pa.array([r[1] for r in corpus(3, 60)[0]] + ["", "x", "a b"])))
+    whole = model.scores(words, offsets)
     monkeypatch.setattr(toxicity, "PIECE", 13)
-    assert np.allclose(whole, model.scores(bucket_pair(words), offsets))
+    assert np.allclose(whole, model.scores(words, offsets))
+
+
+def test_scores_are_those_of_a_plain_network(spark):
+    """Word by word and filter by filter, with loops instead of matrices."""
+    model = fitted(spark, *corpus(1, 120))
+    texts = [r[1] for r in corpus(3, 12)[0]] + ["", "x", "a b", "!!!", "Übel ÜBEL grob-mies"]
+    found = model.scores(*word_buckets(*flat_text(pa.array(texts))))
+    for text, score in zip(texts, found):
+        buckets, _ = word_buckets(*flat_text(pa.array([text])))
+        words = [sum(model.table[slot][row] for slot, row in enumerate(word)) for word in buckets.T]
+        total = model.offset
+        for i, size in enumerate(SIZES):
+            for f in range(FILTERS):
+                best = 0.0
+                for at in range(len(words) - size + 1):
+                    response = sum(words[at + j] @ model.kernel[size][j][:, f] for j in range(size))
+                    best = max(best, response + model.bias[i * FILTERS + f])
+                total += best * model.weight[i * FILTERS + f]
+        assert abs(score - 1 / (1 + np.exp(-(model.scale * total + model.shift)))) < 1e-4
+
+
+def test_word_buckets():
+    """Case and place do not matter; forms of a word share the buckets of their beginnings or endings."""
+    buckets, offsets = word_buckets(*flat_text(pa.array(["Grobian, grobian", None, "grobiane vergrobian"])))
+    assert offsets.tolist() == [0, 2, 2, 4]
+    one, again, longer, prefixed = buckets.T.tolist()
+    assert one == again
+    assert [a == b for a, b in zip(one, longer)] == [False, True, True, True, False, False, False]
+    assert [a == b for a, b in zip(one, prefixed)] == [False, False, False, False, True, True, False]
+
+
+def test_unseen_forms_of_known_words(spark):
+    """Each toxic text holds other forms of a family; those of the tested texts were never trained on."""
+    rng = random.Random(4)
+
+    def text(toxic, forms):
+        words = ["w%d" % rng.randrange(300) for _ in range(rng.randint(20, 60))]
+        for _ in range(3 if toxic else 0):
+            words.insert(rng.randrange(len(words)), "schurk" + rng.choice(forms))
+        return " ".join(words)
+
+    seen, unseen = [f"e{c}" for c in "abcdefghijklm"], [f"e{c}" for c in "nopqrstuvwxyz"]
+    model = fitted(spark, [(i, text(i % 8 == 0, seen)) for i in range(600)], [(i, int(i % 8 == 0)) for i in range(600)])
+    found = score_toxicity(documents(spark, [(i, text(i % 2, unseen)) for i in range(100)]), model).collect()
+    assert np.mean([(r.score >= 0.3) == bool(r.doc_id % 2) for r in found]) > 0.95
+
+    # Forms that share only their first six bytes come before clean texts, not over 0.3.
+    far = [f"i{c}" for c in "nopqrstuvwxyz"]
+    found = score_toxicity(documents(spark, [(i, text(i % 2, far)) for i in range(100)]), model).collect()
+    assert min(r.score for r in found if r.doc_id % 2) > max(r.score for r in found if not r.doc_id % 2)
 
 
 def test_edge_rows(spark):
