@@ -2,8 +2,9 @@
 
 A shard holds the ids of consecutive documents. Compression repeatedly replaces
 frequent neighbouring pairs of symbols by new symbols, until no pair occurs twice;
-each round counts the pairs of the shard and replaces at once, from left to right
-without overlap, all that are at least half as frequent as the most frequent one.
+each round replaces at once, from left to right without overlap, all pairs that are
+at least half as frequent as the most frequent one. Counts and places of the pairs
+are kept from round to round.
 The shard stores the rules, how many ids each rule expands to,
 and the id position of every ``STRIDE``-th symbol, so a range of ids is decoded
 from the few symbols that cover it.
@@ -83,69 +84,126 @@ class Grammar:
 
 def repair(ids: np.ndarray, first: int) -> Grammar:
     """Compress ids, all below ``first``."""
-    symbols, rules, lengths = ids.astype(np.int32), [], np.zeros(0, np.int64)
-    grammar = Grammar(first, np.zeros((0, 2), np.int32), lengths, symbols, np.zeros(0, np.int64))
+    chain, rules, lengths = _Chain(ids), [], np.zeros(0, np.int64)
+    grammar = Grammar(first, np.zeros((0, 2), np.int32), lengths, chain.symbols, np.zeros(0, np.int64))
     while True:
-        picked, places, which = _frequent_pairs(symbols)
-        if not len(picked):
+        places, which = chain.frequent()
+        if not len(places):
             break
-        grammar.symbols = picked.ravel()
-        grammar.lengths = np.concatenate([lengths, grammar.size_of(grammar.symbols).reshape(-1, 2).sum(axis=1)])
-        symbols = symbols.copy()
-        symbols[places] = first + len(lengths) + which
-        stay = np.ones(len(symbols), bool)
-        stay[places + 1] = False
-        symbols, lengths = symbols[stay], grammar.lengths
+        picked = np.empty((int(which.max()) + 1, 2), np.int32)
+        picked[which, 0], picked[which, 1] = chain.symbols[places], chain.symbols[chain.after[places]]
         rules.append(picked)
+        chain.replace(places, (first + len(lengths) + which).astype(np.int32))
+        parts = grammar.size_of(picked.ravel()).reshape(-1, 2)
+        grammar.lengths = lengths = np.concatenate([lengths, parts.sum(axis=1)])
+    if rules:
         grammar.rules = np.concatenate(rules)
-    grammar.symbols = symbols
-    sizes = grammar.size_of(symbols)
+    grammar.symbols = chain.symbols[chain.alive]
+    sizes = grammar.size_of(grammar.symbols)
     grammar.places = (np.cumsum(sizes) - sizes)[::STRIDE]
     return grammar
 
 
-def _frequent_pairs(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs to replace, the positions to replace without overlap, and which pair each holds.
+class _Chain:
+    """The symbols as a linked list, with the count and the places of every pair that occurs twice.
 
-    A table of hashed counts first drops the positions of rare pairs; what is
-    left is counted exactly. Pairs whose places mostly overlap those of others wait.
+    A pair that is new after a round holds a symbol of that round. So pairs are
+    counted once, where they arise; later they only lose places, and a round
+    touches nothing but the places it replaces and their neighbours.
     """
-    none = np.zeros((0, 2), np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(symbols) < 2:
-        return none
-    left, right = symbols[:-1].astype(np.uint32), symbols[1:].astype(np.uint32)
-    bucket = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(12)
-    hashed = np.bincount(bucket, minlength=1 << 20)[bucket]
-    least = max(int(hashed.max()) // 2, LEAST_COUNT)
-    while True:
-        places = np.flatnonzero(hashed >= least)
-        code = (left[places].astype(np.uint64) << np.uint64(32)) | right[places]
-        kinds, counts = np.unique(code, return_counts=True)
-        kinds = kinds[counts >= least]
-        if len(kinds):
-            which = np.minimum(np.searchsorted(kinds, code), len(kinds) - 1)
-            held = kinds[which] == code
-            places, which = places[held], which[held]
-            pairs = np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int32)
-            apart = int((pairs[:, 0] != pairs[:, 1]).argmax())  # one that cannot overlap itself, if all are in others' way
-            for tried in (np.ones(len(places), bool), which == apart):
-                keep = _without_overlap(places[tried])
-                at, what = places[tried][keep], which[tried][keep]
-                enough = np.bincount(what, minlength=len(kinds)) >= max(least // 2, LEAST_COUNT)
-                if enough.any():
-                    stay = enough[what]
-                    return pairs[enough], at[stay], (np.cumsum(enough) - 1)[what[stay]]
-        if least == LEAST_COUNT:
-            return none
-        least = max(least // 2, LEAST_COUNT)
 
-
-def _without_overlap(places: np.ndarray) -> np.ndarray:
-    """Of neighbouring positions, every other one from the left."""
-    breaks = np.ones(len(places), bool)
-    breaks[1:] = np.diff(places) != 1
-    begin = np.maximum.accumulate(np.where(breaks, np.arange(len(places)), 0))
-    return (np.arange(len(places)) - begin) % 2 == 0
+    def __init__(self, ids: np.ndarray):
+        count = len(ids)
+        self.symbols = ids.astype(np.int32)
+        self.alive = np.ones(count, bool)
+        self.fresh = np.ones(count, bool)
+        self.after = np.arange(1, count + 1, dtype=np.int32)
+        self.after[count - 1 :] = -1
+        self.before = np.arange(-1, count - 1, dtype=np.int32)
+        self.pair = np.full(count, -1, np.int32)  # number of the pair that begins at a place
+        # Each replacement takes a symbol away and makes two pairs at most, hence the room.
+        self.kinds = 0
+        self.counts = np.empty(3 * count // 2 + 1, np.int32)
+        self.starts = np.zeros(3 * count // 2 + 2, np.int32)  # a pair arose at placed[starts[i] : starts[i + 1]]
+        self.placed = np.empty(3 * count, np.int32)
+        self._count(np.arange(count, dtype=np.int32))
+
+    def _count(self, places: np.ndarray) -> None:
+        """Number the pairs at ``places``, all of them new, that occur twice."""
+        self.pair[places] = -1
+        places = places[self.after[places] >= 0]
+        code = (self.symbols[places].astype(np.int64) << 32) | self.symbols[self.after[places]]
+        order = np.argsort(code)
+        code, places = code[order], places[order]
+        begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(begin, len(code)))
+        places, sizes = places[np.repeat(sizes >= LEAST_COUNT, sizes)], sizes[sizes >= LEAST_COUNT]
+        old, new = self.kinds, self.kinds + len(sizes)
+        self.pair[places] = np.repeat(np.arange(old, new, dtype=np.int32), sizes)
+        self.counts[old:new] = sizes
+        self.starts[old + 1 : new + 1] = self.starts[old] + np.cumsum(sizes)
+        self.placed[self.starts[old] : self.starts[new]] = places
+        self.kinds = new
+
+    def frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places to replace without overlap, in ascending order, and which of the picked pairs each holds.
+
+        Pairs whose places mostly overlap those of others wait.
+        """
+        while self.kinds:
+            counts = self.counts[: self.kinds]
+            least = max(int(counts.max()) // 2, LEAST_COUNT)
+            kinds = np.flatnonzero(counts >= least)
+            if not len(kinds):
+                break
+            places = self._places(kinds)
+            mixed = self.symbols[places] != self.symbols[self.after[places]]
+            # If all are in others' way, one that cannot overlap itself is taken alone.
+            alone = self.pair[places] == self.pair[places[int(mixed.argmax())]]
+            rank = np.empty(self.kinds, np.int32)
+            rank[kinds] = np.arange(len(kinds))
+            for tried in (places, places[alone]):
+                tried = tried[self._apart(tried)]
+                which = rank[self.pair[tried]]
+                enough = np.bincount(which, minlength=len(kinds)) >= max(least // 2, LEAST_COUNT)
+                if enough.any():
+                    stay = enough[which]
+                    return tried[stay], (np.cumsum(enough) - 1)[which[stay]]
+            counts[kinds] = 0  # each is one run of three equal symbols, which holds the pair once
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _places(self, kinds: np.ndarray) -> np.ndarray:
+        """Where the pairs ``kinds`` still stand, in ascending order."""
+        sizes = self.starts[kinds + 1] - self.starts[kinds]
+        shift = self.starts[kinds] - (np.cumsum(sizes) - sizes)
+        places = self.placed[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+        return np.sort(places[self.pair[places] == np.repeat(kinds, sizes)])
+
+    def _apart(self, places: np.ndarray) -> np.ndarray:
+        """Of places that follow one another, every other one from the left."""
+        breaks = np.ones(len(places), bool)
+        breaks[1:] = self.after[places[:-1]] != places[1:]
+        begin = np.maximum.accumulate(np.where(breaks, np.arange(len(places)), 0))
+        return (np.arange(len(places)) - begin) % 2 == 0
+
+    def replace(self, places: np.ndarray, symbols: np.ndarray) -> None:
+        """Write ``symbols`` for the pairs at ``places``, which do not overlap."""
+        gone = self.after[places]
+        self.alive[gone] = False
+        left = self.before[places]
+        left = left[left >= 0]
+        lost = self.pair[np.concatenate([places, gone, left[self.alive[left]]])]
+        np.subtract.at(self.counts, lost[lost >= 0], 1)
+        self.pair[gone] = -1
+        self.symbols[places] = symbols
+        self.after[places] = self.after[gone]
+        inner = places[self.after[places] >= 0]
+        self.before[self.after[inner]] = inner
+        left = self.before[places]
+        self.fresh[places] = False  # these are counted once, also where one follows another
+        left = left[(left >= 0) & self.fresh[left]]
+        self.fresh[places] = True
+        self._count(np.concatenate([places, left]))
 
 
 class ChunkTokenizer:
@@ -315,15 +373,15 @@ def read_documents(shards: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard = batch.slice(row, 1).to_pylist()[0]
+                shard = {name: batch.column(name)[row].as_py() for name in fields}
                 grammar = grammar_of(shard)
                 data = memoryview(grammar.expand(grammar.symbols).astype("<u4").tobytes())
-                sizes = np.array(shard["sizes"], np.int64)
+                sizes = batch.column("sizes")[row].values.to_numpy()
                 ends = np.cumsum(sizes)
                 sums = [zlib.crc32(data[4 * (e - s) : 4 * e]) for s, e in zip(sizes.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard["docs"], batch.schema.field("docs").type.value_type),
+                        batch.column("docs")[row].values,
                         pa.array(shard["start"] + ends - sizes),
                         pa.array(sizes),
                         pa.array(sums, pa.int64()),
@@ -331,8 +389,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    columns = ["start", "docs", "sizes", "first_symbol", "rules", "lengths", "symbols", "places"]
-    return shards.select(*columns).mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    fields = ["start", "first_symbol", "rules", "lengths", "symbols", "places"]
+    return shards.select("docs", "sizes", *fields).mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def read_range(shards: DataFrame, start: int, count: int) -> list[int]:

@@ -17,6 +17,21 @@ def reference(rows):
     return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows]
 
 
+def test_repair_goes_on_until_no_pair_occurs_twice():
+    rng = np.random.default_rng(2)
+    cases = [rng.integers(0, k, n) for n in (0, 1, 2, 3, 5, 8, 40, 700) for k in (1, 2, 3, 12) for _ in range(6)]
+    for ids in cases:
+        grammar = repair(ids.astype(np.int32), 12)
+        assert grammar.expand(grammar.symbols).tolist() == ids.tolist()
+        assert len({tuple(r) for r in grammar.rules.tolist()}) == len(grammar.rules)
+        for rule, length in enumerate(grammar.lengths):
+            assert len(grammar.expand(np.array([12 + rule], np.int32))) == length
+        seen, last = {}, grammar.symbols.tolist()
+        for at, pair in enumerate(zip(last, last[1:])):
+            assert pair not in seen or seen[pair] == at - 1  # only within three equal symbols
+            seen.setdefault(pair, at)
+
+
 def test_repair_round_trip_and_random_access(monkeypatch):
     monkeypatch.setattr(tokens, "LEAST_COUNT", 3)
     monkeypatch.setattr(tokens, "STRIDE", 7)
