@@ -56,17 +56,18 @@ class Grammar:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """All ids under ``symbols``, one level of rules after another."""
-        while True:
+        """All ids under ``symbols``; each level of rules is written where it belongs."""
+        ends = np.cumsum(self.size_of(symbols))
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+        at = ends - self.size_of(symbols)
+        while len(symbols):
             rule = symbols >= self.first
-            if not rule.any():
-                return symbols
-            at = np.cumsum(rule) + np.arange(len(symbols))  # place of each symbol's last part
-            out = np.empty(len(symbols) + int(rule.sum()), np.int32)
-            pairs = self.rules[symbols[rule] - self.first]
             out[at[~rule]] = symbols[~rule]
-            out[at[rule] - 1], out[at[rule]] = pairs[:, 0], pairs[:, 1]
-            symbols = out
+            left, right = self.rules[symbols[rule] - self.first].T
+            at = at[rule]
+            at = np.concatenate([at, at + self.size_of(left)])
+            symbols = np.concatenate([left, right])
+        return out
 
     def read(self, start: int, count: int) -> np.ndarray:
         """Ids ``start`` to ``start + count`` from the symbols that cover them."""
@@ -84,21 +85,22 @@ class Grammar:
 
 def repair(ids: np.ndarray, first: int) -> Grammar:
     """Compress ids, all below ``first``."""
-    chain, rules, lengths = _Chain(ids), [], np.zeros(0, np.int64)
-    grammar = Grammar(first, np.zeros((0, 2), np.int32), lengths, chain.symbols, np.zeros(0, np.int64))
+    chain, rules, lengths = _Chain(ids, first), [], np.zeros(0, np.int64)
+    grammar = Grammar(first, np.zeros((0, 2), np.int32), lengths, ids, np.zeros(0, np.int64))
     while True:
         places, which = chain.frequent()
         if not len(places):
             break
-        picked = np.empty((int(which.max()) + 1, 2), np.int32)
-        picked[which, 0], picked[which, 1] = chain.symbols[places], chain.symbols[chain.after[places]]
+        kinds = int(which.max()) + 1
+        picked = np.empty((kinds, 2), np.int32)
+        picked[which, 0], picked[which, 1] = chain.symbols[places] - 1, chain.symbols[chain.after[places]] - 1
         rules.append(picked)
-        chain.replace(places, (first + len(lengths) + which).astype(np.int32))
+        chain.replace(places, which, kinds)
         parts = grammar.size_of(picked.ravel()).reshape(-1, 2)
         grammar.lengths = lengths = np.concatenate([lengths, parts.sum(axis=1)])
     if rules:
         grammar.rules = np.concatenate(rules)
-    grammar.symbols = chain.symbols[chain.alive]
+    grammar.symbols = chain.symbols[:-1][chain.alive[:-1]] - 1
     sizes = grammar.size_of(grammar.symbols)
     grammar.places = (np.cumsum(sizes) - sizes)[::STRIDE]
     return grammar
@@ -109,35 +111,43 @@ class _Chain:
 
     A pair that is new after a round holds a symbol of that round. So pairs are
     counted once, where they arise; later they only lose places, and a round
-    touches nothing but the places it replaces and their neighbours.
+    touches nothing but the places it replaces and their neighbours. Symbols are
+    one higher than outside: 0 stands behind the last and before the first, so
+    the pairs there are like none else. Pair 0 stands for all that occur once.
     """
 
-    def __init__(self, ids: np.ndarray):
+    def __init__(self, ids: np.ndarray, first: int):
         count = len(ids)
-        self.symbols = ids.astype(np.int32)
-        self.alive = np.ones(count, bool)
-        self.fresh = np.ones(count, bool)
-        self.after = np.arange(1, count + 1, dtype=np.int32)
-        self.after[count - 1 :] = -1
-        self.before = np.arange(-1, count - 1, dtype=np.int32)
-        self.pair = np.full(count, -1, np.int32)  # number of the pair that begins at a place
+        self.symbols = np.append(ids + 1, 0).astype(np.int32)
+        self.top = first  # the highest symbol
+        self.alive = np.ones(count + 1, bool)
+        self.after = np.minimum(np.arange(1, count + 2), count).astype(np.int32)
+        self.before = np.arange(-1, count, dtype=np.int32) % (count + 1)
+        self.pair = np.zeros(count + 1, np.int32)  # number of the pair that begins at a place
         # Each replacement takes a symbol away and makes two pairs at most, hence the room.
-        self.kinds = 0
-        self.counts = np.empty(3 * count // 2 + 1, np.int32)
-        self.starts = np.zeros(3 * count // 2 + 2, np.int32)  # a pair arose at placed[starts[i] : starts[i + 1]]
+        self.kinds = 1
+        self.counts = np.zeros(3 * count // 2 + 2, np.int32)
+        self.starts = np.zeros(3 * count // 2 + 3, np.int32)  # a pair arose at placed[starts[i] : starts[i + 1]]
         self.placed = np.empty(3 * count, np.int32)
         self._count(np.arange(count, dtype=np.int32))
 
     def _count(self, places: np.ndarray) -> None:
         """Number the pairs at ``places``, all of them new, that occur twice."""
-        self.pair[places] = -1
-        places = places[self.after[places] >= 0]
-        code = (self.symbols[places].astype(np.int64) << 32) | self.symbols[self.after[places]]
-        order = np.argsort(code)
-        code, places = code[order], places[order]
-        begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(begin, len(code)))
-        places, sizes = places[np.repeat(sizes >= LEAST_COUNT, sizes)], sizes[sizes >= LEAST_COUNT]
+        self.pair[places] = 0
+        wide, deep = self.top.bit_length(), len(self.pair).bit_length()
+        code = (self.symbols[places].astype(np.int64) << wide) | self.symbols[self.after[places]]
+        if 2 * wide + deep < 64:  # sorted together, which is faster than by an order
+            code = np.sort((code << deep) | places)
+            places = (code & ((1 << deep) - 1)).astype(np.int32)
+            code >>= deep
+        else:
+            order = np.argsort(code)
+            code, places = code[order], places[order]
+        same = np.zeros(len(code) + 1, bool)
+        same[1:-1] = code[1:] == code[:-1]
+        places = places[same[1:] | same[:-1]]
+        begin = np.flatnonzero(same[1:] & ~same[:-1])
+        sizes = np.flatnonzero(same[:-1] & ~same[1:]) + 1 - begin
         old, new = self.kinds, self.kinds + len(sizes)
         self.pair[places] = np.repeat(np.arange(old, new, dtype=np.int32), sizes)
         self.counts[old:new] = sizes
@@ -148,29 +158,29 @@ class _Chain:
     def frequent(self) -> tuple[np.ndarray, np.ndarray]:
         """Places to replace without overlap, in ascending order, and which of the picked pairs each holds.
 
-        Pairs whose places mostly overlap those of others wait.
+        Pairs whose places mostly overlap those of others wait. If all are in
+        others' way, one that cannot overlap itself is taken alone.
         """
-        while self.kinds:
-            counts = self.counts[: self.kinds]
+        counts = self.counts[: self.kinds]
+        while True:
             least = max(int(counts.max()) // 2, LEAST_COUNT)
             kinds = np.flatnonzero(counts >= least)
             if not len(kinds):
-                break
+                return np.zeros(0, np.int32), np.zeros(0, np.int64)
             places = self._places(kinds)
-            mixed = self.symbols[places] != self.symbols[self.after[places]]
-            # If all are in others' way, one that cannot overlap itself is taken alone.
-            alone = self.pair[places] == self.pair[places[int(mixed.argmax())]]
             rank = np.empty(self.kinds, np.int32)
             rank[kinds] = np.arange(len(kinds))
-            for tried in (places, places[alone]):
-                tried = tried[self._apart(tried)]
+            for alone in (False, True):
+                if alone:
+                    mixed = self.symbols[places] != self.symbols[self.after[places]]
+                    places = places[self.pair[places] == self.pair[places[int(mixed.argmax())]]]
+                tried = places[self._apart(places)]
                 which = rank[self.pair[tried]]
                 enough = np.bincount(which, minlength=len(kinds)) >= max(least // 2, LEAST_COUNT)
                 if enough.any():
                     stay = enough[which]
                     return tried[stay], (np.cumsum(enough) - 1)[which[stay]]
             counts[kinds] = 0  # each is one run of three equal symbols, which holds the pair once
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _places(self, kinds: np.ndarray) -> np.ndarray:
         """Where the pairs ``kinds`` still stand, in ascending order."""
@@ -186,24 +196,22 @@ class _Chain:
         begin = np.maximum.accumulate(np.where(breaks, np.arange(len(places)), 0))
         return (np.arange(len(places)) - begin) % 2 == 0
 
-    def replace(self, places: np.ndarray, symbols: np.ndarray) -> None:
-        """Write ``symbols`` for the pairs at ``places``, which do not overlap."""
-        gone = self.after[places]
-        self.alive[gone] = False
-        left = self.before[places]
-        left = left[left >= 0]
-        lost = self.pair[np.concatenate([places, gone, left[self.alive[left]]])]
-        np.subtract.at(self.counts, lost[lost >= 0], 1)
-        self.pair[gone] = -1
-        self.symbols[places] = symbols
-        self.after[places] = self.after[gone]
-        inner = places[self.after[places] >= 0]
-        self.before[self.after[inner]] = inner
-        left = self.before[places]
-        self.fresh[places] = False  # these are counted once, also where one follows another
-        left = left[(left >= 0) & self.fresh[left]]
-        self.fresh[places] = True
-        self._count(np.concatenate([places, left]))
+    def replace(self, places: np.ndarray, which: np.ndarray, kinds: int) -> None:
+        """Write the next ``kinds`` symbols for the pairs at ``places``, which do not overlap."""
+        gone, left = self.after[places], self.before[places]
+        lost = [self.pair[places], self.pair[gone]]
+        self.pair[gone], self.alive[gone] = 0, False
+        lost = np.concatenate([*lost, self.pair[left]])
+        if len(lost) < self.kinds // 16:
+            np.subtract.at(self.counts, lost, np.int32(1))
+        else:
+            self.counts[: self.kinds] -= np.bincount(lost, minlength=self.kinds)
+        self.counts[0] = 0
+        self.symbols[places] = self.top + 1 + which
+        self.top += kinds
+        behind = self.after[gone]
+        self.after[places], self.before[behind] = behind, places
+        self._count(np.concatenate([places, left[self.alive[left]]]))
 
 
 class ChunkTokenizer:
