@@ -259,10 +259,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     sample = docs.join(picked, "doc_id").where(F.xxhash64("text") == F.col("_h"))
     sample = sample.select("label", "text")
     table = sample.mapInArrow(_bucketed, "label int, buckets binary").toArrow()
-    cells = table["buckets"].to_pylist()
+    cells = [cell.as_buffer() for cell in table["buckets"]]  # not copied
     labels = np.array(table["label"].to_pylist(), dtype=np.float64)
     del table
-    offsets = np.concatenate([[0], np.cumsum([len(c) // (4 * SLOTS) for c in cells])]).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum([c.size // (4 * SLOTS) for c in cells])]).astype(np.int64)
     buckets = np.empty((SLOTS, int(offsets[-1])), np.int32)
     for row, cell in enumerate(cells):
         buckets[:, offsets[row] : offsets[row + 1]] = np.frombuffer(cell, np.int32).reshape(-1, SLOTS).T
