@@ -26,8 +26,10 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 HEAD_ONLY = frozenset("base link meta script style title".split())
 UNSEEN = frozenset(
     "head script style title template noscript noembed noframes iframe object audio video canvas "
-    "datalist desc metadata defs symbol clippath annotation annotation-xml".split()
+    "datalist desc metadata defs symbol clippath annotation annotation-xml progress meter".split()
 )
+# Inputs whose value is not drawn as text.
+UNREAD_INPUTS = frozenset("hidden password radio checkbox file range color image".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure hr fieldset".split())
 BLOCKS = SPACED | frozenset(
     "address article aside body caption center dd details dialog dir div dt figcaption footer form header "
@@ -55,8 +57,10 @@ TABLE_PARTS = {
     **dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup"), {"table"}),
 }
 
+REST_OF_GROUP = 1 << 30  # rows of a cell that spans all rows below it
+
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
 _CSS_MARK = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.DOTALL)
@@ -350,6 +354,14 @@ def visible(node: Node, styles: Styles) -> bool:
     return not styles.hidden(node)
 
 
+def _opened(node: Node) -> Node:
+    """``node`` as it is drawn: closed details show their first summary only."""
+    if node.tag != "details" or "open" in node.attributes:
+        return node
+    summaries = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"]
+    return Node(node.tag, node.attributes, summaries[:1])
+
+
 Walk = Generator["Walk", None, None]
 
 
@@ -429,7 +441,10 @@ class Renderer:
         elif tag == "img":
             self._text(node.attributes.get("alt", ""), pre)
         elif tag == "input":
-            self._text(node.attributes.get("value", ""), pre)
+            kind = node.attributes.get("type", "").strip().lower()
+            shown = "alt" if kind == "image" else "value"
+            if shown == "alt" or kind not in UNREAD_INPUTS:
+                self._text(node.attributes.get(shown, ""), pre)
         elif tag == "table":
             self._break(True)
             yield self._table(node)
@@ -447,7 +462,7 @@ class Renderer:
             outer = self.indent
             if tag in ("dd", "blockquote"):
                 self.indent += "    "
-            yield self._children(node, pre or tag == "pre")
+            yield self._children(_opened(node), pre or tag == "pre")
             self._break(spaced)
             self.indent = outer
         else:
@@ -468,7 +483,9 @@ class Renderer:
         nested = bool(self.indent)
         self._break(not nested)
         outer = self.indent
-        number = _whole(node.attributes.get("start"), 1)
+        step = -1 if "reversed" in node.attributes else 1
+        items = sum(isinstance(c, Node) and c.tag == "li" for c in node.children)
+        number = _whole(node.attributes.get("start"), 1 if step > 0 else items)
         for child in node.children:
             if isinstance(child, str) or child.tag != "li":
                 if isinstance(child, Node) and visible(child, self.styles):
@@ -479,8 +496,9 @@ class Renderer:
             if not visible(child, self.styles):
                 continue
             self._break()
+            number = _whole(child.attributes.get("value"), number)
             self.marker = f"{number}. " if node.tag == "ol" else "- "
-            number += 1
+            number += step
             self.indent = outer + " " * len(self.marker)
             yield self._children(child)
             self._break()
@@ -490,12 +508,13 @@ class Renderer:
     def _table(self, node: Node) -> Walk:
         rows: list[list[list[str]]] = []
         for part in node.children:
+            below: dict[int, int] = {}
             if isinstance(part, Node) and part.tag in ("thead", "tbody", "tfoot"):
                 if visible(part, self.styles):
                     for child in part.children:
-                        yield self._part(child, rows)
+                        yield self._part(child, rows, below)
             else:
-                yield self._part(part, rows)
+                yield self._part(part, rows, below)
         self._break()
         rows = [r for r in rows if any(any(c) for c in r)]
         widths = [
@@ -507,12 +526,12 @@ class Renderer:
                 cells = [(cell[i] if i < len(cell) else "").ljust(w) for cell, w in zip(row, widths)]
                 self._put(" | ".join(cells).rstrip())
 
-    def _part(self, part: Node | str, rows: list[list[list[str]]]) -> Walk:
+    def _part(self, part: Node | str, rows: list[list[list[str]]], below: dict[int, int]) -> Walk:
         """A row of a table; what is none stands before the table."""
         if isinstance(part, Node) and part.tag == "tr":
             if visible(part, self.styles):
                 rows.append([])
-                yield self._cells(part, rows[-1])
+                yield self._cells(part, rows[-1], below)
         else:
             yield self._stray(part)
 
@@ -522,8 +541,15 @@ class Renderer:
         elif visible(part, self.styles):
             yield self._element(part)
 
-    def _cells(self, row: Node, cells: list[list[str]]) -> Walk:
-        """The lines of each cell; a cell over several columns is followed by empty ones."""
+    def _cells(self, row: Node, cells: list[list[str]], below: dict[int, int]) -> Walk:
+        """The lines of each cell; the other places that a cell spans are empty.
+
+        ``below`` says for how many more rows of the group a column is taken by a cell
+        from above.
+        """
+        taken = {column for column, rows in below.items() if rows > 0}
+        for column in taken:
+            below[column] -= 1
         for cell in row.children:
             if isinstance(cell, str) or cell.tag not in ("td", "th"):
                 yield self._stray(cell)
@@ -531,8 +557,16 @@ class Renderer:
                 inner = Renderer(self.styles)
                 yield inner._children(cell)
                 inner._break()
+                while len(cells) in taken:
+                    cells.append([])
+                first = len(cells)
                 cells.append([line for line in inner.lines if line])
                 cells += [[] for _ in range(min(_whole(cell.attributes.get("colspan"), 1), 1000) - 1)]
+                rows = _whole(cell.attributes.get("rowspan"), 1)
+                for column in range(first, len(cells)):
+                    below[column] = max((REST_OF_GROUP if rows == 0 else rows) - 1, below.get(column, 0), 0)
+        while any(column >= len(cells) for column in taken):
+            cells.append([])
 
 
 def visible_text(html: str) -> str:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from presslake.llm.html_text import extract_text, visible_text
@@ -60,6 +62,44 @@ def test_malformed_tables_keep_their_text(name):
     assert [line for line in visible_text(html).split("\n") if line] == [line for line in text.split("\n") if line]
 
 
+SPANS = {
+    "rows": ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A | B\n  | C"),
+    "rows at the end": ("<table><tr><td>A<td rowspan=3>B<tr><td>C<tr><td>D</table>", "A | B\nC |\nD |"),
+    "rows and columns": ("<table><tr><td rowspan=2 colspan=2>A<td>B<tr><td>C<tr><td>1<td>2<td>3</table>", "A |   | B\n  |   | C\n1 | 2 | 3"),
+    "rest of a group": ("<table><tbody><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D<td>E</table>", "A | B\n  | C\nD | E"),
+    "not past its group": ("<table><thead><tr><th rowspan=9>A<th>B<tbody><tr><td>C<td>D</table>", "A | B\nC | D"),
+}
+
+
+@pytest.mark.parametrize("name", SPANS)
+def test_cells_over_several_rows(name):
+    html, text = SPANS[name]
+    assert visible_text(html) == text
+
+
+DRAWN = {
+    "closed details": ("<details><summary>more</summary>gone<p>too</details>b", "more\nb"),
+    "open details": ("<details open><summary>more</summary>here</details>b", "more\nhere\nb"),
+    "details without summary": ("a<details>gone</details>b", "a\nb"),
+    "inputs": (
+        "<input value=text><input type=password value=no><input type=radio value=no> <input type=CHECKBOX value=no>"
+        "<input type=image alt=go value=no> <input type=submit value=send>",
+        "text go send",
+    ),
+    "progress": ("<p>at <progress value=1 max=2>50%</progress><meter value=1>one</meter>end", "at end"),
+    "numbered items": ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+    "reversed items": ("<ol reversed><li>a<li>b</ol><ol reversed start=9><li>c<li>d</ol>", "2. a\n1. b\n\n9. c\n8. d"),
+    "ends of comments": ("a<!-- x --!>b<!-->c<!--->d<!-- y -- > z -->e", "abcde"),
+    "open comment": ("a<!-- b", "a"),
+}
+
+
+@pytest.mark.parametrize("name", DRAWN)
+def test_what_a_browser_draws(name):
+    html, text = DRAWN[name]
+    assert visible_text(html) == text
+
+
 STYLES = {
     "print only": ("<style>@media print { .nav { display: none } }</style><p class=nav>a", "a"),
     "print sheet": ("<style media=print>.nav{display:none}</style><p class=nav>a", "a"),
@@ -88,6 +128,18 @@ def test_only_what_no_screen_draws_is_hidden(name):
     assert visible_text(html) == text
 
 
+def test_damaged_pages_never_fail():
+    rng = random.Random(3)
+    parts = [p for group in (PAGES, MALFORMED_TABLES, SPANS, DRAWN, STYLES) for p, _ in group.values()]
+    bits = ["<", ">", "'", '"', "<!--", "--", "rowspan=", "colspan=-4", "\x00", "\u00b2", "&#x110000;", "&#99999999999;", "{", "}", "@media", "</table>", "<td>", "<ol start="]
+    for _ in range(20_000):
+        page = list(rng.choice(parts) + rng.choice(parts))
+        for _ in range(rng.randint(1, 8)):
+            at = rng.randrange(len(page) + 1)
+            page[at : at + rng.choice((0, 0, 1, 5))] = rng.choice(bits)
+        assert isinstance(visible_text("".join(page)), str)
+
+
 @pytest.mark.parametrize("tag", ["div", "font", "blockquote"])
 def test_deep_pages_are_laid_out(tag):
     inner = (
