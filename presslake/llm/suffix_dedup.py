@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from presslake.llm.common import flat_text, mix, powers, prefix_hashes, span_hashes, text_slices
 from presslake.llm.components import _written
@@ -39,6 +39,8 @@ CHUNK_CONTEXTS = 20_000
 HOT_CONTEXTS = 100_000
 SEEN_CONTEXTS = 1 << 16
 SETTLED = np.int64(1) << np.int64(62)  # flag of a place: the context is repeated
+# A place: the text's number among the texts of its id, the first byte, the number of bytes.
+SIZE_BITS, BYTE_BITS, TWIN_BITS = 8, 31, 22
 ANCHOR_BASE = 0xD6E8FEB86659FD93
 CONTEXT_BASE = 0xA0761D6478BD642F
 _LETTERS = np.random.default_rng(23).integers(1, 1 << 63, 256).astype(np.uint64)
@@ -143,11 +145,11 @@ class SeenContexts:
 def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = SeenContexts()
     for batch in text_slices(batches, "text", PIECE):
-        ids = batch.column("doc_id").to_numpy()
+        ids, twins = batch.column("doc_id").to_numpy(), batch.column("twin").to_numpy()
         for data, offsets, head, base in _pieces(batch):
             anchor, context, start, end = contexts(data, offsets)
             row = np.searchsorted(offsets, start, side="right") - 1
-            place = (start - offsets[row] + base) << 8 | (end - start)
+            place = (twins[head + row] << BYTE_BITS | start - offsets[row] + base) << SIZE_BITS | (end - start)
             doc = ids[head + row]
             settled = seen.repeated(anchor, context, doc)
             # Settled rows need not meet others: they are spread over all tasks.
@@ -215,9 +217,8 @@ def _open_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         count = np.diff(column.offsets.to_numpy())
         place = column.flatten().to_numpy()
         row = np.repeat(np.arange(batch.num_rows), count)
-        begin, size = place >> 8, place & 255
-        fits = begin + size <= np.diff(offsets)[row]
-        begin, size, row = begin[fits], size[fits], row[fits]
+        spot, size = place >> SIZE_BITS, place & ((1 << SIZE_BITS) - 1)
+        begin = spot & ((1 << BYTE_BITS) - 1)
         ends = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(offsets[row] + begin - ends[:-1], size) + np.arange(ends[-1])
         flat = data[at]
@@ -232,7 +233,7 @@ def _open_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
         ids = batch.column("doc_id").to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor.view(np.int64)), pa.array(lead), pa.array(ids[row]), pa.array(begin), cells.cast(pa.binary())],
+            [pa.array(anchor.view(np.int64)), pa.array(lead), pa.array(ids[row]), pa.array(spot), cells.cast(pa.binary())],
             names=["anchor", "lead", "doc_id", "begin", "bytes"],
         )
 
@@ -432,40 +433,47 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with_twins(rows: DataFrame) -> DataFrame:
+    """Number the different texts of each id in a column ``twin``; almost always it is 0.
+
+    Only ids and hashes of repeated ids are ranked. What is written for them has a
+    known size, so Spark broadcasts it only where it is small.
+    """
+    keys = rows.select("doc_id", F.xxhash64("text").alias("h")).distinct()
+    several = keys.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("h")).cast("long") - 1
+    too_many = F.raise_error(F.concat(F.lit("more different texts than can be told apart have the id "), "doc_id"))
+    number = F.when(rank < (1 << TWIN_BITS), rank).otherwise(too_many.cast("long"))
+    twins = keys.join(several, "doc_id").select("doc_id", "h", number.alias("twin")).where("twin > 0")
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    joined = hashed.join(_written(twins, "twins"), ["doc_id", "h"], "left")
+    return joined.select("doc_id", "text", F.coalesce("twin", F.lit(0).cast("long")).alias("twin"))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row ``doc_id, n_bytes, spans, kept``: its text without repeated passages.
 
     ``spans`` are the maximal removed byte ranges: bytes covered by a string of
     ``SPAN`` bytes that also starts in a document with a smaller (integer) id.
     Strings are judged on the input. ``kept`` holds the other bytes. Null texts are
-    empty. A row without id loses nothing and takes nothing from others. Of rows
-    that share an id but not the text, the one of smallest text hash is judged and
-    the others stay whole; rows that share both are judged alike. An empty table
-    gives no rows.
+    empty. A row without id loses nothing and takes nothing from others. Rows that
+    share an id take nothing from each other, whatever their texts; each is judged
+    against the smaller ids and counts for the larger ones (up to ``2**TWIN_BITS``
+    different texts of one id; beyond that the job fails). Rows that share id and
+    text are judged alike. An empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    twins = (
-        rows.select("doc_id", F.xxhash64("text").alias("h"))
-        .distinct()
-        .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("judged"))
-        .where("n > 1 and doc_id is not null")
-    )
-    judged = rows.where("doc_id is not null")
+    judged = _with_twins(rows.where("doc_id is not null"))
     aside = rows.where("doc_id is null")
-    if twins.limit(1).count():
-        marked = judged.join(twins.select("doc_id", "judged"), "doc_id", "left")
-        other = F.col("judged").isNotNull() & (F.xxhash64("text") != F.col("judged"))
-        aside = aside.unionByName(marked.where(other).drop("judged"))
-        judged = marked.where(~other).drop("judged")
 
     emitted = judged.mapInArrow(_emit_contexts, "anchor long, context long, doc_id long, place long")
     met = emitted.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id")
     found = _written(met.mapInArrow(_settle, "doc_id long, place long, repeated boolean"), "contexts")
 
     # Open contexts get their bytes; an anchor with very many of them is dealt out by string.
-    opened = found.where("not repeated").groupBy("doc_id").agg(F.collect_set("place").alias("open"))
-    cut = judged.join(opened, "doc_id").mapInArrow(
+    twin = F.shiftright("place", SIZE_BITS + BYTE_BITS).alias("twin")
+    opened = found.where("not repeated").groupBy("doc_id", twin).agg(F.collect_set("place").alias("open"))
+    cut = judged.join(opened, ["doc_id", "twin"]).mapInArrow(
         _open_contexts, "anchor long, lead long, doc_id long, begin long, bytes binary"
     )
     cut = _written(cut, "open-contexts")
@@ -489,11 +497,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .mapInArrow(_sort_contexts, "doc_id long, start long, end long")
     )
 
-    start = F.shiftright("place", 8)
-    whole = found.where("repeated").select("doc_id", start.alias("start"), (start + F.col("place").bitwiseAND(255)).alias("end"))
-    ranges = whole.unionByName(edges).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    start = F.shiftright("place", SIZE_BITS)
+    end = start + F.col("place").bitwiseAND((1 << SIZE_BITS) - 1)
+    whole = found.where("repeated").select("doc_id", start.alias("start"), end.alias("end"))
+    of_text = F.struct(*(F.col(c).bitwiseAND((1 << BYTE_BITS) - 1).alias(c) for c in ("start", "end")))
+    ranges = (
+        whole.unionByName(edges)
+        .groupBy("doc_id", F.shiftright("start", BYTE_BITS).alias("twin"))
+        .agg(F.collect_list(of_text).alias("ranges"))
+    )
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    with_ranges = judged.join(ranges, "doc_id", "left").withColumn("ranges", F.coalesce("ranges", none))
+    with_ranges = judged.join(ranges, ["doc_id", "twin"], "left").select(
+        "doc_id", "text", F.coalesce("ranges", none).alias("ranges")
+    )
     return with_ranges.unionByName(aside.withColumn("ranges", none)).mapInArrow(
         _cut_out, "doc_id long, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary"
     )

@@ -102,6 +102,32 @@ def test_edge_rows(spark):
     assert {r.doc_id: len(r.kept) for r in out}[9] == len(EDGES[12][1].encode())
 
 
+def test_rows_that_share_an_id(spark):
+    """Each text of an id is judged against smaller ids and counts for larger ones."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [text(90) for _ in range(5)]
+    rows = [(1, shared[0]), (2, "xx " + shared[0]), (2, "A " + shared[0] + " tail"), (2, shared[1]), (3, shared[1] + "z")]
+    rows += [(rng.randint(4, 9), text(20) + rng.choice(shared) + text(60) + rng.choice(shared)[20:]) for _ in range(40)]
+    rows += rows[7:9] + [(5, None), (5, ""), (6, shared[2][:60])]
+    owner = {}
+    for i, t in rows:
+        data = (t or "").encode()
+        for at in range(len(data) - SPAN + 1):
+            key = data[at : at + SPAN]
+            owner[key] = min(i, owner.get(key, i))
+    expected = []
+    for i, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - SPAN + 1):
+            if owner[data[at : at + SPAN]] < i:
+                gone[at : at + SPAN] = b"\1" * SPAN
+        expected.append((i, len(data), bytes(c for c, g in zip(data, gone) if not g)))
+    out = remove_repeats(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_bytes, bytes(r.kept)) for r in out) == sorted(expected)
+
+
 def test_empty_table(spark):
     assert remove_repeats(documents(spark, [])).count() == 0
 
