@@ -7,8 +7,11 @@ formatted string a backslash before a control string (or before a backslash) in
 text keeps it apart from the template. Token positions and the loss mask come
 from prefix sums over segment lengths.
 
-Turns stream through Spark sorted by conversation; a task keeps the running
-position of one conversation and never a whole one.
+Turns are dealt out by ranges of conversation and turn, so a conversation of any
+length is encoded by many tasks: each counts from the beginning of its range, and
+what a conversation has before the range (at most one row a task) is added
+afterwards. Decoding is split in any way; only the digests of a conversation run
+along its turns in order, one turn in memory at a time.
 """
 
 from __future__ import annotations
@@ -20,10 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from presslake.llm.bpe import read_ranks
 from presslake.llm.common import worker_cache
+from presslake.llm.components import _written
 
 # The control strings, and their ids above the tokenizer's own.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -35,8 +40,9 @@ _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 TURN_DDL = (
     "conv_id {conv}, seq long, formatted string, ids array<int>, loss array<boolean>, "
-    "token_start long, char_start long"
+    "token_start long, char_start long, token_end long, char_end long, part int"
 )
+RANGE_CHARS = 64  # of a text, to deal out turns that agree in all else
 
 
 def escape(text: str) -> str:
@@ -80,6 +86,7 @@ def format_chats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _tokenizer(path, pattern)
+        task = TaskContext.get().partitionId()
         current, seq, tokens, chars = object(), 0, 0, 0
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
@@ -107,8 +114,9 @@ def format_chats(
                 for row, conversation in enumerate(part.column("conv_id").to_pylist()):
                     if conversation != current:
                         current, seq, tokens, chars = conversation, 0, 0, 0
-                    where.append((seq, tokens, chars))
-                    seq, tokens, chars = seq + 1, tokens + int(sizes[row].sum()), chars + len(formatted[row])
+                    ends_at = tokens + int(sizes[row].sum()), chars + len(formatted[row])
+                    where.append((seq, tokens, chars, *ends_at))
+                    seq, (tokens, chars) = seq + 1, ends_at
                 numbers = np.array(where, np.int64).T
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -117,14 +125,31 @@ def format_chats(
                         pa.array(formatted, pa.string()),
                         pa.ListArray.from_arrays(offsets, pa.array(ids)),
                         pa.ListArray.from_arrays(offsets, pa.array(mask)),
-                        pa.array(numbers[1]),
-                        pa.array(numbers[2]),
+                        *(pa.array(n) for n in numbers[1:]),
+                        pa.array(np.full(part.num_rows, task, np.int32)),
                     ],
-                    names=["conv_id", "seq", "formatted", "ids", "loss", "token_start", "char_start"],
+                    names=names,
                 )
 
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(run, TURN_DDL.format(conv=rows.schema["conv_id"].dataType.simpleString()))
+    schema = TURN_DDL.format(conv=rows.schema["conv_id"].dataType.simpleString())
+    names = [field.split()[0] for field in schema.split(", ")]
+    ranges = rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS))
+    ordered = ranges.sortWithinPartitions("conv_id", "turn", "role", "text")
+    encoded = _written(ordered.mapInArrow(run, schema), "turns")
+
+    # Only the first conversation of a range can have begun before it: one row a task at most.
+    totals = encoded.groupBy("conv_id", "part").agg(
+        (F.max("seq") + 1).alias("seq"), F.max("token_end").alias("token"), F.max("char_end").alias("char")
+    )
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(
+        F.col("conv_id").alias("b_conv"), F.col("part").alias("b_part"), *(F.sum(c).over(before).alias(f"b_{c}") for c in ("seq", "token", "char"))
+    ).where("b_seq is not null")
+    same = (F.col("part") == F.col("b_part")) & F.col("conv_id").eqNullSafe(F.col("b_conv"))
+    moved = {"seq": "seq", "token_start": "token", "char_start": "char"}
+    return encoded.join(F.broadcast(bases), same, "left").select(
+        *((F.col(c) + F.coalesce(f"b_{moved[c]}", F.lit(0))).alias(c) if c in moved else c for c in names[:-3])
+    )
 
 
 def read_chats(formatted: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -136,30 +161,48 @@ def read_chats(formatted: DataFrame, path: str, pattern: str) -> DataFrame:
     memory of one turn.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _tokenizer(path, pattern)
+
+        def text(ids: np.ndarray) -> str:
+            return unescape(decoder.decode_bytes(ids.tolist()).decode("utf-8"))
+
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 512):
+                part = batch.slice(begin, 512)
+                said, learned = [], []
+                for ids, mask in zip(part.column("ids"), part.column("loss")):
+                    ids, mask = ids.values.to_numpy(), mask.values.to_numpy(zero_copy_only=False)
+                    says, end = int(np.flatnonzero(ids == SAYS)[0]), int(np.flatnonzero(ids == SAID)[0])
+                    said.append(f"{text(ids[1:says])}\n{text(ids[says + 1 : end])}\n")
+                    learned.append(text(ids[mask]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("conv_id"), part.column("seq"), pa.array(said), pa.array(learned), part.column("chars")],
+                    names=["conv_id", "seq", "said", "learned", "chars"],
+                )
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: _Digest | None = None
         for batch in batches:
             done = []
             for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                conversations, pieces = part.column("conv_id").to_pylist(), part.column("formatted").to_pylist()
-                masks = part.column("loss")
-                for row, ids in enumerate(part.column("ids")):
-                    if state is None or conversations[row] != state.conv_id:
+                columns = batch.slice(begin, 512).to_pydict()
+                for conversation, said, learned, chars in zip(*(columns[c] for c in ("conv_id", "said", "learned", "chars"))):
+                    if state is None or conversation != state.conv_id:
                         done += [state] if state else []
-                        state = _Digest(conversations[row])
-                    state.add(decoder, ids.values.to_numpy(), masks[row].values.to_numpy(zero_copy_only=False), pieces[row])
+                        state = _Digest(conversation)
+                    state.add(said, learned, chars)
             if done:
                 yield _Digest.rows(done, batch.schema.field("conv_id").type)
         if state:
             yield _Digest.rows([state], batch.schema.field("conv_id").type)
 
-    ordered = formatted.select("conv_id", "seq", "formatted", "ids", "loss")
-    ordered = ordered.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return ordered.mapInArrow(
-        run,
+    turns = formatted.select("conv_id", "seq", "ids", "loss", F.length("formatted").cast("long").alias("chars"))
+    decoded = turns.mapInArrow(decode, f"conv_id {kind}, seq long, said string, learned string, chars long")
+    return decoded.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInArrow(
+        digest,
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
 
@@ -171,18 +214,12 @@ class _Digest:
         self.conv_id, self.turns, self.loss_chars, self.chars = conv_id, 0, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, decoder, ids: np.ndarray, mask: np.ndarray, formatted: str) -> None:
-        says, said = int(np.flatnonzero(ids == SAYS)[0]), int(np.flatnonzero(ids == SAID)[0])
-        role, text = (
-            unescape(decoder.decode_bytes(ids[a:b].tolist()).decode("utf-8")) for a, b in ((1, says), (says + 1, said))
-        )
-        self.all.update(f"{role}\n{text}\n".encode())
-        if mask.any():
-            learned = unescape(decoder.decode_bytes(ids[mask].tolist()).decode("utf-8"))
-            self.loss.update(learned.encode())
-            self.loss_chars += len(learned)
+    def add(self, said: str, learned: str, chars: int) -> None:
+        self.all.update(said.encode())
+        self.loss.update(learned.encode())
+        self.loss_chars += len(learned)
         self.turns += 1
-        self.chars += len(formatted)
+        self.chars += chars
 
     @staticmethod
     def rows(done: list[_Digest], kind: pa.DataType) -> pa.RecordBatch:

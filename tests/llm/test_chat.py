@@ -61,6 +61,25 @@ def test_positions_masks_and_reserved_ids(spark):
     assert turns[1].formatted == "<s>user[INST]What is \\</s>?[/INST]</s>"
 
 
+def test_a_long_conversation_is_encoded_by_many_tasks(spark):
+    rows = [(7, i, "assistant" if i % 2 else "user", f"turn {i} " + "w" * (i % 5)) for i in range(400)]
+    rows += [(7, 400, "user", f"{'same start ' * 9}{i}") for i in range(30)] + [(6, 0, "user", "a"), (8, 0, "user", "b")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = format_chats(table(spark, rows), PATH, PATTERN)
+        turns = pieces.where("conv_id = 7").orderBy("seq").collect()
+        read = read_chats(pieces, PATH, PATTERN).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r[0] for r in pieces.select(F.spark_partition_id()).distinct().collect()}) > 1
+    assert [r.seq for r in turns] == list(range(430))
+    tokens = chars = 0
+    for r in turns:
+        assert (r.token_start, r.char_start) == (tokens, chars)
+        tokens, chars = tokens + len(r.ids), chars + len(r.formatted)
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in read} == brute(rows)
+
+
 def test_formatted_chars(spark):
     pieces = format_chats(table(spark, ROWS), PATH, PATTERN)
     total = {r[0]: r[1] for r in pieces.groupBy("conv_id").agg(F.sum(F.length("formatted"))).collect()}

@@ -56,6 +56,23 @@ def test_matches_brute_force(spark, block):
     assert {r.doc_id: (r.class_id, r.n_links) for r in found} == brute(rows)
 
 
+def test_measured_recall_just_above_the_threshold(spark):
+    """Pairs of similarity 0.81 to 0.86, the hardest to find, among 600 documents."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    rows = []
+    for i in range(300):
+        words = [word() for _ in range(200)]
+        rows.append((2 * i, " ".join(words)))
+        for at in rng.sample(range(10, 190, 10), 3 + i % 2):
+            words[at] = word()
+        rows.append((2 * i + 1, " ".join(words)))
+        alike = [shingles(t) for _, t in rows[-2:]]
+        assert 0.8 <= len(alike[0] & alike[1]) / len(alike[0] | alike[1]) < 0.87
+    found = ngram_join(documents(spark, rows)).collect()
+    assert sum(r.n_links == 1 and r.class_id == r.doc_id // 2 * 2 for r in found) >= 0.99 * 600
+
+
 def test_edge_rows(spark):
     found = ngram_join(documents(spark, EDGES)).collect()
     assert len(found) == len(EDGES)
