@@ -37,7 +37,6 @@ RECALL = 0.9999
 BLOCK = 256
 SHINGLE_COLUMNS = 8192
 PATH_BYTES = 1 + 2 * DEPTH  # the tree, then two bytes of each MinHash value
-BROADCAST_ROWS = 1_000_000
 
 _ODD = np.array([2 * int(x) + 1 for x in np.random.default_rng(5).integers(0, 1 << 62, NGRAM + 1)], np.uint64)
 _FACTORS = np.random.default_rng(17).integers(0, 1 << 31, (2, TREES * DEPTH)).astype(np.uint32)
@@ -292,8 +291,7 @@ def ngram_join(
         .join(classes.groupBy("node").agg(F.sum("copies").alias("copies")), "node")
         .select("node", "root", "copies", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
     )
-    if placed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        placed = F.broadcast(placed)
+    placed = _written(placed, "placed")  # of known size: Spark broadcasts it only where it is small
     found = rows.join(placed, rows["doc_id"] == placed["node"]).select("node", "root", "copies", "blocks", "block", "text")
     sets = found.mapInArrow(
         _sets, f"node {kind}, root {kind}, copies long, blocks long, block long, shingles binary"
