@@ -35,7 +35,7 @@ SPAN = 50
 GRAM = 20
 GRAMS = SPAN - GRAM + 1
 PIECE = 1 << 20
-CHUNK_CONTEXTS = 20_000
+CHUNK_CONTEXTS = 1_000  # the arrays of their strings stay in the processor's cache
 HOT_CONTEXTS = 100_000
 SEEN_CONTEXTS = 1 << 16
 SETTLED = np.int64(1) << np.int64(62)  # flag of a place: the context is repeated
