@@ -249,15 +249,15 @@ class SuffixSort:
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Length of the common extension of the strings at ``x`` and ``y``, at most ``SPAN``."""
         out = np.full(len(x), SPAN)
-        from_x, from_y, back_x, back_y = self.prefix[x], self.prefix[y], self.back[x], self.back[y]
-        whole = (self.prefix[x + SPAN] - from_x) * back_x == (self.prefix[y + SPAN] - from_y) * back_y
+        at = self.prefix.take
+        from_x, from_y, back_x, back_y = at(x), at(y), self.back.take(x), self.back.take(y)
+        whole = (at(x + SPAN) - from_x) * back_x == (at(y + SPAN) - from_y) * back_y
         differ = np.flatnonzero(~whole)
-        x, y = x[differ], y[differ]
-        from_x, from_y, back_x, back_y = from_x[differ], from_y[differ], back_x[differ], back_y[differ]
+        x, y, from_x, from_y, back_x, back_y = (v.take(differ) for v in (x, y, from_x, from_y, back_x, back_y))
         low, high = np.zeros(len(x), np.int64), np.full(len(x), SPAN - 1)
         for _ in range((SPAN - 1).bit_length()):
             middle = (low + high + 1) >> 1
-            same = (self.prefix[x + middle] - from_x) * back_x == (self.prefix[y + middle] - from_y) * back_y
+            same = (at(x + middle) - from_x) * back_x == (at(y + middle) - from_y) * back_y
             low, high = np.where(same, middle, low), np.where(same, high, np.maximum(middle - 1, low))
         out[differ] = low
         return out
@@ -371,18 +371,19 @@ def _sort_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     rows = 0
     for batch in batches:
         for begin in range(0, batch.num_rows, CHUNK_CONTEXTS):
-            waiting.append(batch.slice(begin, CHUNK_CONTEXTS))
-            rows += waiting[-1].num_rows
-            if rows < CHUNK_CONTEXTS:
+            part = batch.slice(begin, CHUNK_CONTEXTS)
+            waiting.append(part)
+            rows += part.num_rows
+            last = part.num_rows - 1
+            one_group = all(waiting[0].column(c)[0] == part.column(c)[last] for c in ("anchor", "salt"))
+            if rows < CHUNK_CONTEXTS or one_group:  # a group that fills a chunk waits for its end
                 continue
             table = pa.Table.from_batches(waiting)
             anchor, salt = table.column("anchor").to_numpy(), table.column("salt").to_numpy()
-            tail = (anchor == anchor[-1]) & (salt == salt[-1])
-            cut = int(np.flatnonzero(~tail)[-1]) + 1 if not tail.all() else 0
-            if cut:
-                yield _repeated_in(table.slice(0, cut))
-            rest = table.slice(cut).combine_chunks()
-            waiting, rows = rest.to_batches(), 0  # a group that fills a chunk waits for its end
+            cut = int(np.flatnonzero((anchor != anchor[-1]) | (salt != salt[-1]))[-1]) + 1
+            yield _repeated_in(table.slice(0, cut))
+            waiting = table.slice(cut).combine_chunks().to_batches()
+            rows = sum(b.num_rows for b in waiting)
     if waiting and sum(b.num_rows for b in waiting):
         yield _repeated_in(pa.Table.from_batches(waiting))
 
