@@ -7,6 +7,8 @@ query parameters in order of name and value.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from presslake.functions.text import ustrip
@@ -23,12 +25,32 @@ _REST = 2_147_483_647  # up to the end
 _PARTS = r"\A(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#[\s\S]*)?\z"
 _AUTHORITY = r"\A(?:([\s\S]*)@)?([\s\S]*?)(?::([0-9]*))?\z"
 
+# Escapes of unreserved characters, and those with a digit in lower case.
+_OWN = "2[DEde]|3[0-9]|4[1-9A-Fa-f]|5[0-9AFaf]|6[1-9A-Fa-f]|7[0-9AEae]"
+_ODD = f"%(?:{_OWN}|[0-9A-Fa-f][a-f]|[a-f][0-9A-F])"
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
 def _decoder(chars: str) -> Column:
     """Two hex digits to the character they stand for, as a literal map."""
     return F.create_map(*[F.lit(x) for char in chars for x in (f"{ord(char):02X}", char)])
 
 
+def _respelled(col: Column, found: str, spell: Callable[[Column], Column]) -> Column:
+    """``col`` with ``spell`` of the two digits for each escape that ``found`` matches; the rest is not looked at."""
+
+    def one(part: Column) -> Column:
+        return F.when(
+            part.rlike(rf"\A{found}"), F.concat(spell(F.substring(part, 2, 2)), F.substring(part, 4, _REST))
+        ).otherwise(part)
+
+    return F.array_join(F.transform(F.split(col, f"(?={found})", -1), one), "")
+
+
 def escaped(col: Column, raw: str = "") -> Column:
     """``col`` with one spelling of each character.
 
@@ -38,25 +60,18 @@ def escaped(col: Column, raw: str = "") -> Column:
     is unreserved; a ``%`` that starts none becomes ``%25``.
     """
     # Escape everything; what was an escape before is now %25 and two hex digits.
-    parts = F.split(F.replace(F.replace(F.url_encode(col), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), "%", -1)
-    plain, own = _decoder(UNRESERVED + raw), _decoder(UNRESERVED)
-
-    def one(part: Column, index: Column) -> Column:
-        code, rest = F.substring(part, 1, 2), F.substring(part, 3, _REST)
-        old, after = F.upper(F.substring(part, 3, 2)), F.substring(part, 5, _REST)
-        was_escape = (code == "25") & old.rlike(r"\A[0-9A-F]{2}\z")
-        return (
-            F.when(index == 0, part)
-            .when(was_escape, F.concat(F.coalesce(own[old], F.concat(F.lit("%"), old)), after))
-            .otherwise(F.concat(F.coalesce(plain[code], F.concat(F.lit("%"), code)), rest))
-        )
-
-    return F.array_join(F.transform(parts, one), "")
+    every = F.replace(F.replace(F.url_encode(col), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    # The encoder leaves letters, digits and ".-_" as they are.
+    plain = _decoder("~" + raw)
+    codes = "|".join(f"{ord(char):02X}" for char in "~" + raw)
+    kept = _respelled(every, f"%(?:{codes})", lambda code: plain[code])
+    again = F.regexp_replace(kept, "%25([0-9A-Fa-f]{2})", "%$1")
+    own = _decoder(UNRESERVED)
+    return _respelled(again, _ODD, lambda code: F.coalesce(own[F.upper(code)], F.concat(F.lit("%"), F.upper(code))))
 
 
 def without_dot_segments(path: Column) -> Column:
     """An absolute path with ``.`` and ``..`` resolved (RFC 3986, 5.2.4)."""
-    segments = F.split(path, "/", -1)
 
     def step(kept: Column, segment: Column) -> Column:
         # The first entry is the empty text before the leading slash; it never goes.
@@ -66,12 +81,16 @@ def without_dot_segments(path: Column) -> Column:
             .otherwise(F.concat(kept, F.array(segment)))
         )
 
-    start = F.slice(segments, 1, 1)
-    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), start, step)
-    # A path that ends in a dot segment names the folder, with its slash.
-    last = F.element_at(segments, -1)
-    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    return F.when(path.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), F.array_join(kept, "/")).otherwise(path)
+    def resolved(segments: Column) -> Column:
+        kept = F.aggregate(F.slice(segments, 2, F.size(segments)), F.slice(segments, 1, 1), step)
+        # A path that ends in a dot segment names the folder, with its slash.
+        ends = F.element_at(segments, -1).isin(".", "..")
+        return F.array_join(F.concat(kept, F.when(ends, F.array(F.lit(""))).otherwise(F.slice(segments, 1, 0))), "/")
+
+    return _once(
+        path,
+        lambda p: F.when(p.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), _once(F.split(p, "/", -1), resolved)).otherwise(p),
+    )
 
 
 def sorted_query(query: Column) -> Column:
@@ -95,14 +114,19 @@ def canonical_url(url: Column | str) -> Column:
     User names and non-ASCII hosts keep their spelling. References without a host
     (``mailto:x``, ``../a``) keep their path but for its escapes.
     """
-    text = ustrip(url)
-    scheme, authority, path, query = (F.regexp_extract(text, _PARTS, i) for i in (1, 2, 3, 4))
+    names = ["scheme", "authority", "path", "query"]
+    parts = _once(ustrip(url), lambda text: F.struct(*(F.regexp_extract(text, _PARTS, i + 1).alias(n) for i, n in enumerate(names))))
+    return _once(parts, lambda part: _recomposed(*(part[name] for name in names)))
+
+
+def _recomposed(scheme: Column, authority: Column, path: Column, query: Column) -> Column:
+    """The normal form of the parts of one URL, as they were spelled."""
     scheme = F.lower(scheme)
     user, host, port = (F.regexp_extract(authority, _AUTHORITY, i) for i in (1, 2, 3))
     ports = F.create_map(*[F.lit(x) for item in DEFAULT_PORTS.items() for x in item])
     has_host = authority != ""
-    path = F.when(path == "", "").otherwise(escaped(path, PATH_CHARS))
-    rooted = F.when(path == "", "/").otherwise(without_dot_segments(path))
+    spelled = F.when(path == "", "").otherwise(escaped(path, PATH_CHARS))
+    rooted = F.when(path == "", "/").otherwise(without_dot_segments(spelled))
     query = F.when(query == "", "").otherwise(sorted_query(query))
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
@@ -110,8 +134,8 @@ def canonical_url(url: Column | str) -> Column:
         F.when(authority.contains("@"), F.concat(user, F.lit("@"))).otherwise(""),
         F.lower(host),
         F.when((port == "") | port.eqNullSafe(ports[scheme]), "").otherwise(F.concat(F.lit(":"), port)),
-        F.when(has_host, rooted).otherwise(path),
-        F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
+        F.when(has_host, rooted).otherwise(spelled),
+        _once(query, lambda q: F.when(q == "", "").otherwise(F.concat(F.lit("?"), q))),
     )
 
 

@@ -3,6 +3,8 @@ import re
 from urllib.parse import parse_qsl, quote
 
 
+from pyspark.sql import functions as F
+
 from presslake.functions.urls import canonical_url, url_fingerprint
 
 CASES = [
@@ -95,3 +97,29 @@ def test_fingerprints(spark):
     rows = spark.createDataFrame([("http://a.com/?b&a=1#x",), ("HTTP://A.com:80/./?a=1&b=",), ("http://a.com/?a=1",), (None,)], "url string")
     found = [r[0] for r in rows.select(url_fingerprint("url")).collect()]
     assert found[0] == found[1] != found[2] and len(found[0]) == 32 and found[3] is None
+
+
+def test_random_escapes_like_a_walk_over_the_text(spark):
+    """Stray per cent signs, escapes beside each other and escapes in lower case, one character at a time."""
+    own = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~")
+
+    def walked(text):
+        out, at = "", 0
+        while at < len(text):
+            if re.match("%[0-9A-Fa-f]{2}", text[at:]):
+                char = chr(int(text[at + 1 : at + 3], 16))
+                out, at = out + (char if char in own else text[at : at + 3].upper()), at + 3
+            else:
+                out, at = out + quote(text[at], safe="!$&'()*+,;=:@~"), at + 1
+        return out
+
+    rng = random.Random(11)
+    texts = ["x" + "".join(rng.choice(["%", "%", "4", "1", "a", "F", "%7e", "%c3", "%25", "~", "é", "😀", " ", "*", "+", ","]) for _ in range(25)) + "x" for _ in range(400)]
+    assert canonical(spark, [f"http://h.com/{t}" for t in texts]) == [f"http://h.com/{walked(t)}" for t in texts]
+
+
+def test_a_url_is_encoded_once_a_part(spark):
+    """The path, and the name and value of a parameter; the path once more where there is no host."""
+    rows = spark.createDataFrame([("http://a.com/./x?b=1",)], "url string").select(canonical_url("url").alias("c"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("UrlCodec.encode(") <= 4
