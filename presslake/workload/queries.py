@@ -654,15 +654,29 @@ def ingest_enriched(spark, sf_dir):
     return read_archive(spark, target).select("article_id", "title", "date_parsed", "batch")
 
 
+# A waiting run is one file as long as it is small, and no task writes more than this of its documents.
+BACKLOG_FILES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "384m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
 @query
 def ingest_backlog(spark, sf_dir):
     """Two waiting runs with the same ids, worked off file by file: the run that landed first wins."""
     root = scratch_dir(spark, "ingest-backlog")
     raw, target, checkpoint = f"{root}/raw", f"{root}/articles", f"{root}/checkpoint"
-    lines = fx.article_lines(spark, sf_dir).select("value")
+    lines = fx.article_lines(spark, sf_dir, fx.filed).select("value")
     retitled = lines.withColumn("value", F.replace("value", F.lit('"title":"'), F.lit('"title":"later ')))
-    plans.land_run(lines.coalesce(1), raw, "urgent", "20240101T000000")
-    plans.land_run(retitled.coalesce(1), raw, "arab", "20240102T000000")
+    before = {name: spark.conf.get(name) for name in BACKLOG_FILES}
+    for name, value in BACKLOG_FILES.items():
+        spark.conf.set(name, value)
+    try:
+        plans.land_run(lines, raw, "urgent", "20240101T000000")
+        plans.land_run(retitled, raw, "arab", "20240102T000000")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
     ingest(spark, raw, target, checkpoint, max_files_per_batch=1)
     return read_archive(spark, target).select("article_id", "title")
 

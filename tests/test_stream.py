@@ -1,10 +1,14 @@
 import json
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from presslake.plans import articles as plans
 from presslake.plans.articles import enrich_in_place
 from presslake.streaming.ingest import ingest, read_archive
+from presslake.workload import fixtures as fx, queries
 
 
 def record(i, title):
@@ -86,3 +90,22 @@ def test_other_data_is_no_archive(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "out"))
     with pytest.raises(ValueError):
         read_archive(spark, str(tmp_path / "out"))
+
+
+def test_a_large_waiting_run_lands_in_several_files(spark, tmp_path, monkeypatch):
+    """No task writes a whole run; lines of one id stay in one file, and the first line still wins."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(500)]
+    rows = [(i, f"head {i}\n{t}", "en", f"src{i % 3}", len(t)) for i, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, fx.DOCUMENT_DDL).repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setitem(queries.BACKLOG_FILES, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "48k")
+    monkeypatch.setitem(queries.BACKLOG_FILES, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    landed, land_run = [], plans.land_run
+    monkeypatch.setattr(plans, "land_run", lambda *given: landed.append(land_run(*given)) or landed[-1])
+    found = {r.article_id: r.title for r in queries.ingest_backlog(spark, str(tmp_path)).collect()}
+    assert found == {str(i): None if i % 13 == 0 else f"head {i}" for i in range(1, 501) if i % 97 and i % 89}
+    for run in landed:
+        lines = spark.read.text(run).selectExpr("_metadata.file_path as file", "get_json_object(value, '$.article_id') as id")
+        files = [r.n for r in lines.where("id is not null").selectExpr("trim(id) as id", "file").groupBy("id").agg(F.countDistinct("file").alias("n")).collect()]
+        assert set(files) == {1} and lines.select("file").distinct().count() >= 4
+    assert not spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").startswith("48k")
