@@ -2,28 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import presslake
 from presslake.sinks.files import write_parquet
 
+# Python workers get the helper with the task; executors need no install.
+cloudpickle.register_pickle_by_value(presslake)
+
 GRAM = 3
+CHUNK = 1 << 21
+
+
+def grams_of(texts: list[bytes]) -> pa.Array:
+    """All overlapping runs of ``GRAM`` characters inside the texts (UTF-8), each once."""
+    decoded = [t.decode("utf-8", "replace") for t in texts]
+    points = np.frombuffer("".join(decoded).encode("utf-32-le"), "<u4")
+    starts = max(len(points) - GRAM + 1, 0)
+    inside = np.ones(len(points) + 1, bool)  # a run that starts here ends in the same text
+    ends = np.cumsum([len(t) for t in decoded], dtype=np.int64)
+    for i in range(1, GRAM):
+        inside[np.maximum(ends - i, 0)] = False
+    found = np.zeros(0, np.int64)
+    for begin in range(0, starts, CHUNK):
+        stop = min(begin + CHUNK, starts)
+        codes = np.zeros(stop - begin, np.int64)
+        for i in range(GRAM):  # 21 bits a character
+            codes |= points[begin + i : stop + i].astype(np.int64) << (21 * i)
+        found = np.union1d(found, codes[inside[begin:stop]])
+    parts = np.stack([(found >> (21 * i)) & 0x1FFFFF for i in range(GRAM)], axis=1)
+    joined = parts.astype("<u4").tobytes().decode("utf-32-le")
+    return pa.array([joined[i : i + GRAM] for i in range(0, len(joined), GRAM)], pa.string())
 
 
-def _grams(column: str):
-    """All overlapping runs of ``GRAM`` characters, each once; found in one pass over the text."""
-    return F.array_distinct(F.regexp_extract_all(column, F.lit(rf"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))
+def _grams_by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of the texts of each file, each once a batch."""
+    for batch in batches:
+        files = batch.column("file").dictionary_encode()
+        for number, file in enumerate(files.dictionary.to_pylist()):
+            texts = batch.column("text").filter(pc.equal(files.indices, number)).drop_null()
+            grams = grams_of(texts.cast(pa.large_binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.repeat(file, len(grams)), grams], names=["file", "gram"])
 
 
 def write_content_index(spark: SparkSession, articles: str, target: str, column: str = "content") -> None:
     """Postings ``gram, files`` of a stored dataset: which files hold a run of three characters.
 
-    Runs are combined in the tasks that read a file, so a posting moves once a task.
+    Runs are found by numpy for many texts at once and combined in the tasks that read
+    a file, so a posting moves once a task.
     Postings are sorted by run, and a look-up reads the row groups of its runs only.
     A file that is added later is indexed by calling this again with its folder and
     another ``target``; ``content_search`` takes several indexes.
     """
     rows = spark.read.parquet(articles).select(F.col("_metadata.file_path").alias("file"), F.col(column).alias("text"))
-    grams = rows.select("file", F.explode(_grams("text")).alias("gram")).distinct()
+    grams = rows.mapInArrow(_grams_by_file, "file string, gram string").distinct()
     postings = grams.groupBy("gram").agg(F.collect_set("file").alias("files"))
     write_parquet(postings.repartitionByRange("gram").sortWithinPartitions("gram"), target)
 

@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from presslake.operators import search
 from presslake.operators.search import candidate_files, content_search, write_content_index
 from presslake.plans.clustering import interleaved, write_clustered
 
@@ -88,3 +89,18 @@ def test_few_files_are_opened(spark, searched):
     opened = content_search(spark, path, index, "needle").inputFiles()
     assert [os.path.basename(f) for f in opened] == [os.path.basename(f) for f in candidate_files(index, "needle")]
     assert len(candidate_files(index, "alpha")) >= files - 2
+
+
+def test_the_index_holds_the_runs_of_each_file_and_no_others(spark, tmp_path, monkeypatch):
+    """Runs never cross texts or cut a character in two, wherever the texts are cut for work."""
+    monkeypatch.setattr(search, "CHUNK", 7)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab é😀日\n") for _ in range(rng.randint(0, 12))) for _ in range(60)] + [None, "", "ab", "😀😀", "abcabcabc"]
+    path, index = str(tmp_path / "articles"), str(tmp_path / "index")
+    spark.createDataFrame(list(enumerate(texts)), "id int, content string").repartitionByRange(4, "id").write.parquet(path)
+    write_content_index(spark, path, index)
+    expected = set()
+    for r in spark.read.parquet(path).selectExpr("_metadata.file_path as file", "content").where("content is not null").collect():
+        expected |= {(r.content[i : i + 3], r.file) for i in range(len(r.content) - 2)}
+    found = [(r.gram, file) for r in spark.read.parquet(index).collect() for file in r.files]
+    assert sorted(found) == sorted(expected)
