@@ -1,9 +1,9 @@
 """Byte-level BPE as a tree reduction.
 
 Encoding is a monoid: the encoding of a piece is the join of the encodings of its
-halves, down to single bytes. A join re-encodes a window of tokens around the seam
-and widens it until the first and the last token of the window come out as they
-were. The tokens outside are then final: a token sequence is the encoding of its
+halves, down to a few bytes that are merged directly. A join re-encodes a window of
+tokens around the seam and widens it until the first and the last token of the
+window come out as they were. The tokens outside are then final: a token sequence is the encoding of its
 bytes exactly if each pair of neighbours is the encoding of the pair's bytes, and
 every neighbouring pair now lies in the window or was a pair of one of the halves.
 """
@@ -13,8 +13,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,8 @@ from presslake.llm.common import text_slices, worker_cache
 
 CACHED_PIECES = 400_000
 SHORT_PIECE = 40
-DECODE_LEAF = 64
+LEAF = 24
+NO_RANK = 1 << 62
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,7 +49,9 @@ class TreeBPE:
         ascii_pattern = pattern.replace(r"\s\p{L}\p{N}", f"{blank}A-Za-z0-9").replace(r"\p{L}", "[A-Za-z]")
         ascii_pattern = ascii_pattern.replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]")
         self.split_ascii = re.compile(ascii_pattern.replace(r"\p{N}", "[0-9]")).findall
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        spelled = [self.tokens.get(rank) for rank in range(max(self.tokens) + 1)]
+        self.spelled = pa.array(spelled, pa.large_binary())
+        self.pieces: dict[str, bytes] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
         self.seams: dict[tuple[int, int], tuple[int, ...]] = {}
 
@@ -60,40 +63,69 @@ class TreeBPE:
 
     def encode(self, text: str) -> list[int]:
         """Ids of ``text``; each match of the pattern is encoded for itself."""
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+    def packed(self, text: str) -> bytes:
+        """Ids of ``text`` as 32-bit integers."""
         pieces = self.split_ascii(text) if text.isascii() else self.split(text)
         known = self.pieces
         try:
-            return list(chain.from_iterable(map(known.__getitem__, pieces)))
+            return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             pass
         if len(known) > CACHED_PIECES:
             known.clear()
-            self.parts.clear()
-        out: list[int] = []
-        for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece.encode("utf-8"))
-                if len(piece) <= SHORT_PIECE:
-                    known[piece] = ids
-            out.extend(ids)
-        return out
+        new = set(pieces).difference(known)
+        for piece in new:
+            known[piece] = array("i", self.encode_piece(piece.encode("utf-8"))).tobytes()
+        ids = b"".join(map(known.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > SHORT_PIECE:
+                del known[piece]
+        return ids
 
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        """Encode the halves and join them; halves break at the largest power of two."""
+        """Encode the halves and join them; halves break at the largest power of two, down to ``LEAF`` bytes."""
+        if len(piece) <= LEAF:
+            return self.merge_short(piece)
         rank = self.ranks.get(piece)
         if rank is not None:
             return (rank,)
-        if len(piece) <= SHORT_PIECE:
-            ids = self.parts.get(piece)
-            if ids is not None:
-                return ids
         half = 1 << ((len(piece) - 1).bit_length() - 1)
-        ids = self.join(self.encode_piece(piece[:half]), self.encode_piece(piece[half:]))
-        if len(piece) <= SHORT_PIECE // 2:
-            self.parts[piece] = ids
+        return self.join(self._part(piece[:half]), self._part(piece[half:]))
+
+    def _part(self, piece: bytes) -> tuple[int, ...]:
+        """``encode_piece``; a leaf of a long piece is remembered, since long pieces tend to repeat themselves."""
+        if len(piece) > LEAF:
+            return self.encode_piece(piece)
+        ids = self.parts.get(piece)
+        if ids is None:
+            if len(self.parts) > CACHED_PIECES // 4:
+                self.parts.clear()
+            ids = self.parts[piece] = self.merge_short(piece)
         return ids
 
+    def merge_short(self, data: bytes) -> tuple[int, ...]:
+        """What ``merge`` gives, for few bytes: the lowest rank is looked for in a list."""
+        ranks = self.ranks
+        rank = ranks.get(data)
+        if rank is not None:
+            return (rank,)
+        get = ranks.get
+        cuts = list(range(len(data) + 1))
+        pairs = [get(data[i : i + 2], NO_RANK) for i in range(len(data) - 1)]  # of the parts at cuts i and i + 1
+        while pairs:
+            best = min(pairs)
+            if best == NO_RANK:
+                break
+            i = pairs.index(best)
+            del cuts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(data[cuts[i] : cuts[i + 2]], NO_RANK)
+            if i:
+                pairs[i - 1] = get(data[cuts[i - 1] : cuts[i + 1]], NO_RANK)
+        return tuple([ranks[data[a:b]] for a, b in zip(cuts, cuts[1:])])
+
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of both byte strings together."""
         a, b = 1, 1
@@ -152,13 +184,16 @@ class TreeBPE:
             i = end[i]
         return tuple(out)
 
+    def spell(self, ids: pa.Array) -> pa.LargeBinaryArray:
+        """The bytes of each id, one behind the other in one buffer."""
+        found = self.spelled.take(ids)
+        if found.null_count:
+            raise KeyError("an id that no token has")
+        return found
+
     def decode(self, ids: list[int]) -> bytes:
-        """Concatenate the tokens up a tree over runs of ids."""
-        tokens = self.tokens
-        level = [b"".join([tokens[t] for t in ids[i : i + DECODE_LEAF]]) for i in range(0, len(ids), DECODE_LEAF)]
-        while len(level) > 1:
-            level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
-        return level[0] if level else b""
+        """The bytes of all ids together."""
+        return b"".join(self.spell(pa.array(ids, pa.int32())).to_pylist())
 
 
 def _codec(path: str, pattern: str) -> TreeBPE:
@@ -180,9 +215,9 @@ def bpe_encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, pattern)
         for batch in text_slices(batches, "text"):
-            ids = [np.array(codec.encode(t or ""), np.int32) for t in batch.column("text").to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = pa.array(np.concatenate(ids), pa.int32())
+            ids = [codec.packed(t or "") for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "ids"]
             )
@@ -202,10 +237,15 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 column = part.column("ids")
-                flat, ends = column.flatten().to_numpy().tolist(), np.cumsum([0, *_sizes(column)]).tolist()
-                data = [codec.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
+                found = codec.spell(column.flatten())
+                starts = np.append(0, np.cumsum(pc.binary_length(found).to_numpy(zero_copy_only=False), dtype=np.int64))
+                ends = starts[np.cumsum([0, *_sizes(column)])]
+                data = found.buffers()[2] or pa.py_buffer(b"")
+                decoded = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(column), [None, pa.py_buffer(ends.tobytes()), data]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, "decoded"]
+                    [*part.columns, decoded.cast(pa.binary())], names=[*part.schema.names, "decoded"]
                 )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

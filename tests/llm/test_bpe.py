@@ -57,3 +57,28 @@ def test_edge_rows(spark, both):
 
 def test_empty_table(spark):
     assert bpe_decode(bpe_encode(documents(spark, []), PATH, PATTERN), PATH, PATTERN).count() == 0
+
+
+def test_short_merges_equal_the_queue(both):
+    tree, known = both
+    rng = random.Random(6)
+    for _ in range(3000):
+        data = bytes(rng.choice(b"theandios \xc3\xa9=") for _ in range(rng.randint(1, 30)))
+        assert tree.merge_short(data) == tree.merge(data)
+    assert [tree.encode("=" * n) for n in (23, 24, 25, 49)] == [known.encode_ordinary("=" * n) for n in (23, 24, 25, 49)]
+    assert all(len(piece) <= 40 for piece in tree.pieces)  # long ones are not kept
+
+
+def test_tokens_are_gathered_for_many_rows_at_once(spark, both):
+    """Rows of one batch share a buffer; rows without ids take nothing from it."""
+    _, known = both
+    rows = [(1, "", "", "", 0), (2, None, "", "", 0), (3, "", "", "", 0)]
+    more = [(i, None if i % 5 == 0 else "日本 é" * (i % 4) + f" word{i}", "", "", 0) for i in range(700)]
+    for some in (rows, more):
+        out = bpe_decode(bpe_encode(documents(spark, some).coalesce(1), PATH, PATTERN), PATH, PATTERN).collect()
+        assert sorted((r.doc_id, list(r.ids), bytes(r.decoded)) for r in out) == [
+            (i, known.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in some
+        ]
+    tree, _ = both
+    with pytest.raises(LookupError):
+        tree.decode([len(tree.spelled)])
