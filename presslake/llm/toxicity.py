@@ -104,15 +104,15 @@ def word_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate([hashes & mask, (hashes[:1] >> np.uint64(32)) & mask]).astype(np.int32), offsets
 
 
-def _initial(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> TextCNN:
-    """Small random parameters; the first embedding dimension starts at shrunk log odds of the buckets."""
+def _initial(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rows: np.ndarray) -> TextCNN:
+    """Small random parameters; the first embedding dimension starts at shrunk log odds of the buckets in ``rows``."""
     rng = np.random.default_rng(7)
     table = rng.normal(0, 0.02, (SLOTS, BUCKETS, WIDTH)).astype(np.float32)
-    positive, negative = max(labels.sum(), 1), max((1 - labels).sum(), 1)
+    positive, negative = max(labels[rows].sum(), 1), max((1 - labels[rows]).sum(), 1)
     rare = 8 / min(positive, negative)
     for i in range(SLOTS):
         texts = np.zeros((2, BUCKETS))  # texts of each label that hold a bucket
-        for row in range(len(labels)):
+        for row in rows:
             texts[int(labels[row]), np.unique(buckets[i, offsets[row] : offsets[row + 1]])] += 1
         table[i, :, 0] = np.log((texts[1] / positive + rare) / (texts[0] / negative + rare)) * 2 / SLOTS
     kernel = {
@@ -132,12 +132,12 @@ def train_cnn(buckets: np.ndarray, offsets: np.ndarray, labels: np.ndarray, prio
     texts are a class-balanced sample.
     """
     if labels.min(initial=1) == labels.max(initial=0) or not len(labels):
-        constant = _initial(buckets, offsets, labels)
+        constant = _initial(buckets, offsets, labels, np.arange(len(labels)))
         constant.scale, constant.shift = 0.0, float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
         return constant
     order = np.random.default_rng(11).permutation(len(labels))
     check, learn = order[::5], np.setdiff1d(order, order[::5])
-    model = _initial(*_subset(buckets, offsets, learn), labels[learn])
+    model = _initial(buckets, offsets, labels, learn)  # reads them in place
     squares = {
         "table": np.full(model.table.shape, 0.1, np.float32),
         **{f"k{s}": np.full(model.kernel[s].shape, 0.1, np.float32) for s in SIZES},
@@ -230,14 +230,20 @@ def _calibrate(model: TextCNN, logits: np.ndarray, labels: np.ndarray, prior: fl
         model.scale, model.shift = float(solution[0]), float(solution[1])
 
 
-def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, "text"):
-        buckets, offsets = word_buckets(*flat_text(batch.column("text")))
-        places = pa.py_buffer(offsets.astype(np.int64) * 4 * SLOTS)
-        cells = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), batch.num_rows, [None, places, pa.py_buffer(np.ascontiguousarray(buckets.T))]
-        )
-        yield pa.RecordBatch.from_arrays([batch.column("label"), cells.cast(pa.binary())], names=["label", "buckets"])
+def _bucketed(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """``word_buckets`` of all texts, written slice by slice into one matrix.
+
+    A word takes two bytes with the gap behind it, which bounds the columns; those
+    that no word fills are never touched and take no memory.
+    """
+    most = sum((len(flat_text(c)[0]) + len(c)) // 2 + 1 for c in texts.chunks)
+    buckets, offsets, done = np.empty((SLOTS, most), np.int32), [np.zeros(1, np.int64)], 0
+    for part in text_slices((pa.RecordBatch.from_arrays([c], names=["text"]) for c in texts.chunks), "text"):
+        found, ends = word_buckets(*flat_text(part.column("text")))
+        buckets[:, done : done + found.shape[1]] = found
+        offsets.append(ends[1:] + done)
+        done += found.shape[1]
+    return buckets[:, :done], np.concatenate(offsets)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> TextCNN:
@@ -257,16 +263,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     picked = hashed.where(sample_condition(hashed, "label", per_class)).dropDuplicates(["label", "_h"])
     picked = F.broadcast(picked.select("doc_id", "label", "_h"))  # 2 * per_class rows at most
     sample = docs.join(picked, "doc_id").where(F.xxhash64("text") == F.col("_h"))
-    sample = sample.select("label", "text")
-    table = sample.mapInArrow(_bucketed, "label int, buckets binary").toArrow()
-    cells = [cell.as_buffer() for cell in table["buckets"]]  # not copied
-    labels = np.array(table["label"].to_pylist(), dtype=np.float64)
+    table = sample.select("label", "text").toArrow()  # texts take a fifth of their buckets on the way
+    labels = table["label"].to_numpy().astype(np.float64)
+    buckets, offsets = _bucketed(table["text"])
     del table
-    offsets = np.concatenate([[0], np.cumsum([c.size // (4 * SLOTS) for c in cells])]).astype(np.int64)
-    buckets = np.empty((SLOTS, int(offsets[-1])), np.int32)
-    for row, cell in enumerate(cells):
-        buckets[:, offsets[row] : offsets[row + 1]] = np.frombuffer(cell, np.int32).reshape(-1, SLOTS).T
-    del cells
     return train_cnn(buckets, offsets, labels, 0.5 if prior is None else float(prior))
 
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,30 @@ def test_word_buckets():
     assert [a == b for a, b in zip(one, prefixed)] == [False, False, False, False, True, True, False]
 
 
+def test_sample_of_many_chunks():
+    """The driver's matrix is filled slice by slice and is that of all texts at once."""
+    texts = [r[1] for r in corpus(3, 50)[0]] + [None, "", "x", "!!!", "Übel ÜBEL grob-mies", "a b c d e f g"]
+    chunks = pa.chunked_array([texts[:20], [], texts[20:51], texts[51:]], pa.string())
+    for table in (chunks, chunks.slice(7), chunks.slice(0, 0), pa.chunked_array([], pa.string())):
+        buckets, offsets = toxicity._bucketed(table)
+        whole, ends = word_buckets(*flat_text(pa.array(table.to_pylist(), pa.string())))
+        assert buckets.tolist() == whole.tolist() and offsets.tolist() == ends.tolist()
+
+
+def test_training_does_not_copy_its_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "BUCKETS", 1 << 8)
+    monkeypatch.setattr(toxicity, "PIECE", 1 << 10)
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    rng = np.random.default_rng(5)
+    buckets = rng.integers(0, 1 << 8, (toxicity.SLOTS, 400_000), np.int32)
+    offsets, labels = np.arange(0, 400_001, 100), np.arange(4000.0) % 2
+    tracemalloc.start()
+    toxicity.train_cnn(buckets, offsets, labels, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.8 * buckets.nbytes  # the texts that calibrate are a fifth
+
+
 def test_unseen_forms_of_known_words(spark):
     """Each toxic text holds other forms of a family; those of the tested texts were never trained on."""
     rng = random.Random(4)
