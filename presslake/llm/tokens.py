@@ -20,9 +20,11 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -32,6 +34,7 @@ SHARD_IDS = 1 << 20
 LEAST_COUNT = 2
 STRIDE = 1024
 CACHED_CHUNKS = 700_000
+SLICE_BYTES = 1 << 22
 
 SHARD_DDL = (
     "task int, number long, before long, n_ids long, docs array<{kind}>, sizes array<long>, "
@@ -121,8 +124,9 @@ class _Chain:
         self.symbols = np.append(ids + 1, 0).astype(np.int32)
         self.top = first  # the highest symbol
         self.alive = np.ones(count + 1, bool)
-        self.after = np.minimum(np.arange(1, count + 2), count).astype(np.int32)
-        self.before = np.arange(-1, count, dtype=np.int32) % (count + 1)
+        self.after = np.arange(1, count + 2, dtype=np.int32)
+        self.before = np.arange(-1, count, dtype=np.int32)
+        self.after[-1] = self.before[0] = count
         self.pair = np.zeros(count + 1, np.int32)  # number of the pair that begins at a place
         # Each replacement takes a symbol away and makes two pairs at most, hence the room.
         self.kinds = 1
@@ -215,83 +219,133 @@ class _Chain:
 
 
 class ChunkTokenizer:
-    """The tokenizers library behind a cache of blank-separated chunks.
+    """The tokenizers library behind a cache of words and their tails.
 
     The vocabulary drops white space and never merges across it, so the ids of a
-    text are those of its chunks; ASCII text is lower-cased first, as the tokenizer
-    does itself. It also parts letters from punctuation, so a word with a tail of
-    marks is encoded as the two. New words go to the library many at a time: a
-    word is one run of letters, and only its last id is one with the end mark.
+    text are those of its blank-separated chunks; ASCII text is lower-cased first,
+    as the tokenizer does itself. It also parts letters from punctuation, so a word
+    with a tail of marks is encoded as the two. Each distinct chunk of many texts is
+    looked up once, and the ids are gathered for all of them together. New words
+    go to the library many at a time: a word is one run of letters, and only its
+    last id is one with the end mark. Words of ASCII letters come normalised and
+    parted as the library would do it, so they go to its model alone.
     """
 
     TAIL = ".,;:!?%$#&*)(\"-"
-    JOINED = 256
+    JOINED = 1024
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.first_free = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.first_free, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.forget()
 
-    def _each(self, chunks: list[str]) -> None:
-        """Encode chunks one by one."""
+    def forget(self) -> None:
+        # Words, tails and, behind a blank, other whole chunks; a line break stands for the end of a text.
+        self.known: dict[str, int] = {"": 0, "\n": 1}
+        self.ids = np.zeros(1, np.uint32)
+        self.stops = np.array([0, 0, 1])  # entry n has ids[stops[n] : stops[n + 1]]
+
+    def _each(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Encode chunks one by one: chunks, their ids end to end, and the number of ids of each."""
         for begin in range(0, len(chunks), 20_000):
             part = chunks[begin : begin + 20_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            yield part, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
-    def _words(self, words: list[str]) -> None:
-        """Encode runs of letters, many in one string, and part the ids at the end marks."""
+    def _words(self, words: list[str], library) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """As ``_each`` for runs of letters, many in one string; the ids are parted at the end marks."""
         for begin in range(0, len(words), 100 * self.JOINED):
             groups = [
                 words[at : at + self.JOINED]
                 for at in range(begin, min(begin + 100 * self.JOINED, len(words)), self.JOINED)
             ]
-            joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+            joined = library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
             for group, found in zip(groups, joined):
-                ids = np.array(found.ids, "<u4")
-                stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-                if len(stops) != len(group):  # a letter that the library does not take for one
-                    self._each(group)
-                    continue
-                data = ids.tobytes()
-                for word, a, b in zip(group, [0, *stops], stops):
-                    self.known[word] = data[a:b]
+                ids = np.array(found.ids, np.uint32)
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                if len(stops) == len(group):
+                    yield group, ids, np.diff(stops, prepend=0)
+                else:  # a letter that the library does not take for one
+                    yield from self._each(group)
 
     def _learn(self, new: set[str]) -> None:
-        words, others, tailed = set(), [], []
-        for chunk in new:
-            word = chunk.rstrip(self.TAIL)
-            # Lower case may end in a mark that is no letter; the library joins it with what follows.
-            if word and not (word.isalpha() and word.lower().isalpha()):
-                others.append(chunk)
-            elif word == chunk:
-                words.add(word)
+        plain, words, others = [], [], []
+        for name in new:
+            if not name.isalpha():
+                others.append(name)
+            elif name.isascii():
+                plain.append(name)
             else:
-                tailed.append((chunk, word, chunk[len(word) :]))
-        known = self.known
-        words.update(word for _, word, _ in tailed if word and word not in known)
-        self._words(list(words))
-        self._each(others + list({tail for _, _, tail in tailed if tail not in known}))
-        for chunk, word, tail in tailed:
-            known[chunk] = known[word] + known[tail]
+                words.append(name)
+        # In texts that are not all ASCII, words keep their case.
+        lowered = [name.lower() for name in plain]
+        found = [*self._words(lowered, self.plain), *self._words(words, self.tokenizer), *self._each(others)]
+        names = chain(plain, words, others)  # the order in which they are encoded
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(new))))
+        self.ids = np.concatenate([self.ids, *(ids for _, ids, _ in found)])
+        sizes = np.concatenate([np.zeros(0, np.int64), *(sizes for _, _, sizes in found)])
+        self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(sizes)])
+
+    def _parted(self, chunks: pa.Array) -> tuple[list[str], np.ndarray, list[str], set[str]]:
+        """The name of each chunk's word, which chunks have a tail, their tails, and all names that are new.
+
+        A chunk that is no word with a tail is named whole, with a blank in front.
+        """
+        stems = pc.utf8_rtrim(chunks, self.TAIL)
+        words = stems.to_numpy(zero_copy_only=False).tolist()
+        size = pc.subtract(pc.binary_length(chunks), pc.binary_length(stems)).to_numpy()
+        at = np.flatnonzero(size)
+        names = chunks.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
+        tails = [name[-n:] for name, n in zip(names, size[at].tolist())]  # marks are single bytes
+        new = set(words).difference(self.known)
+        # Lower case may end in a mark that is no letter; the library joins it with what follows.
+        odd = {word for word in new if not (word.isalpha() and (word.isascii() or word.lower().isalpha()))}
+        if odd:
+            new -= odd
+            for i, (name, word) in enumerate(zip(names, map(words.__getitem__, at.tolist()))):
+                if word in odd:
+                    words[at[i]], tails[i] = f" {name}", ""
+            words = [f" {word}" if word in odd else word for word in words]
+            new.update({word for word in words if word[:1] == " "}.difference(self.known))
+        new.update(set(tails).difference(self.known))
+        return words, at, tails, new
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """For each text its ids and ``end``, as little-endian unsigned 32-bit integers."""
         # Special tokens are told by their exact spelling, so texts that may hold one keep theirs.
-        split = [(t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.known)
+        lines = [(t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ") + " \n" for t in texts]
+        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words, tailed, tails, new = self._parted(coded.dictionary)
         if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known = {"": b""}
-            new = set().union(*split).difference(self.known)
-        self._learn(new)
-        last, known = np.array([end], "<u4").tobytes(), self.known
-        return [b"".join([*map(known.__getitem__, chunks), last]) for chunks in split]
+            self.forget()
+            words, tailed, tails, new = self._parted(coded.dictionary)
+        if new:
+            self._learn(new)
+        self.ids[0] = end
+        pieces = np.zeros((len(words), 2), np.int32)
+        pieces[:, 0] = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+        pieces[tailed, 1] = np.fromiter(map(self.known.__getitem__, tails), np.int32, len(tails))
+        begin = self.stops[pieces]
+        sizes = self.stops[pieces + 1] - begin
+        stops = np.cumsum(sizes)
+        place = np.arange(int(sizes.sum())) + np.repeat(begin.ravel() - (stops - sizes.ravel()), sizes.ravel())
+        ids = pa.py_buffer(self.ids[place].astype("<u4"))
+        stops = pa.py_buffer(np.concatenate([[0], 4 * stops[1::2]]).astype(np.int64))
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, stops, ids])
+        found = chunks.take(coded.indices)  # their bytes stand end to end
+        stops = np.frombuffer(found.buffers()[1], np.int64)[split.offsets.to_numpy()].tolist()
+        data = found.buffers()[2].to_pybytes() if len(found) else b""
+        return [data[a:b] for a, b in zip(stops, stops[1:])]
 
 
 def write_shards(
@@ -313,7 +367,7 @@ def write_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_cache(f"chunks-{tokenizer}", lambda: ChunkTokenizer(tokenizer))
         task, number, before, held, names, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE_BYTES):
             id_kind = batch.column("doc_id").type
             for name, data in zip(batch.column("doc_id").to_pylist(), codec.encode(batch.column("text").to_pylist(), end)):
                 held.append(data)

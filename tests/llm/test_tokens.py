@@ -101,3 +101,24 @@ def test_words_whose_lower_case_is_longer_and_special_tokens():
     tokenizer, codec = Tokenizer.from_file(PATH), tokens.ChunkTokenizer(PATH)
     for text, data in zip(texts, codec.encode(texts, 1)):
         assert np.frombuffer(data, "<u4")[:-1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_are_kept_once_whatever_follows_them():
+    codec = tokens.ChunkTokenizer(PATH)
+    words = [chr(97 + i) * 3 for i in range(26)]
+    codec.encode([" ".join(f"{w}{mark}" for w in words for mark in codec.TAIL)], 1)
+    assert len(codec.known) <= len(words) + len(codec.TAIL) + 2
+
+
+def test_random_chunks_and_forgetting(monkeypatch):
+    """Marks, digits and odd letters anywhere, in texts that share chunks, with tables that are often emptied."""
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 60)
+    tokenizer, codec, rng = Tokenizer.from_file(PATH), tokens.ChunkTokenizer(PATH), random.Random(8)
+    marks = [*"abzABZ'.,;:!?%$#&*)(\"-019\n\t _", "n't", "'s", "\u0301", "\u0130", "\u00e9", "\u0436", "\u2019", "\u00a0", "\u65e5", "<|endoftext|>"]
+    texts = ["", " ", "\n", "\n\n ", "a", "a.", ".a", "'.", "a'."] + ["".join(rng.choices(marks[: rng.choice([31, 60])], k=rng.randint(1, 25))) for _ in range(600)]
+    rng.shuffle(texts)
+    for at in range(0, len(texts), 20):
+        part = texts[at : at + 20]
+        for text, data in zip(part, codec.encode(part, 5)):
+            assert np.frombuffer(data, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 5], text
+    assert codec.encode([], 5) == []
