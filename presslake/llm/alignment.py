@@ -164,6 +164,11 @@ def _size(runs) -> int:
     return sum(map(len, runs)) + RUN_BYTES * len(runs)
 
 
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of all spans, one after the other."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
 def text_runs(text: str) -> list[str]:
     """Runs of ``" " + text``, each without the blank it begins with."""
     if _LONG_BLANK.search(text) or text[0] == " ":
@@ -185,6 +190,22 @@ class Aligner:
         self.flat = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
         self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.sound = np.zeros(0, bool)
+        self.hits = np.zeros(0, np.int32)  # batches that held a run; halved whenever room is made
+
+    def _make_room(self) -> None:
+        """Keep the runs of several batches, as far as they take half the room; most runs are never seen again."""
+        names = list(self.known)
+        order = np.argsort(-self.hits, kind="stable")
+        order = order[: int((self.hits > 1).sum())]
+        sizes = np.fromiter(map(len, names), np.int64, len(names))[order] + RUN_BYTES
+        stay = np.sort(order[: int(np.searchsorted(np.cumsum(sizes), KEPT_BYTES // 2, side="right"))])
+        for side in (0, 1):
+            begin, size = self.ends[side][stay], np.diff(self.ends[side])[stay]
+            self.flat[side] = self.flat[side][_spans(begin, size)]
+            self.ends[side] = np.concatenate([[0], np.cumsum(size)])
+        self.sound, self.hits = self.sound[stay], self.hits[stay] // 2
+        names = [names[i] for i in stay.tolist()]
+        self.known, self.held = dict(zip(names, range(len(names)))), _size(names)
 
     def _learn(self, runs: list[str]) -> None:
         """Encode new runs, many in one text; those that may not be followed by another one alone."""
@@ -210,6 +231,7 @@ class Aligner:
         self.held += _size(runs)
         self.known.update(zip(runs, range(len(self.known), len(self.known) + len(runs))))
         self.sound = np.concatenate([self.sound, np.array(sound, bool)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(runs), np.int32)])
         for side in (0, 1):
             self.flat[side] = np.concatenate([self.flat[side], *flats[side]])
             new = np.cumsum(np.concatenate(counts[side])) + self.ends[side][-1]
@@ -236,11 +258,15 @@ class Aligner:
         every = list(chain.from_iterable(runs))
         new = set(every).difference(self.known)
         if self.held + _size(new) > KEPT_BYTES:
-            self.forget()
-            new = set(every)
+            self._make_room()
+            new = set(every).difference(self.known)
+            if self.held + _size(new) > KEPT_BYTES:
+                self.forget()
+                new = set(every)
         if new:
             self._learn(list(new))
         at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+        self.hits[np.unique(at)] += 1
         owner = np.repeat(np.arange(len(texts)), [len(own) for own in runs])
         unsound = np.unique(owner[~self.sound[at]])
         keep = ~np.isin(owner, unsound)
@@ -248,8 +274,7 @@ class Aligner:
         ids, counts = [], []
         for side in (0, 1):
             begin, size = self.ends[side][at], np.diff(self.ends[side])[at]
-            place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
-            ids.append(self.flat[side][place])
+            ids.append(self.flat[side][_spans(begin, size)])
             counts.append(np.bincount(owner, size, len(texts)).astype(np.int64))
         for row in unsound.tolist():  # settled on the whole text, as the definition has it
             text = " " + texts[row]

@@ -160,3 +160,20 @@ def test_query_on_the_given_table(spark):
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert found.columns == columns
     assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_runs_of_several_batches_outlast_the_others(monkeypatch):
+    """When the kept runs are full, those seen again stay known, with the same ids; the others go."""
+    monkeypatch.setattr(alignment, "KEPT_BYTES", 40 * (alignment.RUN_BYTES + 6))
+    small = alignment.Aligner(*PATHS)
+    often, learnt = "often seen words stay", []
+    monkeypatch.setattr(small, "_learn", lambda runs, learn=small._learn: (learnt.extend(runs), learn(runs)))
+    for i in range(30):
+        texts = [often, " ".join(f"rare{i}x{j}" for j in range(12)), None, "", "  odd  é ", often]
+        ids, counts = small.encode(texts)
+        whole = alignment.Aligner(*PATHS).encode(texts) if i % 5 == 4 else (ids, counts)
+        for found, wanted in zip([*ids, *counts], [*whole[0], *whole[1]]):
+            assert found.tolist() == wanted.tolist()
+        assert small.held <= alignment.KEPT_BYTES
+    assert all(learnt.count(word) == 1 for word in often.split(" "))
+    assert learnt.count("rare3x3") == 1 and "rare3x3" not in small.known
