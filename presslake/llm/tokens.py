@@ -33,8 +33,8 @@ from presslake.llm.common import text_slices, worker_cache
 SHARD_IDS = 1 << 20
 LEAST_COUNT = 2
 STRIDE = 1024
-CACHED_CHUNKS = 700_000
-SLICE_BYTES = 1 << 22
+CACHED_CHUNKS = 400_000
+SLICE_BYTES = 1 << 23
 
 SHARD_DDL = (
     "task int, number long, before long, n_ids long, docs array<{kind}>, sizes array<long>, "
@@ -54,22 +54,23 @@ class Grammar:
 
     def size_of(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
-        rule = symbols >= self.first
-        out[rule] = self.lengths[symbols[rule] - self.first]
+        rule = np.flatnonzero(symbols >= self.first)
+        out[rule] = self.lengths.take(symbols.take(rule) - self.first)
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """All ids under ``symbols``; each level of rules is written where it belongs."""
-        ends = np.cumsum(self.size_of(symbols))
+        """All ids under ``symbols``; a rule is written where it begins, and its two parts over it."""
+        sizes = self.size_of(symbols)
+        ends = np.cumsum(sizes)
         out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
-        at = ends - self.size_of(symbols)
+        first, second = np.ascontiguousarray(self.rules.T)
+        middle, at = self.size_of(first), ends - sizes
         while len(symbols):
-            rule = symbols >= self.first
-            out[at[~rule]] = symbols[~rule]
-            left, right = self.rules[symbols[rule] - self.first].T
-            at = at[rule]
-            at = np.concatenate([at, at + self.size_of(left)])
-            symbols = np.concatenate([left, right])
+            out[at] = symbols
+            rule = np.flatnonzero(symbols >= self.first)
+            at, which = at.take(rule), (symbols.take(rule) - self.first).astype(np.intp)
+            symbols = np.concatenate([first.take(which), second.take(which)])
+            at = np.concatenate([at, at + middle.take(which)])
         return out
 
     def read(self, start: int, count: int) -> np.ndarray:
@@ -95,15 +96,16 @@ def repair(ids: np.ndarray, first: int) -> Grammar:
         if not len(places):
             break
         kinds = int(which.max()) + 1
-        picked = np.empty((kinds, 2), np.int32)
-        picked[which, 0], picked[which, 1] = chain.symbols[places] - 1, chain.symbols[chain.after[places]] - 1
+        place = np.empty(kinds, np.intp)
+        place[which] = places  # any one of each pair
+        picked = np.stack([chain.symbols.take(place), chain.symbols.take(chain.after.take(place))], axis=1) - 1
         rules.append(picked)
         chain.replace(places, which, kinds)
         parts = grammar.size_of(picked.ravel()).reshape(-1, 2)
         grammar.lengths = lengths = np.concatenate([lengths, parts.sum(axis=1)])
     if rules:
         grammar.rules = np.concatenate(rules)
-    grammar.symbols = chain.symbols[:-1][chain.alive[:-1]] - 1
+    grammar.symbols = chain.symbols.take(np.flatnonzero(chain.alive[:-1])) - 1
     sizes = grammar.size_of(grammar.symbols)
     grammar.places = (np.cumsum(sizes) - sizes)[::STRIDE]
     return grammar
@@ -133,25 +135,28 @@ class _Chain:
         self.counts = np.zeros(3 * count // 2 + 2, np.int32)
         self.starts = np.zeros(3 * count // 2 + 3, np.int32)  # a pair arose at placed[starts[i] : starts[i + 1]]
         self.placed = np.empty(3 * count, np.int32)
-        self._count(np.arange(count, dtype=np.int32))
+        self._count(np.arange(count), self.symbols[:-1], self.symbols[1:])
 
-    def _count(self, places: np.ndarray) -> None:
-        """Number the pairs at ``places``, all of them new, that occur twice."""
-        self.pair[places] = 0
+    def _count(self, places: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """Number the pairs ``left, right`` at ``places``, all of them new, that occur twice; no place has a number."""
         wide, deep = self.top.bit_length(), len(self.pair).bit_length()
-        code = (self.symbols[places].astype(np.int64) << wide) | self.symbols[self.after[places]]
+        code = left.astype(np.int64)
+        code <<= wide
+        code |= right
         if 2 * wide + deep < 64:  # sorted together, which is faster than by an order
-            code = np.sort((code << deep) | places)
-            places = (code & ((1 << deep) - 1)).astype(np.int32)
+            code <<= deep
+            code |= places
+            code.sort()
+            places = code & ((1 << deep) - 1)
             code >>= deep
         else:
             order = np.argsort(code)
             code, places = code[order], places[order]
         same = np.zeros(len(code) + 1, bool)
-        same[1:-1] = code[1:] == code[:-1]
-        places = places[same[1:] | same[:-1]]
-        begin = np.flatnonzero(same[1:] & ~same[:-1])
-        sizes = np.flatnonzero(same[:-1] & ~same[1:]) + 1 - begin
+        np.equal(code[1:], code[:-1], out=same[1:-1])
+        places = places.take(np.flatnonzero(same[1:] | same[:-1]))
+        begin = np.flatnonzero(same[1:] > same[:-1])
+        sizes = np.flatnonzero(same[1:] < same[:-1]) + 1 - begin
         old, new = self.kinds, self.kinds + len(sizes)
         self.pair[places] = np.repeat(np.arange(old, new, dtype=np.int32), sizes)
         self.counts[old:new] = sizes
@@ -170,52 +175,70 @@ class _Chain:
             least = max(int(counts.max()) // 2, LEAST_COUNT)
             kinds = np.flatnonzero(counts >= least)
             if not len(kinds):
-                return np.zeros(0, np.int32), np.zeros(0, np.int64)
+                return np.zeros(0, np.intp), np.zeros(0, np.intp)
             places = self._places(kinds)
-            rank = np.empty(self.kinds, np.int32)
+            rank = np.empty(self.kinds, np.intp)
             rank[kinds] = np.arange(len(kinds))
             for alone in (False, True):
                 if alone:
                     mixed = self.symbols[places] != self.symbols[self.after[places]]
                     places = places[self.pair[places] == self.pair[places[int(mixed.argmax())]]]
-                tried = places[self._apart(places)]
-                which = rank[self.pair[tried]]
+                tried = self._apart(places)
+                which = rank.take(self.pair.take(tried))
                 enough = np.bincount(which, minlength=len(kinds)) >= max(least // 2, LEAST_COUNT)
+                if enough.all():
+                    return tried, which
                 if enough.any():
-                    stay = enough[which]
-                    return tried[stay], (np.cumsum(enough) - 1)[which[stay]]
+                    stay = np.flatnonzero(enough.take(which))
+                    return tried.take(stay), (np.cumsum(enough) - 1).take(which.take(stay))
             counts[kinds] = 0  # each is one run of three equal symbols, which holds the pair once
 
     def _places(self, kinds: np.ndarray) -> np.ndarray:
         """Where the pairs ``kinds`` still stand, in ascending order."""
-        sizes = self.starts[kinds + 1] - self.starts[kinds]
-        shift = self.starts[kinds] - (np.cumsum(sizes) - sizes)
-        places = self.placed[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
-        return np.sort(places[self.pair[places] == np.repeat(kinds, sizes)])
+        begin = self.starts.take(kinds).astype(np.intp)
+        sizes = self.starts.take(kinds + 1) - begin
+        ends = np.cumsum(sizes)
+        at = np.repeat(begin - (ends - sizes), sizes)
+        at += np.arange(len(at))
+        places = self.placed.take(at)
+        places = places.take(np.flatnonzero(self.pair.take(places) == np.repeat(kinds.astype(np.int32), sizes)))
+        places.sort()
+        return places.astype(np.intp)
 
     def _apart(self, places: np.ndarray) -> np.ndarray:
         """Of places that follow one another, every other one from the left."""
-        breaks = np.ones(len(places), bool)
-        breaks[1:] = self.after[places[:-1]] != places[1:]
-        begin = np.maximum.accumulate(np.where(breaks, np.arange(len(places)), 0))
-        return (np.arange(len(places)) - begin) % 2 == 0
+        tied = np.flatnonzero(self.after.take(places[:-1]) == places[1:]) + 1
+        if not len(tied):
+            return places
+        # A run of ties: the first, third and so on of them go.
+        fresh = np.ones(len(tied), bool)
+        fresh[1:] = np.diff(tied) > 1
+        order = np.arange(len(tied))
+        odd = (order - np.maximum.accumulate(np.where(fresh, order, 0))) % 2 == 0
+        stay = np.ones(len(places), bool)
+        stay[tied[odd]] = False
+        return places.take(np.flatnonzero(stay))
 
     def replace(self, places: np.ndarray, which: np.ndarray, kinds: int) -> None:
         """Write the next ``kinds`` symbols for the pairs at ``places``, which do not overlap."""
-        gone, left = self.after[places], self.before[places]
-        lost = [self.pair[places], self.pair[gone]]
-        self.pair[gone], self.alive[gone] = 0, False
-        lost = np.concatenate([*lost, self.pair[left]])
-        if len(lost) < self.kinds // 16:
-            np.subtract.at(self.counts, lost, np.int32(1))
-        else:
-            self.counts[: self.kinds] -= np.bincount(lost, minlength=self.kinds)
+        gone, left = self.after.take(places).astype(np.intp), self.before.take(places).astype(np.intp)
+        for at in (places, gone, left):
+            np.subtract.at(self.counts, self.pair.take(at).astype(np.intp), np.int32(1))
+            self.pair[at] = 0
         self.counts[0] = 0
-        self.symbols[places] = self.top + 1 + which
+        self.alive[gone] = False
+        new = (self.top + 1 + which).astype(np.int32)
+        self.symbols[places] = new
         self.top += kinds
-        behind = self.after[gone]
+        behind = self.after.take(gone).astype(np.intp)
         self.after[places], self.before[behind] = behind, places
-        self._count(np.concatenate([places, left[self.alive[left]]]))
+        stay = np.flatnonzero(self.alive.take(left))
+        left = left.take(stay)
+        self._count(
+            np.concatenate([places, left]),
+            np.concatenate([new, self.symbols.take(left)]),
+            np.concatenate([self.symbols.take(behind), new.take(stay)]),
+        )
 
 
 class ChunkTokenizer:
@@ -224,11 +247,12 @@ class ChunkTokenizer:
     The vocabulary drops white space and never merges across it, so the ids of a
     text are those of its blank-separated chunks; ASCII text is lower-cased first,
     as the tokenizer does itself. It also parts letters from punctuation, so a word
-    with a tail of marks is encoded as the two. Each distinct chunk of many texts is
-    looked up once, and the ids are gathered for all of them together. New words
-    go to the library many at a time: a word is one run of letters, and only its
-    last id is one with the end mark. Words of ASCII letters come normalised and
-    parted as the library would do it, so they go to its model alone.
+    with a tail of marks is encoded as the two. Each distinct word of many texts is
+    looked up once, in one join with those known, and the ids are gathered for all
+    of them together. New words go to the library many at a time: a word is one run
+    of letters, and only its last id is one with the end mark. Words of Latin-1
+    letters come normalised and parted as the library would do it, so they go to
+    its model without those steps.
     """
 
     TAIL = ".,;:!?%$#&*)(\"-"
@@ -239,8 +263,10 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.plain, self.latin = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        blanks, spelled = pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = blanks  # the bytes of ASCII are spelled as they are
+        self.latin.pre_tokenizer = pre_tokenizers.Sequence([blanks, spelled])
         vocabulary = self.tokenizer.get_vocab()
         self.first_free = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.first_free, bool)
@@ -249,19 +275,34 @@ class ChunkTokenizer:
 
     def forget(self) -> None:
         # Words, tails and, behind a blank, other whole chunks; a line break stands for the end of a text.
-        self.known: dict[str, int] = {"": 0, "\n": 1}
+        self.known = pa.array(["", "\n"], pa.large_string())
+        self.others: dict[str, int] = {}  # the place in known of what is no word
         self.ids = np.zeros(1, np.uint32)
-        self.stops = np.array([0, 0, 1])  # entry n has ids[stops[n] : stops[n + 1]]
-
-    def _each(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
-        """Encode chunks one by one: chunks, their ids end to end, and the number of ids of each."""
+        self.stops = np.array([0, 0, 1])  # known[n] has ids[stops[n] : stops[n + 1]]
+        self.again = np.ones(2, bool)  # known[n] was met again after it was learnt
+
+    def trim(self) -> None:
+        """Make room: only what was met again stays, and nothing where that is over half of the room."""
+        keep = self.again.copy()
+        if np.count_nonzero(keep) > CACHED_CHUNKS // 2:
+            return self.forget()
+        sizes = np.diff(self.stops)
+        self.known = self.known.filter(pa.array(keep))
+        self.ids = self.ids[np.repeat(keep, sizes)]
+        self.stops = np.concatenate([[0], np.cumsum(sizes[keep])])
+        place = np.cumsum(keep) - 1
+        self.others = {name: int(place[n]) for name, n in self.others.items() if keep[n]}
+        self.again = np.arange(len(self.known)) < 2
+
+    def _each(self, chunks: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Encode chunks one by one: their ids end to end, and the number of ids of each."""
         for begin in range(0, len(chunks), 20_000):
             part = chunks[begin : begin + 20_000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            yield part, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+            yield np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
-    def _words(self, words: list[str], library) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    def _words(self, words: list[str], library) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """As ``_each`` for runs of letters, many in one string; the ids are parted at the end marks."""
         for begin in range(0, len(words), 100 * self.JOINED):
             groups = [
@@ -273,51 +314,63 @@ class ChunkTokenizer:
                 ids = np.array(found.ids, np.uint32)
                 stops = np.flatnonzero(self.ends[ids]) + 1
                 if len(stops) == len(group):
-                    yield group, ids, np.diff(stops, prepend=0)
+                    yield ids, np.diff(stops, prepend=0)
                 else:  # a letter that the library does not take for one
                     yield from self._each(group)
 
-    def _learn(self, new: set[str]) -> None:
-        plain, words, others = [], [], []
-        for name in new:
-            if not name.isalpha():
-                others.append(name)
-            elif name.isascii():
-                plain.append(name)
-            else:
-                words.append(name)
+    def _learn(self, words: list[str], others: list[str]) -> None:
+        """Encode words and others that are not known, and keep them."""
+        plain, latin, rest = [], [], []
+        for word in words:
+            (plain if word.isascii() else latin if max(word) < "\u0100" else rest).append(word)
         # In texts that are not all ASCII, words keep their case.
-        lowered = [name.lower() for name in plain]
-        found = [*self._words(lowered, self.plain), *self._words(words, self.tokenizer), *self._each(others)]
-        names = chain(plain, words, others)  # the order in which they are encoded
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(new))))
-        self.ids = np.concatenate([self.ids, *(ids for _, ids, _ in found)])
-        sizes = np.concatenate([np.zeros(0, np.int64), *(sizes for _, _, sizes in found)])
+        found = [
+            *self._words([word.lower() for word in plain], self.plain),
+            *self._words([word.lower() for word in latin], self.latin),
+            *self._words(rest, self.tokenizer),
+            *self._each(others),
+        ]
+        words = [*plain, *latin, *rest]
+        self.others.update(zip(others, range(len(self.known) + len(words), len(self.known) + len(words) + len(others))))
+        self.known = pa.concat_arrays([self.known, pa.array([*words, *others], pa.large_string())])
+        self.ids = np.concatenate([self.ids, *(ids for ids, _ in found)])
+        sizes = np.concatenate([np.zeros(0, np.int64), *(sizes for _, sizes in found)])
         self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(sizes)])
+        self.again = np.concatenate([self.again, np.zeros(len(sizes), bool)])
 
-    def _parted(self, chunks: pa.Array) -> tuple[list[str], np.ndarray, list[str], set[str]]:
-        """The name of each chunk's word, which chunks have a tail, their tails, and all names that are new.
-
-        A chunk that is no word with a tail is named whole, with a blank in front.
-        """
+    def _pieces(self, chunks: pa.Array) -> np.ndarray:
+        """The places in ``known`` of each chunk's word and tail; of a chunk that is no word with a tail, of all of it."""
         stems = pc.utf8_rtrim(chunks, self.TAIL)
-        words = stems.to_numpy(zero_copy_only=False).tolist()
-        size = pc.subtract(pc.binary_length(chunks), pc.binary_length(stems)).to_numpy()
-        at = np.flatnonzero(size)
-        names = chunks.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
-        tails = [name[-n:] for name, n in zip(names, size[at].tolist())]  # marks are single bytes
-        new = set(words).difference(self.known)
+        coded = stems.dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy()
+        places = pc.index_in(words, value_set=self.known)
+        new = words.filter(places.is_null()).to_numpy(zero_copy_only=False).tolist()
         # Lower case may end in a mark that is no letter; the library joins it with what follows.
         odd = {word for word in new if not (word.isalpha() and (word.isascii() or word.lower().isalpha()))}
+        whole = np.zeros(len(chunks), bool)
         if odd:
-            new -= odd
-            for i, (name, word) in enumerate(zip(names, map(words.__getitem__, at.tolist()))):
-                if word in odd:
-                    words[at[i]], tails[i] = f" {name}", ""
-            words = [f" {word}" if word in odd else word for word in words]
-            new.update({word for word in words if word[:1] == " "}.difference(self.known))
-        new.update(set(tails).difference(self.known))
-        return words, at, tails, new
+            whole = pc.is_in(words, value_set=pa.array(odd, pa.large_string())).to_numpy(zero_copy_only=False)[which]
+        named = [f" {name}" for name in chunks.filter(pa.array(whole)).to_pylist()]
+        size = pc.subtract(pc.binary_length(chunks), pc.binary_length(stems)).to_numpy()
+        tailed = np.flatnonzero((size > 0) & ~whole)
+        ends = chunks.take(pa.array(tailed)).to_numpy(zero_copy_only=False).tolist()
+        tails = [name[-n:] for name, n in zip(ends, size[tailed].tolist())]  # marks are single bytes
+        others = {*named, *tails}.difference(self.others)
+        if len(self.known) + len(new) + len(others) > CACHED_CHUNKS and len(self.known) > 2:
+            self.trim()
+            return self._pieces(chunks)
+        self.again[places.drop_null().to_numpy()] = True
+        self.again[[self.others[name] for name in {*named, *tails}.difference(others)]] = True
+        if new or others:
+            begin = len(self.known)
+            self._learn([word for word in new if word not in odd], [*others])
+            latest = pc.index_in(words, value_set=self.known.slice(begin))
+            places = pc.coalesce(places, pc.add(latest, begin))
+        pieces = np.zeros((len(chunks), 2), np.intp)
+        pieces[:, 0] = places.fill_null(0).to_numpy()[which]
+        pieces[whole, 0] = [self.others[name] for name in named]
+        pieces[tailed, 1] = [self.others[tail] for tail in tails]
+        return pieces
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """For each text its ids and ``end``, as little-endian unsigned 32-bit integers."""
@@ -325,27 +378,20 @@ class ChunkTokenizer:
         lines = [(t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ") + " \n" for t in texts]
         split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
-        words, tailed, tails, new = self._parted(coded.dictionary)
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.forget()
-            words, tailed, tails, new = self._parted(coded.dictionary)
-        if new:
-            self._learn(new)
+        pieces = self._pieces(coded.dictionary)
         self.ids[0] = end
-        pieces = np.zeros((len(words), 2), np.int32)
-        pieces[:, 0] = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
-        pieces[tailed, 1] = np.fromiter(map(self.known.__getitem__, tails), np.int32, len(tails))
-        begin = self.stops[pieces]
-        sizes = self.stops[pieces + 1] - begin
+        begin = self.stops.take(pieces)
+        sizes = self.stops.take(pieces + 1) - begin
         stops = np.cumsum(sizes)
-        place = np.arange(int(sizes.sum())) + np.repeat(begin.ravel() - (stops - sizes.ravel()), sizes.ravel())
-        ids = pa.py_buffer(self.ids[place].astype("<u4"))
+        place = np.repeat(begin.ravel() - (stops - sizes.ravel()), sizes.ravel())
+        place += np.arange(len(place))
+        ids = pa.py_buffer(self.ids.take(place).astype("<u4", copy=False))
         stops = pa.py_buffer(np.concatenate([[0], 4 * stops[1::2]]).astype(np.int64))
-        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, stops, ids])
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pieces), [None, stops, ids])
         found = chunks.take(coded.indices)  # their bytes stand end to end
         stops = np.frombuffer(found.buffers()[1], np.int64)[split.offsets.to_numpy()].tolist()
-        data = found.buffers()[2].to_pybytes() if len(found) else b""
-        return [data[a:b] for a, b in zip(stops, stops[1:])]
+        data = memoryview(found.buffers()[2]) if len(found) else b""
+        return [bytes(data[a:b]) for a, b in zip(stops, stops[1:])]
 
 
 def write_shards(

@@ -122,3 +122,31 @@ def test_random_chunks_and_forgetting(monkeypatch):
         for text, data in zip(part, codec.encode(part, 5)):
             assert np.frombuffer(data, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 5], text
     assert codec.encode([], 5) == []
+
+
+def test_words_met_again_stay_when_the_table_is_full(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 60)
+    tokenizer, codec, asked = Tokenizer.from_file(PATH), tokens.ChunkTokenizer(PATH), []
+    words = codec._words
+
+    def counted(part, library):
+        asked.extend(part)
+        return words(part, library)
+
+    monkeypatch.setattr(codec, "_words", counted)
+    for n in range(40):
+        fresh = " ".join(f"w{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + i)}" for i in range(15))
+        text = f"Common words, {fresh} known words. 5% c'est"
+        assert np.frombuffer(codec.encode([text], 1)[0], "<u4")[:-1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(codec.known) <= 60
+    assert asked.count("words") == 1 and asked.count("waaa") == 1
+
+
+def test_words_of_latin_letters_need_no_normaliser():
+    letters = [chr(c) for c in range(0xAA, 0x100) if chr(c).isalpha()]
+    texts = [f"{a}, x{a} {a}Zy {a}{b}!" for a in letters for b in ("é", "À", "ß")]
+    tokenizer, codec = Tokenizer.from_file(PATH), tokens.ChunkTokenizer(PATH)
+    codec.encode([f"a{c}" for c in [*codec.TAIL, ""]], 1)
+    codec.tokenizer = None  # only its model is asked from here on
+    for text, data in zip(texts, codec.encode(texts, 1)):
+        assert np.frombuffer(data, "<u4")[:-1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
