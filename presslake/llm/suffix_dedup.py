@@ -7,15 +7,17 @@ is an anchor.
 
 1. All contexts meet by anchor, sorted and streamed. A context that also stands in
    a document with a smaller id is repeated as a whole; contexts whose anchor has
-   no other context are unique. Both are settled by two 64-bit hashes. Copies of a
-   context that one task reads are combined before they move: only those of the
-   smallest document go to the anchor, the others are known to be repeated.
-2. What is left stands at the edges of repeated passages. The strings (suffixes)
-   of these contexts are sorted: a merge sort whose comparisons find the common
-   extension of two suffixes by binary search over prefix polynomial hashes, so a
-   comparison takes logarithmic time. Neighbours that agree on ``SPAN`` bytes are
-   compared byte by byte before they count as equal; the smallest document of a
-   run of equal strings keeps its own.
+   contexts of one document only are unique. Both are settled by two 64-bit hashes.
+   Copies of a context that one task reads are combined before they move: only those
+   of the smallest document go to the anchor, the others are known to be repeated.
+2. What is left stands at the edges of repeated passages. The bytes after the anchors
+   of these contexts are sorted as suffixes, and so are the bytes before them, read
+   backwards: a merge sort whose comparisons find the common extension of two suffixes
+   by binary search over prefix polynomial hashes, so a comparison takes logarithmic
+   time. What neighbours have in common is compared byte by byte before it counts. Two
+   strings are equal if they agree before and after their anchors, so two sorted
+   suffixes a context tell all its strings; the smallest document of equal strings
+   keeps its own.
 
 Nothing but anchors, the contexts of step 2 and byte ranges is ever grouped.
 """
@@ -35,7 +37,10 @@ SPAN = 50
 GRAM = 20
 GRAMS = SPAN - GRAM + 1
 PIECE = 1 << 20
-CHUNK_CONTEXTS = 1_000  # the arrays of their strings stay in the processor's cache
+BESIDE = SPAN - GRAM  # bytes of a string that are not its anchor
+CHUNK_CONTEXTS = 10_000  # the arrays of their suffixes stay in the processor's cache
+SETTLE_ROWS = 1 << 15
+BLOCK_ROWS = 1 << 16
 HOT_CONTEXTS = 100_000
 SEEN_CONTEXTS = 1 << 16
 SETTLED = np.int64(1) << np.int64(62)  # flag of a place: the context is repeated
@@ -161,52 +166,70 @@ def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[np.ndarray]:
+    """The columns of batches of integers as matrices of ``least`` rows or more, but for the last one."""
+    held: list[np.ndarray] = []
+    rows = 0
+    for batch in batches:
+        held.append(np.stack([batch.column(i).to_numpy() for i in range(batch.num_columns)]))
+        rows += batch.num_rows
+        if rows >= least:
+            yield np.concatenate(held, axis=1)
+            held, rows = [], 0
+    if rows:
+        yield np.concatenate(held, axis=1)
+
+
+def _told(doc: np.ndarray, place: np.ndarray, repeated: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place), pa.array(repeated)], names=["doc_id", "place", "repeated"])
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts sorted by anchor, context and document: drop unique ones, tell repeated from open ones.
 
-    The last anchor of a batch may go on in the next; the rows that could still
-    become open (those of one document) and the two rows that tell what was seen
-    are carried over.
+    A context belongs to its smallest document; it is open if its anchor also has
+    contexts that belong to another one. The last anchor of a block may go on in the
+    next: the places that could still become open (those of one document) wait, and
+    a row that stands for the last context is carried over.
     """
-    held = np.zeros((4, 0), np.int64)
-    told = np.zeros(0, bool)  # of the held rows: already given out
-    for batch in batches:
-        fresh = np.stack([batch.column(i).to_numpy() for i in range(4)])
+    mark = np.zeros((4, 0), np.int64)
+    several = False  # contexts of the mark's anchor belong to several documents
+    waiting: list[np.ndarray] = []
+    for fresh in _blocks(batches, SETTLE_ROWS):
         settled = (fresh[3] & SETTLED) != 0
         if settled.any():
             done = fresh[:, settled]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(done[2]), pa.array(done[3] ^ SETTLED), pa.array(np.ones(done.shape[1], bool))],
-                names=["doc_id", "place", "repeated"],
-            )
+            yield _told(done[2], done[3] ^ SETTLED, np.ones(done.shape[1], bool))
             fresh = fresh[:, ~settled]
         if not fresh.shape[1]:
             continue
-        rows = np.concatenate([held, fresh], axis=1)
-        told = np.concatenate([told, np.zeros(fresh.shape[1], bool)])
-        anchor, context, doc, place = rows
+        if mark.shape[1] and mark[0, 0] != fresh[0, 0]:
+            mark, several, waiting = mark[:, :0], False, []
+        anchor, context, doc, place = np.concatenate([mark, fresh], axis=1)
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
         begin = np.flatnonzero(new_context)
-        owner = doc[begin][np.cumsum(new_context) - 1]  # smallest document of each context
+        owners = doc[begin]  # smallest document of each context
+        owner = owners[np.cumsum(new_context) - 1]
+        heads = np.flatnonzero(new_anchor[begin])
+        mixed = np.minimum.reduceat(owners, heads) != np.maximum.reduceat(owners, heads)
+        mixed[0] |= several
         group = np.cumsum(new_anchor) - 1
-        kinds = np.bincount(group, weights=new_context)[group]
         first = doc == owner
-        repeated, is_open = ~first, first & (kinds > 1)
-        tail = group == group[-1]
-        if kinds[-1] == 1:
-            keep = np.flatnonzero(tail & first)
-            out = repeated | is_open
-            held, held_told = rows[:, keep], told[keep]
-        else:
-            keep = np.array([begin[-2], begin[-1]])
-            out = repeated | is_open
-            held, held_told = rows[:, keep], np.ones(2, bool)
-        out &= ~told
-        told = held_told
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[out]), pa.array(place[out]), pa.array(repeated[out])], names=["doc_id", "place", "repeated"]
-        )
+        out = ~first | mixed[group]
+        out[: mark.shape[1]] = False
+        if mixed[0]:
+            for places in waiting:
+                yield _told(np.full(len(places), mark[2, 0]), places, np.zeros(len(places), bool))
+        if mixed[0] or len(mixed) > 1:
+            waiting = []
+        several = bool(mixed[-1])
+        if not several:
+            tail = first & (group == group[-1])
+            tail[: mark.shape[1]] = False
+            waiting.append(place[tail])
+        mark = np.array([[anchor[-1]], [context[-1]], [owner[-1]], [0]])
+        yield _told(doc[out], place[out], ~first[out])
 
 
 def _open_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,23 +262,24 @@ def _open_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class SuffixSort:
-    """Sorts ``SPAN``-byte strings of a buffer; comparisons read prefix hashes, not bytes."""
+    """Sorts ``span``-byte strings of a buffer; comparisons read prefix hashes, not bytes."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, span: int = SPAN):
         self.data = data
+        self.span = span
         self.prefix = prefix_hashes(_LETTERS[data], CONTEXT_BASE)
         self.back = powers(len(self.prefix), CONTEXT_BASE)[1]
 
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length of the common extension of the strings at ``x`` and ``y``, at most ``SPAN``."""
-        out = np.full(len(x), SPAN)
+        """Length of the common extension of the strings at ``x`` and ``y``, at most ``span``."""
+        out = np.full(len(x), self.span)
         at = self.prefix.take
         from_x, from_y, back_x, back_y = at(x), at(y), self.back.take(x), self.back.take(y)
-        whole = (at(x + SPAN) - from_x) * back_x == (at(y + SPAN) - from_y) * back_y
+        whole = (at(x + self.span) - from_x) * back_x == (at(y + self.span) - from_y) * back_y
         differ = np.flatnonzero(~whole)
         x, y, from_x, from_y, back_x, back_y = (v.take(differ) for v in (x, y, from_x, from_y, back_x, back_y))
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), SPAN - 1)
-        for _ in range((SPAN - 1).bit_length()):
+        low, high = np.zeros(len(x), np.int64), np.full(len(x), self.span - 1)
+        for _ in range((self.span - 1).bit_length()):
             middle = (low + high + 1) >> 1
             same = (at(x + middle) - from_x) * back_x == (at(y + middle) - from_y) * back_y
             low, high = np.where(same, middle, low), np.where(same, high, np.maximum(middle - 1, low))
@@ -265,68 +289,95 @@ class SuffixSort:
     def compare(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """-1, 0 or 1 for each pair of strings."""
         common = self.extension(x, y)
-        at = np.minimum(common, SPAN - 1)
+        at = np.minimum(common, self.span - 1)
         order = np.sign(self.data[x + at].astype(np.int16) - self.data[y + at].astype(np.int16))
-        return np.where(common >= SPAN, 0, order)
+        return np.where(common >= self.span, 0, order)
 
     def sort(self, places: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """A stable order of ``places`` by string inside each run of equal ``group``: a bottom-up merge sort.
+        """A stable order of ``places`` by string inside each run of equal ``group``.
 
-        All runs of one width merge at once; an element's place is its rank in its
-        own run plus its rank in the neighbouring run, found by binary search.
+        Strings that agree on their first eight bytes go through a bottom-up merge
+        sort. All pairs of runs of one width merge at once, but for those that are in
+        order already; an element's place is its rank in its own run plus its rank in
+        the neighbouring run, found by binary search.
         """
-        order = np.arange(len(places))
-        new = np.concatenate([[True], group[1:] != group[:-1]]) if len(group) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)[np.cumsum(new) - 1] if len(group) else order
-        size = np.diff(np.concatenate([np.flatnonzero(new), [len(group)]]))[np.cumsum(new) - 1] if len(group) else order
-        width = 1
-        while len(size) and width < size.max():
+        if not len(places):
+            return np.arange(0)
+        word = self.data[places[:, None] + np.arange(8)].view(">u8").ravel().astype(np.uint64)
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        order = np.lexsort((word, np.cumsum(new)))
+        new[1:] |= word[order[1:]] != word[order[:-1]]
+        size = np.diff(np.append(np.flatnonzero(new), len(places)))
+        begin, size = np.repeat(np.flatnonzero(new), size), np.repeat(size, size)
+        width, most = 1, size.max()
+        while width < most:
             spot = np.flatnonzero(size > width)
-            local = spot - begin[spot]
-            run = local // width
-            left = run % 2 == 0
-            pair = begin[spot] + (run - run % 2) * width
-            end = begin[spot] + size[spot]
-            if width == 1:  # two runs of one string need one comparison
-                one = spot[left & (spot + 1 < end)]
-                swap = one[self.compare(places[order[one]], places[order[one + 1]]) > 0]
-                order[swap], order[swap + 1] = order[swap + 1], order[swap]
-                width = 2
-                continue
-            low = np.minimum(np.where(left, pair + width, pair), end)
-            high = np.minimum(low + width, end)
-            other = low.copy()
-            active = np.flatnonzero(low < high)
-            mine = places[order[spot]]
-            while len(active):
-                middle = (low[active] + high[active]) >> 1
-                sign = self.compare(places[order[middle]], mine[active])
-                before = np.where(left[active], sign < 0, sign <= 0)
-                low[active] = np.where(before, middle + 1, low[active])
-                high[active] = np.where(before, high[active], middle)
-                active = active[low[active] < high[active]]
-            target = pair + (local - run * width) + (low - other)
-            moved = order.copy()
-            moved[target] = order[spot]
-            order = moved
+            head = spot[((spot - begin[spot]) % (2 * width) == 0) & (spot + width < begin[spot] + size[spot])]
+            head = head[self.compare(places[order[head + width - 1]], places[order[head + width]]) > 0]
+            stop = np.minimum(head + 2 * width, begin[head] + size[head])
+            if width == 1:
+                order[head], order[head + 1] = order[head + 1], order[head]
+            elif len(head):
+                order = self._merged(places, order, head, width, stop)
             width *= 2
         return order
 
-    def equal_to_previous(self, places: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
-        """Whether each string equals the one before it; equal hashes are checked byte by byte.
-
-        With ``pairs``, only the strings after these rows are compared.
-        """
-        same = np.zeros(len(places), bool)
-        if len(places) > 1:
-            pairs = np.arange(len(places) - 1) if pairs is None else pairs
-            claim = pairs[self.extension(places[pairs], places[pairs + 1]) >= SPAN]
-            for begin in range(0, len(claim), 1 << 16):
-                part = claim[begin : begin + (1 << 16)]
-                steps = np.arange(SPAN)
-                bytes_equal = self.data[places[part, None] + steps] == self.data[places[part + 1, None] + steps]
-                same[part[bytes_equal.all(axis=1)] + 1] = True
-        return same
+    def _merged(self, places: np.ndarray, order: np.ndarray, head: np.ndarray, width: int, stop: np.ndarray) -> np.ndarray:
+        """``order`` with the runs ``[head, head + width)`` and ``[head + width, stop)`` merged."""
+        count = stop - head
+        pair, end = np.repeat(head, count), np.repeat(stop, count)
+        spot = pair + np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
+        left = spot < pair + width
+        low, high = np.where(left, pair + width, pair), np.where(left, end, pair + width)
+        other, own = low.copy(), np.where(left, pair, pair + width)
+        active = np.arange(len(spot))
+        mine = places[order[spot]]
+        while len(active):
+            middle = (low[active] + high[active]) >> 1
+            sign = self.compare(places[order[middle]], mine[active])
+            before = np.where(left[active], sign < 0, sign <= 0)
+            low[active] = np.where(before, middle + 1, low[active])
+            high[active] = np.where(before, high[active], middle)
+            active = active[low[active] < high[active]]
+        moved = order.copy()
+        moved[pair + (spot - own) + (low - other)] = order[spot]
+        return moved
+
+    def common_with_previous(self, places: np.ndarray) -> np.ndarray:
+        """How many bytes each string has in common with the one before it; equal hashes are checked byte by byte."""
+        common = np.zeros(len(places), np.int64)
+        steps = np.arange(self.span)
+        for begin in range(1, len(places), BLOCK_ROWS):
+            here = places[begin : begin + BLOCK_ROWS]
+            last = places[begin - 1 : begin - 1 + len(here)]
+            differ = self.data[here[:, None] + steps] != self.data[last[:, None] + steps]
+            checked = np.where(differ.any(axis=1), differ.argmax(axis=1), self.span)
+            common[begin : begin + len(here)] = np.minimum(self.extension(last, here), checked)
+        return common
+
+    def equal_to_previous(self, places: np.ndarray) -> np.ndarray:
+        """Whether each string equals the one before it."""
+        return self.common_with_previous(places) >= self.span
+
+
+def _beside(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
+    """For each row ``count`` bytes from ``at`` on, forwards or backwards, and zeros up to ``BESIDE``."""
+    out = np.empty((len(at), BESIDE), np.uint8)
+    steps = np.arange(BESIDE)
+    for begin in range(0, len(at), BLOCK_ROWS):
+        part = slice(begin, begin + BLOCK_ROWS)
+        cells = data.take(at[part, None] + step * steps, mode="clip")
+        out[part] = np.where(steps < count[part, None], cells, np.uint8(0))
+    return out
+
+
+def _sorted_suffixes(cells: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of bytes in their groups, and what each has in common with the one before; -1: starts a group."""
+    suffixes = SuffixSort(cells.ravel(), BESIDE)
+    order = suffixes.sort(np.arange(len(cells)) * BESIDE, group)
+    common = suffixes.common_with_previous(order * BESIDE)
+    common[np.concatenate([[True], group[1:] != group[:-1]])] = -1
+    return order, common
 
 
 def _repeated_in(table: pa.Table) -> pa.RecordBatch:
@@ -335,29 +386,49 @@ def _repeated_in(table: pa.Table) -> pa.RecordBatch:
     cells = table.column("bytes").combine_chunks()
     offsets = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1].astype(np.int64)
     data = np.frombuffer(cells.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
     key = np.stack([table.column("anchor").to_numpy(), table.column("salt").to_numpy()])
-    group = np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))])
+    new = np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)])
+    group = np.cumsum(new) - 1
     lead, doc, begin = (table.column(c).to_numpy() for c in ("lead", "doc_id", "begin"))
-    count = np.diff(offsets) - SPAN + 1
-    context = np.repeat(np.arange(len(count)), count)
-    shift = np.arange(len(context)) - np.repeat(np.cumsum(count) - count, count)
-    # Equal strings have their anchor at the same place; a string alone in its slot has no equal.
-    slot = group[context] * (4 * SPAN) + (lead[context] - shift + 2 * SPAN)
-    several = np.flatnonzero(np.bincount(slot)[slot] > 1)
-    order = several[np.lexsort((doc[context[several]], slot[several]))]
-    context, shift, slot = context[order], shift[order], slot[order]
-    places = offsets[context] + shift
-    suffixes = SuffixSort(data)
-    order = suffixes.sort(places, slot)
-    places, context, shift, slot = places[order], context[order], shift[order], slot[order]
-    same = suffixes.equal_to_previous(places, np.flatnonzero(slot[1:] == slot[:-1]))
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-    gone = doc[context] > doc[context[head]]
-    context, shift = context[gone], shift[gone]
-    least, most = np.full(len(count), 1 << 30), np.full(len(count), -1)
-    np.minimum.at(least, context, shift)
-    np.maximum.at(most, context, shift)
+    at = offsets[:-1] - offsets[0] + lead
+    after = np.diff(offsets) - lead - GRAM
+    # Anchors of one group have equal hashes; should their bytes differ, the group falls apart.
+    grams = data[at[:, None] + np.arange(GRAM)]
+    if (grams != grams[np.flatnonzero(new)[group]]).any():
+        kind = np.unique(grams, axis=0, return_inverse=True)[1].ravel()
+        order = np.lexsort((kind, group))
+        lead, doc, begin, at, after = (x[order] for x in (lead, doc, begin, at, after))
+        split = (group[order[1:]] != group[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]])
+        group = np.concatenate([[0], np.cumsum(split)])
+    sides = []
+    near = []
+    for cells in (_beside(data, at - 1, -1, lead), _beside(data, at + GRAM, 1, after)):
+        order, common = _sorted_suffixes(cells, group)
+        most = np.empty(len(order), np.int64)
+        most[order] = np.maximum(common, np.append(common[1:], -1))
+        sides.append((order, common))
+        near.append(most)
+    # A string with ``place`` bytes before its anchor has an equal only if both sides have.
+    low, high = BESIDE - np.minimum(after, near[1]), np.minimum(lead, near[0])
+    least, most = np.full(len(lead), 1 << 30), np.full(len(lead), -1)
+    for place in range(BESIDE + 1):
+        rows = np.flatnonzero((low <= place) & (place <= high))
+        if len(rows) < 2:
+            continue
+        kinds = []
+        for (order, common), depth in zip(sides, (place, BESIDE - place)):
+            kind = np.empty(len(order), np.int64)
+            kind[order] = np.cumsum(common < depth)
+            kinds.append(kind[rows])
+        both = kinds[0] * (len(lead) + 1) + kinds[1]
+        order = np.argsort(both)
+        both, rows = both[order], rows[order]
+        heads = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        owner = np.repeat(np.minimum.reduceat(doc[rows], heads), np.diff(np.append(heads, len(rows))))
+        gone = rows[doc[rows] > owner]
+        shift = lead[gone] - place
+        least[gone] = np.minimum(least[gone], shift)
+        most[gone] = np.maximum(most[gone], shift)
     hit = most >= 0
     return pa.RecordBatch.from_arrays(
         [pa.array(doc[hit]), pa.array(begin[hit] + least[hit]), pa.array(begin[hit] + most[hit] + SPAN)],

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cases import EDGES, documents
@@ -147,3 +148,60 @@ def test_equal_hashes_are_verified(monkeypatch):
     suffixes = SuffixSort(np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8))
     monkeypatch.setattr(suffixes, "extension", lambda x, y: np.full(len(x), SPAN))  # every hash collides
     assert suffixes.equal_to_previous(np.array([0, 1, 60, 61])).tolist() == [False, True, False, True]
+
+
+def edge_table(line, docs, seed=3):
+    """Contexts of one anchor: the end of a line after another byte string in each document."""
+    rng = random.Random(seed)
+    before = lambda: bytes(rng.choices(b"abcdefgh ", k=30))
+    cells = [before() + line for _ in range(docs)]
+    columns = {"anchor": [5] * docs, "salt": [0] * docs, "lead": [30] * docs, "doc_id": list(range(docs)), "begin": [7] * docs}
+    return pa.table({**columns, "bytes": pa.array(cells, pa.binary())})
+
+
+def test_work_grows_with_a_group_of_edges(monkeypatch):
+    """A common line has an edge in each document: few strings are compared for each, however many there are."""
+    compared = []
+    extension = SuffixSort.extension
+    monkeypatch.setattr(SuffixSort, "extension", lambda self, x, y: compared.append(len(x)) or extension(self, x, y))
+    line = bytes(range(65, 115))
+    for docs in (500, 8_000):
+        compared.clear()
+        found = suffix_dedup._repeated_in(edge_table(line, docs)).to_pydict()
+        assert sorted(found["doc_id"]) == list(range(1, docs))
+        assert set(found["end"]) == {7 + 80}
+        assert max(found["start"]) == 7 + 30
+        assert sum(compared) < 12 * docs
+
+
+def test_anchors_of_equal_hash_are_told_apart():
+    """Two lines under one anchor hash: documents take from their own line only; zero bytes count as bytes."""
+    one, two = edge_table(b"x" * 20 + bytes(30), 4, 1), edge_table(b"y" * 20 + bytes(30), 4, 2)
+    both = pa.concat_tables([one, two.set_column(3, "doc_id", pa.array([10, 11, 12, 13]))]).take([0, 4, 1, 5, 2, 6, 3, 7])
+    found = suffix_dedup._repeated_in(both).to_pydict()
+    assert sorted(found["doc_id"]) == [1, 2, 3, 11, 12, 13]
+    short = pa.table({**both.slice(0, 2).to_pydict(), "doc_id": [1, 2], "lead": [30, 30], "bytes": [b"a" * 30 + b"x" * 20 + b"\0" * n for n in (1, 2)]})
+    assert suffix_dedup._repeated_in(short).to_pydict() == {"doc_id": [2], "start": [7], "end": [7 + 51]}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+@pytest.mark.parametrize("block", [1, 2, 5, 1 << 15])
+def test_only_anchors_of_several_documents_stay_open(monkeypatch, size, block):
+    """However the rows are cut into batches: a row is open if its anchor has contexts of several documents."""
+    monkeypatch.setattr(suffix_dedup, "SETTLE_ROWS", block)
+    rng = random.Random(size)
+    rows = [(1, c, 4, p) for c in (1, 2, 2, 3) for p in range(6)]  # one document under the anchor
+    rows += [(2, 1, 4, 9), (2, 1, 6, 9), (2, 2, 4, 9), (3, 1, 4, 9), (3, 2, 5, 9)]
+    rows += [(rng.randint(4, 12), rng.randint(1, 4), rng.randint(1, 3), rng.randint(0, 99)) for _ in range(60)]
+    rows = sorted(set(rows))
+    owner = {}
+    for anchor, context, doc, _ in rows:
+        owner[anchor, context] = min(doc, owner.get((anchor, context), doc))
+    owners = {a: {d for (b, _), d in owner.items() if b == a} for a, _ in owner}
+    expected = [(d, p, d > owner[a, c]) for a, c, d, p in rows if d > owner[a, c] or len(owners[a]) > 1]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + size])], names=["anchor", "context", "doc_id", "place"])
+        for i in range(0, len(rows), size)
+    ]
+    told = [tuple(r.values()) for b in suffix_dedup._settle(iter(batches)) for r in b.to_pylist()]
+    assert sorted(told) == sorted(expected)
