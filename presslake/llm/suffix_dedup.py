@@ -36,7 +36,7 @@ from presslake.llm.components import _written
 SPAN = 50
 GRAM = 20
 GRAMS = SPAN - GRAM + 1
-PIECE = 1 << 20
+PIECE = 1 << 19
 BESIDE = SPAN - GRAM  # bytes of a string that are not its anchor
 CHUNK_CONTEXTS = 10_000  # the arrays of their suffixes stay in the processor's cache
 SETTLE_ROWS = 1 << 15
@@ -54,8 +54,9 @@ _PLACE = np.uint64((1 << 21) - 1)
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     prefix = prefix_hashes(_LETTERS[data], ANCHOR_BASE)
-    first = np.arange(len(data) - GRAM + 1)
-    return mix(span_hashes(prefix, first, first + GRAM, ANCHOR_BASE))
+    spans = prefix[GRAM:] - prefix[:-GRAM]
+    spans *= powers(len(prefix), ANCHOR_BASE)[1][: len(spans)]
+    return mix(spans)
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -360,10 +361,10 @@ class SuffixSort:
         return self.common_with_previous(places) >= self.span
 
 
-def _beside(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
-    """For each row ``count`` bytes from ``at`` on, forwards or backwards, and zeros up to ``BESIDE``."""
-    out = np.empty((len(at), BESIDE), np.uint8)
-    steps = np.arange(BESIDE)
+def _cells(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray, width: int) -> np.ndarray:
+    """For each row ``count`` bytes from ``at`` on, forwards or backwards, and zeros up to ``width``."""
+    out = np.empty((len(at), width), np.uint8)
+    steps = np.arange(width)
     for begin in range(0, len(at), BLOCK_ROWS):
         part = slice(begin, begin + BLOCK_ROWS)
         cells = data.take(at[part, None] + step * steps, mode="clip")
@@ -371,13 +372,36 @@ def _beside(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> n
     return out
 
 
-def _sorted_suffixes(cells: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows of bytes in their groups, and what each has in common with the one before; -1: starts a group."""
+def _sorted_suffixes(cells: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``rank, common, near`` of rows of ``BESIDE`` bytes, ordered within their groups.
+
+    Equal rows of a group share a rank; ``common`` tells by rank how many bytes there
+    are in common with the rank before it (-1: starts a group), and ``near`` by row
+    the most that a row has in common with another one of its group (-1: has none).
+    Only different rows are sorted, so a group of many equal ones stays small.
+    """
+    words = np.zeros((len(cells), -(-BESIDE // 8) * 8), np.uint8)
+    words[:, :BESIDE] = cells
+    words = words.view(np.uint64)
+    whole = words[:, 0].copy()
+    for column in range(1, words.shape[1]):
+        whole = mix(whole) + words[:, column]
+    order = np.lexsort((whole, group))
+    same = (words[order[1:]] == words[order[:-1]]).all(axis=1) & (group[order[1:]] == group[order[:-1]])
+    kind = np.cumsum(np.concatenate([[True], ~same])) - 1
+    count = np.bincount(kind)
+    different = order[np.cumsum(count) - count]
+    cells, owner = cells[different], group[different]
     suffixes = SuffixSort(cells.ravel(), BESIDE)
-    order = suffixes.sort(np.arange(len(cells)) * BESIDE, group)
-    common = suffixes.common_with_previous(order * BESIDE)
-    common[np.concatenate([[True], group[1:] != group[:-1]])] = -1
-    return order, common
+    sort = suffixes.sort(np.arange(len(cells)) * BESIDE, owner)
+    common = suffixes.common_with_previous(sort * BESIDE)
+    common[np.concatenate([[True], owner[1:] != owner[:-1]])] = -1
+    place = np.empty(len(sort), np.int64)
+    place[sort] = np.arange(len(sort))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = place[kind]
+    near = np.where(count[sort] > 1, BESIDE, np.maximum(common, np.append(common[1:], -1)))
+    return rank, common, near[rank]
 
 
 def _repeated_in(table: pa.Table) -> pa.RecordBatch:
@@ -393,33 +417,23 @@ def _repeated_in(table: pa.Table) -> pa.RecordBatch:
     at = offsets[:-1] - offsets[0] + lead
     after = np.diff(offsets) - lead - GRAM
     # Anchors of one group have equal hashes; should their bytes differ, the group falls apart.
-    grams = data[at[:, None] + np.arange(GRAM)]
+    grams = _cells(data, at, 1, np.full(len(at), GRAM), GRAM)
     if (grams != grams[np.flatnonzero(new)[group]]).any():
         kind = np.unique(grams, axis=0, return_inverse=True)[1].ravel()
         order = np.lexsort((kind, group))
         lead, doc, begin, at, after = (x[order] for x in (lead, doc, begin, at, after))
         split = (group[order[1:]] != group[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]])
         group = np.concatenate([[0], np.cumsum(split)])
-    sides = []
-    near = []
-    for cells in (_beside(data, at - 1, -1, lead), _beside(data, at + GRAM, 1, after)):
-        order, common = _sorted_suffixes(cells, group)
-        most = np.empty(len(order), np.int64)
-        most[order] = np.maximum(common, np.append(common[1:], -1))
-        sides.append((order, common))
-        near.append(most)
+    before = _sorted_suffixes(_cells(data, at - 1, -1, lead, BESIDE), group)
+    behind = _sorted_suffixes(_cells(data, at + GRAM, 1, after, BESIDE), group)
     # A string with ``place`` bytes before its anchor has an equal only if both sides have.
-    low, high = BESIDE - np.minimum(after, near[1]), np.minimum(lead, near[0])
+    low, high = BESIDE - np.minimum(after, behind[2]), np.minimum(lead, before[2])
     least, most = np.full(len(lead), 1 << 30), np.full(len(lead), -1)
     for place in range(BESIDE + 1):
         rows = np.flatnonzero((low <= place) & (place <= high))
         if len(rows) < 2:
             continue
-        kinds = []
-        for (order, common), depth in zip(sides, (place, BESIDE - place)):
-            kind = np.empty(len(order), np.int64)
-            kind[order] = np.cumsum(common < depth)
-            kinds.append(kind[rows])
+        kinds = [np.cumsum(common < depth)[rank[rows]] for (rank, common, _), depth in ((before, place), (behind, BESIDE - place))]
         both = kinds[0] * (len(lead) + 1) + kinds[1]
         order = np.argsort(both)
         both, rows = both[order], rows[order]
@@ -522,6 +536,13 @@ def _with_twins(rows: DataFrame) -> DataFrame:
     return joined.select("doc_id", "text", F.coalesce("twin", F.lit(0).cast("long")).alias("twin"))
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written, and the shuffles behind it let go: Spark deletes them when its driver collects garbage."""
+    staged = _written(df, name)
+    df.sparkSession._jvm.System.gc()
+    return staged
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row ``doc_id, n_bytes, spans, kept``: its text without repeated passages.
 
@@ -540,7 +561,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     emitted = judged.mapInArrow(_emit_contexts, "anchor long, context long, doc_id long, place long")
     met = emitted.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id")
-    found = _written(met.mapInArrow(_settle, "doc_id long, place long, repeated boolean"), "contexts")
+    found = _staged(met.mapInArrow(_settle, "doc_id long, place long, repeated boolean"), "contexts")
 
     # Open contexts get their bytes; an anchor with very many of them is dealt out by string.
     twin = F.shiftright("place", SIZE_BITS + BYTE_BITS).alias("twin")
@@ -548,7 +569,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = judged.join(opened, ["doc_id", "twin"]).mapInArrow(
         _open_contexts, "anchor long, lead long, doc_id long, begin long, bytes binary"
     )
-    cut = _written(cut, "open-contexts")
+    cut = _staged(cut, "open-contexts")
     hot = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS)
     plain = cut.join(hot, "anchor", "left_anti").withColumn("salt", F.lit(0).cast("long"))
     step = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - SPAN)).alias("step")

@@ -174,6 +174,18 @@ def test_work_grows_with_a_group_of_edges(monkeypatch):
         assert sum(compared) < 12 * docs
 
 
+def test_only_different_edges_are_sorted(monkeypatch):
+    """Documents with the same two edges of a line give two suffixes to sort, not one a document."""
+    sorted_rows = []
+    sort = SuffixSort.sort
+    monkeypatch.setattr(SuffixSort, "sort", lambda self, places, group: sorted_rows.append(len(places)) or sort(self, places, group))
+    edges = edge_table(bytes(range(65, 115)), 2)
+    table = pa.concat_tables([edges.set_column(3, "doc_id", pa.array([2 * i, 2 * i + 1])) for i in range(300)])
+    found = suffix_dedup._repeated_in(table).to_pydict()
+    assert sorted(zip(found["doc_id"], found["start"], found["end"])) == [(1, 37, 87)] + [(i, 7, 87) for i in range(2, 600)]
+    assert sorted(sorted_rows) == [1, 2]
+
+
 def test_anchors_of_equal_hash_are_told_apart():
     """Two lines under one anchor hash: documents take from their own line only; zero bytes count as bytes."""
     one, two = edge_table(b"x" * 20 + bytes(30), 4, 1), edge_table(b"y" * 20 + bytes(30), 4, 2)
