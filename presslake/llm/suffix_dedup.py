@@ -571,6 +571,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     cut = _staged(cut, "open-contexts")
     hot = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS)
+    hot = _staged(hot, "hot-anchors")  # of known size: where it is small, the contexts need not move for it
     plain = cut.join(hot, "anchor", "left_anti").withColumn("salt", F.lit(0).cast("long"))
     step = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - SPAN)).alias("step")
     strings = cut.join(hot, "anchor").select("*", step).select(
